@@ -88,19 +88,19 @@ def take_quota(df: DataFrame, cls: str, quotas: DataFrame, order_key: str,
                                                  (F.col("quota") - F.col("__cum") + F.col("__nb"))
                                                  .alias("need")), F.col("__b")).alias("e"))
             .select(cls, "e.eb", "e.need"))
+    # per-class tables (one row per class) joined to the rows: AQE broadcasts
+    # them when small; no row shuffle is needed to decide non-edge rows.
     marked = rows.join(quotas.select(cls, "quota"), on=cls, how="left") \
                  .join(edge, on=cls, how="left")
+    no_quota = F.col("quota").isNull() | (F.col("quota") <= 0)
+    at_edge = ~no_quota & F.col("eb").isNotNull() & (F.col("__b") == F.col("eb"))
     # classes never reaching the quota have no edge: every row is taken
-    before = F.col("eb").isNull() | (F.col("__b") < F.col("eb"))
-    at_edge = F.col("__b") == F.col("eb")
+    before = ~no_quota & (F.col("eb").isNull() | (F.col("__b") < F.col("eb")))
+    settled = marked.filter(~at_edge).withColumn("__take", before)
     rank_w = Window.partitionBy(cls, "__b").orderBy(order_key)
-    ranked = marked.withColumn(
-        "__take",
-        F.when(F.col("quota").isNull() | (F.col("quota") <= 0), F.lit(False))
-        .when(before, F.lit(True))
-        .when(at_edge, F.row_number().over(rank_w) <= F.col("need"))
-        .otherwise(F.lit(False)))
-    out = ranked.drop("__b", "quota", "eb", "need")
+    edge_rows = marked.filter(at_edge).withColumn(
+        "__take", F.row_number().over(rank_w) <= F.col("need"))
+    out = settled.unionByName(edge_rows).drop("__b", "quota", "eb", "need")
     if flag_col:
         return out.withColumnRenamed("__take", flag_col)
     return out.filter("__take").drop("__take")
@@ -130,7 +130,7 @@ def split_quotas(df: DataFrame, cls: str, test_fraction: float = TEST_FRACTION)
     c = counts.crossJoin(F.broadcast(tot))                # tot: exactly one row
     n_test = F.ceil(F.lit(float(test_fraction)) * F.col("n"))
     c = c.withColumn("n_test", n_test)
-    exact = F.col("nc") * F.col("n_test") / F.col("n")
+    exact = F.col("nc") / F.col("n") * F.col("n_test")   # same float order as the reference library
     c = c.withColumn("fl", F.floor(exact)).withColumn("rem", exact - F.floor(exact))
     w_all = Window.partitionBy(F.lit(0))
     c = c.withColumn("left", F.col("n_test") - F.sum("fl").over(w_all))
