@@ -1,0 +1,95 @@
+"""Landed payload pages derived (by Spark) from the driver tables.
+
+The driver tables carry no API payloads, so these functions pack table rows
+into the JSON shapes the payload parsers read.  Pages are bounded: items are
+grouped ``page_size`` at a time, so no group ever holds an unbounded list.
+Some fields are removed on purpose (keyed on the row ids) so the parsers'
+default and skip rules are exercised.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def _pages(rows: DataFrame, key: str, pos: str, item, page_size: int) -> DataFrame:
+    """Group items into pages of ``page_size`` ordered by ``pos``."""
+    paged = rows.withColumn("page_no", F.floor(F.col(pos) / page_size).cast("int"))
+    grouped = paged.groupBy(key, "page_no").agg(
+        F.array_sort(F.collect_list(F.struct(F.col(pos).alias("__o"), item.alias("v")))).alias("__l"))
+    return grouped.select(F.col(key).cast("string").alias("request_key"), "page_no",
+                          F.transform("__l", lambda s: s["v"]).alias("items"))
+
+
+def conversation_track_pages(conv: DataFrame, page_size: int = 50) -> DataFrame:
+    """Playlist-track pages: one playlist per conversation, one track per turn.
+    track is null when turn % 7 = 3, its id when turn % 11 = 5, its album
+    when turn % 5 = 0."""
+    turn = F.col("turn")
+    track = F.when(turn % 7 == 3, F.lit(None)).otherwise(F.struct(
+        F.when(turn % 11 == 5, F.lit(None)).otherwise(turn.cast("string")).alias("id"),
+        F.col("text").alias("name"),
+        F.array(F.struct(F.col("role").alias("name")),
+                F.struct(F.concat(F.lit("conv_"), F.col("conv_id").cast("string")).alias("name"))
+                ).alias("artists"),
+        F.when(turn % 5 == 0, F.lit(None)).otherwise(F.struct(
+            F.concat(F.lit("conv_"), F.col("conv_id").cast("string")).alias("name"))).alias("album")))
+    pages = _pages(conv, "conv_id", "turn", F.struct(track.alias("track")), page_size)
+    return pages.select("request_key", "page_no", F.lit(200).alias("status"),
+                        F.to_json(F.struct("items")).alias("body"))
+
+
+def conversation_playlist_search(conv: DataFrame, page_size: int = 50) -> DataFrame:
+    """Playlist-search pages: item null when turn % 6 = 2, owner missing when
+    turn % 4 = 1, track total missing when turn % 9 = 4."""
+    turn = F.col("turn")
+    item = F.when(turn % 6 == 2, F.lit(None)).otherwise(F.struct(
+        F.concat(F.lit("pl_"), F.col("conv_id").cast("string"), F.lit("_"), turn.cast("string")).alias("id"),
+        F.col("role").alias("name"),
+        F.when(turn % 4 == 1, F.lit(None)).otherwise(
+            F.struct(F.concat(F.lit("user_"), F.col("conv_id").cast("string")).alias("display_name"))
+        ).alias("owner"),
+        F.when(turn % 9 == 4, F.lit(None)).otherwise(
+            F.struct(F.length("text").cast("long").alias("total"))).alias("tracks")))
+    pages = _pages(conv, "conv_id", "turn", item, page_size)
+    body = F.to_json(F.struct(F.struct(F.col("items").alias("items")).alias("playlists")))
+    return pages.select("request_key", "page_no", F.lit(200).alias("status"), body.alias("body"))
+
+
+def page_lookup_batches(pages: DataFrame, batch: int = 40) -> DataFrame:
+    """Id-lookup responses, ``batch`` pages per request: id missing when
+    page_id % 13 = 7, href missing when page_id % 17 = 3."""
+    pid = F.col("page_id")
+    item = F.struct(
+        F.when(pid % 13 == 7, F.lit(None)).otherwise(
+            F.concat(F.lit("rb_"), pid.cast("string"))).alias("id"),
+        F.when(pid % 17 == 3, F.lit(None)).otherwise(F.col("url")).alias("href"))
+    rows = pages.withColumn("__k", F.lit("lookup"))
+    out = _pages(rows, "__k", "page_id", item, batch)
+    return out.select("request_key", "page_no", F.lit(200).alias("status"),
+                      F.to_json(F.struct(F.col("items").alias("content"))).alias("body"))
+
+
+def event_feature_payloads(events: DataFrame) -> DataFrame:
+    """Feature responses: 404 for error events; energy = value, tempo = user_id."""
+    body = F.to_json(F.struct(F.col("value").alias("energy"),
+                              F.col("user_id").cast("double").alias("tempo")))
+    status = F.when(F.col("event_type") == "error", F.lit(404)).otherwise(F.lit(200))
+    return events.select(F.col("event_id").cast("string").alias("request_key"),
+                         F.lit(0).alias("page_no"), status.alias("status"), body.alias("body"))
+
+
+def event_tag_payloads(events: DataFrame) -> DataFrame:
+    """Tag responses built from events: a single object instead of a list
+    when event_id % 10 = 3, a non-numeric count when event_id % 10 = 7."""
+    k = F.get_json_object("props", "$.k")
+    eid = F.col("event_id")
+    cnt = F.when(eid % 10 == 7, F.lit("x")).otherwise(k)
+    tag = F.struct(F.col("event_type").alias("name"), cnt.alias("count"))
+    second = F.struct(F.lit("club").alias("name"), F.lit("1").alias("count"))
+    as_list = F.to_json(F.struct(F.struct(F.array(tag, second).alias("tag")).alias("toptags")))
+    as_obj = F.to_json(F.struct(F.struct(tag.alias("tag")).alias("toptags")))
+    body = F.when(eid % 10 == 3, as_obj).otherwise(as_list)
+    return events.select(eid.cast("string").alias("request_key"), F.lit(0).alias("page_no"),
+                         F.lit(200).alias("status"), body.alias("body"))
