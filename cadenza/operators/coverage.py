@@ -1,18 +1,22 @@
 """Tag relevance and coverage: which items carry genre-relevant tags.
 
-Per-item tests run on the tag array with higher-order functions (no
-explode); only tag frequencies explode, and their top-k is a distributed
-``orderBy().limit()`` per kind rather than a window over all distinct tags.
+Relevance is one codegen'd expression: ``lower(tag) NOT IN (noise)`` and an
+OR-chain of ``contains`` — no lambda functions, which Spark evaluates
+interpreted.  Per-item coverage explodes the tags and folds them back per
+item with a partial aggregation (one row per item leaves each map task);
+tag frequencies are counted first and relevance is then decided once per
+distinct tag, not once per occurrence.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.functions.exprs import contains_any, first_token
+from cadenza.functions.exprs import first_token
 from cadenza.functions.vocab import GENRE_KEYWORDS, NOISE_TAGS, RELEVANT_RATE_TO_PROCEED
 
 
@@ -20,28 +24,41 @@ def is_relevant(tag: Column, keywords: Iterable[str] = GENRE_KEYWORDS,
                 noise: Iterable[str] = NOISE_TAGS) -> Column:
     """Lowered tag not in the noise set and containing any keyword."""
     low = F.lower(tag)
-    return ~low.isin(list(noise)) & contains_any(low, keywords)
+    any_kw = reduce(lambda a, b: a | b, [low.contains(k) for k in keywords], F.lit(False))
+    return ~low.isin(list(noise)) & any_kw
+
+
+def _name(c: Column, name_field: str | None) -> Column:
+    return c[name_field] if name_field else c
 
 
 def split_tags(df: DataFrame, tags: str = "tags", name_field: str | None = None,
                keywords: Iterable[str] = GENRE_KEYWORDS,
                noise: Iterable[str] = NOISE_TAGS) -> DataFrame:
-    """Add ``genre_tags`` / ``noise_tags`` arrays (order kept)."""
+    """Add ``genre_tags`` / ``noise_tags`` arrays (order kept).  For small
+    samples and display; the aggregates below do not need the arrays."""
     kw, ns = list(keywords), list(noise)
-
-    def name(t):
-        return t[name_field] if name_field else t
-    return (df.withColumn("genre_tags", F.filter(tags, lambda t: is_relevant(name(t), kw, ns)))
-              .withColumn("noise_tags", F.filter(tags, lambda t: ~is_relevant(name(t), kw, ns))))
-
-
-def coverage(df: DataFrame, tags: str = "tags", genre_tags: str = "genre_tags",
-             threshold: float = RELEVANT_RATE_TO_PROCEED) -> DataFrame:
-    """One row: items, items with any tag / with a relevant tag, their shares
-    in % and the decision ('proceed' when the relevant share >= threshold)."""
-    agg = df.agg(F.count(F.lit(1)).alias("n_items"),
-                 F.count_if(F.size(tags) > 0).alias("n_with_tags"),
-                 F.count_if(F.size(genre_tags) > 0).alias("n_with_relevant"))
+    return (df.withColumn("genre_tags", F.filter(tags, lambda t: is_relevant(_name(t, name_field), kw, ns)))
+              .withColumn("noise_tags", F.filter(tags, lambda t: ~is_relevant(_name(t, name_field), kw, ns))))
+
+
+def item_tag_counts(df: DataFrame, keys: Sequence[str], tags: str = "tags",
+                    name_field: str | None = None, keywords: Iterable[str] = GENRE_KEYWORDS,
+                    noise: Iterable[str] = NOISE_TAGS) -> DataFrame:
+    """Per item (``keys`` identify it): number of tags and of relevant tags."""
+    x = df.select(*keys, F.explode_outer(tags).alias("__t"))
+    name = _name(F.col("__t"), name_field)
+    return x.groupBy(*keys).agg(F.count(name).alias("n_tags"),
+                                F.count_if(is_relevant(name, keywords, noise)).alias("n_relevant"))
+
+
+def coverage(items: DataFrame, threshold: float = RELEVANT_RATE_TO_PROCEED) -> DataFrame:
+    """One row from per-item counts: items, items with any tag / with a
+    relevant tag, their shares in % and the decision ('proceed' when the
+    relevant share >= threshold, else 'pivot')."""
+    agg = items.agg(F.count(F.lit(1)).alias("n_items"),
+                    F.count_if(F.col("n_tags") > 0).alias("n_with_tags"),
+                    F.count_if(F.col("n_relevant") > 0).alias("n_with_relevant"))
     rate = F.try_divide(F.col("n_with_relevant"), F.col("n_items"))
     return agg.select(
         "n_items", "n_with_tags", "n_with_relevant",
@@ -50,29 +67,33 @@ def coverage(df: DataFrame, tags: str = "tags", genre_tags: str = "genre_tags",
         F.when(rate >= threshold, F.lit("proceed")).otherwise(F.lit("pivot")).alias("decision"))
 
 
-def tag_frequency(df: DataFrame, arr: str, name_field: str | None = None) -> DataFrame:
-    """Occurrences of each lowered tag (every occurrence counts)."""
-    x = df.select(F.explode(arr).alias("t"))
-    name = F.col("t")[name_field] if name_field else F.col("t")
-    return x.groupBy(F.lower(name).alias("tag")).agg(F.count(F.lit(1)).alias("n"))
+def tag_frequency(df: DataFrame, tags: str = "tags", name_field: str | None = None) -> DataFrame:
+    """Occurrences of each lowered tag (every occurrence counts), with its kind."""
+    x = df.select(F.explode(tags).alias("__t"))
+    freq = x.groupBy(F.lower(_name(F.col("__t"), name_field)).alias("tag")) \
+            .agg(F.count(F.lit(1)).alias("n"))
+    return freq.withColumn("kind", F.when(is_relevant(F.col("tag")), F.lit("genre"))
+                           .otherwise(F.lit("noise")))
+
 
+def top_tags(df: DataFrame, tags: str = "tags", name_field: str | None = None,
+             k: int = 20) -> DataFrame:
+    """Top-k relevant and top-k noise tags by count (ties by tag).
 
-def top_tags(df: DataFrame, name_field: str | None = None, k: int = 20) -> DataFrame:
-    """Top-k relevant and top-k noise tags by count (ties by tag)."""
-    out = None
-    for kind, arr in (("genre", "genre_tags"), ("noise", "noise_tags")):
-        top = tag_frequency(df, arr, name_field).orderBy(F.desc("n"), F.asc("tag")).limit(k)
-        ranked = top.select(F.lit(kind).alias("kind"),
-                            F.row_number().over(Window.orderBy(F.desc("n"), F.asc("tag"))).alias("rank"),
-                            "tag", "n")
-        out = ranked if out is None else out.unionByName(ranked)
-    return out
+    One frequency pass; ``row_number() <= k`` per kind is planned with a
+    partial window-group limit, so only k rows per kind and map task reach
+    the final sort.
+    """
+    freq = tag_frequency(df, tags, name_field)
+    w = Window.partitionBy("kind").orderBy(F.desc("n"), F.asc("tag"))
+    return (freq.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+            .select("kind", "rank", "tag", "n"))
 
 
-def coverage_by_class(df: DataFrame, label: str, genre_tags: str = "genre_tags") -> DataFrame:
+def coverage_by_class(items: DataFrame, label: str) -> DataFrame:
     """Per primary label: covered / n and the share in % (0 when n = 0)."""
-    prim = df.withColumn("primary", first_token(label))
+    prim = items.withColumn("primary", first_token(label))
     return prim.groupBy("primary").agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_if(F.size(genre_tags) > 0).alias("covered")
+        F.count_if(F.col("n_relevant") > 0).alias("covered")
     ).withColumn("pct", F.coalesce(F.try_divide(F.col("covered") * 100.0, F.col("n")), F.lit(0.0)))

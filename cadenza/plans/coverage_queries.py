@@ -15,10 +15,14 @@ from cadenza.plans.registry import r6, register, sql_hash, t
 WORD_RE = r"[\p{L}\p{N}]+"
 
 
-def _tagged(spark, sf):
+def _docs_tags(spark, sf):
     d = t(spark, sf, "documents").select("doc_id", "lang", "text")
     tags = F.regexp_extract_all(F.lower("text"), F.lit(WORD_RE), F.lit(0))
-    return coverage.split_tags(d.select("doc_id", "lang", tags.alias("tags")), "tags")
+    return d.select("doc_id", "lang", tags.alias("tags"))
+
+
+def _items(spark, sf):
+    return coverage.item_tag_counts(_docs_tags(spark, sf), ["doc_id", "lang"], "tags")
 
 
 def _sql_relevant(x: str) -> str:
@@ -42,7 +46,7 @@ SELECT n_items, n_with_tags, n_with_relevant, round(n_with_tags * 100.0 / n_item
 FROM a
 """)
 def tag_coverage(spark, sf):
-    c = coverage.coverage(_tagged(spark, sf))
+    c = coverage.coverage(_items(spark, sf))
     return c.select("n_items", "n_with_tags", "n_with_relevant", r6("pct_any").alias("pct_any"),
                     r6("pct_relevant").alias("pct_relevant"), "decision")
 
@@ -57,7 +61,7 @@ rk AS (SELECT kind, row_number() OVER (PARTITION BY kind ORDER BY n DESC, tag) A
 SELECT kind, rank, tag, n FROM rk WHERE rank <= 20
 """)
 def top_tags(spark, sf):
-    tt = coverage.top_tags(_tagged(spark, sf), k=20)
+    tt = coverage.top_tags(_docs_tags(spark, sf), "tags", k=20)
     return tt.select("kind", F.col("rank").cast("long").alias("rank"), "tag", "n")
 
 
@@ -69,7 +73,7 @@ SELECT lang AS "primary", count(*) AS n, count(*) FILTER (WHERE len(g) > 0) AS c
 FROM r GROUP BY lang
 """)
 def coverage_by_class(spark, sf):
-    c = coverage.coverage_by_class(_tagged(spark, sf), "lang")
+    c = coverage.coverage_by_class(_items(spark, sf), "lang")
     return c.select("primary", "n", "covered", r6("pct").alias("pct"))
 
 
@@ -80,6 +84,6 @@ SELECT doc_id, lang, coalesce(len(tags), 0) AS n_tags,
 FROM r ORDER BY {sql_hash(SEED, 'doc_id')}, doc_id LIMIT 10
 """)
 def example_rows(spark, sf):
-    ex = sampling.example_rows(_tagged(spark, sf), "doc_id", 10, SEED)
+    ex = sampling.example_rows(_docs_tags(spark, sf), "doc_id", 10, SEED)
     return ex.select("doc_id", "lang", F.coalesce(F.size("tags"), F.lit(0)).alias("n_tags"),
                      F.array_join(F.slice("tags", 1, 15), " ").alias("tags_15"))
