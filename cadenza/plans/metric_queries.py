@@ -24,7 +24,8 @@ hv AS (SELECT -sum(b / tot_n * ln(b / tot_n)) AS h_v FROM b, tot),
 mi AS (SELECT sum(ct.n / tot_n * (ln(ct.n) + ln(tot_n) - ln(a.a) - ln(b.b))) AS mi
        FROM ct JOIN a ON ct.u = a.u JOIN b ON ct.v = b.v, tot),
 z AS (SELECT *, tot_n * (tot_n - 1.0) / 2.0 AS pairs, s_a * s_b / (tot_n * (tot_n - 1.0) / 2.0) AS ex,
-             (s_a + s_b) / 2.0 AS mx, greatest(coalesce(mi, 0.0), 0.0) AS mic
+             (s_a + s_b) / 2.0 AS mx,
+             CASE WHEN k_u <= 1 OR k_v <= 1 THEN 0.0 ELSE greatest(coalesce(mi, 0.0), 0.0) END AS mic
       FROM tot, sa, sb, hu, hv, mi)
 SELECT round(CASE WHEN coalesce(pairs, 0) = 0 THEN 1.0 WHEN mx = ex THEN 1.0
                   ELSE (s_ij - ex) / (mx - ex) END, 6) AS ari,
