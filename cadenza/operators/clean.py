@@ -31,35 +31,167 @@ def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
             if isinstance(f.dataType, NumericType) and f.name not in ex]
 
 
-def _quantile_exprs(c: str, method: str, accuracy: int):
-    if method == "exact":
-        q = F.percentile(F.col(c), F.array(F.lit(0.25), F.lit(0.75)))
-    elif method == "approx":
-        q = F.percentile_approx(F.col(c), F.array(F.lit(0.25), F.lit(0.75)), accuracy)
-    else:
-        raise ValueError(f"unknown quantile method {method!r}")
-    return q.alias(c)
+def _num(c: str):
+    """Feature as double with NaN -> null (pandas skips NaN in quantiles;
+    Spark would sort NaN above every number)."""
+    x = F.col(c).cast("double")
+    return F.when(F.isnan(x), F.lit(None)).otherwise(x)
+
+
+def _interp(lo_v: float, hi_v: float, pos: float, k0: int, k1: int) -> float:
+    """Linear interpolation between order statistics (same form as Spark's
+    exact ``percentile``)."""
+    if k0 == k1:
+        return lo_v
+    return (k1 - pos) * lo_v + (pos - k0) * hi_v
+
+
+def select_quantiles(df: DataFrame, targets: Sequence[tuple[str, float]], counts: dict[str, int],
+                     accuracy: int = 10000, max_collect: int = 200_000,
+                     max_rounds: int = 12) -> dict[tuple[str, float], float]:
+    """Exact quantiles by distributed selection, for high-cardinality columns.
+
+    For every (feature, p) the two order statistics around ``(n-1)p`` are
+    bracketed with ``percentile_approx`` restricted to the current bracket;
+    one aggregation counts the rows below and inside every bracket.  A
+    bracket is collected only once its count proves it holds at most
+    ``max_collect`` values, so the driver never receives more than that,
+    whatever the table size.  Each round shrinks a bracket by about
+    ``accuracy / 6``.
+    """
+    state = {}
+    for c, p in targets:
+        n = counts[c]
+        if n == 0:
+            state[(c, p)] = None
+            continue
+        pos = (n - 1) * p
+        k0 = int(pos // 1)
+        state[(c, p)] = dict(pos=pos, k0=k0, k1=min(k0 + 1, n - 1), lo=None, hi=None,
+                             below=0, inside=n, distinct=None, delta=3.0 / accuracy, value=None)
+
+    def inside(c, st):
+        x = _num(c)
+        cond = x.isNotNull()
+        if st["lo"] is not None:
+            cond = cond & (x >= F.lit(st["lo"]))
+        if st["hi"] is not None:
+            cond = cond & (x <= F.lit(st["hi"]))
+        return cond
+
+    def finish(c, st) -> bool:
+        """Exact answer from (value, count) pairs of the bracket: ties cost
+        one row each.  At most ``2 * max_collect + 1`` rows reach the driver."""
+        pairs = (df.select(_num(c).alias("v")).filter(inside(c, st)).groupBy("v")
+                 .agg(F.count(F.lit(1)).alias("n")).orderBy("v").limit(2 * max_collect + 1)
+                 .collect())
+        if len(pairs) > 2 * max_collect:
+            st["distinct"] = None
+            return False
+        want, got, cum = [st["k0"] - st["below"], st["k1"] - st["below"]], [], 0
+        for v, n in pairs:
+            while len(got) < 2 and want[len(got)] < cum + n:
+                got.append(v)
+            cum += n
+        st["value"] = _interp(got[0], got[1], st["pos"], st["k0"], st["k1"])
+        return True
+
+    for _ in range(max_rounds):
+        active = {t: st for t, st in state.items() if st is not None and st["value"] is None}
+        if not active:
+            break
+        done = set()
+        for (c, p), st in active.items():
+            few = st["inside"] <= max_collect or (st["distinct"] is not None
+                                                  and st["distinct"] <= max_collect // 2)
+            if few and finish(c, st):
+                done.add((c, p))
+        big = {t: st for t, st in active.items() if t not in done}
+        if not big:
+            continue
+        aggs = []
+        for i, ((c, p), st) in enumerate(big.items()):
+            fl = max(0.0, (st["k0"] - st["below"]) / st["inside"] - st["delta"])
+            fh = min(1.0, (st["k1"] - st["below"]) / st["inside"] + st["delta"])
+            aggs.append(F.percentile_approx(F.when(inside(c, st), _num(c)),
+                                            F.array(F.lit(fl), F.lit(fh)), accuracy).alias(f"q{i}"))
+        qs = df.agg(*aggs).first()
+        counts_aggs, cand = [], {}
+        for i, ((c, p), st) in enumerate(big.items()):
+            a, b = qs[f"q{i}"]
+            cand[(c, p)] = (a, b)
+            x = _num(c)
+            in_new = inside(c, st) & (x >= F.lit(a)) & (x <= F.lit(b))
+            counts_aggs += [F.count_if(inside(c, st) & (x < F.lit(a))).alias(f"b{i}"),
+                            F.count_if(in_new).alias(f"i{i}"),
+                            F.approx_count_distinct(F.when(in_new, x)).alias(f"d{i}")]
+        cr = df.agg(*counts_aggs).first()
+        for i, (t, st) in enumerate(big.items()):
+            below, ins = st["below"] + cr[f"b{i}"], cr[f"i{i}"]
+            if below <= st["k0"] and st["k1"] < below + ins:      # ranks still inside
+                st.update(lo=cand[t][0], hi=cand[t][1], below=below, inside=ins,
+                          distinct=cr[f"d{i}"])
+            else:                                                   # sketch missed: widen
+                st["delta"] *= 4
+    if any(st is not None and st["value"] is None for st in state.values()):
+        raise RuntimeError("quantile selection did not converge; raise max_collect")
+    return {t: (None if st is None else st["value"]) for t, st in state.items()}
 
 
 def iqr_fences(df: DataFrame, features: Sequence[str], threshold: float = IQR_THRESHOLD,
-               method: str = "exact", accuracy: int = 10000) -> DataFrame:
+               method: str = "auto", accuracy: int = 10000,
+               distinct_limit: int = 1_000_000, max_collect: int = 200_000) -> DataFrame:
     """Q1, Q3, IQR and fences per feature, long form (one row per feature).
 
-    ``method='exact'`` uses linear interpolation between order statistics
-    (same as pandas ``quantile``); it keeps each feature's distinct values in
-    the final aggregation buffer.  ``method='approx'`` uses a bounded-memory
-    sketch and is the choice for very large, high-cardinality columns.
+    Quantiles interpolate linearly between order statistics (as pandas
+    ``quantile``); NaN is treated as missing.
+
+    * ``exact``  Spark ``percentile``: its buffer holds each distinct value,
+      fine for low-cardinality features;
+    * ``select`` exact distributed selection (``select_quantiles``), memory
+      bounded whatever the cardinality;
+    * ``approx`` ``percentile_approx`` sketch (not equal to the exact value);
+    * ``auto``   (default) one cheap pass counts rows and estimates distinct
+      values; features under ``distinct_limit`` use ``exact``, others ``select``.
     """
-    wide = df.agg(*[_quantile_exprs(c, method, accuracy) for c in features])
-    t = F.lit(float(threshold))
-    longs = [F.struct(F.lit(c).alias("feature"),
-                      F.col(c)[0].cast("double").alias("q1"),
-                      F.col(c)[1].cast("double").alias("q3")) for c in features]
-    out = wide.select(F.explode(F.array(*longs)).alias("s")).select("s.*")
-    out = out.withColumn("iqr", F.col("q3") - F.col("q1"))
-    return out.select("feature", "q1", "q3", "iqr",
-                      (F.col("q1") - t * F.col("iqr")).alias("lower"),
-                      (F.col("q3") + t * F.col("iqr")).alias("upper"))
+    spark = df.sparkSession
+    probs = (0.25, 0.75)
+    vals: dict[tuple[str, float], float | None] = {}
+    if method == "approx":
+        row = df.agg(*[F.percentile_approx(_num(c), F.array(*[F.lit(p) for p in probs]),
+                                           accuracy).alias(c) for c in features]).first()
+        vals = {(c, p): (row[c][i] if row[c] else None) for c in features for i, p in enumerate(probs)}
+    else:
+        exact_cols, select_cols, counts = list(features), [], {}
+        if method in ("auto", "select"):
+            row = df.agg(*[F.count(_num(c)).alias(f"n_{c}") for c in features],
+                         *[F.approx_count_distinct(_num(c)).alias(f"d_{c}") for c in features]).first()
+            counts = {c: row[f"n_{c}"] for c in features}
+            if method == "select":
+                exact_cols, select_cols = [], list(features)
+            else:
+                exact_cols = [c for c in features if row[f"d_{c}"] <= distinct_limit]
+                select_cols = [c for c in features if c not in exact_cols]
+        elif method != "exact":
+            raise ValueError(f"unknown quantile method {method!r}")
+        if exact_cols:
+            row = df.agg(*[F.percentile(_num(c), F.array(*[F.lit(p) for p in probs])).alias(c)
+                           for c in exact_cols]).first()
+            vals.update({(c, p): (row[c][i] if row[c] else None)
+                         for c in exact_cols for i, p in enumerate(probs)})
+        if select_cols:
+            vals.update(select_quantiles(df, [(c, p) for c in select_cols for p in probs],
+                                         counts, accuracy, max_collect))
+    rows = []
+    for c in features:
+        q1, q3 = vals[(c, 0.25)], vals[(c, 0.75)]
+        if q1 is None or q3 is None:
+            rows.append((c, None, None, None, None, None))
+            continue
+        iqr = q3 - q1
+        rows.append((c, float(q1), float(q3), iqr, q1 - threshold * iqr, q3 + threshold * iqr))
+    return spark.createDataFrame(
+        rows, "feature string, q1 double, q3 double, iqr double, lower double, upper double")
 
 
 def collect_fences(fences: DataFrame) -> dict[str, tuple[float, float]]:
@@ -84,7 +216,7 @@ def keep_predicate(fences: dict[str, tuple[float, float]]):
 
 def remove_outliers(df: DataFrame, features: Sequence[str], threshold: float = IQR_THRESHOLD,
                     fences: dict[str, tuple[float, float]] | None = None,
-                    method: str = "exact") -> DataFrame:
+                    method: str = "auto") -> DataFrame:
     """Drop a row when any feature lies outside its inclusive fences.
 
     All fences come from the same, unfiltered input.  Null / NaN kept.
@@ -96,7 +228,7 @@ def remove_outliers(df: DataFrame, features: Sequence[str], threshold: float = I
 
 def outlier_report(df: DataFrame, features: Sequence[str], threshold: float = IQR_THRESHOLD,
                    fences: dict[str, tuple[float, float]] | None = None,
-                   method: str = "exact") -> DataFrame:
+                   method: str = "auto") -> DataFrame:
     """One row: n_total, n_outliers, pct_outliers (0 for an empty input)."""
     if fences is None:
         fences = collect_fences(iqr_fences(df, features, threshold, method))

@@ -144,3 +144,24 @@ def test_scale_inverse_identity(spark):
     back = clean.inverse_scale(z, ["a", "b"], st).collect()
     for i, r in enumerate(back):
         assert r["a"] == pytest.approx(i) and r["b"] == pytest.approx(i * i)
+
+
+def test_quantile_selection_equals_exact(spark):
+    from cadenza.operators import clean
+    from conftest import SF01
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet")
+    feats = ["l_extendedprice", "l_quantity", "l_discount"]
+    exact = {r["feature"]: r for r in clean.iqr_fences(li, feats, method="exact").collect()}
+    sel = {r["feature"]: r for r in
+           clean.iqr_fences(li, feats, method="select", accuracy=100, max_collect=500).collect()}
+    for f in feats:
+        assert sel[f]["q1"] == pytest.approx(exact[f]["q1"], rel=1e-12)
+        assert sel[f]["q3"] == pytest.approx(exact[f]["q3"], rel=1e-12)
+
+
+def test_quantiles_skip_nan(spark):
+    from cadenza.operators import clean
+    df = spark.createDataFrame([(float(v),) for v in [1, 2, 3, 4, 5]] + [(float("nan"),)] * 3, "x double")
+    for m in ("exact", "select"):
+        r = clean.iqr_fences(df, ["x"], method=m).first()
+        assert (r["q1"], r["q3"]) == (2.0, 4.0)
