@@ -199,18 +199,41 @@ def collect_fences(fences: DataFrame) -> dict[str, tuple[float, float]]:
     return {r["feature"]: (r["lower"], r["upper"]) for r in fences.collect()}
 
 
-def _inside(c: str, lo: float | None, hi: float | None):
+def _inside(c: str, lo: float | None, hi: float | None, dtype=None):
+    """Keep-predicate of one feature, written so Parquet can use it.
+
+    Missing values are kept, and so are NaNs (pandas compares NaN as False).
+    Integral features compare with integer bounds (``ceil(lo)``,
+    ``floor(hi)``: same rows, no cast on the column), so the whole test is
+    pushed to the scan.  For floating features ``x IS NULL OR x >= lo`` is
+    pushed (NaN passes it: it sorts above every number) and the upper bound,
+    which carries the NaN test, runs after the scan.
+    """
+    import math
+
+    from pyspark.sql.types import DoubleType, FloatType, IntegralType
     x = F.col(c)
     if lo is None or hi is None:          # empty table: nothing is an outlier
         return F.lit(True)
-    # Missing values are kept, as are NaNs (pandas compares NaN as False).
-    return x.isNull() | F.isnan(x.cast("double")) | ((x >= F.lit(lo)) & (x <= F.lit(hi)))
-
-
-def keep_predicate(fences: dict[str, tuple[float, float]]):
+    if isinstance(dtype, IntegralType):
+        lo_i = F.lit(math.ceil(lo)).cast(dtype) if math.isfinite(lo) else None
+        hi_i = F.lit(math.floor(hi)).cast(dtype) if math.isfinite(hi) else None
+        rng = F.lit(True)
+        if lo_i is not None:
+            rng = x >= lo_i
+        if hi_i is not None:
+            rng = rng & (x <= hi_i)
+        return x.isNull() | rng
+    if dtype is not None and not isinstance(dtype, (DoubleType, FloatType)):
+        return x.isNull() | ((x >= F.lit(lo)) & (x <= F.lit(hi)))
+    return (x.isNull() | (x >= F.lit(lo))) & F.coalesce(F.isnan(x) | (x <= F.lit(hi)), F.lit(True))
+
+
+def keep_predicate(fences: dict[str, tuple[float, float]], schema=None):
     pred = F.lit(True)
     for c, (lo, hi) in fences.items():
-        pred = pred & _inside(c, lo, hi)
+        dtype = schema[c].dataType if schema is not None and c in schema.fieldNames() else None
+        pred = pred & _inside(c, lo, hi, dtype)
     return pred
 
 
@@ -223,7 +246,7 @@ def remove_outliers(df: DataFrame, features: Sequence[str], threshold: float = I
     """
     if fences is None:
         fences = collect_fences(iqr_fences(df, features, threshold, method))
-    return df.filter(keep_predicate({c: fences[c] for c in features}))
+    return df.filter(keep_predicate({c: fences[c] for c in features}, df.schema))
 
 
 def outlier_report(df: DataFrame, features: Sequence[str], threshold: float = IQR_THRESHOLD,
@@ -232,7 +255,7 @@ def outlier_report(df: DataFrame, features: Sequence[str], threshold: float = IQ
     """One row: n_total, n_outliers, pct_outliers (0 for an empty input)."""
     if fences is None:
         fences = collect_fences(iqr_fences(df, features, threshold, method))
-    keep = keep_predicate({c: fences[c] for c in features})
+    keep = keep_predicate({c: fences[c] for c in features}, df.schema)
     agg = df.agg(F.count(F.lit(1)).alias("n_total"), F.count_if(~keep).alias("n_outliers"))
     return agg.withColumn(
         "pct_outliers",
