@@ -68,30 +68,38 @@ def class_weights(df: DataFrame, cls: str, out_col: str = "weight") -> DataFrame
     return df.join(w, on=cls, how="left")
 
 
-def take_quota(df: DataFrame, cls: str, quotas: DataFrame, order_key: str,
+def take_quota(df: DataFrame, cls: str, quotas, order_key: str,
                flag_col: str | None = None) -> DataFrame:
     """Exact "first ``quota`` rows of each class in ``order_key`` order".
 
-    ``quotas`` has columns ``(cls, quota)``; ``order_key`` is an md5 hex
+    ``quotas`` is a DataFrame ``(cls, quota)`` or a function from the class
+    counts ``(cls, nc)`` to one; the counts come from the same per-bucket
+    aggregation, so the input is counted once.  ``order_key`` is an md5 hex
     string column (uniform).  With ``flag_col`` every row is returned with a
     boolean flag instead of filtering.  See the module doc for the skew plan.
     """
-    b = hash_bucket(order_key, _BUCKET_DIGITS)
-    rows = df.withColumn("__b", b)
-    per_bucket = rows.groupBy(cls, "__b").agg(F.count(F.lit(1)).alias("__nb"))
+    from cadenza.session import materialize
+    rows = df.withColumn("__b", hash_bucket(order_key, _BUCKET_DIGITS))
+    # the aggregated counts (at most classes x 65,536 rows) feed the class
+    # sizes, the quotas and the boundaries: checkpoint them once so the input
+    # is counted in one pass and the rest reads the small table
+    per_bucket = materialize(rows.groupBy(cls, "__b").agg(F.count(F.lit(1)).alias("__nb")))
+    if callable(quotas):
+        quotas = quotas(per_bucket.groupBy(cls).agg(F.sum("__nb").alias("nc")))
     w = Window.partitionBy(cls).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
     cum = (per_bucket.withColumn("__cum", F.sum("__nb").over(w))
-           .join(quotas, on=cls, how="inner"))
-    # boundary bucket: first bucket whose running count reaches the quota
-    edge = (cum.filter(F.col("__cum") >= F.col("quota"))
-            .groupBy(cls).agg(F.min_by(F.struct(F.col("__b").alias("eb"),
-                                                 (F.col("quota") - F.col("__cum") + F.col("__nb"))
-                                                 .alias("need")), F.col("__b")).alias("e"))
-            .select(cls, "e.eb", "e.need"))
-    # per-class tables (one row per class) joined to the rows: AQE broadcasts
-    # them when small; no row shuffle is needed to decide non-edge rows.
-    marked = rows.join(quotas.select(cls, "quota"), on=cls, how="left") \
-                 .join(edge, on=cls, how="left")
+           .join(quotas.select(cls, "quota"), on=cls, how="inner"))
+    # per class: its quota and the boundary bucket (first bucket whose running
+    # count reaches the quota) with the rows still needed from it
+    reach = F.col("__cum") >= F.col("quota")
+    per_class = cum.groupBy(cls).agg(
+        F.first("quota").alias("quota"),
+        F.min(F.when(reach, F.col("__b"))).alias("eb"),
+        F.min_by(F.when(reach, F.col("quota") - F.col("__cum") + F.col("__nb")),
+                 F.when(reach, F.col("__b"))).alias("need"))
+    # one row per class: AQE broadcasts it when small; non-edge rows are
+    # decided without any row shuffle.
+    marked = rows.join(per_class, on=cls, how="left")
     no_quota = F.col("quota").isNull() | (F.col("quota") <= 0)
     at_edge = ~no_quota & F.col("eb").isNotNull() & (F.col("__b") == F.col("eb"))
     # classes never reaching the quota have no edge: every row is taken
@@ -106,26 +114,37 @@ def take_quota(df: DataFrame, cls: str, quotas: DataFrame, order_key: str,
     return out.filter("__take").drop("__take")
 
 
+def _median_cap(counts: DataFrame) -> DataFrame:
+    """One row: floor of the median class size."""
+    return counts.agg(F.floor(F.percentile(F.col("nc"), F.lit(0.5))).cast("long").alias("__cap"))
+
+
 def balance_classes(df: DataFrame, cls: str, key: str, seed: int = SEED,
                     cap: int | None = None) -> DataFrame:
     """Downsample every class to ``cap`` rows (default: floor of the median
-    class size); smaller classes are kept whole; null class dropped."""
+    class size); smaller classes are kept whole; null class dropped.
+
+    The whole operation is one lazy plan: class sizes, the median cap and
+    the per-class quotas all derive from one per-bucket count.
+    """
     base = df.filter(F.col(cls).isNotNull())
-    if cap is None:
-        cap = class_summary(base, cls).select("cap").first()["cap"] or 0
-    quotas = base.groupBy(cls).agg(F.count(F.lit(1)).alias("__nc")) \
-        .select(cls, F.least(F.col("__nc"), F.lit(int(cap))).alias("quota"))
+
+    def quotas(counts: DataFrame) -> DataFrame:
+        if cap is None:
+            capped = counts.crossJoin(F.broadcast(_median_cap(counts)))   # one row
+            limit = F.col("__cap")
+        else:
+            capped, limit = counts, F.lit(int(cap))
+        return capped.select(cls, F.least(F.col("nc"), limit).alias("quota"))
+
     h = hash_key(seed, key)
     return take_quota(base.withColumn("__h", h), cls, quotas, "__h").drop("__h")
 
 
-def split_quotas(df: DataFrame, cls: str, test_fraction: float = TEST_FRACTION) -> DataFrame:
-    """Per-class test quota: largest-remainder allocation of ceil(f * n).
-
-    Ties in the remainder go to the class that sorts first.  The class table
-    has one row per class (small); the window runs over it alone.
-    """
-    counts = df.groupBy(cls).agg(F.count(F.lit(1)).alias("nc"))
+def quotas_from_counts(counts: DataFrame, cls: str, test_fraction: float = TEST_FRACTION) -> DataFrame:
+    """Per-class test quota from class counts ``(cls, nc)``: largest-remainder
+    allocation of ``ceil(f * n)``; ties in the remainder go to the class that
+    sorts first.  Runs over the class table only (one row per class)."""
     tot = counts.agg(F.sum("nc").alias("n"))
     c = counts.crossJoin(F.broadcast(tot))                # tot: exactly one row
     n_test = F.ceil(F.lit(float(test_fraction)) * F.col("n"))
@@ -140,13 +159,20 @@ def split_quotas(df: DataFrame, cls: str, test_fraction: float = TEST_FRACTION)
                     .cast("long").alias("quota"))
 
 
+def split_quotas(df: DataFrame, cls: str, test_fraction: float = TEST_FRACTION) -> DataFrame:
+    """Per-class test quotas of a table (see ``quotas_from_counts``)."""
+    counts = df.groupBy(cls).agg(F.count(F.lit(1)).alias("nc"))
+    return quotas_from_counts(counts, cls, test_fraction)
+
+
 def stratified_split(df: DataFrame, cls: str, key: str, test_fraction: float = TEST_FRACTION,
                      seed: int = SEED, out_col: str = "split") -> DataFrame:
     """Label every row 'test' or 'train'; each class gets its largest-remainder
     share of ``ceil(test_fraction * n)`` test rows, chosen in hash order."""
-    quotas = split_quotas(df, cls, test_fraction)
     h = hash_key(seed, key)
-    flagged = take_quota(df.withColumn("__h", h), cls, quotas, "__h", flag_col="__t")
+    flagged = take_quota(df.withColumn("__h", h), cls,
+                         lambda counts: quotas_from_counts(counts, cls, test_fraction),
+                         "__h", flag_col="__t")
     return flagged.withColumn(out_col, F.when(F.col("__t"), "test").otherwise("train")) \
         .drop("__t", "__h")
 
