@@ -96,15 +96,23 @@ def compare_models(train: DataFrame, test: DataFrame, label: str, feature_names:
     Returns (comparison DataFrame (model, accuracy, balanced_accuracy),
     {name: model}, indexer).  Labels are encoded on the training split.
     """
+    from pyspark import StorageLevel
     enc_train, indexer = encode_labels(train, label)
-    enc_test = indexer.transform(test)
+    # every boosting round and tree level re-reads the input: keep the encoded
+    # frames (recomputable from their short lineage) for the duration of the fits
+    enc_train = enc_train.persist(StorageLevel.MEMORY_AND_DISK)
+    enc_test = indexer.transform(test).persist(StorageLevel.MEMORY_AND_DISK)
     rows, models = [], {}
-    for p in presets:
-        m = fit_model(enc_train, p, features, "label_idx", "weight", seed, parallelism)
-        models[p.name] = m
-        pred = decode_labels(m.transform(enc_test), indexer)
-        s = evaluate(pred, label, "pred_label").first()
-        rows.append((p.name, float(s["accuracy"]), float(s["balanced_accuracy"])))
+    try:
+        for p in presets:
+            m = fit_model(enc_train, p, features, "label_idx", "weight", seed, parallelism)
+            models[p.name] = m
+            pred = decode_labels(m.transform(enc_test), indexer)
+            s = evaluate(pred, label, "pred_label").first()
+            rows.append((p.name, float(s["accuracy"]), float(s["balanced_accuracy"])))
+    finally:
+        enc_train.unpersist()
+        enc_test.unpersist()
     spark = train.sparkSession
     comp = spark.createDataFrame(rows, "model string, accuracy double, balanced_accuracy double")
     return comp, models, indexer

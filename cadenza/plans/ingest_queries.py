@@ -37,7 +37,7 @@ def cap_per_group(spark, sf):
     return capped.select("source", "doc_id", "rank")
 
 
-@register("soft_cap", f"""
+_SOFT_CAP_SQL = f"""
 WITH x AS (SELECT doc_id, source, lang,
                   row_number() OVER (PARTITION BY source, {_NORM_SQL} ORDER BY lang, doc_id) AS rn
            FROM documents),
@@ -48,7 +48,10 @@ k AS (SELECT source, lang FROM (
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM u)
       WHERE before < 20)
 SELECT d.source, d.lang, d.doc_id FROM d JOIN k ON d.source = k.source AND d.lang = k.lang
-""")
+"""
+
+
+@register("soft_cap", _SOFT_CAP_SQL)
 def soft_cap(spark, sf):
     d = _deduped(spark, sf, order=("lang", "doc_id"))
     return ingest.soft_cap(d, ["source"], "lang", ["lang"], 20).select("source", "lang", "doc_id")
@@ -194,3 +197,63 @@ def roster_status(spark, sf):
     st = (F.when(F.col("__done"), F.lit("skipped")).when(F.col("__y"), F.lit("collected"))
           .otherwise(F.lit("empty")))
     return ingest.status_counts(j.withColumn("status", st))
+
+
+@register("search_collect", f"""
+WITH x AS (SELECT conv_id, turn, text,
+                  CASE WHEN turn % 4 = 0 THEN '' ELSE 'al_' || CAST(turn AS VARCHAR) END AS album_id
+           FROM conversations WHERE turn % 3 <> 1 AND turn < 1000),
+d AS (SELECT *, row_number() OVER (PARTITION BY conv_id, {sql_strip("lower(text)")} ORDER BY turn) AS rn
+      FROM x),
+r AS (SELECT conv_id, turn, album_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rank
+      FROM d WHERE rn = 1)
+SELECT conv_id, CAST(turn AS VARCHAR) AS id, album_id, rank FROM r WHERE rank <= 100
+""")
+def search_collect(spark, sf):
+    """Artist search: parse pages, keep results the source serves (ordinal
+    < 1000) credited to the artist, first occurrence per normalised name,
+    first 100 per artist."""
+    from cadenza.functions.vocab import SEARCH_CAP, SEARCH_OFFSET_LIMIT
+    from cadenza.plans import landing
+    from cadenza.sources import payloads
+    pages = landing.conversation_search_pages(t(spark, sf, "conversations"))
+    rows = payloads.search_tracks(pages).filter(F.col("ordinal") < SEARCH_OFFSET_LIMIT)
+    rows = rows.filter(payloads.credited("artists", "request_key"))
+    first = ingest.dedupe_by_name(rows, ["request_key"], "name", ["ordinal"], keep_name=False)
+    capped = ingest.cap_per_group(first, ["request_key"], ["ordinal"], cap=SEARCH_CAP)
+    return capped.select(F.substring("request_key", 6, 20).cast("long").alias("conv_id"),
+                         "id", "album_id", "rank")
+
+
+@register("album_collect", _SOFT_CAP_SQL)
+def album_collect(spark, sf):
+    """Artist albums: album listing and album track pages parsed and joined,
+    first occurrence per normalised track name in album order, whole albums
+    while fewer than 20 tracks were taken before them."""
+    from cadenza.plans import landing
+    from cadenza.sources import payloads
+    listing, tpages = landing.document_album_pages(t(spark, sf, "documents")
+                                                   .select("doc_id", "source", "lang", "text"))
+    rows = payloads.artist_album_tracks(listing, tpages) \
+        .withColumn("album_ord", F.col("ordinal.album_ord"))
+    first = ingest.dedupe_by_name(rows, ["artist_key"], "name", ["ordinal"], keep_name=False)
+    kept = ingest.soft_cap(first, ["artist_key"], "album_id", ["album_ord"], 20)
+    return kept.select(F.col("artist_key").alias("source"), F.col("album_name").alias("lang"),
+                       F.col("id").cast("long").alias("doc_id"))
+
+
+@register("album_detail", """
+SELECT doc_id, lang AS album_name, concat_ws(', ', source, 'guest') AS artist_name FROM documents
+""")
+def album_detail(spark, sf):
+    """Album detail (name, credited artists joined) attached to every track
+    of the album's track pages."""
+    from cadenza.plans import landing
+    from cadenza.sources import payloads
+    docs = t(spark, sf, "documents").select("doc_id", "source", "lang", "text")
+    _, tpages = landing.document_album_pages(docs)
+    detail = payloads.album_detail(landing.document_album_details(docs)) \
+        .withColumnRenamed("request_key", "album_id")
+    tracks = payloads.list_items(tpages).select(F.col("request_key").alias("album_id"),
+                                                F.col("id").cast("long").alias("doc_id"))
+    return tracks.join(detail, "album_id").select("doc_id", "album_name", "artist_name")

@@ -9,7 +9,7 @@ default and skip rules are exercised.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -93,3 +93,52 @@ def event_tag_payloads(events: DataFrame) -> DataFrame:
     body = F.when(eid % 10 == 3, as_obj).otherwise(as_list)
     return events.select(eid.cast("string").alias("request_key"), F.lit(0).alias("page_no"),
                          F.lit(200).alias("status"), body.alias("body"))
+
+
+def conversation_search_pages(conv: DataFrame, page_size: int = 50) -> DataFrame:
+    """Track-search pages: the query is ``CONV_<id>``; a turn is credited to
+    it unless turn % 3 = 1 (then another artist); album missing when
+    turn % 4 = 0."""
+    turn = F.col("turn")
+    q = F.concat(F.lit("CONV_"), F.col("conv_id").cast("string"))
+    artist = F.when(turn % 3 == 1, F.lit("someone else")).otherwise(F.lower(q))
+    item = F.struct(
+        turn.cast("string").alias("id"), F.col("text").alias("name"),
+        F.array(F.struct(artist.alias("name"))).alias("artists"),
+        F.when(turn % 4 == 0, F.lit(None)).otherwise(
+            F.struct(F.concat(F.lit("al_"), turn.cast("string")).alias("id"),
+                     F.lit("album").alias("name"))).alias("album"))
+    rows = conv.withColumn("__q", q)
+    pages = _pages(rows, "__q", "turn", item, page_size)
+    body = F.to_json(F.struct(F.struct(F.col("items").alias("items")).alias("tracks")))
+    return pages.select("request_key", "page_no", F.lit(200).alias("status"), body.alias("body"))
+
+
+def document_album_pages(docs: DataFrame, page_size: int = 50):
+    """Album listings (one artist per source, one album per language, albums
+    listed in language order) and album track pages (documents by id)."""
+    albums = docs.select("source", "lang").distinct().withColumn(
+        "album_id", F.concat_ws("/", "source", "lang"))
+    rank = F.dense_rank().over(Window.partitionBy("source").orderBy("lang")) - 1
+    listing = _pages(albums.withColumn("__rank", rank),
+        "source", "__rank", F.struct(F.col("album_id").alias("id"), F.col("lang").alias("name")),
+        page_size)
+    listing = listing.select("request_key", "page_no", F.lit(200).alias("status"),
+                             F.to_json(F.struct("items")).alias("body"))
+    tracks = docs.withColumn("album_id", F.concat_ws("/", "source", "lang"))
+    tpages = _pages(tracks.withColumn("__pos", F.col("doc_id")), "album_id", "__pos",
+                    F.struct(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("name")),
+                    page_size)
+    tpages = tpages.select("request_key", "page_no", F.lit(200).alias("status"),
+                           F.to_json(F.struct("items")).alias("body"))
+    return listing, tpages
+
+
+def document_album_details(docs: DataFrame) -> DataFrame:
+    """Album detail responses: name = language, credited artists = the
+    source and a guest."""
+    albums = docs.select("source", "lang").distinct()
+    body = F.to_json(F.struct(F.col("lang").alias("name"), F.array(
+        F.struct(F.col("source").alias("name")), F.struct(F.lit("guest").alias("name"))).alias("artists")))
+    return albums.select(F.concat_ws("/", "source", "lang").alias("request_key"),
+                         F.lit(0).alias("page_no"), F.lit(200).alias("status"), body.alias("body"))
