@@ -6,10 +6,18 @@ payload pages arrive as files in a landing folder; a file-source stream with
 a checkpoint reads every new file exactly once, and each micro-batch
 
 1. parses the pages with one of the ``sources.payloads`` parsers,
-2. drops keys already present in the sink (``left_anti``: skip-if-exists),
+2. drops keys already collected (skip-if-exists), and
 3. writes its rows to ``<sink>/batch_id=<n>`` with overwrite, so a batch that
    is re-run after a failure replaces its own output instead of duplicating it.
 
+Step 2 has two modes.  ``dedupe="state"`` (default) parses inside the stream
+and keeps the seen keys in Structured Streaming's state store
+(``dropDuplicates`` on the stream; checkpointed, partitioned by key, and
+nothing is re-read from the sink).  ``dedupe="sink"`` anti-joins each batch
+with the keys already in the sink: for parsers that aggregate (``id_map``)
+and cannot run inside a stream, at the cost of reading the sink's key
+columns on every batch.
+
 ``trigger(availableNow=True)`` processes whatever has landed and stops, which
 suits scheduled runs; the same job runs continuously with a processing-time
 trigger.
@@ -42,13 +50,16 @@ def _existing(spark: SparkSession, sink: str, keys: Sequence[str]) -> DataFrame
 def incremental_landing(spark: SparkSession, landing_dir: str, sink: str,
                         parse: Callable[[DataFrame], DataFrame], keys: Sequence[str],
                         checkpoint: str | None = None, fmt: str = "json",
-                        available_now: bool = True, max_files_per_trigger: int | None = None):
+                        available_now: bool = True, max_files_per_trigger: int | None = None,
+                        dedupe: str = "state"):
     """Start (and, with ``available_now``, finish) the incremental job.
 
     ``parse`` maps landed pages to rows; ``keys`` identify a row in the sink.
     The checkpoint defaults to a folder under the session's shared
     ``spark.checkpoint.dir``.  Returns the finished (or running) query.
     """
+    if dedupe not in ("state", "sink"):
+        raise ValueError("dedupe must be 'state' or 'sink'")
     if checkpoint is None:
         checkpoint = os.path.join(ensure_checkpoint_dir(spark), "incremental",
                                   os.path.basename(os.path.normpath(sink)))
@@ -57,14 +68,22 @@ def incremental_landing(spark: SparkSession, landing_dir: str, sink: str,
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     pages = reader.load(landing_dir)
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = parse(batch).dropDuplicates(list(keys))
-        seen = _existing(batch.sparkSession, sink, keys)
-        if seen is not None:
-            rows = rows.join(seen, on=list(keys), how="left_anti")
-        rows.write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}"))
+    if dedupe == "state":
+        stream = parse(pages).dropDuplicates(list(keys))
+
+        def write_batch(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}"))
+    else:
+        stream = pages
+
+        def write_batch(batch: DataFrame, batch_id: int) -> None:
+            rows = parse(batch).dropDuplicates(list(keys))
+            seen = _existing(batch.sparkSession, sink, keys)
+            if seen is not None:
+                rows = rows.join(seen, on=list(keys), how="left_anti")
+            rows.write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}"))
 
-    w = pages.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     q = w.start()
     if available_now:

@@ -2,12 +2,15 @@
 
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF001
 
 
-def test_incremental_landing(spark):
+@pytest.mark.parametrize("mode", ["state", "sink"])
+def test_incremental_landing(spark, mode):
     from cadenza.plans import landing
     from cadenza.sources import payloads
     from cadenza.streaming import incremental_landing, land_pages, read_sink
@@ -20,11 +23,11 @@ def test_incremental_landing(spark):
     second = pages.filter(F.col("request_key").cast("long") % 2 == 1)
     keys = ["request_key", "id"]
     land_pages(first, land)
-    incremental_landing(spark, land, sink, payloads.playlist_tracks, keys, checkpoint=ck)
+    incremental_landing(spark, land, sink, payloads.playlist_tracks, keys, checkpoint=ck, dedupe=mode)
     n1 = read_sink(spark, sink).count()
     # second run: new conversations plus a re-landed copy of the first ones
     land_pages(second.unionByName(first), land)
-    incremental_landing(spark, land, sink, payloads.playlist_tracks, keys, checkpoint=ck)
+    incremental_landing(spark, land, sink, payloads.playlist_tracks, keys, checkpoint=ck, dedupe=mode)
     out = read_sink(spark, sink)
     expected = payloads.playlist_tracks(pages).count()
     assert n1 == payloads.playlist_tracks(first).count()
