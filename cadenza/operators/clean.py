@@ -298,3 +298,129 @@ def inverse_scale(df: DataFrame, features: Sequence[str],
         mu, sd = stats[c]
         out = out.withColumn(c + suffix, F.col(c) * safe_scale(F.lit(sd)) + F.lit(mu))
     return out
+
+
+def grouped_quantiles(df: DataFrame, group: str, features: Sequence[str],
+                      probs: Sequence[float] = (0.25, 0.5, 0.75), method: str = "auto",
+                      grid: int = 256, accuracy: int = 10000, distinct_limit: int = 1_000_000,
+                      max_collect: int = 200_000, max_rounds: int = 12) -> dict:
+    """Exact per-group quantiles (linear interpolation, NaN as missing).
+
+    ``exact`` uses Spark ``percentile`` per group: its buffer holds the
+    group's distinct values, so one huge group with a continuous feature
+    lands in one task.  ``auto`` (default) estimates distinct values per
+    (group, feature) first and sends only the high-cardinality pairs to
+    selection: each round takes ``grid + 1`` sketch quantiles inside every
+    group's current bracket (one grouped aggregation), keeps the grid cell
+    around the target rank, and verifies it with exact grouped counts; a
+    bracket is collected as (value, count) pairs only once its distinct
+    count is proven small.  Returns ``{(group, feature, p): value}``; the
+    driver holds per-group state only (groups x features x probs).
+    """
+    if method not in ("auto", "exact"):
+        raise ValueError(f"unknown method {method!r}")
+    spark = df.sparkSession
+    probs = list(probs)
+    res: dict = {}
+    stats = df.groupBy(group).agg(*[F.count(_num(c)).alias(f"n_{c}") for c in features],
+                                  *[F.approx_count_distinct(_num(c)).alias(f"d_{c}")
+                                    for c in features]).collect()     # one row per group
+    for c in features:
+        high = [] if method == "exact" else [r[group] for r in stats if r[f"d_{c}"] > distinct_limit]
+        low_rows = (df.filter(~F.col(group).isin(high)) if high else df)
+        ex = low_rows.groupBy(group).agg(
+            F.percentile(_num(c), F.array(*[F.lit(p) for p in probs])).alias("q")).collect()
+        for r in ex:
+            for i, p in enumerate(probs):
+                res[(r[group], c, p)] = r["q"][i] if r["q"] else None
+        if not high:
+            continue
+        ncount = {r[group]: r[f"n_{c}"] for r in stats}
+        st = {}
+        for g in high:
+            n = ncount[g]
+            for p in probs:
+                pos = (n - 1) * p
+                k0 = int(pos // 1)
+                st[(g, p)] = dict(pos=pos, k0=k0, k1=min(k0 + 1, n - 1), lo=None, hi=None,
+                                  below=0, inside=n, distinct=None, value=None)
+        _grouped_select(df, group, c, st, grid, accuracy, max_collect, max_rounds, spark)
+        for (g, p), s in st.items():
+            res[(g, c, p)] = s["value"]
+    return res
+
+
+def _grouped_select(df, group, c, st, grid, accuracy, max_collect, max_rounds, spark):
+    x = _num(c)
+    fr = [i / grid for i in range(grid + 1)]
+    bracket_schema = f"{group} {df.schema[group].dataType.simpleString()}, __t int, __lo double, __hi double"
+    for _ in range(max_rounds):
+        active = [(t, s) for t, s in st.items() if s["value"] is None]
+        if not active:
+            return
+        # 1) finish brackets whose distinct values are few: (value, count) pairs
+        for t, s in active:
+            if s["inside"] <= max_collect or (s["distinct"] is not None
+                                              and s["distinct"] <= max_collect // 2):
+                cond = (F.col(group) == F.lit(t[0])) & x.isNotNull()
+                if s["lo"] is not None:
+                    cond = cond & (x >= F.lit(s["lo"])) & (x <= F.lit(s["hi"]))
+                pairs = (df.filter(cond).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("n"))
+                         .orderBy("v").limit(2 * max_collect + 1).collect())
+                if len(pairs) > 2 * max_collect:
+                    s["distinct"] = None
+                    continue
+                want, got, cum = [s["k0"] - s["below"], s["k1"] - s["below"]], [], 0
+                for v, n in pairs:
+                    while len(got) < 2 and want[len(got)] < cum + n:
+                        got.append(v)
+                    cum += n
+                s["value"] = _interp(got[0], got[1], s["pos"], s["k0"], s["k1"])
+        active = [(t, s) for t, s in st.items() if s["value"] is None]
+        if not active:
+            return
+        # 2) one grouped sketch pass: grid quantiles inside every bracket
+        keys = list(dict.fromkeys(t for t, _ in active))
+        tid = {t: i for i, t in enumerate(keys)}
+        br = spark.createDataFrame(
+            [(t[0], tid[t], st[t]["lo"], st[t]["hi"]) for t in keys], bracket_schema)
+        rows = df.select(F.col(group), x.alias("__x")).filter(F.col("__x").isNotNull()) \
+                 .join(F.broadcast(br), group)          # br: one row per active target
+        inside = ((F.col("__lo").isNull() | (F.col("__x") >= F.col("__lo")))
+                  & (F.col("__hi").isNull() | (F.col("__x") <= F.col("__hi"))))
+        sk = {r["__t"]: r["q"] for r in rows.filter(inside).groupBy("__t").agg(
+            F.percentile_approx("__x", F.array(*[F.lit(f) for f in fr]), accuracy).alias("q")
+        ).collect()}
+        cand = {}
+        for t in keys:
+            s, q = st[t], sk.get(tid[t])
+            if not q:
+                continue
+            f0 = (s["k0"] - s["below"]) / s["inside"]
+            f1 = (s["k1"] - s["below"]) / s["inside"]
+            i0 = max(0, int(f0 * grid) - 1)
+            i1 = min(grid, int(f1 * grid) + 2)
+            cand[t] = (q[i0], q[i1])
+        # 3) exact grouped counts below / inside the candidate brackets
+        cb = spark.createDataFrame(
+            [(t[0], tid[t], cand[t][0], cand[t][1]) for t in cand], bracket_schema)
+        rows2 = df.select(F.col(group), x.alias("__x")).filter(F.col("__x").isNotNull()) \
+                  .join(F.broadcast(br.select(group, "__t", F.col("__lo").alias("__olo"),
+                                              F.col("__hi").alias("__ohi"))), group) \
+                  .join(F.broadcast(cb.drop(group)), "__t")
+        old = ((F.col("__olo").isNull() | (F.col("__x") >= F.col("__olo")))
+               & (F.col("__ohi").isNull() | (F.col("__x") <= F.col("__ohi"))))
+        new = old & (F.col("__x") >= F.col("__lo")) & (F.col("__x") <= F.col("__hi"))
+        cnt = {r["__t"]: r for r in rows2.groupBy("__t").agg(
+            F.count_if(old & (F.col("__x") < F.col("__lo"))).alias("b"),
+            F.count_if(new).alias("i"),
+            F.approx_count_distinct(F.when(new, F.col("__x"))).alias("d")).collect()}
+        for t in cand:
+            s, r = st[t], cnt.get(tid[t])
+            if r is None:
+                continue
+            below = s["below"] + r["b"]
+            if below <= s["k0"] and s["k1"] < below + r["i"]:
+                s.update(lo=cand[t][0], hi=cand[t][1], below=below, inside=r["i"], distinct=r["d"])
+    if any(s["value"] is None for s in st.values()):
+        raise RuntimeError("grouped quantile selection did not converge; raise max_collect")

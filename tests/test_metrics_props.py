@@ -165,3 +165,16 @@ def test_quantiles_skip_nan(spark):
     for m in ("exact", "select"):
         r = clean.iqr_fences(df, ["x"], method=m).first()
         assert (r["q1"], r["q3"]) == (2.0, 4.0)
+
+
+def test_grouped_quantile_selection_equals_exact(spark):
+    from cadenza.operators import clean
+    from conftest import SF01
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet")
+    feats = ["l_extendedprice", "l_discount"]
+    ex = clean.grouped_quantiles(li, "l_returnflag", feats, method="exact")
+    se = clean.grouped_quantiles(li, "l_returnflag", feats, distinct_limit=0, max_collect=300,
+                                 accuracy=200, grid=32)
+    assert set(ex) == set(se)
+    for k in ex:
+        assert se[k] == pytest.approx(ex[k], rel=1e-12)
