@@ -8,7 +8,7 @@ large dimension falls back to a sort-merge join instead of failing.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,14 +21,15 @@ from cadenza.functions.vocab import GENRE_CONSOLIDATION, MISSING_LABEL
 
 def attach_labels(facts: DataFrame, labels: DataFrame, fact_key: str = "artist_name",
                   label_key: str = "artist_name", label_col: str = "genre",
-                  out_col: str = "genres") -> DataFrame:
+                  out_col: str = "genres", extra_cols: Sequence[str] = ()) -> DataFrame:
     """Case-insensitive left join fact -> label dimension (fan-out on dup keys).
 
     Matching is ``lower`` only (no trim, no accent folding).  The join key is
-    not kept; the label column is renamed to ``out_col``.
+    not kept; the label column is renamed to ``out_col``; ``extra_cols`` of
+    the dimension (e.g. labels already consolidated there) come along.
     """
     dim = labels.select(F.lower(F.col(label_key)).alias("__lk"),
-                        F.col(label_col).alias(out_col))
+                        F.col(label_col).alias(out_col), *extra_cols)
     joined = facts.join(dim, F.lower(facts[fact_key]) == dim["__lk"], "left")
     return joined.drop("__lk")
 

@@ -33,11 +33,12 @@ def prepare_training_data(spark: SparkSession, data_dir: str, label_file: str =
     """
     raw = tracks.read_tracks(spark, data_dir, exclude_files=(label_file,))
     lab = tracks.read_labels(spark, os.path.join(data_dir, label_file))
-    joined = labels.attach_labels(raw, lab)
+    # label work runs once per artist on the dimension, not once per track
+    lab = labels.consolidate_labels(lab, "genre", GENRE_CONSOLIDATION, "genres_consolidated")
+    lab = labels.primary_label(lab, "genres_consolidated", "primary_genre")
+    joined = labels.attach_labels(raw, lab, extra_cols=("genres_consolidated", "primary_genre"))
     kept = labels.keep_labelled(joined, "genres")
-    selected = clean.drop_features(kept, DROP_FEATURES)
-    consolidated = labels.consolidate_labels(selected, "genres", GENRE_CONSOLIDATION)
-    consolidated = labels.primary_label(consolidated, "genres_consolidated", "primary_genre")
+    consolidated = clean.drop_features(kept, DROP_FEATURES)
     features = clean.numeric_columns(consolidated)
     base = materialize(consolidated)
     fences = clean.collect_fences(clean.iqr_fences(base, features, threshold))

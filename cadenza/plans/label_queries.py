@@ -38,10 +38,11 @@ def flagship(spark, sf):
     docs = t(spark, sf, "documents").select(
         "doc_id", "lang", "n_chars",
         F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("artist_name"))
-    df = labels.attach_labels(docs, _doc_label_dim(spark, sf))
+    # consolidation and the primary label are computed once per label row
+    dim = labels.consolidate_labels(_doc_label_dim(spark, sf), "genre", DOC_FAMILIES)
+    dim = labels.primary_label(dim, "genres_consolidated", "primary_genre")
+    df = labels.attach_labels(docs, dim, extra_cols=("primary_genre",))
     df = labels.keep_labelled(df, "genres")
-    df = labels.consolidate_labels(df, "genres", DOC_FAMILIES)
-    df = labels.primary_label(df, "genres_consolidated", "primary_genre")
     df = clean.remove_outliers(df, ["n_chars"])
     return df.groupBy("primary_genre", "lang").agg(
         F.count(F.lit(1)).alias("n"), r6(F.avg("n_chars")).alias("mean_n_chars"))
