@@ -1,7 +1,9 @@
 """Column expressions shared by the operators.
 
-All of them are built-in Spark expressions, so they stay inside whole-stage
-codegen; nothing here calls back into Python per row.
+All of them are built-in Spark expressions evaluated in the JVM; nothing here
+calls back into Python per row.  The array lambdas (``split_tokens``,
+``consolidate``) are evaluated interpreted by Spark, so the operators apply
+them to label-dimension rows (one per artist), not to fact rows.
 """
 
 from __future__ import annotations

@@ -23,7 +23,7 @@ from cadenza.sources import tracks
 
 
 def prepare_training_data(spark: SparkSession, data_dir: str, label_file: str = "genres.csv",
-                          threshold: float = IQR_THRESHOLD, fit_on: str = "all") -> dict:
+                          threshold: float = IQR_THRESHOLD) -> dict:
     """Raw CSVs -> labelled, consolidated, outlier-free, standardised tracks.
 
     Returns ``df`` (cleaned rows with ``genres``, ``genres_consolidated``,
@@ -51,7 +51,7 @@ def prepare_training_data(spark: SparkSession, data_dir: str, label_file: str =
     out_n = clean.outlier_report(base, features, threshold, fences=fences)
     report = drop.crossJoin(toks).crossJoin(out_n)           # three one-row frames
     return {"df": scaled, "features": features, "stats": stats, "fences": fences,
-            "report": report, "raw": raw}
+            "report": report, "raw": raw, "base": base, "threshold": threshold}
 
 
 def unsupervised_experiment(spark: SparkSession, prep: dict, k_values=range(2, 16),
@@ -80,14 +80,44 @@ def unsupervised_experiment(spark: SparkSession, prep: dict, k_values=range(2, 1
             "profiles": profiles, "crosstabs": crosstabs, "balanced": balanced}
 
 
+def _fit_on_train(prep: dict, min_support: int, test_fraction: float, seed: int):
+    """Split first, then fit fences and scaler on the training rows only and
+    apply them to both splits (no test information reaches the cleaning)."""
+    feats = prep["features"]
+    base = prep["base"].withColumn("track_key", F.concat_ws("|", "artist_name", "track_id"))
+    kept = sampling.support_filter(base, "primary_genre", min_support)
+    split = materialize(sampling.stratified_split(kept, "primary_genre", "track_key",
+                                                  test_fraction, seed))
+    train = split.filter(F.col("split") == "train")
+    fences = clean.collect_fences(clean.iqr_fences(train, feats, prep["threshold"]))
+    filtered = clean.remove_outliers(split, feats, fences=fences)
+    stats = clean.collect_stats(clean.feature_stats(
+        filtered.filter(F.col("split") == "train"), feats))
+    scaled, _ = clean.scale(filtered, feats, stats=stats, suffix="__z")
+    for f in feats:
+        scaled = scaled.withColumnRenamed(f + "__z", "z_" + f)
+    return kept, scaled
+
+
 def supervised_experiment(spark: SparkSession, prep: dict, min_support: int = MIN_CLASS_SUPPORT,
                           test_fraction: float = TEST_FRACTION, seed: int = SEED,
-                          presets=classify.PRESETS) -> dict:
-    """Support filter, stratified split, balanced weights, three models."""
-    df = prep["df"].withColumn("track_key", F.concat_ws("|", "artist_name", "track_id"))
+                          presets=classify.PRESETS, fit_on: str = "all") -> dict:
+    """Support filter, stratified split, balanced weights, three models.
+
+    ``fit_on='all'`` keeps the studied order (fences and scaler fitted on all
+    rows before the split); ``fit_on='train'`` fits them on the training
+    split only.
+    """
     zf = ["z_" + f for f in prep["features"]]
-    kept = sampling.support_filter(df, "primary_genre", min_support)
-    split = sampling.stratified_split(kept, "primary_genre", "track_key", test_fraction, seed)
+    if fit_on == "all":
+        df = prep["df"].withColumn("track_key", F.concat_ws("|", "artist_name", "track_id"))
+        kept = sampling.support_filter(df, "primary_genre", min_support)
+        split = sampling.stratified_split(kept, "primary_genre", "track_key", test_fraction, seed)
+    elif fit_on == "train":
+        kept, split = _fit_on_train(prep, min_support, test_fraction, seed)
+        df = prep["base"]
+    else:
+        raise ValueError("fit_on must be 'all' or 'train'")
     data = materialize(clusters.to_vector(split, zf))
     train = sampling.class_weights(data.filter(F.col("split") == "train"), "primary_genre")
     test = data.filter(F.col("split") == "test")

@@ -61,3 +61,12 @@ def test_coverage_report(spark):
     assert by == {"techno": (1, 1), "house": (1, 2)}
     top = {(r["kind"], r["tag"]): r["n"] for r in rep["top"].collect()}
     assert top[("genre", "techno")] == 1 and top[("noise", "chill")] == 1
+
+
+def test_supervised_fit_on_train(spark, prep):
+    from cadenza.operators.classify import Preset
+    from cadenza.plans.experiments import supervised_experiment
+    res = supervised_experiment(spark, prep, presets=(Preset("RandomForest", "forest", 5, 5),),
+                                fit_on="train")
+    r = res["comparison"].first()
+    assert r["model"] == "RandomForest" and 0 <= r["balanced_accuracy"] <= 1
