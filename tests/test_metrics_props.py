@@ -178,3 +178,15 @@ def test_grouped_quantile_selection_equals_exact(spark):
     assert set(ex) == set(se)
     for k in ex:
         assert se[k] == pytest.approx(ex[k], rel=1e-12)
+
+
+def test_silhouette_multi_matches_single(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(70, 4))
+    rows = [(i, i % 2, i % 5, [float(v) for v in x[i]]) for i in range(70)]
+    df = spark.createDataFrame(rows, "k long, a int, b int, v array<double>")
+    multi = metrics.silhouette_multi(df, "k", ["a", "b"], "v", block_rows=20)
+    for col in ("a", "b"):
+        one = metrics.silhouette(df, "k", col, "v", block_rows=20).first()["silhouette"]
+        assert multi[col] == pytest.approx(one, abs=1e-12)
+        assert multi[col] == pytest.approx(brute_silhouette(x, np.array([r[1 if col == "a" else 2] for r in rows])), abs=1e-9)
