@@ -62,9 +62,9 @@ def dropped_classes(df: DataFrame, cls: str, min_support: int = MIN_CLASS_SUPPOR
 def class_weights(df: DataFrame, cls: str, out_col: str = "weight") -> DataFrame:
     """Balanced sample weight n / (K * n_class) on every row."""
     counts = df.groupBy(cls).agg(F.count(F.lit(1)).alias("__nc"))
-    tot = counts.agg(F.sum("__nc").alias("__n"), F.count(F.lit(1)).alias("__k"))
-    w = counts.crossJoin(F.broadcast(tot)).select(           # tot: exactly one row
-        cls, (F.col("__n") / (F.col("__k") * F.col("__nc"))).alias(out_col))
+    every = Window.partitionBy()            # over the class table: one row per class
+    w = counts.select(cls, (F.sum("__nc").over(every)
+                            / (F.count(F.lit(1)).over(every) * F.col("__nc"))).alias(out_col))
     return df.join(w, on=cls, how="left")
 
 
@@ -114,9 +114,9 @@ def take_quota(df: DataFrame, cls: str, quotas, order_key: str,
     return out.filter("__take").drop("__take")
 
 
-def _median_cap(counts: DataFrame) -> DataFrame:
-    """One row: floor of the median class size."""
-    return counts.agg(F.floor(F.percentile(F.col("nc"), F.lit(0.5))).cast("long").alias("__cap"))
+def _median_cap() -> "F.Column":
+    """Floor of the median class size, as a window over the class table."""
+    return F.floor(F.percentile(F.col("nc"), F.lit(0.5)).over(Window.partitionBy())).cast("long")
 
 
 def balance_classes(df: DataFrame, cls: str, key: str, seed: int = SEED,
@@ -130,12 +130,8 @@ def balance_classes(df: DataFrame, cls: str, key: str, seed: int = SEED,
     base = df.filter(F.col(cls).isNotNull())
 
     def quotas(counts: DataFrame) -> DataFrame:
-        if cap is None:
-            capped = counts.crossJoin(F.broadcast(_median_cap(counts)))   # one row
-            limit = F.col("__cap")
-        else:
-            capped, limit = counts, F.lit(int(cap))
-        return capped.select(cls, F.least(F.col("nc"), limit).alias("quota"))
+        limit = _median_cap() if cap is None else F.lit(int(cap))
+        return counts.select(cls, F.least(F.col("nc"), limit).alias("quota"))
 
     h = hash_key(seed, key)
     return take_quota(base.withColumn("__h", h), cls, quotas, "__h").drop("__h")
@@ -145,8 +141,7 @@ def quotas_from_counts(counts: DataFrame, cls: str, test_fraction: float = TEST_
     """Per-class test quota from class counts ``(cls, nc)``: largest-remainder
     allocation of ``ceil(f * n)``; ties in the remainder go to the class that
     sorts first.  Runs over the class table only (one row per class)."""
-    tot = counts.agg(F.sum("nc").alias("n"))
-    c = counts.crossJoin(F.broadcast(tot))                # tot: exactly one row
+    c = counts.withColumn("n", F.sum("nc").over(Window.partitionBy()))   # class table only
     n_test = F.ceil(F.lit(float(test_fraction)) * F.col("n"))
     c = c.withColumn("n_test", n_test)
     exact = F.col("nc") / F.col("n") * F.col("n_test")   # same float order as the reference library

@@ -49,7 +49,9 @@ def prepare_training_data(spark: SparkSession, data_dir: str, label_file: str =
     drop = labels.label_drop_report(joined, "genres")
     toks = labels.token_counts(base, "genres", "genres_consolidated")
     out_n = clean.outlier_report(base, features, threshold, fences=fences)
-    report = drop.crossJoin(toks).crossJoin(out_n)           # three one-row frames
+    merged = {**drop.first().asDict(), **toks.first().asDict(),
+              **out_n.select("n_outliers", "pct_outliers").first().asDict()}
+    report = spark.createDataFrame([tuple(merged.values())], list(merged))   # one row
     return {"df": scaled, "features": features, "stats": stats, "fences": fences,
             "report": report, "raw": raw, "base": base, "threshold": threshold}
 
