@@ -138,20 +138,25 @@ def balance_classes(df: DataFrame, cls: str, key: str, seed: int = SEED,
 
 
 def quotas_from_counts(counts: DataFrame, cls: str, test_fraction: float = TEST_FRACTION) -> DataFrame:
-    """Per-class test quota from class counts ``(cls, nc)``: largest-remainder
-    allocation of ``ceil(f * n)``; ties in the remainder go to the class that
-    sorts first.  Runs over the class table only (one row per class)."""
+    """Per-class test quota from class counts ``(cls, nc)``.
+
+    As in the reference library: ``n_test = ceil(f * n)``; the training
+    share ``n - n_test`` is allocated by largest remainder of
+    ``nc / n * n_train`` (ties to the class that sorts first), and each class
+    gives the rest of its rows to the test split.  Runs over the class table
+    only (one row per class).
+    """
     c = counts.withColumn("n", F.sum("nc").over(Window.partitionBy()))   # class table only
     n_test = F.ceil(F.lit(float(test_fraction)) * F.col("n"))
-    c = c.withColumn("n_test", n_test)
-    exact = F.col("nc") / F.col("n") * F.col("n_test")   # same float order as the reference library
+    c = c.withColumn("n_train", F.col("n") - n_test)
+    exact = F.col("nc") / F.col("n") * F.col("n_train")   # same float order as the reference library
     c = c.withColumn("fl", F.floor(exact)).withColumn("rem", exact - F.floor(exact))
-    w_all = Window.partitionBy(F.lit(0))
-    c = c.withColumn("left", F.col("n_test") - F.sum("fl").over(w_all))
-    w_rank = Window.partitionBy(F.lit(0)).orderBy(F.desc("rem"), F.asc(cls))
+    w_all = Window.partitionBy()
+    c = c.withColumn("left", F.col("n_train") - F.sum("fl").over(w_all))
+    w_rank = Window.partitionBy().orderBy(F.desc("rem"), F.asc(cls))
     c = c.withColumn("r", F.row_number().over(w_rank))
-    return c.select(cls, (F.col("fl") + F.when(F.col("r") <= F.col("left"), 1).otherwise(0))
-                    .cast("long").alias("quota"))
+    train = F.col("fl") + F.when(F.col("r") <= F.col("left"), 1).otherwise(0)
+    return c.select(cls, (F.col("nc") - train).cast("long").alias("quota"))
 
 
 def split_quotas(df: DataFrame, cls: str, test_fraction: float = TEST_FRACTION) -> DataFrame:

@@ -77,12 +77,12 @@ def balance_classes(spark, sf):
 @register("stratified_split", f"""
 WITH c AS (SELECT label, count(*) AS nc FROM embeddings GROUP BY label),
 tt AS (SELECT sum(nc) AS n FROM c),
-q0 AS (SELECT label, nc, n, ceil(CAST(0.2 AS DOUBLE) * n) AS n_test FROM c, tt),
-q1 AS (SELECT *, CAST(nc AS DOUBLE) / n * n_test AS ex FROM q0),
+q0 AS (SELECT label, nc, n, n - ceil(CAST(0.2 AS DOUBLE) * n) AS n_train FROM c, tt),
+q1 AS (SELECT *, CAST(nc AS DOUBLE) / n * n_train AS ex FROM q0),
 q2 AS (SELECT *, floor(ex) AS fl, ex - floor(ex) AS rem FROM q1),
-q3 AS (SELECT *, n_test - sum(fl) OVER () AS lft,
+q3 AS (SELECT *, n_train - sum(fl) OVER () AS lft,
               row_number() OVER (ORDER BY rem DESC, label) AS r FROM q2),
-q AS (SELECT label, fl + CASE WHEN r <= lft THEN 1 ELSE 0 END AS quota FROM q3),
+q AS (SELECT label, nc - (fl + CASE WHEN r <= lft THEN 1 ELSE 0 END) AS quota FROM q3),
 rk AS (SELECT vec_id, label,
               row_number() OVER (PARTITION BY label ORDER BY {sql_hash(SEED, 'vec_id')}) AS rn
        FROM embeddings)
@@ -97,12 +97,12 @@ def stratified_split(spark, sf):
 @register("split_sizes", f"""
 WITH c AS (SELECT label, count(*) AS nc FROM embeddings GROUP BY label),
 tt AS (SELECT sum(nc) AS n FROM c),
-q0 AS (SELECT label, nc, n, ceil(CAST(0.2 AS DOUBLE) * n) AS n_test FROM c, tt),
-q1 AS (SELECT *, CAST(nc AS DOUBLE) / n * n_test AS ex FROM q0),
+q0 AS (SELECT label, nc, n, n - ceil(CAST(0.2 AS DOUBLE) * n) AS n_train FROM c, tt),
+q1 AS (SELECT *, CAST(nc AS DOUBLE) / n * n_train AS ex FROM q0),
 q2 AS (SELECT *, floor(ex) AS fl, ex - floor(ex) AS rem FROM q1),
-q3 AS (SELECT *, n_test - sum(fl) OVER () AS lft,
+q3 AS (SELECT *, n_train - sum(fl) OVER () AS lft,
               row_number() OVER (ORDER BY rem DESC, label) AS r FROM q2)
-SELECT label, nc AS n, CAST(fl + CASE WHEN r <= lft THEN 1 ELSE 0 END AS BIGINT) AS quota FROM q3
+SELECT label, nc AS n, CAST(nc - (fl + CASE WHEN r <= lft THEN 1 ELSE 0 END) AS BIGINT) AS quota FROM q3
 """)
 def split_sizes(spark, sf):
     emb = t(spark, sf, "embeddings").select("vec_id", "label")
