@@ -127,7 +127,12 @@ def supervised_experiment(spark: SparkSession, prep: dict, min_support: int = MI
                                                     prep["features"], presets, seed=seed)
     best = classify.best_model_name(comp)
     imp = classify.importance_table(spark, models[best], prep["features"])
-    return {"comparison": comp, "best_model": best, "importances": imp,
+    enc_test = indexer.transform(test)
+    reports = {name: metrics.classification_report(
+                   classify.decode_labels(m.transform(enc_test), indexer), "primary_genre",
+                   "pred_label")
+               for name, m in models.items()}
+    return {"comparison": comp, "best_model": best, "importances": imp, "reports": reports,
             "dropped": sampling.dropped_classes(df, "primary_genre", min_support),
             "summary": sampling.class_summary(kept, "primary_genre")}
 

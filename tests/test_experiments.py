@@ -46,6 +46,9 @@ def test_supervised(spark, prep):
     assert len(imp) == 6 and abs(sum(r["importance"] for r in imp) - 1) < 1e-9
     assert [r["primary_genre"] for r in res["dropped"].collect()]   # some classes < 30
     assert res["summary"].first()["n_classes"] == 17
+    rep = {r["label"]: r for r in res["reports"]["RandomForest"].collect()}
+    assert {"accuracy", "macro avg", "weighted avg"} <= set(rep)
+    assert rep["accuracy"]["f1"] == pytest.approx(comp["RandomForest"]["accuracy"])
 
 
 def test_coverage_report(spark):
