@@ -69,11 +69,35 @@ def cap_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str],
     out = df
     if ordinal_col is not None and ordinal_limit is not None:
         out = out.filter(F.col(ordinal_col) < ordinal_limit)
+    if cap is None:                      # every row ranked: no window over a whole group
+        return rank_in_group(out, group, order, rank_col)
     w = Window.partitionBy(*group).orderBy(*order)
-    out = out.withColumn(rank_col, F.row_number().over(w))
-    if cap is not None:
-        out = out.filter(F.col(rank_col) <= cap)
-    return out
+    return out.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= cap)
+
+
+def rank_in_group(df: DataFrame, group: Sequence[str], order: Sequence[str],
+                  rank_col: str = "rank", partitions: int | None = None) -> DataFrame:
+    """1-based ``row_number`` within each group by ``order``, for groups of
+    any size: a group is never sorted in one task.
+
+    Rows are range-partitioned on (group, order), so a huge group spreads
+    over many partitions in order.  Rows per (partition, group) are counted
+    (a small table), prefix sums over partitions give each chunk's offset,
+    and every chunk is ranked locally.  ``order`` must make rows unique
+    within a group for the ranks to be deterministic.
+    """
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *group, *order).withColumn("__pid", F.spark_partition_id())
+    chunks = ranged.groupBy("__pid", *group).agg(F.count(F.lit(1)).alias("__cnt"))
+    before = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = chunks.select("__pid", *group,
+                            F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"))
+    local = Window.partitionBy("__pid", *group).orderBy(*order)
+    ranked = ranged.withColumn("__r", F.row_number().over(local))
+    return (ranked.join(offsets, ["__pid", *group], "inner")
+            .withColumn(rank_col, F.col("__off") + F.col("__r"))
+            .drop("__pid", "__r", "__off"))
 
 
 def soft_cap(df: DataFrame, group: Sequence[str], unit: str, unit_order: Sequence[str],

@@ -161,3 +161,15 @@ def test_empty_ratios(spark):
     rep = clean.outlier_report(spark.createDataFrame([], "x double"), ["x"]).first()
     assert rep["n_total"] == 0 and rep["pct_outliers"] == 0.0
     assert math.isclose(0.0, 0.0)
+
+
+def test_rank_in_group_hot_group(spark):
+    rows = [("hot", i) for i in range(2000)] + [("cold", i) for i in range(7)]
+    df = spark.createDataFrame(rows, "g string, o int").repartition(5)
+    ranked = ingest.rank_in_group(df, ["g"], ["o"], partitions=6).collect()
+    assert all(r["rank"] == r["o"] + 1 for r in ranked)
+    assert len(ranked) == 2007
+    # the hot group is spread over several range partitions
+    parts = (df.repartitionByRange(6, "g", "o").withColumn("p", F.spark_partition_id())
+             .filter("g = 'hot'").select("p").distinct().count())
+    assert parts > 1
