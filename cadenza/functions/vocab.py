@@ -81,6 +81,7 @@ NOISE_TAGS = [
 ]
 
 # FIXED VALUES: constants of the experiments.
+LABEL_FILE = "genres.csv"      # label file inside the track-CSV folder
 MISSING_LABEL = "N/A"          # label text meaning "no label"
 IQR_THRESHOLD = 1.5            # fence multiplier
 MIN_CLASS_SUPPORT = 30         # classes below this are dropped before training

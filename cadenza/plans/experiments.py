@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.functions.vocab import (
-    DROP_FEATURES, GENRE_CONSOLIDATION, IQR_THRESHOLD, MIN_CLASS_SUPPORT, SEED, TEST_FRACTION,
+    DROP_FEATURES, GENRE_CONSOLIDATION, IQR_THRESHOLD, LABEL_FILE, MIN_CLASS_SUPPORT, SEED,
+    TEST_FRACTION,
 )
 from cadenza.operators import (
     classify, clean, clusters, coverage, labels, metrics, sampling,
@@ -22,7 +23,7 @@ from cadenza.session import materialize
 from cadenza.sources import tracks
 
 
-def prepare_training_data(spark: SparkSession, data_dir: str, label_file: str = "genres.csv",
+def prepare_training_data(spark: SparkSession, data_dir: str, label_file: str = LABEL_FILE,
                           threshold: float = IQR_THRESHOLD) -> dict:
     """Raw CSVs -> labelled, consolidated, outlier-free, standardised tracks.
 

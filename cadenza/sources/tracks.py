@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cadenza.functions.vocab import LABEL_FILE
+
 TRACK_COLUMNS = [
     ("track_name", "string"), ("track_id", "string"), ("artist_name", "string"),
     ("album_name", "string"), ("danceability", "double"), ("energy", "double"),
@@ -42,7 +44,7 @@ def _csv(spark: SparkSession, width: int):
 
 
 def read_tracks(spark: SparkSession, paths: str | Sequence[str],
-                exclude_files: Iterable[str] = ("genres.csv",),
+                exclude_files: Iterable[str] = (LABEL_FILE,),
                 columns: Sequence[tuple[str, str]] = TRACK_COLUMNS,
                 drop_columns: Iterable[str] = ("genre",)) -> DataFrame:
     """Multi-file fact scan, all files concatenated, columns matched by name.
