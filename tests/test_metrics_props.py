@@ -190,3 +190,16 @@ def test_silhouette_multi_matches_single(spark):
         one = metrics.silhouette(df, "k", col, "v", block_rows=20).first()["silhouette"]
         assert multi[col] == pytest.approx(one, abs=1e-12)
         assert multi[col] == pytest.approx(brute_silhouette(x, np.array([r[1 if col == "a" else 2] for r in rows])), abs=1e-9)
+
+
+def test_silhouette_squared_is_a_separate_metric(spark):
+    from cadenza.operators import clusters
+    rng = np.random.default_rng(9)
+    x = np.vstack([rng.normal(0, 1, size=(40, 3)), rng.normal(6, 1, size=(40, 3))])
+    rows = [(i, int(i >= 40), [float(v) for v in x[i]]) for i in range(80)]
+    df = spark.createDataFrame(rows, "k long, c int, v array<double>")
+    sq = metrics.silhouette_squared(clusters.to_vector(df, "v").withColumn("c", F.col("c").cast("double")),
+                                    "c", "features")
+    eu = metrics.silhouette(df, "k", "c", "v").first()["silhouette"]
+    assert 0 < eu < 1 and 0 < sq <= 1
+    assert eu == pytest.approx(brute_silhouette(x, np.array([r[1] for r in rows])), abs=1e-9)
