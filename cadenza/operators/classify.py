@@ -4,7 +4,9 @@ evaluation and feature importances (``pyspark.ml``).
 Spark's gradient-boosted trees are binary only, so both boosting presets are
 one-vs-rest: one binary GBT per class, fitted in parallel by ``OneVsRest``.
 This differs from softmax boosting in calibration; it is documented, not
-hidden.  ``xgboost.spark`` is used for the third preset when installed.
+hidden.  The third preset ("XGBoost") is a second one-vs-rest GBT with that
+library's default depth (6) and learning rate (0.3); no XGBoost package is
+used.
 """
 
 from __future__ import annotations
