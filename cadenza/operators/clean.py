@@ -1,9 +1,10 @@
 """Feature selection, IQR outlier fences and standardisation.
 
-Fences and scaler statistics are one-row aggregates over the whole table.
-They are computed once (one action, one row back to the driver, bounded by
-the number of features) and applied as literals, which lets Catalyst push the
-outlier predicate into the Parquet scan.
+Fences and scaler statistics are aggregates over the whole table, computed
+eagerly with a few small actions (one row per feature comes back to the
+driver) and applied as literals, which lets Catalyst push the outlier
+predicate into the Parquet scan.  Quantiles are exact without holding a
+high-cardinality column in one buffer (see ``iqr_fences``).
 """
 
 from __future__ import annotations
