@@ -54,3 +54,51 @@ def label_driven_collection(label_file: DataFrame, playlist_searches: DataFrame,
         found, status.withColumn("__feat", F.col("status") == "collected"),
         "genre", "playlist_id", "__feat", all_labels=tokens)
     return {"tracks": labelled, "stats": stats.orderBy("genre"), "status": status}
+
+
+def artist_collection(roster: DataFrame, done: DataFrame, search_pages: DataFrame,
+                      lookup_pages: DataFrame, feature_pages: DataFrame,
+                      cap: int | None = None, offset_limit: int | None = None) -> dict:
+    """Roster-driven collection: artists whose output exists are skipped;
+    for the others the landed search pages (keyed by the artist's search
+    name) give credited tracks, first per normalised name, at most ``cap``
+    within the first ``offset_limit`` results; tracks are looked up in
+    batches and joined to their features.
+
+    Returns ``{"tracks": rows (15 columns + slug), "batches": lookup batches,
+    "status": one row per roster entry with collected / empty / skipped /
+    failed}``.  'failed' = a landed search page for the artist is not 200;
+    'empty' = searched but no row with features (stays pending next run).
+    """
+    from cadenza.functions.vocab import SEARCH_CAP, SEARCH_OFFSET_LIMIT
+    from cadenza.sources.tracks import TRACK_COLUMNS
+    cap = SEARCH_CAP if cap is None else cap
+    offset_limit = SEARCH_OFFSET_LIMIT if offset_limit is None else offset_limit
+    todo = ingest.pending(roster, done, "slug")
+    found = payloads.search_tracks(search_pages).filter(F.col("ordinal") < offset_limit)
+    found = found.join(todo.select(F.col("name").alias("request_key"), "slug"), "request_key")
+    found = found.filter(payloads.credited("artists", "request_key"))
+    first = ingest.dedupe_by_name(found, ["slug"], "name", ["ordinal"])
+    capped = ingest.cap_per_group(first, ["slug"], ["ordinal"], cap=cap)
+    batches = ingest.batches(capped, ["slug"], "id", "rank")
+
+    idmap = payloads.id_map(lookup_pages).select(F.col("ext_id").alias("id"),
+                                                 F.col("id").alias("feature_id"))
+    feats = payloads.audio_features(feature_pages).withColumnRenamed("request_key", "feature_id")
+    rows = capped.join(idmap, "id").join(feats, "feature_id")
+    tracks = rows.select(F.col("name").alias("track_name"), F.col("id").alias("track_id"),
+                         F.col("request_key").alias("artist_name"), "album_name",
+                         *[F.col(n).cast(t) for n, t in TRACK_COLUMNS[4:]], "slug")
+
+    failed = (search_pages.filter(F.coalesce(F.col("status"), F.lit(200)) != 200)
+              .select(F.col("request_key").alias("name")).distinct().withColumn("__failed", F.lit(True)))
+    produced = tracks.groupBy("slug").agg(F.count(F.lit(1)).alias("n_tracks"))
+    skipped = done.select("slug").distinct().withColumn("__skip", F.lit(True))
+    st = (roster.join(skipped, "slug", "left").join(failed, "name", "left")
+          .join(produced, "slug", "left"))
+    status = st.select("name", "slug", F.coalesce("n_tracks", F.lit(0)).alias("n_tracks"),
+                       F.when(F.col("__skip"), F.lit("skipped"))
+                       .when(F.col("__failed"), F.lit("failed"))
+                       .when(F.col("n_tracks") > 0, F.lit("collected"))
+                       .otherwise(F.lit("empty")).alias("status"))
+    return {"tracks": tracks, "batches": batches, "status": status}

@@ -257,3 +257,40 @@ def album_detail(spark, sf):
     tracks = payloads.list_items(tpages).select(F.col("request_key").alias("album_id"),
                                                 F.col("id").cast("long").alias("doc_id"))
     return tracks.join(detail, "album_id").select("doc_id", "album_name", "artist_name")
+
+
+_COLLECT_SQL = """
+WITH nr AS (SELECT n.n_nationkey, n.n_name, r.r_name,
+                   row_number() OVER (PARTITION BY r.r_name, floor(n.n_nationkey / 50)
+                                      ORDER BY n.n_nationkey) - 1 AS pos
+            FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey),
+pl AS (SELECT r_name AS genre, n_nationkey, n_name FROM nr
+       WHERE floor(n_nationkey / 50) = 0 AND pos < 2 AND n_nationkey % 7 <> 3),
+cand AS (SELECT pl.genre, c.c_name AS track_name, 't' || CAST(c.c_custkey % 300 AS VARCHAR) AS track_id,
+                c.c_custkey % 300 AS k, c.c_mktsegment AS artist_name, pl.n_name AS album_name
+         FROM pl JOIN customer c ON c.c_nationkey = pl.n_nationkey),
+kept AS (SELECT * FROM cand WHERE genre = (SELECT min(genre) FROM cand c2 WHERE c2.track_id = cand.track_id))
+SELECT track_name, track_id, artist_name, album_name, genre,
+       CAST(NULL AS DOUBLE) AS danceability, k / 300.0 AS energy, CAST(NULL AS INTEGER) AS key,
+       CAST(NULL AS DOUBLE) AS loudness, CAST(NULL AS INTEGER) AS mode,
+       CAST(NULL AS DOUBLE) AS speechiness, CAST(NULL AS DOUBLE) AS acousticness,
+       CAST(NULL AS DOUBLE) AS instrumentalness, CAST(NULL AS DOUBLE) AS liveness,
+       CAST(NULL AS DOUBLE) AS valence, CAST(k AS DOUBLE) AS tempo
+FROM kept WHERE k % 11 <> 4 AND k % 13 <> 5
+"""
+
+
+@register("label_collection", _COLLECT_SQL)
+def label_collection(spark, sf):
+    """Label-driven collection end to end (searches, playlists, first label
+    wins, id lookups, features) over pages built from nation/region/customer."""
+    from cadenza.plans import landing
+    from cadenza.plans.collection import label_driven_collection
+    nation, region, cust = t(spark, sf, "nation"), t(spark, sf, "region"), t(spark, sf, "customer")
+    out = label_driven_collection(
+        landing.region_label_file(nation, region),
+        landing.region_playlist_searches(nation, region),
+        landing.nation_playlist_pages(cust, nation),
+        landing.customer_track_lookups(cust),
+        landing.customer_track_features(cust))
+    return out["tracks"]

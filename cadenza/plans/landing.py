@@ -142,3 +142,63 @@ def document_album_details(docs: DataFrame) -> DataFrame:
         F.struct(F.col("source").alias("name")), F.struct(F.lit("guest").alias("name"))).alias("artists")))
     return albums.select(F.concat_ws("/", "source", "lang").alias("request_key"),
                          F.lit(0).alias("page_no"), F.lit(200).alias("status"), body.alias("body"))
+
+
+# ---- label-driven collection pages from nation / region / customer ----------
+
+def _track_key():
+    return F.concat(F.lit("t"), (F.col("c_custkey") % 300).cast("string"))
+
+
+def region_label_file(nation: DataFrame, region: DataFrame) -> DataFrame:
+    """Label file: every nation labelled with its region name."""
+    return nation.join(region, nation.n_regionkey == region.r_regionkey) \
+                 .select(F.col("n_name").alias("artist_name"), F.col("r_name").alias("genre"))
+
+
+def region_playlist_searches(nation: DataFrame, region: DataFrame) -> DataFrame:
+    """Playlist search per region: its nations in key order, one playlist per
+    nation; the item is null when n_nationkey % 7 = 3."""
+    rows = nation.join(region, nation.n_regionkey == region.r_regionkey)
+    item = F.when(F.col("n_nationkey") % 7 == 3, F.lit(None)).otherwise(F.struct(
+        F.concat(F.lit("pl_"), F.col("n_nationkey").cast("string")).alias("id"),
+        F.col("n_name").alias("name")))
+    pages = _pages(rows, "r_name", "n_nationkey", item, 50)
+    body = F.to_json(F.struct(F.struct(F.col("items").alias("items")).alias("playlists")))
+    return pages.select("request_key", "page_no", F.lit(200).alias("status"), body.alias("body"))
+
+
+def nation_playlist_pages(customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """Playlist pages: a nation's customers as tracks (id t<custkey % 300>,
+    so one track appears in many playlists)."""
+    rows = customer.join(nation, customer.c_nationkey == nation.n_nationkey) \
+                   .withColumn("__pl", F.concat(F.lit("pl_"), F.col("n_nationkey").cast("string")))
+    item = F.struct(F.struct(_track_key().alias("id"), F.col("c_name").alias("name"),
+                             F.array(F.struct(F.col("c_mktsegment").alias("name"))).alias("artists"),
+                             F.struct(F.col("n_name").alias("name")).alias("album")).alias("track"))
+    pages = _pages(rows, "__pl", "c_custkey", item, 50)
+    return pages.select("request_key", "page_no", F.lit(200).alias("status"),
+                        F.to_json(F.struct("items")).alias("body"))
+
+
+def customer_track_lookups(customer: DataFrame) -> DataFrame:
+    """Id lookups for every track id, 40 per request; no id when k % 11 = 4."""
+    ids = customer.select((F.col("c_custkey") % 300).alias("k")).distinct().withColumn("__q", F.lit("q"))
+    item = F.struct(F.when(F.col("k") % 11 == 4, F.lit(None))
+                    .otherwise(F.concat(F.lit("r"), F.col("k").cast("string"))).alias("id"),
+                    F.concat(F.lit("https://x/track/t"), F.col("k").cast("string")).alias("href"))
+    pages = _pages(ids, "__q", "k", item, 40)
+    return pages.select("request_key", "page_no", F.lit(200).alias("status"),
+                        F.to_json(F.struct(F.col("items").alias("content"))).alias("body"))
+
+
+def customer_track_features(customer: DataFrame) -> DataFrame:
+    """Feature responses per feature id r<k>: 404 when k % 13 = 5;
+    energy = k / 300, tempo = k."""
+    ids = customer.select((F.col("c_custkey") % 300).alias("k")).distinct()
+    body = F.to_json(F.struct((F.col("k") / 300.0).alias("energy"),
+                              F.col("k").cast("double").alias("tempo")))
+    return ids.select(F.concat(F.lit("r"), F.col("k").cast("string")).alias("request_key"),
+                      F.lit(0).alias("page_no"),
+                      F.when(F.col("k") % 13 == 5, F.lit(404)).otherwise(F.lit(200)).alias("status"),
+                      body.alias("body"))

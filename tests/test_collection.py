@@ -44,3 +44,38 @@ def test_label_driven_collection(spark):
     assert stats == {"acid techno": (0, 0, 0), "dubstep": (1, 2, 1), "techno": (2, 3, 2)}
     st = {(r["track_id"], r["status"]) for r in out["status"].collect()}
     assert ("s2", "no_id") in st and ("s4", "no_features") in st
+
+
+def test_artist_collection(spark):
+    from cadenza.plans.collection import artist_collection
+    roster = spark.createDataFrame([("DJ X", "dj_x"), ("Old", "old"), ("Gone", "gone"), ("Quiet", "quiet")],
+                                   "name string, slug string")
+    done = spark.createDataFrame([("old",)], "slug string")
+    items0 = [{"id": f"s{i}", "name": f"Song {i % 5}" if i < 10 else f"n{i}",
+               "artists": [{"name": "dj x" if i % 4 else "someone"}]} for i in range(50)]
+    items1 = [{"id": f"s{50 + i}", "name": f"late {i}", "artists": [{"name": "DJ X"}]} for i in range(5)]
+    search = pages(spark, [("DJ X", 0, 200, {"tracks": {"items": items0}}),
+                           ("DJ X", 1, 200, {"tracks": {"items": items1}}),
+                           ("Gone", 0, 500, {}),
+                           ("Quiet", 0, 200, {"tracks": {"items": [{"id": "q1", "name": "x",
+                                                                   "artists": [{"name": "Quiet"}]}]}})])
+    lookup = pages(spark, [("b", 0, 200, {"content": [{"id": f"r{i}", "href": f"t/s{i}"}
+                                                      for i in range(60)]})])
+    feats = pages(spark, [(f"r{i}", 0, 200, {"energy": i / 100, "tempo": 120.0}) for i in range(60)])
+    out = artist_collection(roster, done, search, lookup, feats, cap=20, offset_limit=52)
+    ids = sorted(int(r["track_id"][1:]) for r in out["tracks"].collect())
+    # credited (i % 4 != 0), first per normalised name ("song k" repeats), ordinal < 52, cap 20
+    expect, seen = [], set()
+    for i in range(55):
+        if i >= 52:
+            break
+        name = (f"Song {i % 5}" if i < 10 else f"n{i}") if i < 50 else f"late {i - 50}"
+        credited = (i % 4 != 0) if i < 50 else True
+        if credited and name.lower() not in seen:
+            seen.add(name.lower())
+            expect.append(i)
+    assert ids == expect[:20]
+    st = {r["slug"]: r["status"] for r in out["status"].collect()}
+    assert st == {"dj_x": "collected", "old": "skipped", "gone": "failed", "quiet": "empty"}
+    b = {r["batch_no"]: r["n_ids"] for r in out["batches"].filter("slug = 'dj_x'").collect()}
+    assert sum(b.values()) == 20 and max(b.values()) <= 40
