@@ -87,8 +87,9 @@ def take_quota(df: DataFrame, cls: str, quotas, order_key: str,
     if callable(quotas):
         quotas = quotas(per_bucket.groupBy(cls).agg(F.sum("__nb").alias("nc")))
     w = Window.partitionBy(cls).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
-    cum = (per_bucket.withColumn("__cum", F.sum("__nb").over(w))
-           .join(quotas.select(cls, "quota"), on=cls, how="inner"))
+    q = quotas.select(F.col(cls).alias("__qc"), "quota")
+    cum = per_bucket.withColumn("__cum", F.sum("__nb").over(w))
+    cum = cum.join(q, cum[cls].eqNullSafe(q["__qc"]), "inner").drop("__qc")   # null is a class too
     # per class: its quota and the boundary bucket (first bucket whose running
     # count reaches the quota) with the rows still needed from it
     reach = F.col("__cum") >= F.col("quota")
@@ -99,7 +100,8 @@ def take_quota(df: DataFrame, cls: str, quotas, order_key: str,
                  F.when(reach, F.col("__b"))).alias("need"))
     # one row per class: AQE broadcasts it when small; non-edge rows are
     # decided without any row shuffle.
-    marked = rows.join(per_class, on=cls, how="left")
+    pc = per_class.withColumnRenamed(cls, "__pc")
+    marked = rows.join(pc, rows[cls].eqNullSafe(pc["__pc"]), "left").drop("__pc")
     no_quota = F.col("quota").isNull() | (F.col("quota") <= 0)
     at_edge = ~no_quota & F.col("eb").isNotNull() & (F.col("__b") == F.col("eb"))
     # classes never reaching the quota have no edge: every row is taken

@@ -173,3 +173,11 @@ def test_rank_in_group_hot_group(spark):
     parts = (df.repartitionByRange(6, "g", "o").withColumn("p", F.spark_partition_id())
              .filter("g = 'hot'").select("p").distinct().count())
     assert parts > 1
+
+
+def test_split_null_class_is_a_stratum(spark):
+    rows = [(None, i) for i in range(10)] + [("a", 100 + i) for i in range(10)]
+    df = spark.createDataFrame(rows, "cls string, k long")
+    out = sampling.stratified_split(df, "cls", "k", 0.2).filter("split = 'test'")
+    by = {r["cls"]: r["n"] for r in out.groupBy("cls").count().withColumnRenamed("count", "n").collect()}
+    assert by == {None: 2, "a": 2}
