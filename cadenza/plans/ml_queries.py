@@ -19,9 +19,27 @@ def _emb(spark, sf):
     return t(spark, sf, "embeddings").select("vec_id", "embedding", "label")
 
 
+_SWEEPS: dict = {}
+
+
+def _sweep(spark, sf):
+    """The k sweep, fitted once per session and input (models memoised by
+    (application, folder, k range, starts, seed)); sweep and compare share it."""
+    import os
+    path = os.path.join(sf, "embeddings.parquet")
+    key = (spark.sparkContext.applicationId, os.path.abspath(path), os.path.getmtime(path),
+           tuple(K_RANGE), N_INIT, SEED)
+    if key not in _SWEEPS:
+        res, models = clusters.kmeans_sweep(_emb(spark, sf), "vec_id", "embedding", K_RANGE,
+                                            N_INIT, SEED)
+        _SWEEPS[key] = ([tuple(r) for r in res.collect()], models)    # 14 rows
+    rows, models = _SWEEPS[key]
+    return spark.createDataFrame(rows, "k int, inertia double, silhouette double, n long"), models
+
+
 @register("kmeans_sweep", None)
 def kmeans_sweep(spark, sf):
-    res, _ = clusters.kmeans_sweep(_emb(spark, sf), "vec_id", "embedding", K_RANGE, N_INIT, SEED)
+    res, _ = _sweep(spark, sf)
     return res.select("k", r6("inertia").alias("inertia"), r6("silhouette").alias("silhouette"), "n")
 
 
@@ -30,7 +48,7 @@ def kmeans_compare(spark, sf):
     """Sweep, best k by silhouette, then k in sorted({2, best, 10, 15}):
     inertia, silhouette, ARI and NMI against the labels (models reused)."""
     emb = _emb(spark, sf)
-    sweep, models = clusters.kmeans_sweep(emb, "vec_id", "embedding", K_RANGE, N_INIT, SEED)
+    sweep, models = _sweep(spark, sf)
     best = clusters.best_k(sweep)
     ks = sorted({2, best, 10, 15})
     data = clusters.to_vector(emb, "embedding")
