@@ -11,16 +11,17 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings applied when the session does not already define them.
-_DEFAULTS = {
+# Runtime SQL settings applied only when the session's configuration (cluster
+# defaults, submit options, builder options) does not set them already.
+_SQL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
 }
+# Set at start-up: no web UI (and no console progress bars) in batch runs.
+_STATIC = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
 
 
 def get_spark(app: str = "cadenza", master: str | None = None,
@@ -29,18 +30,23 @@ def get_spark(app: str = "cadenza", master: str | None = None,
     """Build (or reuse) a session with AQE and UTC timestamps.
 
     ``master`` and ``shuffle_partitions`` are for local runs and tests; on a
-    cluster leave them ``None`` so the cluster configuration wins.
+    cluster leave them ``None`` so the cluster configuration wins.  The SQL
+    defaults above only fill settings the configuration leaves unset.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for k, v in _DEFAULTS.items():
+    for k, v in _STATIC.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    explicit = spark.sparkContext.getConf()
+    for k, v in _SQL_DEFAULTS.items():
+        if not explicit.contains(k):
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
