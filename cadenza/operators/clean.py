@@ -141,7 +141,7 @@ def select_quantiles(df: DataFrame, targets: Sequence[tuple[str, float]], counts
 
 def iqr_fences(df: DataFrame, features: Sequence[str], threshold: float = IQR_THRESHOLD,
                method: str = "auto", accuracy: int = 10000,
-               distinct_limit: int = 1_000_000, max_collect: int = 200_000) -> DataFrame:
+               distinct_limit: int = 100_000, max_collect: int = 200_000) -> DataFrame:
     """Q1, Q3, IQR and fences per feature, long form (one row per feature).
 
     Quantiles interpolate linearly between order statistics (as pandas
