@@ -102,3 +102,36 @@ def artist_collection(roster: DataFrame, done: DataFrame, search_pages: DataFram
                        .when(F.col("n_tracks") > 0, F.lit("collected"))
                        .otherwise(F.lit("empty")).alias("status"))
     return {"tracks": tracks, "batches": batches, "status": status}
+
+
+def tag_coverage_run(tracks: DataFrame, label_table: DataFrame, tag_pages: DataFrame,
+                     target: int = 100, per_artist: int = 2, seed: int | None = None) -> dict:
+    """Tag coverage of a spread sample of tracks.
+
+    ``tracks`` come from ``sources.tracks.read_tracks`` (files keyed by the
+    artist of their first row), ``label_table`` from ``label_lookup_table``
+    (lower(artist) -> genre, 'N/A' when absent), ``tag_pages`` are landed tag
+    payloads keyed ``track_name|artist_name``.  Unlabelled artists are not
+    sampled; classes come in shuffled order, at most ``per_artist`` tracks per
+    artist, ``target`` tracks in all.  Tracks without a tag payload count as
+    untagged.
+    """
+    from cadenza.functions.exprs import first_token
+    from cadenza.functions.vocab import SEED
+    from cadenza.operators import sampling
+    from cadenza.plans.experiments import coverage_report
+    from cadenza.sources.tracks import tracks_by_first_artist
+    seed = SEED if seed is None else seed
+    keyed = tracks_by_first_artist(tracks)
+    looked = labels.lookup_with_default(keyed, label_table, "artist", "artist_key", "genre", "genre")
+    labelled = looked.filter(F.col("genre") != "N/A").withColumn("primary", first_token("genre")) \
+        .withColumn("__key", F.concat_ws("|", "track_name", "artist_name"))
+    sample = sampling.spread_sample(labelled, "primary", "artist", "__key", target, per_artist, seed)
+    tags = payloads.top_tags(tag_pages).withColumnRenamed("request_key", "__key")
+    empty = F.array().cast("array<struct<name:string,count:int>>")
+    joined = sample.join(tags, "__key", "left").withColumn("tags", F.coalesce("tags", empty))
+    rep = coverage_report(joined, "tags", "genre")
+    rep["sample"] = joined.select("track_name", "artist_name", "genre", "tags")
+    rep["examples"] = sampling.example_rows(joined, "__key", 10, seed).select(
+        "track_name", "artist_name", "genre", F.slice("tags", 1, 15).alias("tags"))
+    return rep

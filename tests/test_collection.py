@@ -79,3 +79,27 @@ def test_artist_collection(spark):
     assert st == {"dj_x": "collected", "old": "skipped", "gone": "failed", "quiet": "empty"}
     b = {r["batch_no"]: r["n_ids"] for r in out["batches"].filter("slug = 'dj_x'").collect()}
     assert sum(b.values()) == 20 and max(b.values()) <= 40
+
+
+def test_tag_coverage_run(spark, tmp_path):
+    from cadenza.plans.collection import tag_coverage_run
+    from cadenza.sources import tracks
+    hdr = ",".join(n for n, _ in tracks.TRACK_COLUMNS)
+    d = tmp_path
+    for artist, n in (("Alpha", 5), ("Beta", 3), ("Gamma", 2)):
+        lines = [hdr] + [f"song{i},{artist[0]}{i},{artist},al,0.1,0.1,1,-5,1,0.1,0.1,0.1,0.1,0.1,120"
+                         for i in range(n)]
+        (d / f"{artist.lower()}.csv").write_text("\n".join(lines) + "\n")
+    (d / "genres.csv").write_text('artist_name,genre\nalpha,"techno, house"\nBETA,dubstep\ngamma,N/A\n')
+    tr = tracks.read_tracks(spark, str(d))
+    lab = tracks.label_lookup_table(spark, str(d / "genres.csv"))
+    tags = pages(spark, [("song0|Alpha", 0, 200, {"toptags": {"tag": [{"name": "Techno", "count": "9"},
+                                                                      {"name": "seen live", "count": 1}]}}),
+                         ("song1|Beta", 0, 200, {"toptags": {"tag": [{"name": "love", "count": 3}]}})])
+    rep = tag_coverage_run(tr, lab, tags, target=100, per_artist=2)
+    sample = rep["sample"].collect()
+    assert len(sample) == 4                                  # 2 per labelled artist, gamma excluded
+    assert {r["artist_name"] for r in sample} == {"Alpha", "Beta"}
+    c = rep["coverage"].first()
+    assert c["n_items"] == 4 and c["n_with_relevant"] <= c["n_with_tags"] <= 2
+    assert rep["examples"].count() == 4
