@@ -181,3 +181,18 @@ def test_split_null_class_is_a_stratum(spark):
     out = sampling.stratified_split(df, "cls", "k", 0.2).filter("split = 'test'")
     by = {r["cls"]: r["n"] for r in out.groupBy("cls").count().withColumnRenamed("count", "n").collect()}
     assert by == {None: 2, "a": 2}
+
+
+def test_missing_empty_null_labels(spark):
+    facts = spark.createDataFrame([("A", 1), ("b", 2), ("C", 3), ("d", 4), ("E", 5)],
+                                  "artist_name string, v int")
+    dim = spark.createDataFrame([("a", "techno"), ("B", ""), ("c", None), ("D", " \t")],
+                                "artist_name string, genre string")   # e: missing artist
+    j = labels.attach_labels(facts, dim)
+    assert [r["v"] for r in labels.keep_labelled(j, "genres").collect()] == [1]
+    rep = labels.label_drop_report(j, "genres").first()
+    assert (rep["n_total"], rep["n_labelled"], rep["n_dropped"]) == (5, 1, 4)
+    look = labels.lookup_with_default(facts, dim.filter("genre is not null"), "artist_name",
+                                      "artist_name", "genre", "g")
+    got = {r["v"]: r["g"] for r in look.collect()}
+    assert got[1] == "techno" and got[3] == "N/A" and got[5] == "N/A"
