@@ -73,3 +73,16 @@ def test_supervised_fit_on_train(spark, prep):
                                 fit_on="train")
     r = res["comparison"].first()
     assert r["model"] == "RandomForest" and 0 <= r["balanced_accuracy"] <= 1
+
+
+def test_sweep_squared_silhouette_option(spark):
+    import numpy as np
+    from cadenza.operators import clusters
+    rng = np.random.default_rng(2)
+    x = np.vstack([rng.normal(0, 1, (30, 3)), rng.normal(8, 1, (30, 3))])
+    df = spark.createDataFrame([(i, [float(v) for v in x[i]]) for i in range(60)], "k long, v array<double>")
+    res, _ = clusters.kmeans_sweep(df, "k", "v", [2, 3], n_init=2, silhouette="squared")
+    assert res.columns == ["k", "inertia", "silhouette", "silhouette_squared", "n"]
+    rows = {r["k"]: r for r in res.collect()}
+    assert rows[2]["silhouette"] is None and rows[2]["silhouette_squared"] > 0.5
+    assert clusters.best_k(res) == 2
