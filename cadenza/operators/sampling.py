@@ -169,8 +169,9 @@ def split_quotas(df: DataFrame, cls: str, test_fraction: float = TEST_FRACTION)
 
 def stratified_split(df: DataFrame, cls: str, key: str, test_fraction: float = TEST_FRACTION,
                      seed: int = SEED, out_col: str = "split") -> DataFrame:
-    """Label every row 'test' or 'train'; each class gets its largest-remainder
-    share of ``ceil(test_fraction * n)`` test rows, chosen in hash order."""
+    """Label every row 'test' or 'train': ``ceil(test_fraction * n)`` test rows
+    in all; each class keeps its largest-remainder share of the training rows
+    and gives the rest to test, chosen in hash order (``quotas_from_counts``)."""
     h = hash_key(seed, key)
     flagged = take_quota(df.withColumn("__h", h), cls,
                          lambda counts: quotas_from_counts(counts, cls, test_fraction),
