@@ -294,3 +294,45 @@ def label_collection(spark, sf):
         landing.customer_track_lookups(cust),
         landing.customer_track_features(cust))
     return out["tracks"]
+
+
+_ARTIST_SQL = """
+WITH s AS (SELECT s_suppkey, s_name, lower(replace(s_name, '#', '_')) AS slug FROM supplier),
+todo AS (SELECT * FROM s WHERE s_suppkey % 10 <> 0),
+x AS (SELECT t.s_name, t.slug, l.l_orderkey, l.l_linenumber, l.l_partkey,
+             row_number() OVER (PARTITION BY t.s_name ORDER BY l.l_orderkey, l.l_linenumber,
+                                l.l_partkey, l.l_discount, l.l_quantity) - 1 AS ordinal
+      FROM lineitem l JOIN todo t ON l.l_suppkey = t.s_suppkey),
+f AS (SELECT l_orderkey AS fo, l_linenumber AS fl, min(l_discount) AS energy,
+             min(l_quantity) AS tempo FROM lineitem GROUP BY l_orderkey, l_linenumber),
+c AS (SELECT * FROM x WHERE l_linenumber <> 3 AND ordinal < 1000),
+d AS (SELECT *, row_number() OVER (PARTITION BY slug, l_partkey % 50 ORDER BY ordinal) AS rn FROM c),
+r AS (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY ordinal) AS rank FROM d WHERE rn = 1)
+SELECT 'p' || CAST(l_partkey % 50 AS VARCHAR) AS track_name,
+       'l' || CAST(l_orderkey AS VARCHAR) || '_' || CAST(l_linenumber AS VARCHAR) AS track_id,
+       s_name AS artist_name, 'o' || CAST(l_orderkey AS VARCHAR) AS album_name,
+       CAST(NULL AS DOUBLE) AS danceability, energy, CAST(NULL AS INTEGER) AS key,
+       CAST(NULL AS DOUBLE) AS loudness, CAST(NULL AS INTEGER) AS mode,
+       CAST(NULL AS DOUBLE) AS speechiness, CAST(NULL AS DOUBLE) AS acousticness,
+       CAST(NULL AS DOUBLE) AS instrumentalness, CAST(NULL AS DOUBLE) AS liveness,
+       CAST(NULL AS DOUBLE) AS valence, tempo, slug
+FROM r JOIN f ON r.l_orderkey = f.fo AND r.l_linenumber = f.fl
+WHERE rank <= 100 AND l_orderkey % 11 <> 4 AND l_orderkey % 13 <> 5
+"""
+
+
+def _artist_run(spark, sf):
+    from cadenza.plans import landing
+    from cadenza.plans.collection import artist_collection
+    sup, li = t(spark, sf, "supplier"), t(spark, sf, "lineitem")
+    roster = landing.supplier_roster(sup)
+    done = landing.supplier_roster(sup.filter(F.col("s_suppkey") % 10 == 0)).select("slug")
+    return artist_collection(roster, done, landing.supplier_search_pages(li, sup),
+                             landing.line_lookups(li), landing.line_features(li))
+
+
+@register("artist_collect", _ARTIST_SQL)
+def artist_collect(spark, sf):
+    """Roster-driven collection end to end: pending artists, search pages,
+    credited + first per name + cap 100 within offset 1000, lookups, features."""
+    return _artist_run(spark, sf)["tracks"]

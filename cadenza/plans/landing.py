@@ -202,3 +202,67 @@ def customer_track_features(customer: DataFrame) -> DataFrame:
                       F.lit(0).alias("page_no"),
                       F.when(F.col("k") % 13 == 5, F.lit(404)).otherwise(F.lit(200)).alias("status"),
                       body.alias("body"))
+
+
+# ---- roster-driven collection pages from supplier / lineitem ----------------
+
+def _line_id(prefix: str):
+    return F.concat(F.lit(prefix), F.col("l_orderkey").cast("string"), F.lit("_"),
+                    F.col("l_linenumber").cast("string"))
+
+
+SEARCH_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_discount", "l_quantity")
+
+
+def supplier_roster(supplier: DataFrame) -> DataFrame:
+    """Roster: search name = supplier name, slug = lower name with '#' -> '_'."""
+    return supplier.select(F.col("s_name").alias("name"),
+                           F.lower(F.regexp_replace("s_name", "#", "_")).alias("slug"))
+
+
+def supplier_search_pages(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
+    """Track search per supplier: its line items in (order, line) order;
+    track name p<partkey % 50> (repeats, so names dedupe), credited to the
+    supplier except line 3 (another artist)."""
+    from cadenza.operators.ingest import rank_in_group
+    rows = lineitem.join(supplier, lineitem.l_suppkey == supplier.s_suppkey) \
+                   .select("s_name", "l_orderkey", "l_linenumber", "l_partkey", "l_discount",
+                           "l_quantity")
+    # (order, line) repeats in this table: order on every column used, so
+    # only fully identical rows tie
+    rows = rank_in_group(rows, ["s_name"], list(SEARCH_ORDER), "__pos")
+    artist = F.when(F.col("l_linenumber") == 3, F.lit("other")).otherwise(F.lower("s_name"))
+    item = F.struct(_line_id("l").alias("id"),
+                    F.concat(F.lit("p"), (F.col("l_partkey") % 50).cast("string")).alias("name"),
+                    F.array(F.struct(artist.alias("name"))).alias("artists"),
+                    F.struct(F.concat(F.lit("a"), F.col("l_orderkey").cast("string")).alias("id"),
+                             F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("name")
+                             ).alias("album"))
+    pages = _pages(rows.withColumn("__pos", F.col("__pos") - 1), "s_name", "__pos", item, 50)
+    body = F.to_json(F.struct(F.struct(F.col("items").alias("items")).alias("tracks")))
+    return pages.select("request_key", "page_no", F.lit(200).alias("status"), body.alias("body"))
+
+
+def line_lookups(lineitem: DataFrame) -> DataFrame:
+    """Id lookups for every distinct track id, 40 per request; no id when
+    l_orderkey % 11 = 4."""
+    item = F.struct(F.when(F.col("l_orderkey") % 11 == 4, F.lit(None)).otherwise(_line_id("r")).alias("id"),
+                    F.concat(F.lit("https://x/track/"), _line_id("l")).alias("href"))
+    rows = lineitem.select("l_orderkey", "l_linenumber").distinct() \
+        .withColumn("__q", F.lit("q")).withColumn(
+            "__pos", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    pages = _pages(rows, "__q", "__pos", item, 40)
+    return pages.select("request_key", "page_no", F.lit(200).alias("status"),
+                        F.to_json(F.struct(F.col("items").alias("content"))).alias("body"))
+
+
+def line_features(lineitem: DataFrame) -> DataFrame:
+    """One feature response per distinct track id r<order>_<line>: 404 when
+    l_orderkey % 13 = 5; energy = smallest discount, tempo = smallest
+    quantity of the id's rows."""
+    per_id = lineitem.groupBy("l_orderkey", "l_linenumber").agg(
+        F.min("l_discount").alias("l_discount"), F.min("l_quantity").alias("l_quantity"))
+    body = F.to_json(F.struct(F.col("l_discount").alias("energy"), F.col("l_quantity").alias("tempo")))
+    return per_id.select(_line_id("r").alias("request_key"), F.lit(0).alias("page_no"),
+                           F.when(F.col("l_orderkey") % 13 == 5, F.lit(404)).otherwise(F.lit(200))
+                           .alias("status"), body.alias("body"))

@@ -7,7 +7,8 @@ from conftest import SF01
 
 NAMES = ["balance_classes", "stratified_split", "dedupe_first", "soft_cap", "first_label_wins",
          "spread_sample", "example_rows", "top_tags", "payload_idmap", "search_collect",
-         "cap_per_group", "batch_ids", "iqr_filter", "silhouette"]
+         "cap_per_group", "batch_ids", "iqr_filter", "silhouette", "artist_collect",
+         "label_collection", "album_collect"]
 
 
 def _rows(df):
