@@ -100,6 +100,8 @@ def compare_models(train: DataFrame, test: DataFrame, label: str, feature_names:
     """
     from pyspark import StorageLevel
     enc_train, indexer = encode_labels(train, label)
+    # one binary model per class: fit them all at once (bounded by the classes)
+    parallelism = max(parallelism, len(indexer.labels))
     # every boosting round and tree level re-reads the input: keep the encoded
     # frames (recomputable from their short lineage) for the duration of the fits
     enc_train = enc_train.persist(StorageLevel.MEMORY_AND_DISK)
