@@ -105,3 +105,17 @@ def test_seeds_sinks_and_first_artist(spark):
     t = tracks.read_tracks(spark, [os.path.join(d, n) for n in ("a.csv", "b.csv", "c.csv")])
     kept = tracks.tracks_by_first_artist(t).collect()
     assert [(r["artist"], r["file_name"]) for r in kept] == [("Zed", "b.csv")]
+
+
+def test_label_lookup_last_row_wins_and_append_sink(spark, tmp_path):
+    p = tmp_path / "labels.csv"
+    p.write_text('artist_name,genre\nDJ X,techno\nother,house\ndj x,"dubstep, riddim"\n')
+    lut = {r["artist_key"]: r["genre"] for r in tracks.label_lookup_table(spark, str(p)).collect()}
+    assert lut == {"dj x": "dubstep, riddim", "other": "house"}
+    out = str(tmp_path / "sink")
+    row = ("n", "i", "A", "al") + (0.1,) * 2 + (1, -5.0, 1) + (0.1,) * 6
+    one = spark.createDataFrame([row], tracks.TRACK_SCHEMA)
+    assert tracks.write_tracks(one, out, fmt="csv")
+    assert tracks.write_tracks(one, out, fmt="csv", mode="append")
+    back = tracks.read_tracks(spark, out, exclude_files=())
+    assert back.count() == 2 and back.first()["artist_name"] == "A"
