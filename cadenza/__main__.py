@@ -22,11 +22,14 @@ def main(argv=None) -> None:
     ap.add_argument("data_dir")
     ap.add_argument("--n-init", type=int, default=10)
     ap.add_argument("--fit-on", choices=["all", "train"], default="all")
+    ap.add_argument("--driver-memory", default="8g",
+                    help="heap of a locally started driver (ignored when a session exists)")
     args = ap.parse_args(argv)
 
     from cadenza.plans import experiments
     from cadenza.session import get_spark
-    spark = get_spark(app=f"cadenza-{args.command}")
+    spark = get_spark(app=f"cadenza-{args.command}",
+                      extra={"spark.driver.memory": args.driver_memory})
     prep = experiments.prepare_training_data(spark, args.data_dir)
     prep["report"].show(truncate=False)
     print(f"features: {prep['features']}  rows after cleaning: {prep['df'].count()}")
