@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import exact_dedup, reshard
+from cadenza.llm import exact_dedup, near_dedup, reshard
 from cadenza.llm.common import read_table
 
 OLD_SHARDS, NEW_SHARDS = 8, 8
@@ -18,6 +18,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256", "n_points")
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(read_table(spark, sf_dir, "documents"), words=5, percent=75)
+
+
 def op10_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The old shards are the sources' files: a hot source makes them unequal."""
     old = F.pmod(F.crc32(F.col("source").cast("binary")), F.lit(OLD_SHARDS))
@@ -28,6 +32,7 @@ def op10_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op6_near_dedup": op6_near_dedup,
     "op10_reshard": op10_reshard,
 }
 
