@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from cadenza.session import ensure_checkpoint_dir, read_table
 
-__all__ = ["MIX1", "MIX2", "WHITE", "arrow_map", "byte_hashes", "held_out", "joined",
-           "labelled", "mix64", "read_table", "row_chunks", "saved", "tables",
-           "texts_of", "work_path"]
+__all__ = ["MIX1", "MIX2", "WHITE", "adam", "anti", "arrow_map", "byte_hashes", "held_out", "joined", "mix64",
+           "possibly", "read_table", "row_chunks", "saved", "semi", "sigmoid", "tables", "temperature", "texts_of",
+           "training_rows", "work_path"]
 
 #: ASCII white space of the contracts: space and tab to carriage return.
 WHITE = np.zeros(256, dtype=bool)
@@ -45,6 +45,42 @@ def tables(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(name) for name, c in columns.items()])
 
 
+#: Bitmaps of 32,768 bits in a key filter: 4 MB in all, whatever the input.
+FILTER_MAPS = 1024
+
+
+def possibly(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """``rows`` with a column ``__maybe``: false where the key is surely not
+    among ``keys``.
+
+    The keys' hashes fill at most FILTER_MAPS bitmaps, the only thing that is
+    broadcast; rows without a chance need not travel to a join.  With many more
+    keys than bits ever more rows pass, and nothing is lost.
+    """
+    def bits(name: str) -> tuple[Column, Column]:
+        h = F.xxhash64(name)
+        return F.pmod(h, F.lit(FILTER_MAPS)), F.pmod(F.shiftright(h, 24), F.lit(32768))
+    table = (keys.select(*[c.alias(n) for c, n in zip(bits(on), ("__map", "__bit"), strict=True)])
+             .groupBy("__map").agg(F.bitmap_construct_agg("__bit").alias("__bits")))
+    bucket, bit = bits(on)
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return rows.withColumn("__map", bucket).join(F.broadcast(table), "__map", "left").withColumn(
+        "__maybe", F.coalesce(byte.bitwiseAND(F.pow(F.lit(2), F.pmod(bit, F.lit(8))).cast("int")) != 0,
+                              F.lit(False))).drop("__map", "__bits")
+
+
+def semi(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """Rows whose key is among ``keys``; only possible ones are shuffled."""
+    return possibly(rows, keys, on).filter("__maybe").drop("__maybe").join(keys.select(on), on, "left_semi")
+
+
+def anti(rows: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """Rows whose key is not among ``keys``; only doubtful ones are shuffled."""
+    marked = possibly(rows, keys, on)
+    return marked.filter("not __maybe").drop("__maybe").unionByName(
+        marked.filter("__maybe").drop("__maybe").join(keys.select(on), on, "left_anti"))
+
+
 def texts_of(batch: pa.RecordBatch | pa.Table, name: str) -> list[bytes]:
     """UTF-8 bytes of a string column; null counts as empty."""
     col = batch.column(name)
@@ -140,9 +176,45 @@ def held_out(doc_id: str | Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % F.lit(folds) == F.lit(fold), F.lit(False))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """Documents with their 0/1 label: ids with several labels take the largest,
-    null ids and null labels are not training rows."""
-    own = (labels.select(F.col("doc_id").alias("doc_id"), F.col(label).cast("int").alias("label"))
-           .filter("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label")))
-    return docs.join(own, "doc_id")
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int,
+                  most: int) -> tuple[DataFrame, dict[int, float]]:
+    """A bounded sample of labelled documents for fitting: doc_id, text, label.
+
+    Up to ``most`` ids of each class in the order of a hash, none of them held
+    out; an id with several labels takes the largest; null ids and labels are
+    no training rows.  Also the weight of each class (all rows / sampled rows).
+    Only the ids, at most ``2 * most`` of them, are broadcast to the documents.
+    """
+    spark = docs.sparkSession
+    own = saved(labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
+                .filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out("doc_id", folds, fold))
+                .groupBy("doc_id").agg(F.max("label").alias("label")), "labels")
+    sizes = {r["label"]: r["n"] for r in own.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    picked = [own.filter(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for c in (0, 1)]
+    ids = [(r["doc_id"], r["label"]) for p in picked for r in p.collect()]
+    chosen = F.broadcast(spark.createDataFrame(ids, "doc_id long, label int"))
+    weights = {c: n / min(n, most) for c, n in sizes.items()}
+    return docs.withColumn("doc_id", F.col("doc_id").cast("long")).join(chosen, "doc_id"), weights
+
+
+def adam(gradient: Callable, params: list[np.ndarray], steps: int, rate: float) -> list[np.ndarray]:
+    """Adam with a cosine schedule; ``gradient(step, params)`` returns one array a parameter."""
+    m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
+    for t in range(1, steps + 1):
+        lr = rate * 0.5 * (1 + np.cos(np.pi * t / steps))
+        for i, g in enumerate(gradient(t, params)):
+            m[i] = 0.9 * m[i] + 0.1 * g
+            v[i] = 0.999 * v[i] + 0.001 * g * g
+            params[i] = params[i] - lr * (m[i] / (1 - 0.9**t)) / (np.sqrt(v[i] / (1 - 0.999**t)) + 1e-8)
+    return params
+
+
+def sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+
+
+def temperature(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
+    """The divisor of the logits ``z`` with the least weighted log loss."""
+    grid = np.exp(np.linspace(np.log(0.2), np.log(20), 120))
+    sign = np.where(y > 0, z, -z)
+    return float(grid[np.argmin([(weight * np.logaddexp(0, -sign / t)).sum() for t in grid])])

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import saved, tables, work_path
+from cadenza.llm.common import anti, possibly, saved, semi, tables, work_path
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -85,9 +85,12 @@ def retained(spark: SparkSession, checkpoint: str) -> DataFrame:
 
 
 def collisions(docs: DataFrame, hits: DataFrame, text_col: str = "text") -> DataFrame:
-    """Digests, among those hit more than once, under which full texts differ."""
-    both = tables(docs, text=text_col).select(digest("text").alias("digest"), normalised("text").alias("full"))
-    return (both.join(hits, "digest", "left_semi").groupBy("digest", "full").agg(F.count(F.lit(1)).alias("n"))
+    """Digests, among those hit more than once, under which full texts differ.
+
+    A bounded key filter keeps the texts of other digests from travelling."""
+    both = possibly(tables(docs, text=text_col).select(digest("text").alias("digest"), normalised("text").alias("full")),
+                    hits.select("digest"), "digest").filter("__maybe")
+    return (both.groupBy("digest", "full").agg(F.count(F.lit(1)).alias("n"))
             .groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("digest"))
 
 
@@ -116,7 +119,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         digest("text").alias("digest"), normalised("text").alias("full"),
         F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row_key"),
         F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_points"),
-        F.input_file_name().alias("locator")).join(split, "digest", "left_semi")
+        F.input_file_name().alias("locator"))
+    texts = semi(texts, split, "digest")
     best = texts.groupBy("digest", "full").agg(
         F.min(F.struct((-F.col("n_points")).alias("less"), F.col("doc_id").isNull().alias("no_id"),
                        "doc_id", "row_key", "locator")).alias("best"),
@@ -142,8 +146,10 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # only what goes is joined: rows dropped, and rows repeated under one id
     per = marks.groupBy(*key).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows"))
     odd = saved(per.filter("not kept or rows > 1"), "dedup-odd")
-    stay = rows.join(odd.select(*key), key, "left_anti")
-    repeated = rows.join(odd.filter("kept").select(*key), key, "left_semi").dropDuplicates(key)
+    rows = rows.withColumn("__key", F.concat_ws("/", *key))
+    odd = odd.withColumn("__key", F.concat_ws("/", *key))
+    stay = anti(rows, odd.select("__key"), "__key")
+    repeated = semi(rows, odd.filter("kept").select("__key"), "__key").dropDuplicates(["__key"])
     return stay.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import WHITE, arrow_map, byte_hashes, joined, mix64, saved, tables
+from cadenza.llm.common import WHITE, anti, arrow_map, byte_hashes, joined, mix64, saved, semi, tables
 
 FUNCTIONS, ORDERS, DEPTH = 64, 32, 8
 #: Regions up to this size offer all pairs; larger ones go deeper.
@@ -279,8 +279,8 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 75, id_col: str =
     def sets(batch, texts):
         return {"id": batch.column("id"), "items": [s.tobytes() for s in shingle_sets(texts, words)]}
     wanted = tables(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
-    full = saved(arrow_map(wanted.join(ends, "id", "left_semi").dropDuplicates(["id"]), sets, "id long, items binary"),
-                 "near-sets")
+    full = saved(arrow_map(semi(wanted, saved(ends, "near-ends"), "id").dropDuplicates(["id"]), sets,
+                           "id long, items binary"), "near-sets")
 
     # first the best partner of each end, then what may still join components
     best = F.max_by(F.struct("a", "b"), F.struct("equal", "a", "b"))
@@ -305,5 +305,5 @@ def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
                      text_col: str = "text") -> DataFrame:
     """One document of each group stays, with all its columns."""
     gone = saved(near_dedup(docs, words, percent, id_col, text_col).filter("not kept").select("doc_id"), "near-gone")
-    return docs.join(gone.select(F.col("doc_id").alias(id_col)), id_col, "left_anti").select(
+    return anti(docs, gone.select(F.col("doc_id").alias(id_col)), id_col).select(
         *[F.col(f"`{c}`") for c in docs.columns])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import exact_dedup, near_dedup, reshard
+from cadenza.llm import exact_dedup, near_dedup, quality, reshard, toxicity
 from cadenza.llm.common import read_table
 
 OLD_SHARDS, NEW_SHARDS = 8, 8
@@ -18,6 +18,16 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256", "n_points")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality.score(docs, *quality.train(docs, read_table(spark, sf_dir, "labels")))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(read_table(spark, sf_dir, "documents"), words=5, percent=75)
 
@@ -32,7 +42,9 @@ def op10_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_quality": op4_quality,
     "op6_near_dedup": op6_near_dedup,
+    "op7_toxicity": op7_toxicity,
     "op10_reshard": op10_reshard,
 }
 
