@@ -129,7 +129,8 @@ class byte_hashes:
     _powers = np.ones(1, dtype=np.uint64)
     _inverse = np.ones(1, dtype=np.uint64)
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, values: np.ndarray | None = None):
+        """``values``: one number a position instead of those of the byte table."""
         n = len(data) + 1
         cls = type(self)
         if len(cls._powers) < n:
@@ -139,7 +140,7 @@ class byte_hashes:
                 steps[0] = 1
                 setattr(cls, name, np.multiply.accumulate(steps))
         self.prefix = np.zeros(n, dtype=np.uint64)
-        np.cumsum(cls._table[data] * cls._powers[: n - 1], out=self.prefix[1:])
+        np.cumsum((cls._table[data] if values is None else values) * cls._powers[: n - 1], out=self.prefix[1:])
 
     def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         raw = (self.prefix[ends] - self.prefix[starts]) * type(self)._inverse[starts]

@@ -7,12 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import exact_dedup, near_dedup, quality, reshard, toxicity
+from cadenza.llm import bpe, decontaminate, exact_dedup, near_dedup, quality, reshard, toxicity
 from cadenza.llm.common import read_table
 
 OLD_SHARDS, NEW_SHARDS = 8, 8
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256", "n_points")
@@ -41,6 +55,8 @@ def op10_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
+    "op2_bpe": op2_bpe,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_quality": op4_quality,
     "op6_near_dedup": op6_near_dedup,
