@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import bpe, decontaminate, exact_dedup, near_dedup, quality, reshard, toxicity
+from cadenza.llm import bpe, decontaminate, exact_dedup, html_crf, licenses, near_dedup, quality, reshard, secrets, toxicity
 from cadenza.llm.common import read_table
 
 OLD_SHARDS, NEW_SHARDS = 8, 8
@@ -42,10 +42,24 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.fit(licenses.sample_lines(docs)))
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(read_table(spark, sf_dir, "documents"), words=5, percent=75)
 
 
+def op8_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return html_crf.extract(pages, html_crf.fit(pages))
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(read_table(spark, sf_dir, "documents"))
+
+
 def op10_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The old shards are the sources' files: a hot source makes them unequal."""
     old = F.pmod(F.crc32(F.col("source").cast("binary")), F.lit(OLD_SHARDS))
@@ -59,8 +73,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_quality": op4_quality,
+    "op5_licenses": op5_licenses,
     "op6_near_dedup": op6_near_dedup,
     "op7_toxicity": op7_toxicity,
+    "op8_html_crf": op8_html_crf,
+    "op9_secrets": op9_secrets,
     "op10_reshard": op10_reshard,
 }
 
