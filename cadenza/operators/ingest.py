@@ -86,18 +86,25 @@ def rank_in_group(df: DataFrame, group: Sequence[str], order: Sequence[str],
     and every chunk is ranked locally.  ``order`` must make rows unique
     within a group for the ranks to be deterministic.
     """
+    from cadenza.session import materialize
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *group, *order).withColumn("__pid", F.spark_partition_id())
+    # The range boundaries come from a sample, so the ranged rows are written
+    # once, with their chunk, and counts and ranks read the same rows.
+    ranged = materialize(df.repartitionByRange(n, *group, *order)
+                         .withColumn("__pid", F.spark_partition_id()))
     chunks = ranged.groupBy("__pid", *group).agg(F.count(F.lit(1)).alias("__cnt"))
     before = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = chunks.select("__pid", *group,
+    offsets = chunks.select(F.col("__pid").alias("__p"), *[F.col(g).alias(f"__g_{g}") for g in group],
                             F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"))
     local = Window.partitionBy("__pid", *group).orderBy(*order)
     ranked = ranged.withColumn("__r", F.row_number().over(local))
-    return (ranked.join(offsets, ["__pid", *group], "inner")
+    same = F.col("__pid") == F.col("__p")
+    for g in group:                                  # a null group is a group
+        same = same & F.col(g).eqNullSafe(F.col(f"__g_{g}"))
+    return (ranked.join(offsets, same, "inner")
             .withColumn(rank_col, F.col("__off") + F.col("__r"))
-            .drop("__pid", "__r", "__off"))
+            .drop("__pid", "__p", "__r", "__off", *[f"__g_{g}" for g in group]))
 
 
 def soft_cap(df: DataFrame, group: Sequence[str], unit: str, unit_order: Sequence[str],

@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.functions.vocab import SEARCH_CAP, SEARCH_OFFSET_LIMIT
 from cadenza.operators import ingest, labels
 from cadenza.sources import payloads
 from cadenza.sources.tracks import LABELLED_COLUMNS
@@ -58,25 +59,29 @@ def label_driven_collection(label_file: DataFrame, playlist_searches: DataFrame,
 
 def artist_collection(roster: DataFrame, done: DataFrame, search_pages: DataFrame,
                       lookup_pages: DataFrame, feature_pages: DataFrame,
-                      cap: int | None = None, offset_limit: int | None = None) -> dict:
+                      cap: int | None = SEARCH_CAP,
+                      offset_limit: int | None = SEARCH_OFFSET_LIMIT, page_size: int = 50) -> dict:
     """Roster-driven collection: artists whose output exists are skipped;
     for the others the landed search pages (keyed by the artist's search
     name) give credited tracks, first per normalised name, at most ``cap``
-    within the first ``offset_limit`` results; tracks are looked up in
-    batches and joined to their features.
+    within the first ``offset_limit`` results (None: unlimited); tracks are
+    looked up in batches and joined to their features.  Pages of artists that
+    are not pending, and pages beyond the offset, are not parsed.
 
     Returns ``{"tracks": rows (15 columns + slug), "batches": lookup batches,
     "status": one row per roster entry with collected / empty / skipped /
     failed}``.  'failed' = a landed search page for the artist is not 200;
     'empty' = searched but no row with features (stays pending next run).
     """
-    from cadenza.functions.vocab import SEARCH_CAP, SEARCH_OFFSET_LIMIT
     from cadenza.sources.tracks import TRACK_COLUMNS
-    cap = SEARCH_CAP if cap is None else cap
-    offset_limit = SEARCH_OFFSET_LIMIT if offset_limit is None else offset_limit
-    todo = ingest.pending(roster, done, "slug")
-    found = payloads.search_tracks(search_pages).filter(F.col("ordinal") < offset_limit)
-    found = found.join(todo.select(F.col("name").alias("request_key"), "slug"), "request_key")
+    todo = ingest.pending(roster, done, "slug").select(F.col("name").alias("request_key"), "slug")
+    wanted = search_pages.join(todo.select("request_key").distinct(), "request_key", "left_semi")
+    if offset_limit is not None:
+        wanted = wanted.filter(F.col("page_no") * page_size < offset_limit)
+    found = payloads.search_tracks(wanted, page_size)
+    if offset_limit is not None:
+        found = found.filter(F.col("ordinal") < offset_limit)
+    found = found.join(todo, "request_key")
     found = found.filter(payloads.credited("artists", "request_key"))
     first = ingest.dedupe_by_name(found, ["slug"], "name", ["ordinal"])
     capped = ingest.cap_per_group(first, ["slug"], ["ordinal"], cap=cap)

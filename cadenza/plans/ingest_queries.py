@@ -61,13 +61,13 @@ def soft_cap(spark, sf):
 WITH d AS ({_DEDUP_SQL}),
 r AS (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rank FROM d),
 b AS (SELECT source, doc_id, rank, CAST(floor((rank - 1) / 40) AS BIGINT) AS batch_no
-      FROM r WHERE rank <= 100)
+      FROM r)
 SELECT source, batch_no, count(*) AS n_ids, arg_min(doc_id, rank) AS first_id,
        arg_max(doc_id, rank) AS last_id
 FROM b GROUP BY source, batch_no
 """)
 def batch_ids(spark, sf):
-    capped = ingest.cap_per_group(_deduped(spark, sf), ["source"], ["doc_id"], cap=100)
+    capped = ingest.cap_per_group(_deduped(spark, sf), ["source"], ["doc_id"], cap=None)
     b = ingest.batches(capped, ["source"], "doc_id", "rank", 40)
     return b.select("source", "batch_no", "n_ids", F.element_at("ids", 1).alias("first_id"),
                     F.element_at("ids", -1).alias("last_id"))

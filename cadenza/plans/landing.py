@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 def _pages(rows: DataFrame, key: str, pos: str, item, page_size: int) -> DataFrame:
     """Group items into pages of ``page_size`` ordered by ``pos``."""
-    paged = rows.withColumn("page_no", F.floor(F.col(pos) / page_size).cast("int"))
+    paged = rows.withColumn("page_no", F.floor(F.col(pos) / page_size).cast("long"))
     grouped = paged.groupBy(key, "page_no").agg(
         F.array_sort(F.collect_list(F.struct(F.col(pos).alias("__o"), item.alias("v")))).alias("__l"))
     return grouped.select(F.col(key).cast("string").alias("request_key"), "page_no",
@@ -77,7 +77,7 @@ def event_feature_payloads(events: DataFrame) -> DataFrame:
                               F.col("user_id").cast("double").alias("tempo")))
     status = F.when(F.col("event_type") == "error", F.lit(404)).otherwise(F.lit(200))
     return events.select(F.col("event_id").cast("string").alias("request_key"),
-                         F.lit(0).alias("page_no"), status.alias("status"), body.alias("body"))
+                         F.lit(0).cast("long").alias("page_no"), status.alias("status"), body.alias("body"))
 
 
 def event_tag_payloads(events: DataFrame) -> DataFrame:
@@ -91,7 +91,7 @@ def event_tag_payloads(events: DataFrame) -> DataFrame:
     as_list = F.to_json(F.struct(F.struct(F.array(tag, second).alias("tag")).alias("toptags")))
     as_obj = F.to_json(F.struct(F.struct(tag.alias("tag")).alias("toptags")))
     body = F.when(eid % 10 == 3, as_obj).otherwise(as_list)
-    return events.select(eid.cast("string").alias("request_key"), F.lit(0).alias("page_no"),
+    return events.select(eid.cast("string").alias("request_key"), F.lit(0).cast("long").alias("page_no"),
                          F.lit(200).alias("status"), body.alias("body"))
 
 
@@ -141,7 +141,7 @@ def document_album_details(docs: DataFrame) -> DataFrame:
     body = F.to_json(F.struct(F.col("lang").alias("name"), F.array(
         F.struct(F.col("source").alias("name")), F.struct(F.lit("guest").alias("name"))).alias("artists")))
     return albums.select(F.concat_ws("/", "source", "lang").alias("request_key"),
-                         F.lit(0).alias("page_no"), F.lit(200).alias("status"), body.alias("body"))
+                         F.lit(0).cast("long").alias("page_no"), F.lit(200).alias("status"), body.alias("body"))
 
 
 # ---- label-driven collection pages from nation / region / customer ----------
@@ -199,7 +199,7 @@ def customer_track_features(customer: DataFrame) -> DataFrame:
     body = F.to_json(F.struct((F.col("k") / 300.0).alias("energy"),
                               F.col("k").cast("double").alias("tempo")))
     return ids.select(F.concat(F.lit("r"), F.col("k").cast("string")).alias("request_key"),
-                      F.lit(0).alias("page_no"),
+                      F.lit(0).cast("long").alias("page_no"),
                       F.when(F.col("k") % 13 == 5, F.lit(404)).otherwise(F.lit(200)).alias("status"),
                       body.alias("body"))
 
@@ -250,7 +250,7 @@ def line_lookups(lineitem: DataFrame) -> DataFrame:
                     F.concat(F.lit("https://x/track/"), _line_id("l")).alias("href"))
     rows = lineitem.select("l_orderkey", "l_linenumber").distinct() \
         .withColumn("__q", F.lit("q")).withColumn(
-            "__pos", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+            "__pos", F.col("l_orderkey").cast("long") * 8 + F.col("l_linenumber"))
     pages = _pages(rows, "__q", "__pos", item, 40)
     return pages.select("request_key", "page_no", F.lit(200).alias("status"),
                         F.to_json(F.struct(F.col("items").alias("content"))).alias("body"))
@@ -263,6 +263,6 @@ def line_features(lineitem: DataFrame) -> DataFrame:
     per_id = lineitem.groupBy("l_orderkey", "l_linenumber").agg(
         F.min("l_discount").alias("l_discount"), F.min("l_quantity").alias("l_quantity"))
     body = F.to_json(F.struct(F.col("l_discount").alias("energy"), F.col("l_quantity").alias("tempo")))
-    return per_id.select(_line_id("r").alias("request_key"), F.lit(0).alias("page_no"),
+    return per_id.select(_line_id("r").alias("request_key"), F.lit(0).cast("long").alias("page_no"),
                            F.when(F.col("l_orderkey") % 13 == 5, F.lit(404)).otherwise(F.lit(200))
                            .alias("status"), body.alias("body"))

@@ -104,12 +104,16 @@ def artist_album_tracks(album_pages: DataFrame, track_pages: DataFrame) -> DataF
                     F.struct("album_ord", "tp", "tpos").alias("ordinal"))
 
 
-def search_playlists(landed: DataFrame, limit: int | None = None) -> DataFrame:
+def search_playlists(landed: DataFrame, limit: int | None = None,
+                     page_size: int = 50) -> DataFrame:
     """Playlist-search pages -> (id, name, owner '', track_count 0); null
-    items skipped; ``limit`` = results the request asked for (by position)."""
+    items skipped; ``limit`` = results the request asked for, counted over all
+    its pages (``page_no * page_size + pos``)."""
+    if limit is not None:      # later pages are not even parsed
+        landed = landed.filter(F.col("page_no") * page_size < limit)
     it = _items(landed, PLAYLIST_SEARCH, "playlists.items")
-    if limit is not None:      # a limited search is answered by its first page
-        it = it.filter((F.col("page_no") == 0) & (F.col("pos") < limit))
+    if limit is not None:
+        it = it.filter(F.col("page_no") * page_size + F.col("pos") < limit)
     return it.filter(F.col("it").isNotNull()).select(
         "request_key", "pos", F.col("it.id").alias("id"), F.col("it.name").alias("name"),
         F.coalesce(F.col("it.owner.display_name"), F.lit("")).alias("owner"),
@@ -140,8 +144,9 @@ def id_map(landed: DataFrame) -> DataFrame:
 
 def audio_features(landed: DataFrame) -> DataFrame:
     """Feature payloads -> the 11 feature columns (missing keys -> null);
-    non-200 responses give no row."""
-    parsed = _ok(landed).select("request_key", F.from_json("body", FEATURES).alias("f"))
+    non-200 responses and bodies that are no JSON object give no row."""
+    parsed = _ok(landed).filter(F.get_json_object("body", "$").startswith("{")).select(
+        "request_key", F.from_json("body", FEATURES).alias("f"))
     return parsed.select("request_key", *[F.col(f"f.{c}").alias(c) for c in AUDIO_FEATURES])
 
 

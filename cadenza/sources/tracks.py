@@ -4,15 +4,17 @@ Never infer schemas: an artist named ``1991`` would turn the name column of
 its file into integers and silently lose its rows in the label join.
 
 Files with different headers (15-column artist files, 16-column labelled
-files with ``genre`` after ``album_name``) are read in **one** positional
-scan: every file's header row gives its column positions, a per-file map
-(one small row per file) is joined back, and each target column is picked by
-position.  A plain multi-file CSV read would misalign such files.
+files with ``genre`` after ``album_name``, any other order or width) are
+grouped by their header line; every group is scanned with its own explicit
+schema and the groups are united by column name.  No row is told from a header
+by its content, so every row of every file is kept.
 """
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ from pyspark.sql import types as T
 
 from cadenza.functions.vocab import LABEL_FILE
 
+# FIXED VALUES: columns of the track files, in file order
 TRACK_COLUMNS = [
     ("track_name", "string"), ("track_id", "string"), ("artist_name", "string"),
     ("album_name", "string"), ("danceability", "double"), ("energy", "double"),
@@ -34,13 +37,18 @@ TRACK_SCHEMA = T.StructType([T.StructField(n, _TYPES[t]) for n, t in TRACK_COLUM
 LABEL_SCHEMA = T.StructType([T.StructField("artist_name", T.StringType()),
                              T.StructField("genre", T.StringType())])
 
-_MAX_COLS = 32          # widest header accepted by the positional scan
+def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """First line of every file: file_path, file_name, header.
 
-
-def _csv(spark: SparkSession, width: int):
-    raw = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
-    return (spark.read.schema(raw).option("header", False).option("escape", '"')
-            .option("mode", "PERMISSIVE"))
+    The lines are found in parallel by the text source (only lines of a file's
+    first split are kept, one survives per file).
+    """
+    lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
+        "value", F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_block_start").alias("blk"))
+    first = lines.filter(F.col("blk") == 0).withColumn("mid", F.monotonically_increasing_id())
+    return first.groupBy("file_path", "file_name").agg(F.min_by("value", "mid").alias("header"))
 
 
 def read_tracks(spark: SparkSession, paths: str | Sequence[str],
@@ -51,37 +59,37 @@ def read_tracks(spark: SparkSession, paths: str | Sequence[str],
 
     Adds ``file_name`` and ``row_ord`` (ordinal within the scan: file path,
     split start, position) so "first row of a file" stays well defined.
-    Columns missing from a file are null; ``drop_columns`` are removed.
+    Columns missing from a file are null, further ones are ignored (the first
+    of two columns of one name counts); ``drop_columns`` are removed.  Rows with
+    an empty first field stay.  The driver sees one row per file (it lists the
+    files anyway) and one scan is planned per distinct header.
     """
-    if isinstance(paths, str):
-        paths = [paths]
-    df = _csv(spark, _MAX_COLS).csv(list(paths)).select(
-        "*", F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_block_start").alias("__blk"))
-    excl = list(exclude_files)
-    if excl:
-        df = df.filter(~F.col("file_name").isin(excl))
-    df = df.withColumn("__mid", F.monotonically_increasing_id())
-    cells = F.array(*[F.col(f"_c{i}") for i in range(_MAX_COLS)])
-    names = [n for n, _ in columns]
-    is_header = (F.col("_c0") == names[0]) & (F.col("__blk") == 0) & \
-        F.array_contains(cells, "artist_name")
-    headers = (df.filter(is_header)
-               .groupBy("file_path").agg(F.first(cells).alias("__hdr")))
-    # per-file position of every target column (1-based; 0 = missing)
-    pos = headers.select("file_path", *[F.array_position("__hdr", n).alias(f"__p_{n}") for n in names])
-    body = df.filter(~is_header).join(pos, "file_path", "inner")
-    out_cols = []
-    for n, typ in columns:
-        p = F.col(f"__p_{n}")
-        v = F.when(p > 0, F.element_at(cells, p.cast("int")))
-        if typ != "string":
-            v = v.try_cast(typ)
-        out_cols.append(v.alias(n))
-    out = body.select(*out_cols, "file_name",
-                      F.struct("file_path", "__blk", "__mid").alias("row_ord"))
-    return out.drop(*[c for c in drop_columns if c in out.columns])
+    excl = set(exclude_files)
+    by_header: dict[str, list[str]] = {}
+    for r in file_headers(spark, paths).collect():
+        if r["file_name"] not in excl:
+            by_header.setdefault(r["header"].lstrip("\ufeff"), []).append(unquote(r["file_path"]))
+    wanted = [(n, typ) for n, typ in columns if n not in set(drop_columns)]
+    out = None
+    for header, files in sorted(by_header.items()):
+        names: list[str] = []
+        for i, n in enumerate(next(csv.reader([header]))):
+            names.append(n if n and n not in names else f"__c{i}")
+        raw = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        rows = (spark.read.schema(raw).option("header", True).option("escape", '"').option("mode", "PERMISSIVE")
+                .csv(sorted(files)))
+        cols = [(F.lit(None).cast(typ) if n not in names else F.col(f"`{n}`") if typ == "string"
+                 else F.col(f"`{n}`").try_cast(typ)).alias(n) for n, typ in wanted]
+        part = rows.select(*cols, F.col("_metadata.file_name").alias("file_name"),
+                           F.struct(F.col("_metadata.file_path").alias("file_path"),
+                                    F.col("_metadata.file_block_start").alias("__blk"),
+                                    F.monotonically_increasing_id().alias("__mid")).alias("row_ord"))
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        fields = ", ".join([f"{n} {typ}" for n, typ in wanted]
+                           + ["file_name string, row_ord struct<file_path:string,__blk:bigint,__mid:bigint>"])
+        return spark.createDataFrame([], fields)
+    return out
 
 
 def read_labels(spark: SparkSession, path: str) -> DataFrame:

@@ -13,7 +13,8 @@ a checkpoint reads every new file exactly once, and each micro-batch
 Step 2 has two modes.  ``dedupe="state"`` (default) parses inside the stream
 and keeps the seen keys in Structured Streaming's state store
 (``dropDuplicates`` on the stream; checkpointed, partitioned by key, and
-nothing is re-read from the sink).  ``dedupe="sink"`` anti-joins each batch
+nothing is re-read from the sink; the state never expires, so on large key sets
+use the RocksDB state store).  ``dedupe="sink"`` anti-joins each batch
 with the keys already in the sink: for parsers that aggregate (``id_map``)
 and cannot run inside a stream, at the cost of reading the sink's key
 columns on every batch.
@@ -25,9 +26,11 @@ trigger.
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,16 +38,24 @@ from pyspark.sql import types as T
 from cadenza.session import ensure_checkpoint_dir
 
 LANDED_SCHEMA = T.StructType([
-    T.StructField("request_key", T.StringType()), T.StructField("page_no", T.IntegerType()),
+    T.StructField("request_key", T.StringType()), T.StructField("page_no", T.LongType()),
     T.StructField("status", T.IntegerType()), T.StructField("body", T.StringType()),
 ])
 
 
-def _existing(spark: SparkSession, sink: str, keys: Sequence[str]) -> DataFrame | None:
+def _existing(spark: SparkSession, sink: str, keys: Sequence[str],
+              before_batch: int | None = None) -> DataFrame | None:
+    """Keys in the sink, of batches before ``before_batch`` if given; None when
+    there is no sink yet.  Any other failure to read it is raised."""
     try:
-        return spark.read.parquet(sink).select(*keys).distinct()
-    except Exception:          # no batch written yet
-        return None
+        rows = spark.read.parquet(sink)
+    except AnalysisException as ex:
+        if ex.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    if before_batch is not None:
+        rows = rows.filter(F.col("batch_id") < before_batch)
+    return rows.select(*keys).distinct()
 
 
 def incremental_landing(spark: SparkSession, landing_dir: str, sink: str,
@@ -61,8 +72,9 @@ def incremental_landing(spark: SparkSession, landing_dir: str, sink: str,
     if dedupe not in ("state", "sink"):
         raise ValueError("dedupe must be 'state' or 'sink'")
     if checkpoint is None:
-        checkpoint = os.path.join(ensure_checkpoint_dir(spark), "incremental",
-                                  os.path.basename(os.path.normpath(sink)))
+        # the whole path names the checkpoint: sinks of one base name stay apart
+        name = hashlib.sha256(os.path.normpath(sink).encode()).hexdigest()[:32]
+        checkpoint = os.path.join(ensure_checkpoint_dir(spark), "incremental", name)
     reader = spark.readStream.schema(LANDED_SCHEMA).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -78,7 +90,8 @@ def incremental_landing(spark: SparkSession, landing_dir: str, sink: str,
 
         def write_batch(batch: DataFrame, batch_id: int) -> None:
             rows = parse(batch).dropDuplicates(list(keys))
-            seen = _existing(batch.sparkSession, sink, keys)
+            # a batch that runs again must not meet its own earlier output
+            seen = _existing(batch.sparkSession, sink, keys, before_batch=batch_id)
             if seen is not None:
                 rows = rows.join(seen, on=list(keys), how="left_anti")
             rows.write.mode("overwrite").parquet(os.path.join(sink, f"batch_id={batch_id}"))
