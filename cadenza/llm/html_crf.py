@@ -60,7 +60,7 @@ _HINT_OF = {w: k for k, ws in _HINTS.items() for w in ws.split()}
 _SECTIONS = "nav header footer aside article main section form ul ol table figure blockquote details dialog menu".split()
 _LEAVES = "p h1 h2 h3 h4 li td div pre button figcaption dt dd blockquote".split()
 FEATURES = {name: i for i, name in enumerate(
-    ["bias", "first", "last"] + [f"in:{t}" for t in _SECTIONS] + [f"hint:{k}" for k in _HINTS]
+    ["bias"] + [f"in:{t}" for t in _SECTIONS] + [f"hint:{k}" for k in _HINTS]
     + [f"near:{k}" for k in _HINTS] + [f"leaf:{t}" for t in _LEAVES] + ["leaf:other"]
     + ["words:1-3", "words:4-9", "words:10-24", "words:25-", "links:all", "links:some", "links:none",
        "ends", "copyright", "caps", "in:article+aside", "no:article", "heading-first"])}
@@ -149,7 +149,7 @@ def features(blocks: list[block]) -> list[list[int]]:
     f, rows = FEATURES, []
     article = any("article" in b.path or "main" in b.path for b in blocks)
     seen_heading = False
-    for i, b in enumerate(blocks):
+    for b in blocks:
         words = b.text.count(" ") + 1
         share = b.linked / max(len(b.text), 1)
         row = [f["bias"], f["words:1-3" if words < 4 else "words:4-9" if words < 10 else "words:10-24" if words < 25 else "words:25-"],
@@ -158,7 +158,7 @@ def features(blocks: list[block]) -> list[list[int]]:
         row += [f[f"in:{t}"] for t in _SECTIONS if t in b.path]
         row += [f[f"hint:{h}"] for h in b.hints] + [f[f"near:{h}"] for h in b.near]
         seen_heading = seen_heading or b.tag == "h1"
-        for name, holds in (("first", i == 0), ("last", i == len(blocks) - 1), ("ends", b.text[-1:] in ".!?:;\"”»"),
+        for name, holds in (("ends", b.text[-1:] in ".!?:;\"”»"),
                             ("copyright", "©" in b.text), ("caps", b.text.isupper()), ("no:article", not article),
                             ("in:article+aside", "article" in b.path and bool(b.path & {"aside", "form", "nav", "footer"})),
                             ("heading-first", seen_heading)):
@@ -286,6 +286,10 @@ def labelled_pages(words: list[str], pages: int = PAGES) -> list[tuple[list[list
             body += [("", fill(some("comments", 1)[0][1]))]
         before = some("head", .4) + some("menu", .9) + some("notice", .25) + some("ad", .6) + some("side", .15) + some("form", .15)
         after = some("ad", .2) + some("side", .3) + some("comments", .35) + some("form", .2) + some("menu", .1) + some("foot", .9) + some("notice", .1)
+        if rng.random() < 0.2:
+            before = []
+        if rng.random() < 0.2:
+            after = []
         # a mark in the words tells the blocks of the main text apart
         page = "".join(fill(p) for _, p in before) + opening
         page += "".join(re.sub(r">([^<]+)", f">{MARK}\\1", p) if kind else p for kind, p in body) + closing
