@@ -20,16 +20,34 @@ empty table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import anti, possibly, saved, semi, tables, work_path
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk; without preallocation, which takes megabytes of every small
+#: state partition before it holds a row.
+STATE = {"spark.sql.streaming.stateStore.providerClass":
+         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+         "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 RECORD = "digest binary, n_points long, doc_id long, row_key long, locator string"
 
 
+@contextmanager
+def on_disk(spark: SparkSession):
+    """The session's state settings while the state is written or read."""
+    before = {k: spark.conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def normalised(text: str | Column) -> Column:
     """The text without ASCII white space.  Six plain replacements: each is one
     scan for a single byte, several times faster than a regular expression."""
@@ -57,9 +75,7 @@ def ingest(spark: SparkSession, feed: str, checkpoint: str, files_per_batch: int
     """Run all record files that are new in ``feed`` through the keyed state in
     ``checkpoint``.  Calling it again after more files arrived goes on from the
     retained state; a failed run is repeated from the checkpoint."""
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
-    try:
+    with on_disk(spark):
         seen = (spark.readStream.schema(RECORD).option("maxFilesPerTrigger", files_per_batch).parquet(feed)
                 .groupBy("digest").agg(
                     F.min(F.struct((-F.col("n_points")).alias("less"), F.col("doc_id").isNull().alias("no_id"),
@@ -68,11 +84,6 @@ def ingest(spark: SparkSession, feed: str, checkpoint: str, files_per_batch: int
         query = (seen.writeStream.outputMode("update").format("noop")
                  .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
         query.awaitTermination()
-    finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
 
 
 def retained(spark: SparkSession, checkpoint: str) -> DataFrame:
@@ -102,7 +113,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     records(docs, id_col, text_col).write.parquet(feed)
     ingest(spark, feed, checkpoint)
     own = spark.read.schema(RECORD).parquet(feed)
-    hits = saved(retained(spark, checkpoint).filter("group_size > 1"), "dedup-hits")
+    with on_disk(spark):
+        hits = saved(retained(spark, checkpoint).filter("group_size > 1"), "dedup-hits")
     split = saved(collisions(docs, hits, text_col), "dedup-split")
 
     # a digest without a second row needs no partner: the left join leaves it
