@@ -4,7 +4,7 @@ Fences and scaler statistics are aggregates over the whole table, computed
 eagerly with a few small actions (one row per feature comes back to the
 driver) and applied as literals, which lets Catalyst push the outlier
 predicate into the Parquet scan.  Quantiles are exact without holding a
-high-cardinality column in one buffer (see ``iqr_fences``).
+column in one buffer (see ``quantiles``).
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql.types import NumericType
 
 from cadenza.functions.exprs import safe_scale
 from cadenza.functions.vocab import DROP_FEATURES, IQR_THRESHOLD
+from cadenza.operators.quantiles import _num, quantiles
 
 
 def drop_features(df: DataFrame, cols: Iterable[str] = DROP_FEATURES) -> DataFrame:
@@ -32,167 +33,31 @@ def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
             if isinstance(f.dataType, NumericType) and f.name not in ex]
 
 
-def _num(c: str):
-    """Feature as double with NaN -> null (pandas skips NaN in quantiles;
-    Spark would sort NaN above every number)."""
-    x = F.col(c).cast("double")
-    return F.when(F.isnan(x), F.lit(None)).otherwise(x)
-
-
-def _interp(lo_v: float, hi_v: float, pos: float, k0: int, k1: int) -> float:
-    """Linear interpolation between order statistics (same form as Spark's
-    exact ``percentile``)."""
-    if k0 == k1:
-        return lo_v
-    return (k1 - pos) * lo_v + (pos - k0) * hi_v
-
-
-def select_quantiles(df: DataFrame, targets: Sequence[tuple[str, float]], counts: dict[str, int],
-                     accuracy: int = 10000, max_collect: int = 200_000,
-                     max_rounds: int = 12) -> dict[tuple[str, float], float]:
-    """Exact quantiles by distributed selection, for high-cardinality columns.
-
-    For every (feature, p) the two order statistics around ``(n-1)p`` are
-    bracketed with ``percentile_approx`` restricted to the current bracket;
-    one aggregation counts the rows below and inside every bracket.  A
-    bracket is collected only once its count proves it holds at most
-    ``max_collect`` values, so the driver never receives more than that,
-    whatever the table size.  Each round shrinks a bracket by about
-    ``accuracy / 6``.
-    """
-    state = {}
-    for c, p in targets:
-        n = counts[c]
-        if n == 0:
-            state[(c, p)] = None
-            continue
-        pos = (n - 1) * p
-        k0 = int(pos // 1)
-        state[(c, p)] = dict(pos=pos, k0=k0, k1=min(k0 + 1, n - 1), lo=None, hi=None,
-                             below=0, inside=n, distinct=None, delta=3.0 / accuracy, value=None)
-
-    def inside(c, st):
-        x = _num(c)
-        cond = x.isNotNull()
-        if st["lo"] is not None:
-            cond = cond & (x >= F.lit(st["lo"]))
-        if st["hi"] is not None:
-            cond = cond & (x <= F.lit(st["hi"]))
-        return cond
-
-    def finish(c, st) -> bool:
-        """Exact answer from (value, count) pairs of the bracket: ties cost
-        one row each.  At most ``2 * max_collect + 1`` rows reach the driver."""
-        pairs = (df.select(_num(c).alias("v")).filter(inside(c, st)).groupBy("v")
-                 .agg(F.count(F.lit(1)).alias("n")).orderBy("v").limit(2 * max_collect + 1)
-                 .collect())
-        if len(pairs) > 2 * max_collect:
-            st["distinct"] = None
-            return False
-        want, got, cum = [st["k0"] - st["below"], st["k1"] - st["below"]], [], 0
-        for v, n in pairs:
-            while len(got) < 2 and want[len(got)] < cum + n:
-                got.append(v)
-            cum += n
-        st["value"] = _interp(got[0], got[1], st["pos"], st["k0"], st["k1"])
-        return True
-
-    for _ in range(max_rounds):
-        active = {t: st for t, st in state.items() if st is not None and st["value"] is None}
-        if not active:
-            break
-        done = set()
-        for (c, p), st in active.items():
-            few = st["inside"] <= max_collect or (st["distinct"] is not None
-                                                  and st["distinct"] <= max_collect // 2)
-            if few and finish(c, st):
-                done.add((c, p))
-        big = {t: st for t, st in active.items() if t not in done}
-        if not big:
-            continue
-        aggs = []
-        for i, ((c, p), st) in enumerate(big.items()):
-            fl = max(0.0, (st["k0"] - st["below"]) / st["inside"] - st["delta"])
-            fh = min(1.0, (st["k1"] - st["below"]) / st["inside"] + st["delta"])
-            aggs.append(F.percentile_approx(F.when(inside(c, st), _num(c)),
-                                            F.array(F.lit(fl), F.lit(fh)), accuracy).alias(f"q{i}"))
-        qs = df.agg(*aggs).first()
-        counts_aggs, cand = [], {}
-        for i, ((c, p), st) in enumerate(big.items()):
-            a, b = qs[f"q{i}"]
-            cand[(c, p)] = (a, b)
-            x = _num(c)
-            in_new = inside(c, st) & (x >= F.lit(a)) & (x <= F.lit(b))
-            counts_aggs += [F.count_if(inside(c, st) & (x < F.lit(a))).alias(f"b{i}"),
-                            F.count_if(in_new).alias(f"i{i}"),
-                            F.approx_count_distinct(F.when(in_new, x)).alias(f"d{i}")]
-        cr = df.agg(*counts_aggs).first()
-        for i, (t, st) in enumerate(big.items()):
-            below, ins = st["below"] + cr[f"b{i}"], cr[f"i{i}"]
-            if below <= st["k0"] and st["k1"] < below + ins:      # ranks still inside
-                st.update(lo=cand[t][0], hi=cand[t][1], below=below, inside=ins,
-                          distinct=cr[f"d{i}"])
-            else:                                                   # sketch missed: widen
-                st["delta"] *= 4
-    if any(st is not None and st["value"] is None for st in state.values()):
-        raise RuntimeError("quantile selection did not converge; raise max_collect")
-    return {t: (None if st is None else st["value"]) for t, st in state.items()}
-
-
 def iqr_fences(df: DataFrame, features: Sequence[str], threshold: float = IQR_THRESHOLD,
-               method: str = "auto", accuracy: int = 10000,
-               distinct_limit: int = 100_000, max_collect: int = 200_000) -> DataFrame:
+               method: str = "exact", accuracy: int = 10000) -> DataFrame:
     """Q1, Q3, IQR and fences per feature, long form (one row per feature).
 
     Quantiles interpolate linearly between order statistics (as pandas
-    ``quantile``); NaN is treated as missing.
-
-    * ``exact``  Spark ``percentile``: its buffer holds each distinct value,
-      fine for low-cardinality features;
-    * ``select`` exact distributed selection (``select_quantiles``), memory
-      bounded whatever the cardinality;
-    * ``approx`` ``percentile_approx`` sketch (not equal to the exact value);
-    * ``auto``   (default) one cheap pass counts rows and estimates distinct
-      values; features under ``distinct_limit`` use ``exact``, others ``select``.
+    ``quantile``); NaN is treated as missing.  ``exact`` takes two scans
+    whatever the number of features (``quantiles.quantiles``); ``approx`` is one
+    ``percentile_approx`` sketch (not equal to the exact value).
     """
-    spark = df.sparkSession
     probs = (0.25, 0.75)
-    vals: dict[tuple[str, float], float | None] = {}
-    if method == "approx":
-        row = df.agg(*[F.percentile_approx(_num(c), F.array(*[F.lit(p) for p in probs]),
-                                           accuracy).alias(c) for c in features]).first()
-        vals = {(c, p): (row[c][i] if row[c] else None) for c in features for i, p in enumerate(probs)}
+    if method == "exact":
+        q = quantiles(df, features, probs, accuracy=accuracy)
+    elif method == "approx":
+        wide = df.agg(*[F.percentile_approx(_num(c), F.array(*[F.lit(p) for p in probs]), accuracy).alias(f"f{i}")
+                        for i, c in enumerate(features)])
+        q = wide.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("feature"), F.lit(p).alias("prob"), F.get(F.col(f"f{i}"), F.lit(j)).alias("value"))
+            for i, c in enumerate(features) for j, p in enumerate(probs)])).alias("s")).select("s.*")
     else:
-        exact_cols, select_cols, counts = list(features), [], {}
-        if method in ("auto", "select"):
-            row = df.agg(*[F.count(_num(c)).alias(f"n_{c}") for c in features],
-                         *[F.approx_count_distinct(_num(c)).alias(f"d_{c}") for c in features]).first()
-            counts = {c: row[f"n_{c}"] for c in features}
-            if method == "select":
-                exact_cols, select_cols = [], list(features)
-            else:
-                exact_cols = [c for c in features if row[f"d_{c}"] <= distinct_limit]
-                select_cols = [c for c in features if c not in exact_cols]
-        elif method != "exact":
-            raise ValueError(f"unknown quantile method {method!r}")
-        if exact_cols:
-            row = df.agg(*[F.percentile(_num(c), F.array(*[F.lit(p) for p in probs])).alias(c)
-                           for c in exact_cols]).first()
-            vals.update({(c, p): (row[c][i] if row[c] else None)
-                         for c in exact_cols for i, p in enumerate(probs)})
-        if select_cols:
-            vals.update(select_quantiles(df, [(c, p) for c in select_cols for p in probs],
-                                         counts, accuracy, max_collect))
-    rows = []
-    for c in features:
-        q1, q3 = vals[(c, 0.25)], vals[(c, 0.75)]
-        if q1 is None or q3 is None:
-            rows.append((c, None, None, None, None, None))
-            continue
-        iqr = q3 - q1
-        rows.append((c, float(q1), float(q3), iqr, q1 - threshold * iqr, q3 + threshold * iqr))
-    return spark.createDataFrame(
-        rows, "feature string, q1 double, q3 double, iqr double, lower double, upper double")
+        raise ValueError(f"unknown quantile method {method!r}")
+    both = q.groupBy("feature").agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n)
+                                      for n, p in (("q1", 0.25), ("q3", 0.75))])
+    iqr = F.col("q3") - F.col("q1")
+    return both.select("feature", "q1", "q3", iqr.alias("iqr"), (F.col("q1") - threshold * iqr).alias("lower"),
+                       (F.col("q3") + threshold * iqr).alias("upper"))
 
 
 def collect_fences(fences: DataFrame) -> dict[str, tuple[float, float]]:
@@ -240,7 +105,7 @@ def keep_predicate(fences: dict[str, tuple[float, float]], schema=None):
 
 def remove_outliers(df: DataFrame, features: Sequence[str], threshold: float = IQR_THRESHOLD,
                     fences: dict[str, tuple[float, float]] | None = None,
-                    method: str = "auto") -> DataFrame:
+                    method: str = "exact") -> DataFrame:
     """Drop a row when any feature lies outside its inclusive fences.
 
     All fences come from the same, unfiltered input.  Null / NaN kept.
@@ -252,7 +117,7 @@ def remove_outliers(df: DataFrame, features: Sequence[str], threshold: float = I
 
 def outlier_report(df: DataFrame, features: Sequence[str], threshold: float = IQR_THRESHOLD,
                    fences: dict[str, tuple[float, float]] | None = None,
-                   method: str = "auto") -> DataFrame:
+                   method: str = "exact") -> DataFrame:
     """One row: n_total, n_outliers, pct_outliers (0 for an empty input)."""
     if fences is None:
         fences = collect_fences(iqr_fences(df, features, threshold, method))
@@ -299,129 +164,3 @@ def inverse_scale(df: DataFrame, features: Sequence[str],
         mu, sd = stats[c]
         out = out.withColumn(c + suffix, F.col(c) * safe_scale(F.lit(sd)) + F.lit(mu))
     return out
-
-
-def grouped_quantiles(df: DataFrame, group: str, features: Sequence[str],
-                      probs: Sequence[float] = (0.25, 0.5, 0.75), method: str = "auto",
-                      grid: int = 256, accuracy: int = 10000, distinct_limit: int = 1_000_000,
-                      max_collect: int = 200_000, max_rounds: int = 12) -> dict:
-    """Exact per-group quantiles (linear interpolation, NaN as missing).
-
-    ``exact`` uses Spark ``percentile`` per group: its buffer holds the
-    group's distinct values, so one huge group with a continuous feature
-    lands in one task.  ``auto`` (default) estimates distinct values per
-    (group, feature) first and sends only the high-cardinality pairs to
-    selection: each round takes ``grid + 1`` sketch quantiles inside every
-    group's current bracket (one grouped aggregation), keeps the grid cell
-    around the target rank, and verifies it with exact grouped counts; a
-    bracket is collected as (value, count) pairs only once its distinct
-    count is proven small.  Returns ``{(group, feature, p): value}``; the
-    driver holds per-group state only (groups x features x probs).
-    """
-    if method not in ("auto", "exact"):
-        raise ValueError(f"unknown method {method!r}")
-    spark = df.sparkSession
-    probs = list(probs)
-    res: dict = {}
-    stats = df.groupBy(group).agg(*[F.count(_num(c)).alias(f"n_{c}") for c in features],
-                                  *[F.approx_count_distinct(_num(c)).alias(f"d_{c}")
-                                    for c in features]).collect()     # one row per group
-    for c in features:
-        high = [] if method == "exact" else [r[group] for r in stats if r[f"d_{c}"] > distinct_limit]
-        low_rows = (df.filter(~F.col(group).isin(high)) if high else df)
-        ex = low_rows.groupBy(group).agg(
-            F.percentile(_num(c), F.array(*[F.lit(p) for p in probs])).alias("q")).collect()
-        for r in ex:
-            for i, p in enumerate(probs):
-                res[(r[group], c, p)] = r["q"][i] if r["q"] else None
-        if not high:
-            continue
-        ncount = {r[group]: r[f"n_{c}"] for r in stats}
-        st = {}
-        for g in high:
-            n = ncount[g]
-            for p in probs:
-                pos = (n - 1) * p
-                k0 = int(pos // 1)
-                st[(g, p)] = dict(pos=pos, k0=k0, k1=min(k0 + 1, n - 1), lo=None, hi=None,
-                                  below=0, inside=n, distinct=None, value=None)
-        _grouped_select(df, group, c, st, grid, accuracy, max_collect, max_rounds, spark)
-        for (g, p), s in st.items():
-            res[(g, c, p)] = s["value"]
-    return res
-
-
-def _grouped_select(df, group, c, st, grid, accuracy, max_collect, max_rounds, spark):
-    x = _num(c)
-    fr = [i / grid for i in range(grid + 1)]
-    bracket_schema = f"{group} {df.schema[group].dataType.simpleString()}, __t int, __lo double, __hi double"
-    for _ in range(max_rounds):
-        active = [(t, s) for t, s in st.items() if s["value"] is None]
-        if not active:
-            return
-        # 1) finish brackets whose distinct values are few: (value, count) pairs
-        for t, s in active:
-            if s["inside"] <= max_collect or (s["distinct"] is not None
-                                              and s["distinct"] <= max_collect // 2):
-                cond = (F.col(group) == F.lit(t[0])) & x.isNotNull()
-                if s["lo"] is not None:
-                    cond = cond & (x >= F.lit(s["lo"])) & (x <= F.lit(s["hi"]))
-                pairs = (df.filter(cond).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("n"))
-                         .orderBy("v").limit(2 * max_collect + 1).collect())
-                if len(pairs) > 2 * max_collect:
-                    s["distinct"] = None
-                    continue
-                want, got, cum = [s["k0"] - s["below"], s["k1"] - s["below"]], [], 0
-                for v, n in pairs:
-                    while len(got) < 2 and want[len(got)] < cum + n:
-                        got.append(v)
-                    cum += n
-                s["value"] = _interp(got[0], got[1], s["pos"], s["k0"], s["k1"])
-        active = [(t, s) for t, s in st.items() if s["value"] is None]
-        if not active:
-            return
-        # 2) one grouped sketch pass: grid quantiles inside every bracket
-        keys = list(dict.fromkeys(t for t, _ in active))
-        tid = {t: i for i, t in enumerate(keys)}
-        br = spark.createDataFrame(
-            [(t[0], tid[t], st[t]["lo"], st[t]["hi"]) for t in keys], bracket_schema)
-        rows = df.select(F.col(group), x.alias("__x")).filter(F.col("__x").isNotNull()) \
-                 .join(F.broadcast(br), group)          # br: one row per active target
-        inside = ((F.col("__lo").isNull() | (F.col("__x") >= F.col("__lo")))
-                  & (F.col("__hi").isNull() | (F.col("__x") <= F.col("__hi"))))
-        sk = {r["__t"]: r["q"] for r in rows.filter(inside).groupBy("__t").agg(
-            F.percentile_approx("__x", F.array(*[F.lit(f) for f in fr]), accuracy).alias("q")
-        ).collect()}
-        cand = {}
-        for t in keys:
-            s, q = st[t], sk.get(tid[t])
-            if not q:
-                continue
-            f0 = (s["k0"] - s["below"]) / s["inside"]
-            f1 = (s["k1"] - s["below"]) / s["inside"]
-            i0 = max(0, int(f0 * grid) - 1)
-            i1 = min(grid, int(f1 * grid) + 2)
-            cand[t] = (q[i0], q[i1])
-        # 3) exact grouped counts below / inside the candidate brackets
-        cb = spark.createDataFrame(
-            [(t[0], tid[t], cand[t][0], cand[t][1]) for t in cand], bracket_schema)
-        rows2 = df.select(F.col(group), x.alias("__x")).filter(F.col("__x").isNotNull()) \
-                  .join(F.broadcast(br.select(group, "__t", F.col("__lo").alias("__olo"),
-                                              F.col("__hi").alias("__ohi"))), group) \
-                  .join(F.broadcast(cb.drop(group)), "__t")
-        old = ((F.col("__olo").isNull() | (F.col("__x") >= F.col("__olo")))
-               & (F.col("__ohi").isNull() | (F.col("__x") <= F.col("__ohi"))))
-        new = old & (F.col("__x") >= F.col("__lo")) & (F.col("__x") <= F.col("__hi"))
-        cnt = {r["__t"]: r for r in rows2.groupBy("__t").agg(
-            F.count_if(old & (F.col("__x") < F.col("__lo"))).alias("b"),
-            F.count_if(new).alias("i"),
-            F.approx_count_distinct(F.when(new, F.col("__x"))).alias("d")).collect()}
-        for t in cand:
-            s, r = st[t], cnt.get(tid[t])
-            if r is None:
-                continue
-            below = s["below"] + r["b"]
-            if below <= s["k0"] and s["k1"] < below + r["i"]:
-                s.update(lo=cand[t][0], hi=cand[t][1], below=below, inside=r["i"], distinct=r["d"])
-    if any(s["value"] is None for s in st.values()):
-        raise RuntimeError("grouped quantile selection did not converge; raise max_collect")

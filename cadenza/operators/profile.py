@@ -23,28 +23,24 @@ def corr_matrix(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def box_summary(df: DataFrame, cls: str, features: Sequence[str],
-                threshold: float = 1.5, method: str = "auto") -> DataFrame:
+                threshold: float = 1.5) -> DataFrame:
     """Per class and feature: min, Q1, median, Q3, max and the IQR fences.
 
-    Quantiles are exact (``clean.grouped_quantiles``): low-cardinality
-    (class, feature) pairs use ``percentile``, the others distributed
-    selection, so a huge class never holds its values in one buffer.
+    Quantiles are exact (``quantiles.quantiles``: two scans for all classes
+    and features, no class's values in one buffer); a null class is a class.
     """
-    from cadenza.operators.clean import grouped_quantiles
-    q = grouped_quantiles(df, cls, features, (0.25, 0.5, 0.75), method=method)
-    spark = df.sparkSession
-    rows = [(g, c, q[(g, c, 0.25)], q[(g, c, 0.5)], q[(g, c, 0.75)])
-            for (g, c, p) in q if p == 0.25]
-    cls_t = df.schema[cls].dataType.simpleString()
-    qdf = spark.createDataFrame(rows, f"{cls} {cls_t}, feature string, q1 double, "
-                                      "median double, q3 double")   # classes x features
+    from cadenza.operators.quantiles import quantiles
+    names = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    q = quantiles(df, features, list(names.values()), group=cls).groupBy(
+        F.col(cls).alias("__c"), F.col("feature").alias("__f")).agg(
+        *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for n, p in names.items()])
     mm = df.groupBy(cls).agg(*[F.min(c).cast("double").alias(f"{c}__min") for c in features],
                              *[F.max(c).cast("double").alias(f"{c}__max") for c in features])
     longs = [F.struct(F.lit(c).alias("feature"), F.col(f"{c}__min").alias("min"),
                       F.col(f"{c}__max").alias("max")) for c in features]
     mm = mm.select(cls, F.explode(F.array(*longs)).alias("s")).select(cls, "s.*")
-    out = mm.join(qdf, [cls, "feature"], "left").select(cls, "feature", "min", "q1", "median",
-                                                       "q3", "max")
+    out = mm.join(q, F.col(cls).eqNullSafe(F.col("__c")) & (F.col("feature") == F.col("__f")), "left") \
+            .select(cls, "feature", "min", "q1", "median", "q3", "max")
     iqr = F.col("q3") - F.col("q1")
     return out.withColumn("lower", F.col("q1") - threshold * iqr) \
               .withColumn("upper", F.col("q3") + threshold * iqr)

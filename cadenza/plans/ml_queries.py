@@ -19,22 +19,9 @@ def _emb(spark, sf):
     return t(spark, sf, "embeddings").select("vec_id", "embedding", "label")
 
 
-_SWEEPS: dict = {}
-
-
 def _sweep(spark, sf):
-    """The k sweep, fitted once per session and input (models memoised by
-    (application, folder, k range, starts, seed)); sweep and compare share it."""
-    import os
-    path = os.path.join(sf, "embeddings.parquet")
-    key = (spark.sparkContext.applicationId, os.path.abspath(path), os.path.getmtime(path),
-           tuple(K_RANGE), N_INIT, SEED)
-    if key not in _SWEEPS:
-        res, models = clusters.kmeans_sweep(_emb(spark, sf), "vec_id", "embedding", K_RANGE,
-                                            N_INIT, SEED)
-        _SWEEPS[key] = ([tuple(r) for r in res.collect()], models)    # 14 rows
-    rows, models = _SWEEPS[key]
-    return spark.createDataFrame(rows, "k int, inertia double, silhouette double, n long"), models
+    return clusters.kmeans_sweep(_emb(spark, sf), "vec_id", "embedding", K_RANGE, N_INIT, SEED,
+                                 silhouette="exact")
 
 
 @register("kmeans_sweep", None)
@@ -50,10 +37,9 @@ def kmeans_compare(spark, sf):
     emb = _emb(spark, sf)
     sweep, models = _sweep(spark, sf)
     best = clusters.best_k(sweep)
-    ks = sorted({2, best, 10, 15})
     data = clusters.to_vector(emb, "embedding")
     rows = []
-    for k in ks:
+    for k in sorted({2, best, 10, 15}):
         pred = models[k].transform(data).select("vec_id", "label", "cluster")
         ag = metrics.cluster_agreement(pred, "cluster", "label").first()
         rows.append((k, float(ag["ari"]), float(ag["nmi"])))
@@ -63,6 +49,99 @@ def kmeans_compare(spark, sf):
                       r6("ari").alias("ari"), r6("nmi").alias("nmi"), "is_best_silhouette")
 
 
+# ---- properties that hold whatever the random start --------------------------
+
+@register("kmeans_checks", """
+SELECT CAST(5 AS INTEGER) AS k, count(*) AS n, CAST(5 AS BIGINT) AS n_clusters, count(*) AS n_nearest,
+       true AS inertia_is_sum, true AS below_one_cluster FROM embeddings
+""")
+def kmeans_checks(spark, sf):
+    """One fit checked row by row: sizes sum to n, every row sits with its nearest
+    centre, the reported inertia is the sum of squared distances and lies below
+    that of a single cluster."""
+    from pyspark.ml.functions import vector_to_array
+    data = clusters.to_vector(_emb(spark, sf), "embedding")
+    model, cost = clusters.fit_kmeans(data, 5, n_init=3, seed=SEED)
+    whole = (_emb(spark, sf).select(F.posexplode("embedding")).groupBy("pos").agg(
+        (F.var_pop(F.col("col").cast("double")) * F.count("col")).alias("s")).agg(F.sum("s")).first()[0])
+    centres = [[float(x) for x in c] for c in model.clusterCenters()]
+    pred = model.transform(data).select("cluster", vector_to_array("features").alias("v"))
+    far = F.array(*[F.aggregate(F.zip_with("v", F.array(*map(F.lit, c)), lambda a, b: (a - b) * (a - b)),
+                                F.lit(0.0), lambda a, x: a + x) for c in centres])
+    rows = pred.withColumn("d", far).withColumn("own", F.element_at("d", F.col("cluster") + 1))
+    got = rows.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("cluster").alias("n_clusters"),
+                   F.count_if(F.col("own") <= F.array_min("d") + 1e-9).alias("n_nearest"), F.sum("own").alias("s"))
+    return got.select(F.lit(5).alias("k"), "n", "n_clusters", "n_nearest",
+                      (F.abs(F.col("s") - F.lit(cost)) < 1e-6 * F.lit(cost)).alias("inertia_is_sum"),
+                      F.lit(cost < whole).alias("below_one_cluster"))
+
+
+@register("pca_variance", """
+WITH x AS (SELECT unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS d FROM embeddings),
+s AS (SELECT d, var_samp(v) AS v FROM x GROUP BY d)
+SELECT round(sum(v), 4) AS total_variance, count(*) AS n_components, 1.0 AS ratio_sum, true AS falling FROM s
+""")
+def pca_variance(spark, sf):
+    """All components: their variances sum to the trace of the covariance."""
+    emb = _emb(spark, sf)
+    d = len(emb.first()["embedding"])
+    proj, ratios = clusters.pca(emb, "vec_id", "embedding", d)
+    total = proj.agg(F.round(sum(F.var_samp(f"pc{i + 1}") for i in range(d)), 4).alias("total_variance"))
+    return total.select("total_variance", F.lit(d).cast("long").alias("n_components"),
+                        F.lit(round(sum(ratios), 6)).cast("double").alias("ratio_sum"),
+                        F.lit(all(a >= b - 1e-12 for a, b in zip(ratios, ratios[1:]))).alias("falling"))
+
+
+@register("label_codes", """
+SELECT o_orderpriority, CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS DOUBLE) AS label_idx,
+       o_orderpriority AS decoded, count(*) AS n FROM orders GROUP BY o_orderpriority
+""")
+def label_codes(spark, sf):
+    """Alphabetical label codes and their way back."""
+    enc, indexer = classify.encode_labels(t(spark, sf, "orders").select("o_orderpriority"), "o_orderpriority")
+    back = classify.decode_labels(enc, indexer, "label_idx", "decoded")
+    return back.groupBy("o_orderpriority", "label_idx", "decoded").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("best_rows", """
+WITH s AS (SELECT CAST(p_size AS INTEGER) AS k, round(avg(p_retailprice), 6) AS silhouette FROM part GROUP BY 1),
+m AS (SELECT p_brand AS model, round(avg(p_retailprice), 6) AS balanced_accuracy FROM part GROUP BY 1)
+SELECT (SELECT k FROM s ORDER BY silhouette DESC, k LIMIT 1) AS best_k,
+       (SELECT model FROM m ORDER BY balanced_accuracy DESC, model LIMIT 1) AS best_model
+""")
+def best_rows(spark, sf):
+    """The selection rules on score tables: largest score, first on ties."""
+    p = t(spark, sf, "part")
+    sweep = p.groupBy(F.col("p_size").cast("int").alias("k")).agg(r6(F.avg("p_retailprice")).alias("silhouette"))
+    comp = p.groupBy(F.col("p_brand").alias("model")).agg(r6(F.avg("p_retailprice")).alias("balanced_accuracy")).orderBy("model")
+    return spark.createDataFrame([(clusters.best_k(sweep), classify.best_model_name(comp))], "best_k int, best_model string")
+
+
+@register("model_checks", """
+WITH c AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label HAVING count(*) >= 30),
+n AS (SELECT sum(n) AS n, CAST(ceil(0.2 * sum(n)) AS BIGINT) AS n_test, count(*) AS classes FROM c)
+SELECT m.model, n.n_test, n.classes, true AS accuracy_agrees, 1.0 AS importance_sum, true AS importance_falling
+FROM n, (VALUES ('RandomForest'), ('GradientBoosting'), ('GBTDeep')) AS m(model)
+""")
+def model_checks(spark, sf):
+    """Small versions of the three presets: every test row gets a class, the
+    reported accuracy is the share of hits counted anew, and importances are
+    sorted and sum to one."""
+    train, test, names = _supervised(spark, sf)
+    small = [classify.Preset(p.name, p.kind, n_trees=8 if p.kind == "forest" else 3, max_depth=min(p.max_depth, 5), step=p.step)
+             for p in classify.PRESETS]
+    comp, models, indexer = classify.compare_models(train, test, "genre", names, presets=small, fit_partitions=2)
+    rows = []
+    for r in comp.collect():
+        pred = classify.decode_labels(models[r["model"]].transform(indexer.transform(test)), indexer)
+        n_test, hits = pred.agg(F.count("pred_label"), F.count_if(F.col("pred_label") == F.col("genre"))).first()
+        imp = [x["importance"] for x in classify.importance_table(spark, models[r["model"]], names).collect()]
+        rows.append((r["model"], n_test, len(indexer.labels), abs(r["accuracy"] - hits / n_test) < 1e-9, float(round(sum(imp), 6)),
+                     imp == sorted(imp, reverse=True)))
+    return spark.createDataFrame(rows, "model string, n_test long, classes long, accuracy_agrees boolean, "
+                                       "importance_sum double, importance_falling boolean")
+
+
 @register("pca", None)
 def pca(spark, sf):
     proj, ratios = clusters.pca(_emb(spark, sf), "vec_id", "embedding", 2)
@@ -88,7 +167,7 @@ def model_compare(spark, sf):
     model plus the feature importances of the best model (by balanced
     accuracy, first on ties), largest first."""
     train, test, names = _supervised(spark, sf)
-    comp, models, _ = classify.compare_models(train, test, "genre", names)
+    comp, models, _ = classify.compare_models(train, test, "genre", names, fit_partitions=2)
     best = classify.best_model_name(comp)
     scores = comp.select(F.lit("score").alias("kind"), "model",
                          F.explode(F.array(

@@ -146,38 +146,45 @@ def test_scale_inverse_identity(spark):
         assert r["a"] == pytest.approx(i) and r["b"] == pytest.approx(i * i)
 
 
-def test_quantile_selection_equals_exact(spark):
-    from cadenza.operators import clean
+@pytest.mark.parametrize("accuracy", [20, 200, 10_000])
+def test_quantiles_equal_percentile(spark, accuracy):
+    from cadenza.operators.quantiles import quantiles
     from conftest import SF01
-    li = spark.read.parquet(f"{SF01}/lineitem.parquet")
-    feats = ["l_extendedprice", "l_quantity", "l_discount"]
-    exact = {r["feature"]: r for r in clean.iqr_fences(li, feats, method="exact").collect()}
-    sel = {r["feature"]: r for r in
-           clean.iqr_fences(li, feats, method="select", accuracy=100, max_collect=500).collect()}
-    for f in feats:
-        assert sel[f]["q1"] == pytest.approx(exact[f]["q1"], rel=1e-12)
-        assert sel[f]["q3"] == pytest.approx(exact[f]["q3"], rel=1e-12)
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet").withColumn(
+        "c", F.when(F.col("l_returnflag") != "R", F.col("l_returnflag")))     # a null class
+    feats, probs = ["l_extendedprice", "l_quantity", "l_discount"], [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+    for group in (None, "c"):
+        got = {(r["c"] if group else 0, r["feature"], r["prob"]): r["value"]
+               for r in quantiles(li, feats, probs, group, accuracy=accuracy).collect()}
+        per = li.groupBy(*([group] if group else [])).agg(*[F.percentile(f, F.array(*[F.lit(p) for p in probs])).alias(f) for f in feats])
+        want = {(r["c"] if group else 0, f, p): r[f][i] for r in per.collect() for f in feats for i, p in enumerate(probs)}
+        assert set(got) == set(want)
+        for k in want:
+            assert got[k] == pytest.approx(want[k], rel=1e-12)
+
+
+def test_quantiles_of_small_tied_and_empty_groups(spark):
+    from cadenza.operators.quantiles import quantiles
+    rows = [("a", 1.0), ("a", 2.0), ("b", 5.0), ("c", None), ("d", float("nan")), ("d", 3.0), (None, 1.0), (None, 4.0), (None, 9.0)] + [("t", 7.0)] * 50 + [("t", 8.0)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {(r["g"], r["prob"]): r["value"] for r in quantiles(df, ["x"], [0.25, 0.5, 0.99], "g").collect()}
+    assert (got["a", 0.25], got["b", 0.5], got["c", 0.5], got["d", 0.5], got[None, 0.5], got["t", 0.5]) == (1.25, 5.0, None, 3.0, 4.0, 7.0)
+    assert got["t", 0.99] == pytest.approx(7.5) and got["a", 0.99] == pytest.approx(1.99)
+    assert quantiles(df.limit(0), ["x"], [0.5]).first()["value"] is None
+
+
+def test_box_summary_has_the_null_class(spark):
+    from cadenza.operators import profile
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 2.0), (None, 6.0)], "g string, x double")
+    got = {r["g"]: r for r in profile.box_summary(df, "g", ["x"]).collect()}
+    assert (got[None]["min"], got[None]["q1"], got[None]["median"], got[None]["max"]) == (2.0, 3.0, 4.0, 6.0)
 
 
 def test_quantiles_skip_nan(spark):
     from cadenza.operators import clean
     df = spark.createDataFrame([(float(v),) for v in [1, 2, 3, 4, 5]] + [(float("nan"),)] * 3, "x double")
-    for m in ("exact", "select"):
-        r = clean.iqr_fences(df, ["x"], method=m).first()
-        assert (r["q1"], r["q3"]) == (2.0, 4.0)
-
-
-def test_grouped_quantile_selection_equals_exact(spark):
-    from cadenza.operators import clean
-    from conftest import SF01
-    li = spark.read.parquet(f"{SF01}/lineitem.parquet")
-    feats = ["l_extendedprice", "l_discount"]
-    ex = clean.grouped_quantiles(li, "l_returnflag", feats, method="exact")
-    se = clean.grouped_quantiles(li, "l_returnflag", feats, distinct_limit=0, max_collect=300,
-                                 accuracy=200, grid=32)
-    assert set(ex) == set(se)
-    for k in ex:
-        assert se[k] == pytest.approx(ex[k], rel=1e-12)
+    r = clean.iqr_fences(df, ["x"]).first()
+    assert (r["q1"], r["q3"]) == (2.0, 4.0)
 
 
 def test_silhouette_multi_matches_single(spark):
