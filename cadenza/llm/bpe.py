@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import byte_hashes, tables
+from cadenza.llm.common import byte_hashes, tables, text_batches
 
 #: The byte-level split pattern (a fixed value of the vocabulary), with Unicode classes.
 PATTERN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -104,13 +104,14 @@ def _flat(column: pa.ListArray | pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
            block_bytes: int = BLOCK) -> DataFrame:
     """One row per document: doc_id, ids (array<int>)."""
+    text_batches(docs.sparkSession)
     vocab = vocabulary(path)
     special, model = vocab.special, vocab.model
     own = tables(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     # enough shares that the words of one fit a task: they grow with the blocks
-    shares = int(max(8, 4 * blocks ** 0.5))
+    shares = int(max(8, 8 * blocks ** 0.5))
     parts = (own.withColumn("block", F.pmod(F.xxhash64("doc_id", F.crc32(F.col("text").cast("binary"))), F.lit(blocks)).cast("int"))
              .repartition(max(int(blocks), 2), "block")
              .select("block", "doc_id", words("text", list(special)).alias("words")))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from cadenza.session import ensure_checkpoint_dir, read_table
 
 __all__ = ["MIX1", "MIX2", "WHITE", "adam", "anti", "arrow_map", "byte_hashes", "held_out", "joined", "mix64",
-           "possibly", "read_table", "row_chunks", "saved", "semi", "sigmoid", "tables", "temperature", "texts_of",
+           "possibly", "read_table", "row_chunks", "saved", "semi", "sigmoid", "tables", "temperature", "text_batches", "texts_of",
            "training_rows", "work_path"]
 
 #: ASCII white space of the contracts: space and tab to carriage return.
@@ -147,6 +147,16 @@ class byte_hashes:
         return mix64(raw + (ends - starts).astype(np.uint64))
 
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def text_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Fewer rows in an Arrow batch, where the session has the default: a row is a
+    whole text here, and ten thousand of them take a worker's memory."""
+    if spark.conf.get(_BATCH_ROWS, "10000") == "10000":
+        spark.conf.set(_BATCH_ROWS, str(rows))
+
+
 def arrow_map(df: DataFrame, rows: Callable, schema: str, most: int = 2 << 20,
               text: str = "text") -> DataFrame:
     """``mapInArrow`` over bounded chunks: ``rows(batch, texts)`` gets some rows
@@ -154,6 +164,7 @@ def arrow_map(df: DataFrame, rows: Callable, schema: str, most: int = 2 << 20,
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
+    text_batches(df.sparkSession)
     with_spark = _parse_datatype_string(schema)
     out = to_arrow_schema(with_spark)
 
