@@ -116,29 +116,6 @@ def safe_scale(sd: str | Column) -> Column:
     return F.when(sd.isNull() | (sd == 0), F.lit(1.0)).otherwise(sd)
 
 
-def standardize(x: str | Column, mean: str | Column, sd: str | Column) -> Column:
-    return (col_of(x) - col_of(mean)) / safe_scale(sd)
-
-
-def unstandardize(z: str | Column, mean: str | Column, sd: str | Column) -> Column:
-    return col_of(z) * safe_scale(sd) + col_of(mean)
-
-
-def contains_any(c: str | Column, keywords: Iterable[str]) -> Column:
-    """Substring match against any keyword (``any(k in s for k in kw)``), as
-    an OR-chain of ``contains`` (codegen'd; no lambda function)."""
-    c = col_of(c)
-    out = F.lit(False)
-    for k in keywords:
-        out = out | c.contains(k)
-    return out
-
-
-def nan_to_null(c: str | Column) -> Column:
-    c = col_of(c)
-    return F.when(F.isnan(c), F.lit(None)).otherwise(c)
-
-
 def _regex_escape(s: str) -> str:
     specials = set(r".^$*+?()[]{}|\\")
     return "".join("\\" + ch if ch in specials else ch for ch in s)

@@ -1,17 +1,15 @@
 """Tag relevance and coverage: which items carry genre-relevant tags.
 
-Relevance is one codegen'd expression: ``lower(tag) NOT IN (noise)`` and an
-OR-chain of ``contains`` — no lambda functions, which Spark evaluates
-interpreted.  Per-item coverage explodes the tags and folds them back per
-item with a partial aggregation (one row per item leaves each map task);
-tag frequencies are counted first and relevance is then decided once per
-distinct tag, not once per occurrence.
+Relevance is ``lower(tag) NOT IN (noise)`` and one alternation of the keywords.
+Per-item coverage is decided on each row's own array, without a shuffle; tag
+frequencies are counted first and relevance is then decided once per distinct
+tag, not once per occurrence.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,8 +22,8 @@ def is_relevant(tag: Column, keywords: Iterable[str] = GENRE_KEYWORDS,
                 noise: Iterable[str] = NOISE_TAGS) -> Column:
     """Lowered tag not in the noise set and containing any keyword."""
     low = F.lower(tag)
-    any_kw = reduce(lambda a, b: a | b, [low.contains(k) for k in keywords], F.lit(False))
-    return ~low.isin(list(noise)) & any_kw
+    either = "|".join(re.escape(k) for k in keywords)
+    return ~low.isin(list(noise)) & (low.rlike(either) if either else F.lit(False))
 
 
 def _name(c: Column, name_field: str | None) -> Column:
@@ -45,11 +43,11 @@ def split_tags(df: DataFrame, tags: str = "tags", name_field: str | None = None,
 def item_tag_counts(df: DataFrame, keys: Sequence[str], tags: str = "tags",
                     name_field: str | None = None, keywords: Iterable[str] = GENRE_KEYWORDS,
                     noise: Iterable[str] = NOISE_TAGS) -> DataFrame:
-    """Per item (``keys`` identify it): number of tags and of relevant tags."""
-    x = df.select(*keys, F.explode_outer(tags).alias("__t"))
-    name = _name(F.col("__t"), name_field)
-    return x.groupBy(*keys).agg(F.count(name).alias("n_tags"),
-                                F.count_if(is_relevant(name, keywords, noise)).alias("n_relevant"))
+    """Per item (row; ``keys`` are carried along): number of tags and of relevant
+    tags.  A null array has none; null tags do not count."""
+    names = F.filter(F.transform(F.coalesce(F.col(tags), F.array()), lambda t: _name(t, name_field)), lambda n: n.isNotNull())
+    return df.select(*keys, F.size(names).cast("long").alias("n_tags"),
+                     F.size(F.filter(names, lambda n: is_relevant(n, keywords, noise))).cast("long").alias("n_relevant"))
 
 
 def coverage(items: DataFrame, threshold: float = RELEVANT_RATE_TO_PROCEED) -> DataFrame:

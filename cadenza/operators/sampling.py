@@ -23,6 +23,22 @@ from cadenza.functions.exprs import hash_bucket, hash_key
 from cadenza.functions.vocab import MIN_CLASS_SUPPORT, SEED, TEST_FRACTION
 
 _BUCKET_DIGITS = 4          # 16**4 = 65,536 hash buckets per class
+#: Rows of a class table that may be broadcast to the fact rows.
+BROADCAST_ROWS = 200_000
+
+
+def join_classes(facts: DataFrame, classes: DataFrame, cls: str, how: str) -> DataFrame:
+    """Join a per-class table to the facts, null-safe on ``cls``.
+
+    The class table is written once and counted; up to ``BROADCAST_ROWS`` rows
+    it is broadcast, so the facts are not shuffled and a hot class stays where
+    its rows are.  A larger one is joined by a shuffle, whose hot partitions
+    AQE splits.  Both give the same rows.
+    """
+    from cadenza.session import materialize
+    table = materialize(classes.withColumnRenamed(cls, "__cls"))
+    side = F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+    return facts.join(side, facts[cls].eqNullSafe(side["__cls"]), how).drop("__cls")
 
 
 def class_counts(df: DataFrame, cls: str) -> DataFrame:
@@ -43,14 +59,11 @@ def class_summary(df: DataFrame, cls: str) -> DataFrame:
 
 
 def support_filter(df: DataFrame, cls: str, min_support: int = MIN_CLASS_SUPPORT) -> DataFrame:
-    """Keep rows of classes with at least ``min_support`` rows (semi join).
-
-    The per-class count table has one row per class; AQE broadcasts it when
-    it is small and shuffles otherwise.
-    """
+    """Keep rows of classes with at least ``min_support`` rows (semi join; the
+    null class goes)."""
     valid = (df.groupBy(cls).agg(F.count(F.lit(1)).alias("__n"))
-             .filter(F.col("__n") >= min_support).select(cls))
-    return df.join(valid, on=cls, how="left_semi")
+             .filter((F.col("__n") >= min_support) & F.col(cls).isNotNull()).select(cls))
+    return join_classes(df, valid, cls, "left_semi")
 
 
 def dropped_classes(df: DataFrame, cls: str, min_support: int = MIN_CLASS_SUPPORT) -> DataFrame:
@@ -65,7 +78,7 @@ def class_weights(df: DataFrame, cls: str, out_col: str = "weight") -> DataFrame
     every = Window.partitionBy()            # over the class table: one row per class
     w = counts.select(cls, (F.sum("__nc").over(every)
                             / (F.count(F.lit(1)).over(every) * F.col("__nc"))).alias(out_col))
-    return df.join(w, on=cls, how="left")
+    return join_classes(df, w.filter(F.col(cls).isNotNull()), cls, "left")
 
 
 def take_quota(df: DataFrame, cls: str, quotas, order_key: str,
@@ -98,10 +111,8 @@ def take_quota(df: DataFrame, cls: str, quotas, order_key: str,
         F.min(F.when(reach, F.col("__b"))).alias("eb"),
         F.min_by(F.when(reach, F.col("quota") - F.col("__cum") + F.col("__nb")),
                  F.when(reach, F.col("__b"))).alias("need"))
-    # one row per class: AQE broadcasts it when small; non-edge rows are
-    # decided without any row shuffle.
-    pc = per_class.withColumnRenamed(cls, "__pc")
-    marked = rows.join(pc, rows[cls].eqNullSafe(pc["__pc"]), "left").drop("__pc")
+    # one row per class: rows off the edge are decided without any row shuffle
+    marked = join_classes(rows, per_class, cls, "left")
     no_quota = F.col("quota").isNull() | (F.col("quota") <= 0)
     at_edge = ~no_quota & F.col("eb").isNotNull() & (F.col("__b") == F.col("eb"))
     # classes never reaching the quota have no edge: every row is taken
@@ -126,8 +137,8 @@ def balance_classes(df: DataFrame, cls: str, key: str, seed: int = SEED,
     """Downsample every class to ``cap`` rows (default: floor of the median
     class size); smaller classes are kept whole; null class dropped.
 
-    The whole operation is one lazy plan: class sizes, the median cap and
-    the per-class quotas all derive from one per-bucket count.
+    Class sizes, the median cap and the per-class quotas all derive from one
+    per-bucket count, which runs (and is checkpointed) when this is called.
     """
     base = df.filter(F.col(cls).isNotNull())
 

@@ -87,3 +87,16 @@ def example_rows(spark, sf):
     ex = sampling.example_rows(_docs_tags(spark, sf), "doc_id", 10, SEED)
     return ex.select("doc_id", "lang", F.coalesce(F.size("tags"), F.lit(0)).alias("n_tags"),
                      F.array_join(F.slice("tags", 1, 15), " ").alias("tags_15"))
+
+
+@register("tag_split", f"""
+WITH {_TAGGED_SQL.strip()}
+SELECT doc_id, len(tags) AS n_tags, len(g) AS n_genre, len(tags) - len(g) AS n_noise, g[1] AS first_genre,
+       list_filter(tags, lambda x: NOT {_sql_relevant('x')})[1] AS first_noise FROM r
+""")
+def tag_split(spark, sf):
+    """Relevant and noise arrays of each whole document."""
+    s = coverage.split_tags(_docs_tags(spark, sf), "tags")
+    size = lambda c: F.size(c).cast("long")
+    return s.select("doc_id", size("tags").alias("n_tags"), size("genre_tags").alias("n_genre"), size("noise_tags").alias("n_noise"),
+                    F.get("genre_tags", F.lit(0)).alias("first_genre"), F.get("noise_tags", F.lit(0)).alias("first_noise"))

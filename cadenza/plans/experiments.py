@@ -140,8 +140,7 @@ def supervised_experiment(spark: SparkSession, prep: dict, min_support: int = MI
 
 def coverage_report(sample: DataFrame, tags_col: str = "tags", genre_col: str = "genre") -> dict:
     """Tag coverage of a sample whose ``tags`` are ``array<struct<name,count>>``."""
-    keyed = sample.withColumn("__item", F.monotonically_increasing_id())
-    items = coverage.item_tag_counts(keyed, ["__item", genre_col], tags_col, name_field="name")
+    items = coverage.item_tag_counts(sample, [genre_col], tags_col, name_field="name")
     return {"tagged": coverage.split_tags(sample, tags_col, name_field="name"),
             "coverage": coverage.coverage(items),
             "top": coverage.top_tags(sample, tags_col, name_field="name"),

@@ -1,4 +1,6 @@
-"""Landed payload pages derived (by Spark) from the driver tables.
+"""Fixtures: landed payload pages made (by Spark) from the driver tables.
+
+Not part of the engine: the registered queries need pages to parse.
 
 The driver tables carry no API payloads, so these functions pack table rows
 into the JSON shapes the payload parsers read.  Pages are bounded: items are
@@ -146,8 +148,13 @@ def document_album_details(docs: DataFrame) -> DataFrame:
 
 # ---- label-driven collection pages from nation / region / customer ----------
 
+def _track_number():
+    """Two customers share a track id, 15 keys apart (other nations, mostly)."""
+    return F.col("c_custkey") - F.when(F.col("c_custkey") % 30 >= 15, 15).otherwise(0)
+
+
 def _track_key():
-    return F.concat(F.lit("t"), (F.col("c_custkey") % 300).cast("string"))
+    return F.concat(F.lit("t"), _track_number().cast("string"))
 
 
 def region_label_file(nation: DataFrame, region: DataFrame) -> DataFrame:
@@ -169,8 +176,8 @@ def region_playlist_searches(nation: DataFrame, region: DataFrame) -> DataFrame:
 
 
 def nation_playlist_pages(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """Playlist pages: a nation's customers as tracks (id t<custkey % 300>,
-    so one track appears in many playlists)."""
+    """Playlist pages: a nation's customers as tracks (two customers share
+    one id, so a track appears in several playlists)."""
     rows = customer.join(nation, customer.c_nationkey == nation.n_nationkey) \
                    .withColumn("__pl", F.concat(F.lit("pl_"), F.col("n_nationkey").cast("string")))
     item = F.struct(F.struct(_track_key().alias("id"), F.col("c_name").alias("name"),
@@ -183,7 +190,7 @@ def nation_playlist_pages(customer: DataFrame, nation: DataFrame) -> DataFrame:
 
 def customer_track_lookups(customer: DataFrame) -> DataFrame:
     """Id lookups for every track id, 40 per request; no id when k % 11 = 4."""
-    ids = customer.select((F.col("c_custkey") % 300).alias("k")).distinct().withColumn("__q", F.lit("q"))
+    ids = customer.select(_track_number().alias("k")).distinct().withColumn("__q", F.lit("q"))
     item = F.struct(F.when(F.col("k") % 11 == 4, F.lit(None))
                     .otherwise(F.concat(F.lit("r"), F.col("k").cast("string"))).alias("id"),
                     F.concat(F.lit("https://x/track/t"), F.col("k").cast("string")).alias("href"))
@@ -195,7 +202,7 @@ def customer_track_lookups(customer: DataFrame) -> DataFrame:
 def customer_track_features(customer: DataFrame) -> DataFrame:
     """Feature responses per feature id r<k>: 404 when k % 13 = 5;
     energy = k / 300, tempo = k."""
-    ids = customer.select((F.col("c_custkey") % 300).alias("k")).distinct()
+    ids = customer.select(_track_number().alias("k")).distinct()
     body = F.to_json(F.struct((F.col("k") / 300.0).alias("energy"),
                               F.col("k").cast("double").alias("tempo")))
     return ids.select(F.concat(F.lit("r"), F.col("k").cast("string")).alias("request_key"),
@@ -222,7 +229,7 @@ def supplier_roster(supplier: DataFrame) -> DataFrame:
 
 def supplier_search_pages(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     """Track search per supplier: its line items in (order, line) order;
-    track name p<partkey % 50> (repeats, so names dedupe), credited to the
+    track name p<partkey % 400> (repeats, so names dedupe), credited to the
     supplier except line 3 (another artist)."""
     from cadenza.operators.ingest import rank_in_group
     rows = lineitem.join(supplier, lineitem.l_suppkey == supplier.s_suppkey) \
@@ -233,7 +240,7 @@ def supplier_search_pages(lineitem: DataFrame, supplier: DataFrame) -> DataFrame
     rows = rank_in_group(rows, ["s_name"], list(SEARCH_ORDER), "__pos")
     artist = F.when(F.col("l_linenumber") == 3, F.lit("other")).otherwise(F.lower("s_name"))
     item = F.struct(_line_id("l").alias("id"),
-                    F.concat(F.lit("p"), (F.col("l_partkey") % 50).cast("string")).alias("name"),
+                    F.concat(F.lit("p"), (F.col("l_partkey") % 400).cast("string")).alias("name"),
                     F.array(F.struct(artist.alias("name"))).alias("artists"),
                     F.struct(F.concat(F.lit("a"), F.col("l_orderkey").cast("string")).alias("id"),
                              F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("name")

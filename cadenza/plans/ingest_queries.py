@@ -73,6 +73,18 @@ def batch_ids(spark, sf):
                     F.element_at("ids", -1).alias("last_id"))
 
 
+@register("rank_uncapped", """
+SELECT flag AS g, l_orderkey, l_linenumber,
+       row_number() OVER (PARTITION BY flag ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) AS rank
+FROM (SELECT *, CASE WHEN l_returnflag <> 'R' THEN l_returnflag END AS flag FROM lineitem)
+""")
+def rank_uncapped(spark, sf):
+    """Every row of three groups ranked (one group's key is null), whole rows in tow."""
+    li = t(spark, sf, "lineitem").withColumn("g", F.when(F.col("l_returnflag") != "R", F.col("l_returnflag")))
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
+    return ingest.cap_per_group(li, ["g"], order, cap=None).select("g", "l_orderkey", "l_linenumber", "rank")
+
+
 @register("first_hit", """
 SELECT conv_id, min(turn) AS first_turn, CAST(arg_min(length(text), turn) AS BIGINT) AS n_chars
 FROM conversations WHERE role = 'assistant' GROUP BY conv_id
@@ -202,25 +214,24 @@ def roster_status(spark, sf):
 @register("search_collect", f"""
 WITH x AS (SELECT conv_id, turn, text,
                   CASE WHEN turn % 4 = 0 THEN '' ELSE 'al_' || CAST(turn AS VARCHAR) END AS album_id
-           FROM conversations WHERE turn % 3 <> 1 AND turn < 1000),
+           FROM conversations WHERE turn % 3 <> 1 AND turn < 6),
 d AS (SELECT *, row_number() OVER (PARTITION BY conv_id, {sql_strip("lower(text)")} ORDER BY turn) AS rn
       FROM x),
 r AS (SELECT conv_id, turn, album_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rank
       FROM d WHERE rn = 1)
-SELECT conv_id, CAST(turn AS VARCHAR) AS id, album_id, rank FROM r WHERE rank <= 100
+SELECT conv_id, CAST(turn AS VARCHAR) AS id, album_id, rank FROM r WHERE rank <= 2
 """)
 def search_collect(spark, sf):
-    """Artist search: parse pages, keep results the source serves (ordinal
-    < 1000) credited to the artist, first occurrence per normalised name,
-    first 100 per artist."""
-    from cadenza.functions.vocab import SEARCH_CAP, SEARCH_OFFSET_LIMIT
-    from cadenza.plans import landing
+    """Artist search over pages of 3: keep results the source serves (here the
+    first 6) credited to the artist, first occurrence per normalised name, here
+    the first 2 per artist, so that pages, offset and cap all bind."""
+    from cadenza.plans import fixtures
     from cadenza.sources import payloads
-    pages = landing.conversation_search_pages(t(spark, sf, "conversations"))
-    rows = payloads.search_tracks(pages).filter(F.col("ordinal") < SEARCH_OFFSET_LIMIT)
+    pages = fixtures.conversation_search_pages(t(spark, sf, "conversations"), page_size=3)
+    rows = payloads.search_tracks(pages, page_size=3).filter(F.col("ordinal") < 6)
     rows = rows.filter(payloads.credited("artists", "request_key"))
     first = ingest.dedupe_by_name(rows, ["request_key"], "name", ["ordinal"], keep_name=False)
-    capped = ingest.cap_per_group(first, ["request_key"], ["ordinal"], cap=SEARCH_CAP)
+    capped = ingest.cap_per_group(first, ["request_key"], ["ordinal"], cap=2)
     return capped.select(F.substring("request_key", 6, 20).cast("long").alias("conv_id"),
                          "id", "album_id", "rank")
 
@@ -230,9 +241,9 @@ def album_collect(spark, sf):
     """Artist albums: album listing and album track pages parsed and joined,
     first occurrence per normalised track name in album order, whole albums
     while fewer than 20 tracks were taken before them."""
-    from cadenza.plans import landing
+    from cadenza.plans import fixtures
     from cadenza.sources import payloads
-    listing, tpages = landing.document_album_pages(t(spark, sf, "documents")
+    listing, tpages = fixtures.document_album_pages(t(spark, sf, "documents")
                                                    .select("doc_id", "source", "lang", "text"))
     rows = payloads.artist_album_tracks(listing, tpages) \
         .withColumn("album_ord", F.col("ordinal.album_ord"))
@@ -248,11 +259,11 @@ SELECT doc_id, lang AS album_name, concat_ws(', ', source, 'guest') AS artist_na
 def album_detail(spark, sf):
     """Album detail (name, credited artists joined) attached to every track
     of the album's track pages."""
-    from cadenza.plans import landing
+    from cadenza.plans import fixtures
     from cadenza.sources import payloads
     docs = t(spark, sf, "documents").select("doc_id", "source", "lang", "text")
-    _, tpages = landing.document_album_pages(docs)
-    detail = payloads.album_detail(landing.document_album_details(docs)) \
+    _, tpages = fixtures.document_album_pages(docs)
+    detail = payloads.album_detail(fixtures.document_album_details(docs)) \
         .withColumnRenamed("request_key", "album_id")
     tracks = payloads.list_items(tpages).select(F.col("request_key").alias("album_id"),
                                                 F.col("id").cast("long").alias("doc_id"))
@@ -266,8 +277,8 @@ WITH nr AS (SELECT n.n_nationkey, n.n_name, r.r_name,
             FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey),
 pl AS (SELECT r_name AS genre, n_nationkey, n_name FROM nr
        WHERE floor(n_nationkey / 50) = 0 AND pos < 2 AND n_nationkey % 7 <> 3),
-cand AS (SELECT pl.genre, c.c_name AS track_name, 't' || CAST(c.c_custkey % 300 AS VARCHAR) AS track_id,
-                c.c_custkey % 300 AS k, c.c_mktsegment AS artist_name, pl.n_name AS album_name
+cand AS (SELECT pl.genre, c.c_name AS track_name, 't' || CAST((c.c_custkey - CASE WHEN c.c_custkey % 30 >= 15 THEN 15 ELSE 0 END) AS VARCHAR) AS track_id,
+                (c.c_custkey - CASE WHEN c.c_custkey % 30 >= 15 THEN 15 ELSE 0 END) AS k, c.c_mktsegment AS artist_name, pl.n_name AS album_name
          FROM pl JOIN customer c ON c.c_nationkey = pl.n_nationkey),
 kept AS (SELECT * FROM cand WHERE genre = (SELECT min(genre) FROM cand c2 WHERE c2.track_id = cand.track_id))
 SELECT track_name, track_id, artist_name, album_name, genre,
@@ -284,15 +295,15 @@ FROM kept WHERE k % 11 <> 4 AND k % 13 <> 5
 def label_collection(spark, sf):
     """Label-driven collection end to end (searches, playlists, first label
     wins, id lookups, features) over pages built from nation/region/customer."""
-    from cadenza.plans import landing
+    from cadenza.plans import fixtures
     from cadenza.plans.collection import label_driven_collection
     nation, region, cust = t(spark, sf, "nation"), t(spark, sf, "region"), t(spark, sf, "customer")
     out = label_driven_collection(
-        landing.region_label_file(nation, region),
-        landing.region_playlist_searches(nation, region),
-        landing.nation_playlist_pages(cust, nation),
-        landing.customer_track_lookups(cust),
-        landing.customer_track_features(cust))
+        fixtures.region_label_file(nation, region),
+        fixtures.region_playlist_searches(nation, region),
+        fixtures.nation_playlist_pages(cust, nation),
+        fixtures.customer_track_lookups(cust),
+        fixtures.customer_track_features(cust))
     return out["tracks"]
 
 
@@ -305,10 +316,10 @@ x AS (SELECT t.s_name, t.slug, l.l_orderkey, l.l_linenumber, l.l_partkey,
       FROM lineitem l JOIN todo t ON l.l_suppkey = t.s_suppkey),
 f AS (SELECT l_orderkey AS fo, l_linenumber AS fl, min(l_discount) AS energy,
              min(l_quantity) AS tempo FROM lineitem GROUP BY l_orderkey, l_linenumber),
-c AS (SELECT * FROM x WHERE l_linenumber <> 3 AND ordinal < 1000),
-d AS (SELECT *, row_number() OVER (PARTITION BY slug, l_partkey % 50 ORDER BY ordinal) AS rn FROM c),
+c AS (SELECT * FROM x WHERE l_linenumber <> 3 AND ordinal < 300),
+d AS (SELECT *, row_number() OVER (PARTITION BY slug, l_partkey % 400 ORDER BY ordinal) AS rn FROM c),
 r AS (SELECT *, row_number() OVER (PARTITION BY slug ORDER BY ordinal) AS rank FROM d WHERE rn = 1)
-SELECT 'p' || CAST(l_partkey % 50 AS VARCHAR) AS track_name,
+SELECT 'p' || CAST(l_partkey % 400 AS VARCHAR) AS track_name,
        'l' || CAST(l_orderkey AS VARCHAR) || '_' || CAST(l_linenumber AS VARCHAR) AS track_id,
        s_name AS artist_name, 'o' || CAST(l_orderkey AS VARCHAR) AS album_name,
        CAST(NULL AS DOUBLE) AS danceability, energy, CAST(NULL AS INTEGER) AS key,
@@ -322,17 +333,19 @@ WHERE rank <= 100 AND l_orderkey % 11 <> 4 AND l_orderkey % 13 <> 5
 
 
 def _artist_run(spark, sf):
-    from cadenza.plans import landing
+    from cadenza.plans import fixtures
     from cadenza.plans.collection import artist_collection
     sup, li = t(spark, sf, "supplier"), t(spark, sf, "lineitem")
-    roster = landing.supplier_roster(sup)
-    done = landing.supplier_roster(sup.filter(F.col("s_suppkey") % 10 == 0)).select("slug")
-    return artist_collection(roster, done, landing.supplier_search_pages(li, sup),
-                             landing.line_lookups(li), landing.line_features(li))
+    roster = fixtures.supplier_roster(sup)
+    done = fixtures.supplier_roster(sup.filter(F.col("s_suppkey") % 10 == 0)).select("slug")
+    return artist_collection(roster, done, fixtures.supplier_search_pages(li, sup),
+                             fixtures.line_lookups(li), fixtures.line_features(li),
+                             cap=100, offset_limit=300)
 
 
 @register("artist_collect", _ARTIST_SQL)
 def artist_collect(spark, sf):
     """Roster-driven collection end to end: pending artists, search pages,
-    credited + first per name + cap 100 within offset 1000, lookups, features."""
+    credited + first per name + cap 100 within the first 300 results, lookups,
+    features."""
     return _artist_run(spark, sf)["tracks"]

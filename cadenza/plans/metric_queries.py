@@ -201,3 +201,14 @@ def balanced_accuracy(spark, sf):
     res = metrics.accuracy_scores(_truth_pred(spark, sf), "t", "p")
     return res.select(r6("accuracy").alias("accuracy"),
                       r6("balanced_accuracy").alias("balanced_accuracy"))
+
+
+@register("crosstab_wide", """
+SELECT lang, count(*) FILTER (WHERE quality = 0) AS q0, count(*) FILTER (WHERE quality = 1) AS q1
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id GROUP BY lang
+""")
+def crosstab_wide(spark, sf):
+    """The contingency table with one column a class."""
+    j = t(spark, sf, "documents").select("doc_id", "lang").join(t(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
+    wide = metrics.contingency_wide(metrics.contingency(j, "lang", "quality"), "lang", "quality", [0, 1])
+    return wide.select("lang", F.col("0").alias("q0"), F.col("1").alias("q1"))

@@ -1,7 +1,7 @@
 """Driver-table queries: JSON payload parsing.
 
 Payload pages are built by Spark from ``conversations``, ``pages`` and
-``events`` (see ``landing``) and parsed back; the SQL oracle states the same
+``events`` (see ``fixtures``) and parsed back; the SQL oracle states the same
 result directly over the original rows.
 """
 
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cadenza.functions.vocab import AUDIO_FEATURES
-from cadenza.plans import landing
+from cadenza.plans import fixtures
 from cadenza.plans.registry import register, t
 from cadenza.sources import payloads
 
@@ -22,7 +22,7 @@ SELECT conv_id, CAST(turn AS VARCHAR) AS id, text AS name,
 FROM conversations WHERE turn % 7 <> 3 AND turn % 11 <> 5
 """)
 def payload_items(spark, sf):
-    pages = landing.conversation_track_pages(t(spark, sf, "conversations"))
+    pages = fixtures.conversation_track_pages(t(spark, sf, "conversations"), page_size=3)
     rows = payloads.playlist_tracks(pages)
     return rows.select(F.col("request_key").cast("long").alias("conv_id"), "id", "name",
                        "artist_name", "album_name")
@@ -39,19 +39,20 @@ FROM ({src}) WHERE turn % 6 <> 2
 
 @register("payload_defaults", _PLAYLIST_SQL.format(src="SELECT * FROM conversations"))
 def payload_defaults(spark, sf):
-    pages = landing.conversation_playlist_search(t(spark, sf, "conversations"))
-    rows = payloads.search_playlists(pages)
+    pages = fixtures.conversation_playlist_search(t(spark, sf, "conversations"), page_size=3)
+    rows = payloads.search_playlists(pages, page_size=3)
     return rows.select(F.col("request_key").cast("long").alias("conv_id"), "id", "name",
                        "owner", "track_count")
 
 
 @register("playlist_limit", _PLAYLIST_SQL.format(src="""
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, floor(turn / 50) ORDER BY turn) - 1
-               AS pos FROM conversations) WHERE floor(turn / 50) = 0 AND pos < 2"""))
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, floor(turn / 2) ORDER BY turn) - 1
+               AS pos FROM conversations) WHERE floor(turn / 2) * 2 + pos < 5"""))
 def playlist_limit(spark, sf):
-    """A search asked for 2 playlists per label: first two positions, nulls skipped."""
-    pages = landing.conversation_playlist_search(t(spark, sf, "conversations"))
-    rows = payloads.search_playlists(pages, limit=2)
+    """A search asked for 5 playlists over pages of 2: the limit ends inside the
+    third page; nulls skipped."""
+    pages = fixtures.conversation_playlist_search(t(spark, sf, "conversations"), page_size=2)
+    rows = payloads.search_playlists(pages, limit=5, page_size=2)
     return rows.select(F.col("request_key").cast("long").alias("conv_id"), "id", "name",
                        "owner", "track_count")
 
@@ -62,7 +63,7 @@ WITH x AS (SELECT page_id, 'rb_' || CAST(page_id AS VARCHAR) AS rid, url FROM pa
 SELECT string_split(url, '/')[-1] AS ext_id, arg_max(rid, page_id) AS id FROM x GROUP BY 1
 """)
 def payload_idmap(spark, sf):
-    pages = landing.page_lookup_batches(t(spark, sf, "pages").select("page_id", "url"))
+    pages = fixtures.page_lookup_batches(t(spark, sf, "pages").select("page_id", "url"))
     return payloads.id_map(pages).select("ext_id", "id")
 
 
@@ -80,7 +81,7 @@ def json_props(spark, sf):
     else f"CAST(NULL AS DOUBLE) AS {f}" for f in AUDIO_FEATURES)
     + " FROM events WHERE event_type IS DISTINCT FROM 'error'")
 def audio_features(spark, sf):
-    landed = landing.event_feature_payloads(t(spark, sf, "events"))
+    landed = fixtures.event_feature_payloads(t(spark, sf, "events"))
     feats = payloads.audio_features(landed)
     return feats.select(F.col("request_key").cast("long").alias("event_id"), *AUDIO_FEATURES)
 
@@ -96,7 +97,7 @@ SELECT event_id, CASE WHEN empty THEN 0 ELSE 2 END AS n_tags,
 FROM y
 """)
 def tag_parse(spark, sf):
-    landed = landing.event_tag_payloads(t(spark, sf, "events"))
+    landed = fixtures.event_tag_payloads(t(spark, sf, "events"))
     tags = payloads.top_tags(landed)
     first = F.try_element_at("tags", F.lit(1))
     return tags.select(F.col("request_key").cast("long").alias("event_id"),

@@ -11,12 +11,12 @@ from conftest import SF001
 
 @pytest.mark.parametrize("mode", ["state", "sink"])
 def test_incremental_landing(spark, mode):
-    from cadenza.plans import landing
+    from cadenza.plans import fixtures
     from cadenza.sources import payloads
     from cadenza.streaming import incremental_landing, land_pages, read_sink
 
     conv = spark.read.parquet(f"{SF001}/conversations.parquet")
-    pages = landing.conversation_track_pages(conv)
+    pages = fixtures.conversation_track_pages(conv)
     root = tempfile.mkdtemp(prefix="cadenza-stream-")
     land, sink, ck = f"{root}/landing", f"{root}/sink", f"{root}/ck"
     first = pages.filter(F.col("request_key").cast("long") % 2 == 0)
