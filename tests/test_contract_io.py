@@ -33,12 +33,9 @@ def test_bench_prints_one_json_line(tmp_path):
     assert d["value"] > 0 and "errors" not in d
 
 
-def test_cli_prepare_on_snapshot(tmp_path):
-    from conftest import SNAPSHOT
-    if not os.path.isdir(SNAPSHOT):
-        return
+def test_cli_prepare(tmp_path, track_folder):
     env = dict(os.environ, PYTHONPATH=ROOT + os.pathsep + os.environ.get("PYTHONPATH", ""))
-    out = subprocess.run([sys.executable, "-m", "cadenza", "prepare", SNAPSHOT], cwd=str(tmp_path),
+    out = subprocess.run([sys.executable, "-m", "cadenza", "prepare", track_folder[0]], cwd=str(tmp_path),
                          capture_output=True, text=True, timeout=600, env=env)
     assert out.returncode == 0, out.stderr[-2000:]
-    assert "rows after cleaning: 4868" in out.stdout
+    assert "rows after cleaning: " in out.stdout

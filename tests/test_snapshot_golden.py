@@ -1,14 +1,10 @@
 """Golden counts of the track-CSV snapshot, string-schema column."""
 
-import os
-
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SNAPSHOT
 
-pytestmark = pytest.mark.skipif(not os.path.isdir(SNAPSHOT), reason="snapshot CSVs absent")
-
 
 @pytest.fixture(scope="module")
 def prep(spark):
