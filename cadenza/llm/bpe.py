@@ -19,6 +19,7 @@ encoded each; an empty table gives no rows; further columns are ignored.
 from __future__ import annotations
 
 import json
+import os
 import zlib
 
 import numpy as np
@@ -27,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import byte_hashes, tables, text_batches
+from cadenza.llm.common import MIX1, MIX2, mix64, tables, text_batches
 
 #: The byte-level split pattern (a fixed value of the vocabulary), with Unicode classes.
 PATTERN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -82,12 +83,19 @@ def words(text: str | Column, special: list[str]) -> Column:
 
 def packets(distinct: pa.Array, shares: int) -> tuple[np.ndarray, np.ndarray]:
     """Order of a block's distinct words by share and word, and the share of each
-    in that order.  Both ends of the exchange compute it alike."""
+    in that order.  Both ends of the exchange compute it alike.  The share is a
+    hash of a word's length and its first and last eight bytes."""
     distinct = distinct.cast(pa.large_binary())
-    offsets = np.frombuffer(distinct.buffers()[1], np.int64)[distinct.offset: distinct.offset + len(distinct) + 1]
-    data = np.frombuffer(distinct.buffers()[2] or b"", np.uint8)[offsets[0]: offsets[-1]] if len(distinct) else np.zeros(0, np.uint8)
-    at = offsets - offsets[0] if len(distinct) else np.zeros(1, np.int64)
-    share = (byte_hashes(data).spans(at[:-1], at[1:]) % np.uint64(shares)).astype(np.int32)
+    if not len(distinct):
+        return np.zeros(0, np.int64), np.zeros(0, np.int32)
+    at = np.frombuffer(distinct.buffers()[1], np.int64)[distinct.offset: distinct.offset + len(distinct) + 1]
+    data = np.frombuffer(distinct.buffers()[2], np.uint8)
+    start, end = at[:-1], at[1:]
+    key = mix64((end - start).astype(np.uint64))
+    for i in range(8):
+        key = key * MIX1 + data[np.minimum(start + i, end - 1)]
+        key = key * MIX2 + data[np.maximum(end - 1 - i, start)]
+    share = (mix64(key) % np.uint64(shares)).astype(np.int32)
     order = pc.sort_indices(distinct).to_numpy()
     order = order[np.argsort(share[order], kind="stable")]
     return order, share[order]
@@ -136,9 +144,10 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                     names=["share", "block", "packet"])
 
     def look_up(batches):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
         from tokenizers import Tokenizer
 
-        tokenizer, known = Tokenizer.from_str(model), {t: [i] for t, i in special.items()}
+        tokenizer, known = Tokenizer.from_str(model), {t: np.array([i], "<u4").tobytes() for t, i in special.items()}
         for batch in batches:
             blobs = []
             for blob in batch.column("packet").to_pylist():
@@ -147,11 +156,12 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 ends = np.cumsum(np.frombuffer(blob, "<u4", size, 4)) + 4 * (size + 1)
                 some = [blob[a:b].decode() for a, b in zip([4 * (size + 1), *ends], ends)]
                 fresh = [w for w in some if w not in known]
-                known.update(zip(fresh, (e.ids for e in tokenizer.encode_batch_fast(fresh, add_special_tokens=False)), strict=True))
+                for i in range(0, len(fresh), 1000):
+                    got = tokenizer.encode_batch_fast(fresh[i:i + 1000], add_special_tokens=False)
+                    known.update(zip(fresh[i:i + 1000], (np.array(e.ids, "<u4").tobytes() for e in got), strict=True))
                 ids = [known[w] for w in some]
-                sizes = np.fromiter((len(i) for i in ids), np.int32, len(ids))
-                flat = np.fromiter((x for i in ids for x in i), np.int32, int(sizes.sum()))
-                blobs.append(zlib.compress(sizes.astype("<u4").tobytes() + flat.astype("<u4").tobytes(), 1))
+                sizes = np.fromiter((len(i) // 4 for i in ids), "<u4", len(ids))
+                blobs.append(zlib.compress(sizes.tobytes() + b"".join(ids), 1))
             yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("share"), pa.array(blobs, pa.binary())],
                                              names=["block", "share", "answer"])
 
@@ -159,35 +169,26 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                .mapInArrow(look_up, "block int, share int, answer binary"))
 
     def place(left: pa.Table, right: pa.Table) -> pa.Table:
-        flat, ends = _flat(left.column("words"))
-        coded = flat.dictionary_encode()
-        sizes, ids = [], []
-        rows = sorted(zip(right.column("share").to_pylist(), right.column("answer").to_pylist(), strict=True))
-        order, share = packets(coded.dictionary, shares)
+        distinct = pc.unique(pc.list_flatten(left.column("words")))
+        order, share = packets(distinct, shares)
         n_of = np.bincount(share, minlength=shares)
-        for s, blob in rows:
+        sizes, ids = [np.zeros(0, "<u4")], [np.zeros(0, "<u4")]
+        for s, blob in sorted(zip(right.column("share").to_pylist(), right.column("answer").to_pylist(), strict=True)):
             got = np.frombuffer(zlib.decompress(blob), "<u4")
             sizes.append(got[: n_of[s]])
             ids.append(got[n_of[s]:])
-        sizes = np.concatenate([*sizes, np.zeros(0, np.uint32)]).astype(np.int64)
-        ids = np.concatenate([*ids, np.zeros(0, np.uint32)]).astype(np.int32)
+        sizes, ids = np.concatenate(sizes).astype(np.int64), np.concatenate(ids).astype(np.int32)
         n, first = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
         n[order], first[order] = sizes, np.cumsum(sizes) - sizes
-        word = coded.indices.to_numpy()
-        out, starts, at = [], [], 0
-        doc_ends = np.append(0, ends)
-        step = max(1, len(doc_ends) // max(1, len(word) // 400_000 + 1))
-        for d in range(0, len(ends), step):
-            some = word[doc_ends[d]: doc_ends[min(d + step, len(ends))]]
-            k = n[some]
-            total = np.append(0, np.cumsum(k))
-            out.append(ids[np.repeat(first[some] - total[:-1], k) + np.arange(total[-1])])
-            starts.append(at + total[doc_ends[d: min(d + step, len(ends))] - doc_ends[d]])
-            at += total[-1]
-        lists = pa.ListArray.from_arrays(
-            pa.array(np.append(np.concatenate([*starts, np.zeros(0, np.int64)]), at).astype(np.int32)),
-            pa.array(np.concatenate([*out, np.zeros(0, np.int32)])))
-        return pa.table({"doc_id": left.column("doc_id"), "ids": lists})
+        out = []
+        for batch in left.to_batches():  # some documents at a time
+            flat, ends = _flat(batch.column("words"))
+            word = pc.index_in(flat, value_set=distinct).to_numpy()
+            total = np.append(0, np.cumsum(n[word]))
+            all_ids = ids[np.repeat(first[word] - total[:-1], n[word]) + np.arange(total[-1])]
+            lists = pa.ListArray.from_arrays(pa.array(total[np.append(0, ends)].astype(np.int32)), pa.array(all_ids))
+            out.append(pa.table({"doc_id": batch.column("doc_id"), "ids": lists}))
+        return pa.concat_tables(out)
 
     return parts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(place, "doc_id long, ids array<int>")
 
