@@ -150,6 +150,26 @@ def silhouette(spark, sf):
     return res.select(r6("silhouette").alias("silhouette"))
 
 
+@register("silhouette_squared", """
+WITH e AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x,
+                  generate_subscripts(embedding, 1) AS i FROM embeddings),
+d AS (SELECT p.vec_id AS va, p.label AS la, q.label AS lb,
+             sum((p.x - q.x) * (p.x - q.x)) AS dist
+      FROM e p JOIN e q ON p.i = q.i GROUP BY p.vec_id, p.label, q.vec_id, q.label),
+m AS (SELECT va, la, lb, sum(dist) AS s, count(*) AS c FROM d GROUP BY va, la, lb),
+r AS (SELECT va, max(CASE WHEN lb = la AND c > 1 THEN s / (c - 1) END) AS a,
+             max(CASE WHEN lb = la THEN c END) AS n_own,
+             min(CASE WHEN lb <> la THEN s / c END) AS b FROM m GROUP BY va)
+SELECT round(avg(CASE WHEN n_own <= 1 OR b IS NULL THEN 0.0
+                      ELSE (b - a) / greatest(a, b) END), 6) AS silhouette_squared FROM r
+""")
+def silhouette_squared(spark, sf):
+    """The linear-time variant: squared distances, its own name."""
+    emb = clusters.to_vector(t(spark, sf, "embeddings"), "embedding").withColumn("label", F.col("label").cast("double"))
+    score = metrics.silhouette_squared(emb, "label", "features")
+    return spark.createDataFrame([(round(score, 6),)], "silhouette_squared double")
+
+
 # ---- classification: labels.quality as truth, labels.toxic as prediction -------
 
 _TP = "SELECT CAST(quality AS VARCHAR) AS t, CAST(toxic AS VARCHAR) AS p FROM labels"
