@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from cadenza.session import ensure_checkpoint_dir, read_table
 
 __all__ = ["MIX1", "MIX2", "WHITE", "adam", "anti", "arrow_map", "byte_hashes", "held_out", "joined", "mix64",
-           "possibly", "read_table", "row_chunks", "saved", "semi", "sigmoid", "tables", "temperature", "text_batches", "texts_of",
+           "possibly", "read_table", "release", "released", "row_chunks", "saved", "semi", "sigmoid", "tables", "temperature", "text_batches", "texts_of",
            "training_rows", "work_path"]
 
 #: ASCII white space of the contracts: space and tab to carriage return.
@@ -147,10 +148,30 @@ class byte_hashes:
         return mix64(raw + (ends - starts).astype(np.uint64))
 
 
+def release() -> None:
+    """Give the memory that a task has freed back to the system: Python workers
+    stay for later tasks, several on an executor, and keep what they once took."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def released(run: Callable) -> Callable:
+    """``run`` over batches, then ``release``."""
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+    return whole
+
+
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def text_batches(spark: SparkSession, rows: int = 1000) -> None:
+def text_batches(spark: SparkSession, rows: int = 256) -> None:
     """Fewer rows in an Arrow batch, where the session has the default: a row is a
     whole text here, and ten thousand of them take a worker's memory."""
     if spark.conf.get(_BATCH_ROWS, "10000") == "10000":
@@ -178,7 +199,7 @@ def arrow_map(df: DataFrame, rows: Callable, schema: str, most: int = 2 << 20,
                         [a if isinstance(a, pa.Array) and a.type == f.type else pa.array(a, f.type)
                          for a, f in zip((got[f.name] for f in out), out, strict=True)], schema=out)
 
-    return df.mapInArrow(run, with_spark)
+    return df.mapInArrow(released(run), with_spark)
 
 
 def held_out(doc_id: str | Column, folds: int, fold: int) -> Column:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import WHITE, anti, arrow_map, byte_hashes, joined, mix64, saved, semi, tables
+from cadenza.llm.common import WHITE, anti, arrow_map, byte_hashes, joined, mix64, released, saved, semi, tables
 
 FUNCTIONS, ORDERS, DEPTH = 64, 32, 8
 #: Regions up to this size offer all pairs; larger ones go deeper.
@@ -127,7 +127,7 @@ def _paths(reps: DataFrame) -> DataFrame:
         for batch in batches:
             for i in range(0, batch.num_rows, 4096):
                 yield rows(batch.slice(i, 4096))
-    return reps.select("id", "signature").mapInArrow(run, "id long, tree byte, region long")
+    return reps.select("id", "signature").mapInArrow(released(run), "id long, tree byte, region long")
 
 
 def _deeper(crowded: DataFrame, depth: int) -> DataFrame:
@@ -147,7 +147,7 @@ def _deeper(crowded: DataFrame, depth: int) -> DataFrame:
                 [batch.column("id"), batch.column("tree"), pa.array(new), batch.column("signature")],
                 names=["id", "tree", "region", "signature"])
     return crowded.select("id", "tree", "region", "signature").mapInArrow(
-        run, "id long, tree byte, region long, signature binary")
+        released(run), "id long, tree byte, region long, signature binary")
 
 
 def _pairs_within(small: DataFrame) -> DataFrame:
@@ -211,7 +211,7 @@ def estimated(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("a").take(pa.array(keep)), batch.column("b").take(pa.array(keep)),
                      pa.array(equal[keep])], names=["a", "b", "equal"])
-    return pairs.join(a, "a").join(b, "b").mapInArrow(run, "a long, b long, equal int")
+    return pairs.join(a, "a").join(b, "b").mapInArrow(released(run), "a long, b long, equal int")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -231,7 +231,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     keep.append(i)
             yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in ("a", "b")],
                                              names=["a", "b"])
-    return pairs.select("a", "b").join(a, "a").join(b, "b").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b").join(a, "a").join(b, "b").mapInArrow(released(run), "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import (adam, arrow_map, byte_hashes, held_out, joined, row_chunks, sigmoid, tables,
-                                temperature, texts_of, training_rows)
+from cadenza.llm.common import (adam, arrow_map, byte_hashes, held_out, joined, release, released, row_chunks, sigmoid, tables,
+                                temperature, text_batches, texts_of, training_rows)
 
 BUCKETS, DIMS, NONZERO, WINDOW = 1 << 14, 64, 4, 2
 SAMPLE, HIDDEN, FOLDS, FOLD = 6000, 32, 3, 1
@@ -74,7 +74,7 @@ def context_sums(docs: DataFrame) -> DataFrame:
         total, count = np.zeros(BUCKETS * DIMS), np.zeros(BUCKETS, dtype=np.int64)
         for batch in batches:
             texts = texts_of(batch, "text")
-            for part in row_chunks([len(x) for x in texts], 4 * _CHUNK):
+            for part in row_chunks([len(x) for x in texts], 2 * _CHUNK):
                 bucket, doc = words_of(texts[part])
                 count += np.bincount(bucket, minlength=BUCKETS)
                 for off in range(1, WINDOW + 1):
@@ -89,7 +89,7 @@ def context_sums(docs: DataFrame) -> DataFrame:
             [pa.array(seen.astype(np.int32)), pa.array(count[seen]), *[pa.array(c) for c in sums.T]],
             names=["bucket", "n", *[f"c{i}" for i in range(DIMS)]])
 
-    return tables(docs, text="text").mapInArrow(run, schema).groupBy("bucket").agg(
+    return tables(docs, text="text").mapInArrow(released(run), schema).groupBy("bucket").agg(
         F.sum("n").alias("n"), *[F.sum(f"c{i}").alias(f"c{i}") for i in range(DIMS)])
 
 
@@ -204,5 +204,8 @@ def keep_good(docs: DataFrame, vectors: np.ndarray, model: dict) -> DataFrame:
     """The documents that the network does not reject, with all their columns."""
     @F.pandas_udf("double")
     def chance(texts: pd.Series) -> pd.Series:
-        return pd.Series(probability(model, pooled([t.encode() for t in texts], vectors)))
+        out = pd.Series(probability(model, pooled([t.encode() for t in texts], vectors)))
+        release()
+        return out
+    text_batches(docs.sparkSession)
     return docs.filter(chance(F.coalesce("text", F.lit(""))) >= 0.5)
