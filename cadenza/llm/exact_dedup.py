@@ -22,16 +22,19 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import anti, possibly, saved, semi, tables, work_path
 
 #: State on disk; without preallocation, which takes megabytes of every small
-#: state partition before it holds a row.
+#: state partition before it holds a row, and with a small write buffer, which
+#: every partition's store has in memory.
 STATE = {"spark.sql.streaming.stateStore.providerClass":
          "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-         "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
+         "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+         "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8"}
 RECORD = "digest binary, n_points long, doc_id long, row_key long, locator string"
 
 
@@ -61,6 +64,15 @@ def digest(text: str | Column) -> Column:
     return F.unhex(F.sha2(normalised(text), 256))
 
 
+def locator(docs: DataFrame) -> Column:
+    """Where a row's content lies: its file; empty for rows of several sources."""
+    try:
+        docs.select(F.input_file_name())
+    except AnalysisException:
+        return F.lit("")
+    return F.input_file_name()
+
+
 def records(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One small record per document; the text itself is not carried."""
     return tables(docs, doc_id=id_col, text=text_col).select(
@@ -68,7 +80,7 @@ def records(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_points"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.monotonically_increasing_id().alias("row_key"),
-        F.input_file_name().alias("locator"))
+        locator(docs).alias("locator"))
 
 
 def ingest(spark: SparkSession, feed: str, checkpoint: str, files_per_batch: int = 10_000) -> None:
@@ -131,7 +143,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         digest("text").alias("digest"), normalised("text").alias("full"),
         F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row_key"),
         F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_points"),
-        F.input_file_name().alias("locator"))
+        locator(docs).alias("locator"))
     texts = semi(texts, split, "digest")
     best = texts.groupBy("digest", "full").agg(
         F.min(F.struct((-F.col("n_points")).alias("less"), F.col("doc_id").isNull().alias("no_id"),

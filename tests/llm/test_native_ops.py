@@ -31,6 +31,12 @@ def test_exact_dedup_awkward_rows(spark):
     assert ids == [0, 2, 5, 6, 7, 8, 9]
 
 
+def test_documents_of_several_sources(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    more = docs.join(spark.read.parquet(f"{SF001}/labels.parquet").select("doc_id"), "doc_id")
+    assert exact_dedup.exact_dedup(docs.union(more)).filter("kept").count() == exact_dedup.exact_dedup(docs).filter("kept").count()
+
+
 def test_exact_dedup_empty(spark):
     assert exact_dedup.exact_dedup(empty(spark)).count() == 0
     assert exact_dedup.drop_copies(empty(spark)).count() == 0
