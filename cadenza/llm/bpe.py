@@ -4,8 +4,9 @@ Spark splits the texts into the tokenizer's words (special tokens are words of
 their own).  Documents are dealt into blocks; a block names its distinct words,
 the words of all blocks meet by a hash of the word, each distinct word is encoded
 once, and the ids go back to the blocks, where every position of a text looks up
-its word.  Between the two steps a block's words travel as one packet for each
-share of the hash range, in sorted order, so that the answer needs no words.
+its word.  Between the two steps a block's words travel as one compressed packet
+for each share of the hash range, in sorted order, so that the answer needs no
+words.
 
 Decoding joins ids with the pieces of the vocabulary, a table bounded by the
 tokenizer, and puts the bytes together; what is no UTF-8 becomes U+FFFD as in the
@@ -20,7 +21,6 @@ from __future__ import annotations
 
 import json
 import os
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import MIX1, MIX2, mix64, tables, text_batches
+from cadenza.llm.common import mix64, release, released, tables, text_batches
 
 #: The byte-level split pattern (a fixed value of the vocabulary), with Unicode classes.
 PATTERN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -84,17 +84,17 @@ def words(text: str | Column, special: list[str]) -> Column:
 def packets(distinct: pa.Array, shares: int) -> tuple[np.ndarray, np.ndarray]:
     """Order of a block's distinct words by share and word, and the share of each
     in that order.  Both ends of the exchange compute it alike.  The share is a
-    hash of a word's length and its first and last eight bytes."""
+    hash of a word's first six bytes, so that words that begin alike stand
+    together and the packets compress well."""
     distinct = distinct.cast(pa.large_binary())
     if not len(distinct):
         return np.zeros(0, np.int64), np.zeros(0, np.int32)
     at = np.frombuffer(distinct.buffers()[1], np.int64)[distinct.offset: distinct.offset + len(distinct) + 1]
     data = np.frombuffer(distinct.buffers()[2], np.uint8)
     start, end = at[:-1], at[1:]
-    key = mix64((end - start).astype(np.uint64))
-    for i in range(8):
-        key = key * MIX1 + data[np.minimum(start + i, end - 1)]
-        key = key * MIX2 + data[np.maximum(end - 1 - i, start)]
+    key = np.zeros(len(start), dtype=np.uint64)
+    for i in range(6):
+        key = (key << np.uint64(8)) | np.where(start + i < end, data[np.minimum(start + i, end - 1)], 0).astype(np.uint64)
     share = (mix64(key) % np.uint64(shares)).astype(np.int32)
     order = pc.sort_indices(distinct).to_numpy()
     order = order[np.argsort(share[order], kind="stable")]
@@ -125,6 +125,9 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
              .select("block", "doc_id", words("text", list(special)).alias("words")))
 
     def name(batches):
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=9)
         seen: dict[int, pa.Array] = {}
         for batch in batches:
             block = batch.column("block").to_numpy(zero_copy_only=False)
@@ -140,18 +143,20 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 sizes = np.array([len(some), *map(len, some)], "<u4")
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([s], pa.int32()), pa.array([b], pa.int32()),
-                     pa.array([zlib.compress(sizes.tobytes() + b"".join(some), 1)], pa.binary())],
+                     pa.array([pack.compress(sizes.tobytes() + b"".join(some))], pa.binary())],
                     names=["share", "block", "packet"])
 
     def look_up(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
+        import zstandard
         from tokenizers import Tokenizer
 
+        pack, unpack = zstandard.ZstdCompressor(level=9), zstandard.ZstdDecompressor()
         tokenizer, known = Tokenizer.from_str(model), {t: np.array([i], "<u4").tobytes() for t, i in special.items()}
         for batch in batches:
             blobs = []
             for blob in batch.column("packet").to_pylist():
-                blob = zlib.decompress(blob)
+                blob = unpack.decompress(blob)
                 size = int(np.frombuffer(blob, "<u4", 1)[0])
                 ends = np.cumsum(np.frombuffer(blob, "<u4", size, 4)) + 4 * (size + 1)
                 some = [blob[a:b].decode() for a, b in zip([4 * (size + 1), *ends], ends)]
@@ -161,20 +166,23 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                     known.update(zip(fresh[i:i + 1000], (np.array(e.ids, "<u4").tobytes() for e in got), strict=True))
                 ids = [known[w] for w in some]
                 sizes = np.fromiter((len(i) // 4 for i in ids), "<u4", len(ids))
-                blobs.append(zlib.compress(sizes.tobytes() + b"".join(ids), 1))
+                blobs.append(pack.compress(sizes.tobytes() + b"".join(ids)))
             yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("share"), pa.array(blobs, pa.binary())],
                                              names=["block", "share", "answer"])
 
-    answers = (parts.mapInArrow(name, "share int, block int, packet binary").repartition(shares, "share")
-               .mapInArrow(look_up, "block int, share int, answer binary"))
+    answers = (parts.mapInArrow(released(name), "share int, block int, packet binary").repartition(shares, "share")
+               .mapInArrow(released(look_up), "block int, share int, answer binary"))
 
     def place(left: pa.Table, right: pa.Table) -> pa.Table:
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor()
         distinct = pc.unique(pc.list_flatten(left.column("words")))
         order, share = packets(distinct, shares)
         n_of = np.bincount(share, minlength=shares)
         sizes, ids = [np.zeros(0, "<u4")], [np.zeros(0, "<u4")]
         for s, blob in sorted(zip(right.column("share").to_pylist(), right.column("answer").to_pylist(), strict=True)):
-            got = np.frombuffer(zlib.decompress(blob), "<u4")
+            got = np.frombuffer(unpack.decompress(blob), "<u4")
             sizes.append(got[: n_of[s]])
             ids.append(got[n_of[s]:])
         sizes, ids = np.concatenate(sizes).astype(np.int64), np.concatenate(ids).astype(np.int32)
@@ -188,6 +196,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             all_ids = ids[np.repeat(first[word] - total[:-1], n[word]) + np.arange(total[-1])]
             lists = pa.ListArray.from_arrays(pa.array(total[np.append(0, ends)].astype(np.int32)), pa.array(all_ids))
             out.append(pa.table({"doc_id": batch.column("doc_id"), "ids": lists}))
+        release()
         return pa.concat_tables(out)
 
     return parts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(place, "doc_id long, ids array<int>")
@@ -215,7 +224,7 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", text_col: str =
 
     from pyspark.sql import types as T
     return encoded.select(*[F.col(f"`{f.name}`") for f in out]).mapInArrow(
-        run, T.StructType([*out, T.StructField(text_col, T.StringType())]))
+        released(run), T.StructType([*out, T.StructField(text_col, T.StringType())]))
 
 
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
