@@ -33,7 +33,7 @@ from cadenza.llm.common import mix64, release, released, tables, text_batches
 #: The byte-level split pattern (a fixed value of the vocabulary), with Unicode classes.
 PATTERN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Text bytes of a block: the working set of one task.
-BLOCK = 16 << 20
+BLOCK = 8 << 20
 
 
 def byte_pieces() -> dict[str, int]:
@@ -109,12 +109,24 @@ def _flat(column: pa.ListArray | pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]
     return column.flatten(), np.cumsum(n)
 
 
+def _decoded(flat: pa.Array, ends: np.ndarray, table: pa.Array) -> pa.Array:
+    """Texts of id lists: each id joined with its piece, the last row of
+    ``table`` standing for ids without one."""
+    at = np.nan_to_num(flat.to_numpy(zero_copy_only=False).astype(np.float64), nan=-1).astype(np.int64)
+    at = np.where((at < 0) | (at >= len(table) - 1), len(table) - 1, at)
+    lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), table.take(pa.array(at)))
+    return pa.array([b.decode("utf-8", "replace") for b in pc.binary_join(lists, b"").to_pylist()], pa.string())
+
+
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
-           block_bytes: int = BLOCK) -> DataFrame:
-    """One row per document: doc_id, ids (array<int>)."""
+           block_bytes: int = BLOCK, decoded: bool = False) -> DataFrame:
+    """One row per document: doc_id, ids (array<int>); with ``decoded`` also the
+    text that the ids decode to, as ``decode`` gives it, from the same task (no
+    second Python worker, no way back for the ids)."""
     text_batches(docs.sparkSession)
     vocab = vocabulary(path)
     special, model = vocab.special, vocab.model
+    pieces = vocab.pieces if decoded else []
     own = tables(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
@@ -176,7 +188,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def place(left: pa.Table, right: pa.Table) -> pa.Table:
         import zstandard
 
-        unpack = zstandard.ZstdDecompressor()
+        unpack, table = zstandard.ZstdDecompressor(), pa.array([*pieces, b""], pa.binary())
         distinct = pc.unique(pc.list_flatten(left.column("words")))
         order, share = packets(distinct, shares)
         n_of = np.bincount(share, minlength=shares)
@@ -194,12 +206,14 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             word = pc.index_in(flat, value_set=distinct).to_numpy()
             total = np.append(0, np.cumsum(n[word]))
             all_ids = ids[np.repeat(first[word] - total[:-1], n[word]) + np.arange(total[-1])]
-            lists = pa.ListArray.from_arrays(pa.array(total[np.append(0, ends)].astype(np.int32)), pa.array(all_ids))
-            out.append(pa.table({"doc_id": batch.column("doc_id"), "ids": lists}))
+            at, all_ids = total[np.append(0, ends)], pa.array(all_ids)
+            row = {"doc_id": batch.column("doc_id"), "ids": pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), all_ids)}
+            out.append(pa.table(row | ({"decoded": _decoded(all_ids, at[1:], table)} if decoded else {})))
         release()
         return pa.concat_tables(out)
 
-    return parts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(place, "doc_id long, ids array<int>")
+    return parts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        place, "doc_id long, ids array<int>" + ", decoded string" * decoded)
 
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -214,12 +228,7 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", text_col: str =
             # some rows at a time: a piece takes more room than its id
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
-                flat, ends = _flat(part.column(ids_col))
-                at = np.nan_to_num(flat.to_numpy(zero_copy_only=False).astype(np.float64), nan=-1).astype(np.int64)
-                at = np.where((at < 0) | (at >= len(pieces)), len(pieces), at)
-                lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), table.take(pa.array(at)))
-                text = [b.decode("utf-8", "replace") for b in pc.binary_join(lists, b"").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(f.name) for f in out] + [pa.array(text, pa.string())],
+                yield pa.RecordBatch.from_arrays([part.column(f.name) for f in out] + [_decoded(*_flat(part.column(ids_col)), table)],
                                                  names=[f.name for f in out] + [text_col])
 
     from pyspark.sql import types as T
@@ -229,7 +238,7 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", text_col: str =
 
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    both = decode(encode(docs, path, id_col, text_col), path)
+    both = encode(docs, path, id_col, text_col, decoded=True)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -32,6 +32,8 @@ def test_many_blocks_and_awkward_rows(spark):
     assert got == sorted((r["doc_id"] or 0, expected(r["text"])[0]) for r in docs.collect())
     texts = {r["doc_id"]: r["decoded"] for r in bpe.decode(bpe.encode(docs, PATH), PATH).collect()}
     assert texts == {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    both = {r["doc_id"]: r["decoded"] for r in bpe.encode(docs, PATH, decoded=True).collect()}
+    assert both == texts
 
 
 def test_empty(spark):
