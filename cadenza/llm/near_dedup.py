@@ -4,10 +4,11 @@ A document's signature holds ``FUNCTIONS`` MinHash values of its shingle set.
 The forest keeps ``ORDERS`` sorted orders of the signatures; order ``t`` sorts
 by the functions from ``2 t`` on, so no two orders lead with the same ones.
 Documents that share a prefix of two values in some order form a region.  Depth
-adapts to the region: a small region offers all its pairs; a larger one goes on
-by the next values of its order, and offers, for every document of it, the
-neighbours with the longest common prefix.  Regions never meet in one task:
-what is grouped is a prefix together with a salt once the prefix is used up.
+adapts to the region: a small region offers all its pairs; a crowded one goes on
+by the next values of its order, then by a salt, and links every document of it
+to its smallest one, which joins most copies at little cost.  What crowded
+regions do not offer that way is found exactly: their documents are joined on
+the rare ends of their full sets (see ``_exact_pairs``).
 
 Documents with equal shingle sets are one class before the forest, so a group
 of copies of any size is a single entry.  Candidates whose signatures agree in
@@ -33,11 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import WHITE, anti, arrow_map, byte_hashes, joined, mix64, released, saved, semi, tables
+from cadenza.llm.common import WHITE, anti, arrow_map, byte_hashes, joined, mix64, possibly, released, saved, semi, tables
 
 FUNCTIONS, ORDERS, DEPTH = 64, 32, 8
 #: Regions up to this size offer all pairs; larger ones go deeper.
 REGION = 6
+#: Buckets of shingle counts by which the exact join orders shingles (rarest
+#: first), and the members of a shingle that meet in one task.
+COUNTS, BLOCK = 1 << 20, 256
 
 _RNG = np.random.default_rng(7919)
 _A = _RNG.integers(1, 2**63, FUNCTIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -158,14 +162,15 @@ def _pairs_within(small: DataFrame) -> DataFrame:
             .select(F.explode(pairs).alias("p")).select("p.a", "p.b"))
 
 
-def candidates(reps: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """Distinct candidate pairs (a < b) of classes that the forest offers.
+def candidates(reps: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, DataFrame | None]:
+    """Distinct candidate pairs (a < b) of classes that the forest offers, and
+    the ids of the classes in crowded regions, whose pairs may be incomplete.
 
     ``reps``: id, signature.  A region over REGION members is opened: its
     members are linked to its smallest one, and regrouped by the next value of
     the order; after ``depth`` values the members are regrouped by a hash of
-    the id instead, smaller and smaller, so every region is resolved and no
-    group larger than REGION is ever gathered.
+    the id instead, smaller and smaller, so no group larger than REGION is ever
+    gathered.
     """
     paths = saved(_paths(reps), "forest-paths")
     level = 2
@@ -174,8 +179,11 @@ def candidates(reps: DataFrame, depth: int = DEPTH) -> DataFrame:
     found = [_pairs_within(paths.join(sizes.filter(F.col("n") <= REGION).select("region"), "region", "left_semi"))]
     big = sizes.filter(F.col("n") > REGION)
     rows = paths.join(big, "region").join(reps.select("id", "signature"), "id")
+    crowded = None
     while not big.isEmpty():
         rows = saved(rows, "forest-level")
+        if crowded is None:
+            crowded = rows.select("id").distinct()
         found.append(rows.filter("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")))
         if level < depth:
             rows = _deeper(rows, level)
@@ -193,7 +201,78 @@ def candidates(reps: DataFrame, depth: int = DEPTH) -> DataFrame:
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
-    return out.distinct()
+    return out.distinct(), crowded
+
+
+def _shingle_counts(sets: DataFrame) -> np.ndarray:
+    """How often each bucket of shingles occurs in the sets; never too low."""
+    def run(batches):
+        n = np.zeros(COUNTS, dtype=np.int64)
+        for batch in batches:
+            x = np.frombuffer(b"".join(batch.column("items").to_pylist()), np.uint64) % np.uint64(COUNTS)
+            n += np.bincount(x.astype(np.int64), minlength=COUNTS)
+        some = np.flatnonzero(n)
+        for i in range(0, len(some), 1 << 16):
+            part = some[i: i + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(n[part])], names=["bucket", "n"])
+    got = sets.select("items").mapInArrow(released(run), "bucket int, n long").groupBy("bucket").agg(
+        F.sum("n").alias("n")).toArrow()
+    out = np.zeros(COUNTS, dtype=np.uint32)
+    out[got.column("bucket").to_numpy()] = np.minimum(got.column("n").to_numpy(), 2**32 - 1)
+    return out
+
+
+def _exact_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """Every pair of sets that can pass ``percent`` and whose ends differ in
+    ``label``, by prefix filtering.
+
+    ``sets``: id, items, label.  With all sets in one order of shingles, rare
+    ones first, two sets that pass share a shingle among the first
+    ``n - ceil(n * percent / 100) + 1`` of each, and at the first one they share
+    both have enough left.  Shingles that one label alone holds are dropped; a
+    shingle of many sets is split into blocks, each pair of which is a group of
+    its own.
+    """
+    counts = _shingle_counts(sets)
+
+    def run(batches):
+        for batch in batches:
+            cols = [[], [], [], [], []]
+            for i, x, label in zip(batch.column("id").to_pylist(), batch.column("items"),
+                                   batch.column("label").to_pylist(), strict=True):
+                x = np.frombuffer(x.as_buffer(), np.uint64)
+                often = counts[x % np.uint64(COUNTS)]
+                first = np.lexsort((x, often))[: len(x) + (-len(x) * percent) // 100 + 1]
+                pos = np.flatnonzero(often[first] > 1)  # others are in no second set
+                for c, v in zip(cols, (x[first[pos]].view(np.int64), pos, np.full(len(pos), i), np.full(len(pos), len(x)),
+                                       np.full(len(pos), label)), strict=True):
+                    c.append(v)
+            if cols[0]:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(c).astype(t)) for c, t in zip(cols, ("i8", "i4", "i8", "i4", "i8"), strict=True)],
+                    names=["shingle", "pos", "id", "size", "label"])
+    rows = saved(sets.select("id", "items", "label").mapInArrow(
+        released(run), "shingle long, pos int, id long, size int, label long"), "exact-prefixes")
+    shared = saved(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+                   .filter("low != high").select("shingle", "n"), "exact-shingles")
+    # a shingle of many sets meets its count under several salts
+    salt = F.pmod(F.xxhash64("id"), F.lit(64)).cast("int")
+    hot = shared.filter(F.col("n") > BLOCK).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(63))))
+    rare = shared.filter(F.col("n") <= BLOCK)
+    met = (possibly(rows, rare, "shingle").filter("__maybe").drop("__maybe").join(rare, "shingle")
+           .unionByName(possibly(rows, hot, "shingle").filter("__maybe").drop("__maybe").withColumn("salt", salt)
+                        .join(hot, ["shingle", "salt"]).drop("salt")))
+    rows = (met.withColumn("parts", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int"))
+            .withColumn("part", F.pmod(F.xxhash64("id", "shingle"), F.col("parts")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .select("shingle", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
+                    "part", "pos", "id", "size", "label"))
+    rows = saved(rows, "exact-blocks")
+    a, b = rows.alias("a"), rows.alias("b")
+    together = (F.expr("a.shingle = b.shingle and a.p = b.p and a.q = b.q")
+                & F.expr("a.label != b.label and a.id < b.id and (a.p = a.q or a.part != b.part)")
+                & F.expr(f"least(a.size - a.pos, b.size - b.pos) * {100 + percent}L >= {percent}L * (a.size + b.size)"))
+    return a.join(b, together).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
 
 
 def estimated(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
@@ -272,9 +351,11 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 75, id_col: str =
                     .withColumn("class_id", F.coalesce("id", "doc_id")).drop("id", "set_key"), "near-members")
     reps = saved(rows.join(named.select("set_key", "id"), "set_key").filter("doc_id = id")
                  .dropDuplicates(["id"]).select("id", "signature", "n_shingles"), "near-reps")
-    found = saved(estimated(candidates(reps), reps, least_equal(percent)), "near-candidates")
+    offered, crowded = candidates(reps)
+    found = saved(estimated(offered, reps, least_equal(percent)), "near-candidates")
 
-    ends = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    ends = found.select(F.explode(F.array("a", "b")).alias("id"))
+    ends = (ends if crowded is None else ends.unionByName(crowded)).distinct()
 
     def sets(batch, texts):
         return {"id": batch.column("id"), "items": [s.tobytes() for s in shingle_sets(texts, words)]}
@@ -282,7 +363,8 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 75, id_col: str =
     full = saved(arrow_map(semi(wanted, saved(ends, "near-ends"), "id").dropDuplicates(["id"]), sets,
                            "id long, items binary"), "near-sets")
 
-    # first the best partner of each end, then what may still join components
+    # first the best partner of each end, then what may still join components,
+    # then what only the full sets of crowded regions show
     best = F.max_by(F.struct("a", "b"), F.struct("equal", "a", "b"))
     first = (found.groupBy("a").agg(best.alias("p")).select("p.a", "p.b")
              .unionByName(found.groupBy("b").agg(best.alias("p")).select("p.a", "p.b")).distinct())
@@ -295,7 +377,15 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 75, id_col: str =
             .filter("ca is null or cb is null or ca != cb").select("a", "b"))
     more = saved(confirmed(rest, full, percent), "near-more")
     if not more.isEmpty():
-        comp = saved(components(links.unionByName(more)), "near-components")
+        links = links.unionByName(more)
+        comp = saved(components(links), "near-components")
+    if crowded is not None:
+        own = (semi(full, crowded, "id").join(comp.select(F.col("node").alias("id"), "component"), "id", "left")
+               .select("id", "items", F.coalesce("component", "id").alias("label")))
+        pairs = saved(_exact_pairs(saved(own, "exact-sets"), percent), "exact-pairs")
+        more = saved(confirmed(estimated(pairs, reps, least_equal(percent)), full, percent), "near-exact")
+        if not more.isEmpty():
+            comp = saved(components(links.unionByName(more)), "near-components")
     return members.join(comp.select(F.col("node").alias("class_id"), "component"), "class_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "class_id").alias("component_id"),
         F.coalesce(F.col("doc_id") == F.coalesce("component", "class_id"), F.lit(True)).alias("kept"), "class_id")

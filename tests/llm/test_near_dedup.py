@@ -66,6 +66,45 @@ def test_dense_groups_and_chains(spark):
     assert got == brute(rows)
 
 
+def test_crowded_boilerplate(spark):
+    """5,000 documents share a passage; eight with short own parts are near copies."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    common = [word() for _ in range(104)]
+    short = set(range(100, 5000, 613))
+    rows = [(d, " ".join([*common, *(word() for _ in range(15 if d in short else 60))])) for d in range(5000)]
+    sets = near_dedup.shingle_sets([t.encode() for _, t in rows], 5)
+    flat, sizes = np.unique(np.concatenate(sets), return_inverse=True)[1], np.array([len(x) for x in sets])
+    starts, mark, root = np.cumsum(sizes) - sizes, np.zeros(flat.max() + 1, np.int32), list(range(5000))
+    for d in range(5000):  # brute force over all pairs
+        own = flat[starts[d]: starts[d] + sizes[d]]
+        mark[own] = 1
+        k = np.add.reduceat(mark[flat], starts)
+        mark[own] = 0
+        for y in np.flatnonzero(100 * k >= 75 * (sizes + sizes[d] - k)):
+            low, high = sorted((root[d], root[y]))
+            root = [low if r == high else r for r in root] if low != high else root
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_dedup(docs).collect()}
+    assert got == dict(enumerate(root)) and {got[d] for d in short} == {100}
+
+
+def test_exact_pairs_lose_none(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)  # most shingles are split
+    rng = np.random.default_rng(5)
+    common = rng.integers(0, 2**63, 60, dtype=np.uint64)
+    sets = [np.unique(np.concatenate((common[rng.random(60) < 0.95], rng.integers(0, 2**63, rng.integers(1, 50), dtype=np.uint64))))
+            for _ in range(120)]
+    rows = [(i, bytearray(x.tobytes()), i // 2) for i, x in enumerate(sets)]
+    got = {tuple(r) for r in near_dedup._exact_pairs(spark.createDataFrame(rows, "id long, items binary, label long"), 75).collect()}
+    for i, x in enumerate(sets):
+        for j in range(i + 1, len(sets)):
+            k = len(np.intersect1d(x, sets[j]))
+            if 100 * k >= 75 * (len(x) + len(sets[j]) - k):
+                assert i // 2 == j // 2 or (i, j) in got
+    assert len(got) < 120 * 119 // 2
+
+
 def test_awkward_rows(spark):
     got = near_dedup.near_dedup(awkward(spark)).collect()
     by = {r["doc_id"]: r for r in got}
