@@ -6,7 +6,11 @@ class a licence family and the class *unknown*.  Its logits are divided by a
 temperature fitted on rows kept back from training, so the probability of
 *unknown* can be relied on.  A family is reported when it is likelier than
 ``CHANCE`` and one of its templates agrees: the template's distinct word n-grams
-found in the paragraph reach ``AGREE`` of the smaller of both sets.
+found in the paragraph reach ``AGREE`` of the smaller of both sets.  A paragraph
+of more than ``WINDOWS[0]`` words that is not reported as a whole, or of more than
+``WINDOWS[-1]``, is scored again in overlapping windows of words, so that a
+statement is found in a line of any length; of the windows that pass, the one
+with the most n-grams of a template is reported for each family.
 
 Training rows are the templates with words dropped, added around or cut to a
 part, and, as *unknown*, lines of a bounded sample of documents that share no
@@ -26,6 +30,9 @@ from pyspark.sql import functions as F
 from cadenza.llm.common import adam, arrow_map, byte_hashes, joined, mix64, tables
 
 BUCKETS, SAMPLE, CHANCE, AGREE = 1 << 16, 400, 0.7, 0.6
+#: Words of the windows over long paragraphs.  They start a quarter apart, so a
+#: statement of up to three quarters of a window lies within one.
+WINDOWS = (12, 24, 48, 64)
 
 # FIXED VALUES: statements by which licences are granted or named
 TEMPLATES: dict[str, tuple[str, ...]] = {
@@ -190,6 +197,42 @@ def fit(lines: list[str], steps: int = 150) -> dict:
             "templates": [[set(r.tolist()) for r in _rows(list(ts))] for ts in TEMPLATES.values()]}
 
 
+def _long(model: dict, line: bytes) -> list[tuple[int, int, str, float, float]]:
+    """(start, end, family, probability, agreement) of the best windows of a long
+    paragraph, places in its bytes; none overlaps a better one."""
+    data = np.concatenate(([False], _WORD[np.frombuffer(line, np.uint8)], [False]))
+    edges = np.flatnonzero(np.diff(data.astype(np.int8)))
+    grams, _, n, _, _, _ = paragraphs([line])
+    bucket = (grams % np.uint64(BUCKETS)).astype(np.int64)
+    known = np.append(0, np.cumsum(model["union"][bucket]))
+    passed = []
+    for k, least in zip(WINDOWS, (model["least"], *(0.75 * k for k in WINDOWS)), strict=False):
+        if n <= k:
+            break
+        at = np.append(np.arange(0, n - k, k // 4), n - k)
+        two, three = n + at, 2 * n - 1 + at
+        shared = known[two + k - 1] - known[two] + known[three + k - 2] - known[three]
+        for a in at[shared >= (3 * AGREE - 1) * min(k, least) - 3 * AGREE]:
+            own = np.unique(np.concatenate((bucket[a: a + k], bucket[n + a: n + a + k - 1], bucket[2 * n - 1 + a: 2 * n + a + k - 3])))
+            hit = own[model["union"][own]]
+            z = (model["w"][hit].sum(0) / np.sqrt(len(own)) + model["b"]) / model["temperature"]
+            p = np.exp(z - z.max())
+            p /= p.sum()
+            best = int(p.argmax())
+            if best < len(FAMILIES) - 1 and p[best] > CHANCE:
+                own = set(own.tolist())
+                agree, both = max((len(own & t) / min(len(own), len(t)), len(own & t)) for t in model["templates"][best])
+                if agree >= AGREE:
+                    passed.append((both, float(p[best]), int(a), k, FAMILIES[best], agree))
+    out, families = [], set()
+    for _, p, a, k, family, agree in sorted(passed, key=lambda x: (-x[0], -x[1], x[2])):
+        start, end = int(edges[2 * a]), int(edges[2 * (a + k) - 1])
+        if family not in families and not any(start < y and x < end for x, y, *_ in out):
+            families.add(family)
+            out.append((start, end, family, p, agree))
+    return sorted(out)
+
+
 def found_in(model: dict, texts: list[bytes]) -> list[tuple[int, int, int, str, float, float]]:
     """(text, start, end, family, probability, agreement), places in code points."""
     grams, owner, n_words, doc, start, end = paragraphs(texts)
@@ -212,16 +255,23 @@ def found_in(model: dict, texts: list[bytes]) -> list[tuple[int, int, int, str,
     p = np.exp(z - z.max(1, keepdims=True))
     p /= p.sum(1, keepdims=True)
     best = p.argmax(1)
-    out = []
-    for i in np.flatnonzero(some & (best < len(FAMILIES) - 1) & (p.max(1) > CHANCE)):
+    out, whole = [], np.zeros(len(doc), dtype=bool)
+    for i in np.flatnonzero((words <= WINDOWS[-1]) & some & (best < len(FAMILIES) - 1) & (p.max(1) > CHANCE)):
         a, b = np.searchsorted(pairs, [i * BUCKETS, (i + 1) * BUCKETS])
         own = set((pairs[a:b] % BUCKETS).tolist())
         agree = max(len(own & t) / min(len(own), len(t)) for t in model["templates"][best[i]])
         if agree >= AGREE:
             t = texts[doc[i]]
+            whole[i] = True
             at = len(t[: start[i]].decode("utf-8", "replace"))
             out.append((int(doc[i]), at, at + len(t[start[i]: end[i]].decode("utf-8", "replace")), FAMILIES[best[i]], float(p[i, best[i]]), agree))
-    return out
+    # a window needs as many known n-grams as the smallest template that it may hold
+    for i in np.flatnonzero(~whole & (words > WINDOWS[0]) & (shared >= (3 * AGREE - 1) * min(WINDOWS[0], model["least"]) - 3 * AGREE)):
+        t = texts[doc[i]]
+        for a, b, family, p_best, agree in _long(model, t[start[i]: end[i]]):
+            at = len(t[: start[i] + a].decode("utf-8", "replace"))
+            out.append((int(doc[i]), at, at + len(t[start[i] + a: start[i] + b].decode("utf-8", "replace")), family, p_best, agree))
+    return sorted(out)
 
 
 def sample_lines(docs: DataFrame, most: int = SAMPLE, text_col: str = "text") -> list[str]:

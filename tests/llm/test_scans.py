@@ -1,5 +1,6 @@
 """Secrets, licences and main text."""
 
+import random
 import re
 
 import pytest
@@ -75,6 +76,20 @@ def test_licence_families_and_unknown(licence_model):
         assert [g[3] for g in got] == ([family] if family else []), t
 
 
+def test_templates_inside_a_long_line(licence_model):
+    rng = random.Random(4)
+    words = [rng.choice(["reing", "ander", "thion", "the", "was", "here", "whering", "that"]) for _ in range(5000)]
+    assert licenses.found_in(licence_model, [" ".join(words).encode()]) == []
+    for family, templates in licenses.TEMPLATES.items():
+        for t in templates:
+            at = rng.randrange(5000)
+            text = " ".join([*words[:at], t, *words[at:]])
+            got = licenses.found_in(licence_model, [text.encode()])
+            place = text.index(t)
+            assert [x[3] for x in got] == [family], (t, got)
+            assert got[0][1] < place + len(t) and got[0][2] > place
+
+
 def test_pruning_loses_no_paragraph(licence_model):
     lines = licenses.training_lines(["some thion words"], copies=4)[0]
     open_model = licence_model | {"least": 0}
