@@ -14,8 +14,10 @@ and not vocabulary.
 
 Defined cases: a null or empty page, one without text, or one of markup alone
 gives the empty text; tags left open or closed twice are repaired as browsers do
-(a paragraph ends where a block begins); an unclosed comment or script runs to
-the end of the page; pages of any length are parsed whole; repeated pages are
+(a paragraph ends where a block begins); an unclosed comment, script, style or
+text area runs to the end of the page, a head without its end tag to the body or
+the first block, and any other skipped element without one is an ordinary
+element; pages of any length are parsed whole; repeated pages are
 extracted each; further columns are ignored.
 """
 
@@ -37,12 +39,18 @@ MARK = "\ue000"
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?][^>]*+>""", re.S)
 _ATTR = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+_INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder munderover mstyle mspace mpadded mphantom merror menclose mfenced mmultiscripts mtable mtr mtd semantics annotation annotation-xml".split())
 _EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_SKIPPED = frozenset("script style noscript template svg iframe object canvas head math textarea select".split())
+_SKIPPED = frozenset("script style noscript template svg iframe object canvas head textarea select".split())
+#: skipped elements that run to the page's end if they are not closed
+_RAW = frozenset("script style textarea".split())
 _CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table ul".split())
 _SELF = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
+_IN_HEAD = frozenset("script style noscript template title object".split())
+_HEAD = _IN_HEAD | frozenset("head html base link meta".split())
+_END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in _SKIPPED | _IN_HEAD} | {"<body": re.compile(r"<body\b[^>]*>", re.I)}
+
 #: words in class, id or role that tell a part of a page
 _HINTS = {
     "nav": "nav menu breadcrumb breadcrumbs toc pagination pager navbar navigation tabs",
@@ -82,12 +90,42 @@ def _attr_hints(attrs: str) -> set[str]:
     return found
 
 
+def _head_end(page: str, at: int) -> int:
+    """Where a head that is open at ``at`` ends: after its end tag, or before the
+    body, text or the first tag that no head holds."""
+    m = _TAG.search(page, at)
+    while m:
+        tag = (m[2] or "").lower()
+        if page[at: m.start()].strip():
+            return at
+        if tag == "head" and m[1]:
+            return m.end()
+        if tag and tag not in _HEAD:
+            return m.start()
+        at = m.end()
+        if tag in _IN_HEAD and not m[1] and not m[3].endswith("/"):
+            end = _END[tag].search(page, at)
+            if end:
+                at = end.end()
+            elif tag in _RAW:
+                return len(page)
+        m = _TAG.search(page, at)
+    return at
+
+
 def blocks_of(page: str) -> list[block]:
     """The leaf blocks of a page in order."""
     out: list[block] = []
     stack: list[tuple[str, set[str]]] = []
     parts: list[str] = []
     linked = in_link = at = 0
+    ends: dict[str, tuple[int, int]] = {}  # place of the next end tag of skipped elements
+
+    def upcoming(name):
+        if name not in ends or 0 <= ends[name][0] < at:
+            found = _END[name].search(page, at)
+            ends[name] = found.span() if found else (-1, -1)
+        return ends[name]
 
     def close():
         nonlocal linked
@@ -116,8 +154,15 @@ def blocks_of(page: str) -> list[block]:
         elif tag in _SKIPPED:
             if not m[1] and not m[3].endswith("/"):
                 close()
-                end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
+                end, body = upcoming(tag), upcoming("<body") if tag == "head" else (-1, -1)
+                if end[0] >= 0 and not 0 <= body[0] < end[0]:
+                    at = end[1]
+                elif tag == "head":
+                    at = _head_end(page, at)
+                elif tag in _RAW:
+                    at = len(page)
+                else:
+                    stack.append((tag, _attr_hints(m[3])))
         elif tag in _INLINE:
             if tag == "a":
                 in_link = 0 if m[1] else 1

@@ -148,6 +148,23 @@ def test_broken_pages(crf, page):
     assert isinstance(html_crf.main_text(crf, page), str)
 
 
+_ARTICLE = "<article><h1>The Title</h1><p>" + "thion reing of the whate and oner " * 4 + ".</p></article>"
+
+
+@pytest.mark.parametrize("head", ["<html><head><title>x</title><body>", "<head><meta charset=utf-8><script>'<body></head>'</script><title>x</title>",
+                                  "<head><style>p {}</style><noscript><p>no</p></noscript><body class=a>", "<html><body><svg><path d='M0 0'>",
+                                  "<body><canvas>", "<body><select>", "<body><object>", "<body><noscript>"])
+def test_open_heads_and_skipped_elements(crf, head):
+    want = html_crf.main_text(crf, "<html><head><title>x</title></head><body>" + _ARTICLE + "</body></html>")
+    assert want.startswith("The Title\n\nthion")
+    assert html_crf.main_text(crf, head + _ARTICLE + "</body></html>") == want
+
+
+def test_math_is_text():
+    page = "<article><p>so <math><mrow><mi>a</mi><mo>+</mo><mn>1</mn></mrow></math> holds</p><script>open"
+    assert [b.text for b in html_crf.blocks_of(page)] == ["so a+1 holds"]
+
+
 def test_viterbi_is_the_likeliest_path(crf):
     import itertools
 
