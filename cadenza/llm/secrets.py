@@ -8,7 +8,7 @@ novelty: the bytes that it adds to the zstandard size of its surroundings, with
 a dictionary of common identifiers.  A random string adds nearly its entropy; a
 name made of known parts adds far less.  Strings that add at least ``NOVEL`` of
 what a random string over the same characters would are reported, unless a base
-span covers them.
+span contains them.
 
 Defined cases: a null or empty text has no findings; texts are scanned whole;
 repeated rows are reported each; further columns are ignored.
@@ -17,6 +17,7 @@ repeated rows are reported each; further columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from cadenza.llm.common import arrow_map, joined, tables
 
 KINDS = ("assign", "access", "hex", "novel")
-NOVEL, LEAST, AROUND, BEFORE = 0.8, 16, 256, 64
+NOVEL, LEAST, AROUND = 0.8, 16, 256
 
 # FIXED VALUES: the base patterns and their least lengths
 ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I)
@@ -112,11 +113,18 @@ def spans_in(texts: list[bytes], measure: novelty) -> list[list[tuple[int, int,
     start, end = runs(_RUN[data], LEAST)
     digits = np.append(0, np.cumsum(_DIGIT[data], dtype=np.int64))
     mixed = (digits[end] > digits[start]) & (digits[end] - digits[start] < end - start)
+    at = -1
     for a, b in zip(start[mixed], end[mixed], strict=True):
         d = int(np.searchsorted(first, a, side="right")) - 1
         a, b, t = int(a - first[d]), int(b - first[d]), texts[d]
-        line = t[max(0, a - BEFORE): a].rpartition(b"\n")[2]
-        if SENSITIVE.search(line) and not any(x < b and a < y for x, y, kind, _ in out[d] if kind != "novel"):
+        if d != at:
+            at, words = d, [m.span() for m in SENSITIVE.finditer(t)]
+            word_starts, word_ends = [x for x, _ in words], [y for _, y in words]
+            breaks = [-1, *(m.start() for m in re.finditer(rb"\n", t))]
+        # the last word that ends before the candidate, if it is on its line
+        told = bisect_right(word_ends, a) - 1
+        if told >= 0 and word_starts[told] > breaks[bisect_right(breaks, a) - 1] and not any(
+                x <= a and b <= y for x, y, kind, _ in out[d] if kind != "novel"):
             share = measure.share(t, a, b)
             if share >= NOVEL:
                 out[d].append((a, b, "novel", float(share)))

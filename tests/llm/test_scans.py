@@ -36,6 +36,22 @@ def test_tricky_texts():
         assert [(a, k, b) for a, b, k, _ in f if k != "novel"] == base_spans(t)
 
 
+@pytest.mark.parametrize("far", [65, 5000])
+def test_telling_word_far_before_on_the_line(far):
+    value = "Zk3Qw9xV7mNp2LsT8rYbU4Hd"
+    for text, want in (("auth " + ". " * (far // 2) + value, 1), ("auth\n" + ". " * (far // 2) + value, 0)):
+        (found,) = secrets.spans_in([text.encode()], secrets.novelty())
+        assert [(text[a:b], k) for a, b, k, _ in found] == [(value, "novel")] * want
+
+
+def test_a_hex_run_inside_hides_no_key():
+    value = "Zk3Qw9xV7mNp" + "0f3a9c5e7b1d2486" + "LsT8rYbU4HdG"
+    (found,) = secrets.spans_in([f"auth: {value}".encode()], secrets.novelty())
+    assert [(a, b, k) for a, b, k, _ in found] == [(6, 46, "novel"), (18, 34, "hex")]
+    (found,) = secrets.spans_in([f"auth: {value[12:28]}x secret={value}".encode()], secrets.novelty())
+    assert "novel" not in [k for a, _, k, _ in found if a >= 24]  # contained in the assignment
+
+
 def test_novelty_tells_random_strings_from_names():
     yes = ["auth_value: Zk3Qw9xV7mNp2LsT8rYbU4Hd", "private key 'x9F2kLq8ZpW3vR7tYb1NcM5dGh0J'", "bearer q7Zt3Nw9Xk2Vb8Lm4Rp6Yc1Hd5Js0Gf"]
     no = ["auth_handler: authentication_provider_config2", "session key_name user_account_database_table1", "cookie aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa1",
