@@ -263,11 +263,8 @@ def album_detail(spark, sf):
     from cadenza.sources import payloads
     docs = t(spark, sf, "documents").select("doc_id", "source", "lang", "text")
     _, tpages = fixtures.document_album_pages(docs)
-    detail = payloads.album_detail(fixtures.document_album_details(docs)) \
-        .withColumnRenamed("request_key", "album_id")
-    tracks = payloads.list_items(tpages).select(F.col("request_key").alias("album_id"),
-                                                F.col("id").cast("long").alias("doc_id"))
-    return tracks.join(detail, "album_id").select("doc_id", "album_name", "artist_name")
+    tracks = payloads.album_tracks(fixtures.document_album_details(docs), tpages)
+    return tracks.select(F.col("id").cast("long").alias("doc_id"), "album_name", "artist_name")
 
 
 _COLLECT_SQL = """

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from cadenza.functions.exprs import last_segment
 from cadenza.functions.vocab import AUDIO_FEATURES
+from cadenza.operators.ingest import first_hit
 
 S = T.StringType()
 NAMED = T.StructType([T.StructField("name", S)])
@@ -43,6 +44,8 @@ ID_LOOKUP = T.StructType([T.StructField("content", T.ArrayType(T.StructType([
     T.StructField("id", S), T.StructField("href", S)])))])
 FEATURES = T.StructType([T.StructField(f, T.DoubleType()) for f in AUDIO_FEATURES])
 ALBUM_DETAIL = T.StructType([T.StructField("name", S), T.StructField("artists", ARTISTS)])
+SEARCH_ALBUMS = T.StructType([T.StructField("albums", T.StructType([
+    T.StructField("items", T.ArrayType(T.StructType([T.StructField("id", S), T.StructField("name", S)])))]))])
 TAG_ITEMS = T.ArrayType(T.StructType([T.StructField("name", S), T.StructField("count", S)]))
 TAGS_RAW = T.StructType([T.StructField("toptags", T.StructType([T.StructField("tag", S)]))])
 
@@ -157,6 +160,28 @@ def album_detail(landed: DataFrame) -> DataFrame:
                          F.array_join(_artist_names(F.col("a.artists")), ", ").alias("artist_name"))
 
 
+def album_ids(landed: DataFrame) -> DataFrame:
+    """Album-search pages -> (request_key, album_id): the first hit of each
+    search; a search without hits gives no row."""
+    it = _items(landed, SEARCH_ALBUMS, "albums.items").withColumn("ord", F.struct("page_no", "pos"))
+    return first_hit(it, "request_key", "ord", F.col("it.id"), "album_id").filter("album_id is not null")
+
+
+def album_tracks(detail_pages: DataFrame, track_pages: DataFrame) -> DataFrame:
+    """Tracks of albums (request_key of both = album id) with the album's name
+    and joined artists; tracks without an id are skipped."""
+    detail = album_detail(detail_pages).withColumnRenamed("request_key", "album_id")
+    tracks = list_items(track_pages).filter("id is not null and id != ''").withColumnRenamed("request_key", "album_id")
+    return tracks.join(detail, "album_id")
+
+
+def albums_without_tracks(detail_pages: DataFrame, track_pages: DataFrame) -> DataFrame:
+    """Albums (album_id, album_name) whose track pages list nothing."""
+    listed = list_items(track_pages).select(F.col("request_key").alias("album_id"))
+    return (album_detail(detail_pages).select(F.col("request_key").alias("album_id"), "album_name")
+            .join(listed, "album_id", "left_anti"))
+
+
 def top_tags(landed: DataFrame) -> DataFrame:
     """Tag payloads -> ``array<struct<name, count int>>``.
 

@@ -72,6 +72,19 @@ def test_album_detail_and_tags(spark):
     assert got == {"g": [("techno", 100), ("seen live", 3)], "s": [], "b": [], "m": []}
 
 
+def test_album_tracks_without_ids_empty_albums_and_names(spark):
+    detail = landed(spark, [(k, 0, 200, {"name": n, "artists": [{"name": "A"}, {"name": "B"}]}) for k, n in (("a1", "LP"), ("a2", "EP"), ("a3", "No ids"))])
+    pages = landed(spark, [("a1", 0, 200, {"items": [{"id": "t1", "name": "x"}, {"id": None, "name": "y"}, {"id": "", "name": "z"}]}),
+                           ("a1", 1, 200, {"items": [{"id": "t2", "name": "w"}]}), ("a2", 0, 200, {"items": []}),
+                           ("a3", 0, 200, {"items": [{"name": "only"}]})])
+    got = payloads.album_tracks(detail, pages).select("album_id", "id", "album_name", "artist_name").collect()
+    assert sorted(map(tuple, got)) == [("a1", "t1", "LP", "A, B"), ("a1", "t2", "LP", "A, B")]
+    assert [tuple(r) for r in payloads.albums_without_tracks(detail, pages).collect()] == [("a2", "EP")]
+    hits = landed(spark, [("lp", 1, 200, {"albums": {"items": [{"id": "a9"}]}}), ("lp", 0, 200, {"albums": {"items": [{"id": "a1"}, {"id": "a2"}]}}),
+                          ("none", 0, 200, {"albums": {"items": []}})])
+    assert [tuple(r) for r in payloads.album_ids(hits).collect()] == [("lp", "a1")]
+
+
 def test_album_tracks_join(spark):
     albums = {"items": [{"id": "A1", "name": "First"}, {"id": "A2", "name": "Second"}], "next": None}
     t1 = {"items": [{"id": "t1", "name": "x"}, {"id": "t2", "name": "y"}]}
