@@ -139,10 +139,12 @@ def reshard(docs: DataFrame, old: Column, old_shards: int, new_shards: int,
 def rewrite(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id") -> list[int]:
     """Write the shards that gain or lose rows, one folder ``shard=N`` each, in
     slot order of the files' ranges; shards whose rows all stay are left alone.
-    Ids must be unique here.  Returns the shards written."""
+    ``path`` must not exist yet: a folder with the old shards is refused, as its
+    others would be deleted.  Ids must be unique here.  Returns the shards that
+    gain or lose rows; one without a folder is empty now."""
     touched = [r[0] for r in placed.filter("old_shard != shard").select(
         F.explode(F.array("old_shard", "shard"))).distinct().collect()]
     rows = placed.filter(F.col("shard").isin(touched)).select(F.col("doc_id").alias(id_col), "shard", "slot")
     (docs.join(rows, id_col).repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
-     .write.mode("overwrite").partitionBy("shard").parquet(path))
+     .write.mode("errorifexists").partitionBy("shard").parquet(path))
     return sorted(touched)

@@ -113,3 +113,26 @@ def test_rewrite_touches_only_changed_shards(spark, tmp_path):
     placed = reshard.reshard(docs, F.col("old"), 3, 3, capacities=[1000, 2000, 1200])
     assert reshard.rewrite(docs, placed, str(tmp_path / "out")) == [0, 2]
     assert spark.read.parquet(str(tmp_path / "out")).count() == 22
+
+
+def test_rewrite_of_a_table_and_of_a_folder_with_shards(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").dropDuplicates(["doc_id"])
+    sizes = {r["old"]: r["b"] for r in reshard.row_sizes(docs, F.pmod("doc_id", F.lit(4))).groupBy(
+        F.col("old_shard").alias("old")).agg(F.sum("size").alias("b")).collect()}
+    more = max(sizes[1], sizes[0] + sizes[1] // 2)  # rows go from shard 1 to shard 0; 2 and 3 stay
+    placed = reshard.reshard(docs, F.pmod("doc_id", F.lit(4)), 4, 4,
+                             capacities=[more, sizes[0] + sizes[1] - more, sizes[2], sizes[3]]).localCheckpoint()
+    path = str(tmp_path / "new")
+    touched = reshard.rewrite(docs, placed, path)
+    assert touched == [0, 1]
+    got = {(r["doc_id"], r["shard"], r["text"]) for r in spark.read.parquet(path).collect()}
+    want = {(r["doc_id"], r["shard"], r["text"]) for r in placed.join(docs.select("doc_id", "text"), "doc_id").filter("shard < 2").collect()}
+    assert got == want and len(got) > 100
+    old = str(tmp_path / "old")
+    docs.withColumn("shard", F.pmod("doc_id", F.lit(4))).write.partitionBy("shard").parquet(old)
+    try:
+        reshard.rewrite(docs, placed, old)
+        refused = False
+    except Exception as ex:
+        refused = "PATH_ALREADY_EXISTS" in str(ex)
+    assert refused and spark.read.parquet(old).count() == docs.count()
