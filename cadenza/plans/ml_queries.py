@@ -130,7 +130,7 @@ def model_checks(spark, sf):
     train, test, names = _supervised(spark, sf)
     small = [classify.Preset(p.name, p.kind, n_trees=8 if p.kind == "forest" else 3, max_depth=min(p.max_depth, 5), step=p.step)
              for p in classify.PRESETS]
-    comp, models, indexer = classify.compare_models(train, test, "genre", names, presets=small, fit_partitions=2)
+    comp, models, indexer = classify.compare_models(train, test, "genre", names, presets=small, fit_partitions=fit_partitions(train.count()))
     rows = []
     for r in comp.collect():
         pred = classify.decode_labels(models[r["model"]].transform(indexer.transform(test)), indexer)
@@ -150,6 +150,11 @@ def pca(spark, sf):
                        F.lit(round(ratios[1], 6)).alias("ratio2"))
 
 
+def fit_partitions(rows: int) -> int:
+    """Partitions of the training rows: one per 100,000, at least two."""
+    return max(2, -(-rows // 100_000))
+
+
 def _supervised(spark, sf):
     emb = _emb(spark, sf).withColumn("genre", F.concat(F.lit("c"), F.col("label").cast("string")))
     kept = sampling.support_filter(emb, "genre", 30)
@@ -167,7 +172,7 @@ def model_compare(spark, sf):
     model plus the feature importances of the best model (by balanced
     accuracy, first on ties), largest first."""
     train, test, names = _supervised(spark, sf)
-    comp, models, _ = classify.compare_models(train, test, "genre", names, fit_partitions=2)
+    comp, models, _ = classify.compare_models(train, test, "genre", names, fit_partitions=fit_partitions(train.count()))
     best = classify.best_model_name(comp)
     scores = comp.select(F.lit("score").alias("kind"), "model",
                          F.explode(F.array(

@@ -102,3 +102,8 @@ def test_sweep_squared_silhouette_option(spark):
     rows = {r["k"]: r for r in res.collect()}
     assert rows[2]["silhouette"] is None and rows[2]["silhouette_squared"] > 0.5
     assert clusters.best_k(res) == 2
+
+
+def test_fit_partitions_grow_with_the_rows():
+    from cadenza.plans.ml_queries import fit_partitions
+    assert [fit_partitions(n) for n in (0, 200_000, 200_001, 10**8)] == [2, 2, 3, 1000]
