@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import bpe, decontaminate, exact_dedup, html_crf, licenses, near_dedup, quality, reshard, secrets, toxicity
+from cadenza.llm import (bpe, centroids, compress, decontaminate, exact_dedup, html_crf, licenses, near_dedup, quality, reshard, rules,
+                         secrets, toxicity)
 from cadenza.llm.common import read_table
 
 OLD_SHARDS, NEW_SHARDS = 8, 8
@@ -68,6 +69,18 @@ def op10_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 
+def op11_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.report(read_table(spark, sf_dir, "documents"))
+
+
+def op12_compress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress.compress(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_bpe": op2_bpe,
@@ -79,8 +92,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_crf": op8_html_crf,
     "op9_secrets": op9_secrets,
     "op10_reshard": op10_reshard,
+    "op11_rules": op11_rules,
+    "op12_compress": op12_compress,
+    "op13_centroids": op13_centroids,
 }
 
 SQL: dict[str, str] = {
     "op3_exact_dedup": exact_dedup.SQL,
+    "op11_rules": rules.SQL,
+    "op12_compress": compress.SQL,
+    "op13_centroids": centroids.SQL,
 }
