@@ -1,45 +1,43 @@
 """Supervised models: label encoding, three class-balanced tree ensembles,
-evaluation and feature importances (``pyspark.ml``).
-
-Spark's gradient-boosted trees are binary only, so both boosting presets are
-one-vs-rest: one binary GBT per class, fitted in parallel by ``OneVsRest``.
-This differs from softmax boosting in calibration; it is documented, not
-hidden.  The third preset, ``GBTDeep``, is a second one-vs-rest GBT, deeper
-(6) and with a larger step (0.3): the defaults of the third library that the
-studied experiment compares, without that library.
+evaluation and feature importances.
+
+Label codes come from ``pyspark.ml``; the ensembles from
+``cadenza.operators.trees``, because Spark's boosting is binary only and its
+trees stop at depth 30.  Both boosting presets are softmax boosting on all classes
+at once; the forest's trees grow until their leaves are pure.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import (
-    GBTClassifier, OneVsRest, RandomForestClassifier,
-)
 from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.functions.vocab import SEED
-from cadenza.operators import metrics
+from cadenza.operators import metrics, trees
 
 
 @dataclass(frozen=True)
 class Preset:
     name: str
-    kind: str            # 'forest' | 'ovr_gbt'
-    n_trees: int = 100
-    max_depth: int = 3
+    kind: str                    # 'forest' | 'boost' | 'boost_newton'
+    n_trees: int = 100           # trees, or rounds of one tree per class
+    max_depth: int | None = 3    # None: until the leaves are pure
     step: float = 0.1
 
 
 # The three model families compared by the experiment, with the reference
-# libraries' documented defaults (forest depth is capped at 30 in Spark).
+# libraries' documented defaults.
 PRESETS = (
-    Preset("RandomForest", "forest", n_trees=100, max_depth=30),
-    Preset("GradientBoosting", "ovr_gbt", n_trees=100, max_depth=3, step=0.1),
-    Preset("GBTDeep", "ovr_gbt", n_trees=100, max_depth=6, step=0.3),
+    Preset("RandomForest", "forest", n_trees=100, max_depth=None),
+    # squared-error splits on the gradients, start at the class shares
+    Preset("GradientBoosting", "boost", n_trees=100, max_depth=3, step=0.1),
+    # second-order splits with l2 = 1 and a least hessian of 1 per child
+    Preset("GBTDeep", "boost_newton", n_trees=100, max_depth=6, step=0.3),
 )
 
 
@@ -55,36 +53,26 @@ def decode_labels(df: DataFrame, indexer, col: str = "prediction", out: str = "p
     return IndexToString(inputCol=col, outputCol=out, labels=indexer.labels).transform(df)
 
 
-def _estimator(p: Preset, features: str, label: str, weight: str | None, seed: int,
-               parallelism: int):
-    if p.kind == "forest":
-        return RandomForestClassifier(featuresCol=features, labelCol=label, weightCol=weight,
-                                      numTrees=p.n_trees, maxDepth=min(p.max_depth, 30),
-                                      seed=seed, featureSubsetStrategy="sqrt")
-    gbt = GBTClassifier(featuresCol=features, labelCol=label, weightCol=weight,
-                        maxIter=p.n_trees, maxDepth=p.max_depth, stepSize=p.step, seed=seed,
-                        cacheNodeIds=True, checkpointInterval=-1)
-    return OneVsRest(classifier=gbt, featuresCol=features, labelCol=label, weightCol=weight,
-                     parallelism=parallelism)
-
-
 def fit_model(train: DataFrame, preset: Preset, features: str = "features",
               label: str = "label_idx", weight: str | None = "weight", seed: int = SEED,
-              parallelism: int = 8):
-    return _estimator(preset, features, label, weight, seed, parallelism).fit(train)
+              task_rows: int = trees.TASK_ROWS):
+    """Fit one preset; the model's ``transform`` adds ``prediction`` (a label code)."""
+    classes = int(train.agg(F.max(label)).first()[0]) + 1
+    if preset.kind == "forest":
+        width = len(train.select(trees.feature_array(train, features)).first()[0])
+        rules = trees.Rules("gini", preset.max_depth, tries=max(1, math.isqrt(width)), seed=seed)
+        return trees.fit_forest(train, features, label, weight, classes, preset.n_trees, rules, task_rows=task_rows)
+    newton = preset.kind == "boost_newton"
+    rules = (trees.Rules("newton", preset.max_depth, l2=1.0, least_hessian=1.0) if newton
+             else trees.Rules("mse", preset.max_depth))
+    return trees.fit_boosting(train, features, label, weight, classes, rules, preset.n_trees, preset.step,
+                              prior=not newton, double_hessian=newton, average_gain=newton, task_rows=task_rows)
 
 
 def importances(model, n_features: int) -> list[float]:
-    """Feature importances; one-vs-rest -> mean over the class models,
-    renormalised to sum to one."""
-    if hasattr(model, "featureImportances"):
-        return [float(x) for x in model.featureImportances.toArray()]
-    acc = [0.0] * n_features
-    for m in model.models:
-        for i, v in enumerate(m.featureImportances.toArray()):
-            acc[i] += float(v)
-    s = sum(acc)
-    return [a / s if s else 0.0 for a in acc]
+    """Feature importances, which sum to one."""
+    out = [float(x) for x in model.featureImportances]
+    return out + [0.0] * (n_features - len(out))
 
 
 def evaluate(pred: DataFrame, truth: str, predicted: str) -> DataFrame:
@@ -93,32 +81,22 @@ def evaluate(pred: DataFrame, truth: str, predicted: str) -> DataFrame:
 
 def compare_models(train: DataFrame, test: DataFrame, label: str, feature_names: Sequence[str],
                    presets: Sequence[Preset] = PRESETS, features: str = "features",
-                   seed: int = SEED, parallelism: int = 16, fit_partitions: int | None = None,
-                   most_fit_rows: int | None = None):
+                   seed: int = SEED):
     """Fit every preset on ``train`` (weighted, balanced), score on ``test``.
 
     Returns (comparison DataFrame (model, accuracy, balanced_accuracy),
-    {name: model}, indexer).  Labels are encoded on the training split.  At most
-    ``parallelism`` class models are fitted at once.  ``fit_partitions`` packs
-    the training rows into fewer tasks (boosting runs a few jobs per round, so
-    on small data their number decides the time).  ``most_fit_rows`` is a bound
-    on the training rows, taken in hash order of the features; None fits on all.
-    Scores always come from the whole test split.
+    {name: model}, indexer).  Labels are encoded on the training split.
     """
     from pyspark import StorageLevel
     enc_train, indexer = encode_labels(train, label)
-    if most_fit_rows is not None:
-        enc_train = enc_train.orderBy(F.xxhash64(F.col(features).cast("string"))).limit(most_fit_rows)
-    if fit_partitions is not None:
-        enc_train = enc_train.coalesce(fit_partitions)
-    # every boosting round and tree level re-reads the input: keep the encoded
-    # frames (recomputable from their short lineage) for the duration of the fits
+    # every preset reads the rows a few times: keep the encoded frames
+    # (recomputable from their short lineage) for the duration of the fits
     enc_train = enc_train.persist(StorageLevel.MEMORY_AND_DISK)
     enc_test = indexer.transform(test).persist(StorageLevel.MEMORY_AND_DISK)
     rows, models = [], {}
     try:
         for p in presets:
-            m = fit_model(enc_train, p, features, "label_idx", "weight", seed, parallelism)
+            m = fit_model(enc_train, p, features, "label_idx", "weight", seed)
             models[p.name] = m
             pred = decode_labels(m.transform(enc_test), indexer)
             s = evaluate(pred, label, "pred_label").first()

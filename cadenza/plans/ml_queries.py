@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cadenza.functions.vocab import SEED
-from cadenza.operators import classify, clusters, metrics, sampling
+from cadenza.operators import classify, clusters, metrics, sampling, trees
 from cadenza.plans.registry import r6, register, t
 from cadenza.session import materialize
 
@@ -124,13 +124,10 @@ SELECT m.model, n.n_test, n.classes, true AS accuracy_agrees, 1.0 AS importance_
 FROM n, (VALUES ('RandomForest'), ('GradientBoosting'), ('GBTDeep')) AS m(model)
 """)
 def model_checks(spark, sf):
-    """Small versions of the three presets: every test row gets a class, the
-    reported accuracy is the share of hits counted anew, and importances are
-    sorted and sum to one."""
+    """The three presets: every test row gets a class, the reported accuracy is
+    the share of hits counted anew, and importances are sorted and sum to one."""
     train, test, names = _supervised(spark, sf)
-    small = [classify.Preset(p.name, p.kind, n_trees=8 if p.kind == "forest" else 3, max_depth=min(p.max_depth, 5), step=p.step)
-             for p in classify.PRESETS]
-    comp, models, indexer = classify.compare_models(train, test, "genre", names, presets=small, fit_partitions=fit_partitions(train.count()))
+    comp, models, indexer = classify.compare_models(train, test, "genre", names)
     rows = []
     for r in comp.collect():
         pred = classify.decode_labels(models[r["model"]].transform(indexer.transform(test)), indexer)
@@ -142,6 +139,39 @@ def model_checks(spark, sf):
                                        "importance_sum double, importance_falling boolean")
 
 
+@register("boost_stumps", """
+WITH k AS (SELECT CAST(max(label) + 1 AS DOUBLE) AS k, 16777216.0 AS u FROM embeddings),
+c AS (SELECT DISTINCT label AS class FROM embeddings),
+x AS (SELECT label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) - 1 AS d FROM embeddings),
+e AS (SELECT DISTINCT d, unnest(q) AS edge FROM (SELECT d, quantile_disc(v, [{probs}]) AS q FROM x GROUP BY d)),
+n AS (SELECT e.d, e.edge, x.label, count(*) AS n FROM e JOIN x ON x.d = e.d AND x.v <= e.edge GROUP BY ALL),
+s AS (SELECT d, edge, class, sum(n) AS nl, coalesce(sum(n) FILTER (n.label = c.class), 0) AS hl FROM n, c GROUP BY ALL),
+t AS (SELECT class, (SELECT count(*) FROM embeddings) AS n, (SELECT count(*) FROM embeddings m WHERE m.label = c.class) AS h FROM c),
+g AS (SELECT s.d, s.edge, s.class, k.u,
+        ((nl - hl) * round(1 / k.k * k.u) + hl * round((1 / k.k - 1) * k.u)) / k.u AS gl,
+        nl * round(1 / k.k * (1 - 1 / k.k) * 2 * k.u) / k.u AS hess_l,
+        ((t.n - nl - t.h + hl) * round(1 / k.k * k.u) + (t.h - hl) * round((1 / k.k - 1) * k.u)) / k.u AS gr,
+        (t.n - nl) * round(1 / k.k * (1 - 1 / k.k) * 2 * k.u) / k.u AS hess_r
+      FROM s JOIN t USING (class), k),
+w AS (SELECT *, gl * gl / (hess_l + 1) + gr * gr / (hess_r + 1) - (gl + gr) * (gl + gr) / (hess_l + hess_r + 1) AS gain
+      FROM g WHERE hess_l >= 1 AND hess_r >= 1),
+b AS (SELECT *, row_number() OVER (PARTITION BY class ORDER BY round(gain, 12) DESC, d, edge) AS rk FROM w)
+SELECT CAST(class AS INTEGER) AS class, CAST(d AS INTEGER) AS feature, round(edge, 6) AS threshold, round(gain, 6) AS gain,
+       round(-gl / (hess_l + 1), 6) AS left_value, round(-gr / (hess_r + 1), 6) AS right_value FROM b WHERE rk = 1
+""".replace("{probs}", ", ".join(f"{i}/64.0" for i in range(1, 64))))
+def boost_stumps(spark, sf):
+    """The first round of second-order softmax boosting with one split per class,
+    chosen by a level job over the whole table."""
+    data = clusters.to_vector(_emb(spark, sf), "embedding").withColumn("y", F.col("label"))
+    classes = int(data.agg(F.max("y")).first()[0]) + 1
+    rules = trees.Rules("newton", 1, l2=1.0, least_hessian=1.0)
+    model = trees.fit_boosting(data, "features", "y", None, classes, rules, 1, 1.0, prior=False, double_hessian=True, task_rows=0)
+    rows = [(k, t.feature[0], float(model.edges[t.feature[0]][t.bin[0]]), t.gain[0], float(leaf[1]), float(leaf[2]))
+            for k, (t, leaf) in enumerate(model.trees[0])]
+    out = spark.createDataFrame(rows, "class int, feature int, threshold double, gain double, left_value double, right_value double")
+    return out.select("class", "feature", *[r6(c).alias(c) for c in ("threshold", "gain", "left_value", "right_value")])
+
+
 @register("pca", None)
 def pca(spark, sf):
     proj, ratios = clusters.pca(_emb(spark, sf), "vec_id", "embedding", 2)
@@ -150,11 +180,6 @@ def pca(spark, sf):
                        F.lit(round(ratios[1], 6)).alias("ratio2"))
 
 
-def fit_partitions(rows: int) -> int:
-    """Partitions of the training rows: one per 100,000, at least two."""
-    return max(2, -(-rows // 100_000))
-
-
 def _supervised(spark, sf):
     emb = _emb(spark, sf).withColumn("genre", F.concat(F.lit("c"), F.col("label").cast("string")))
     kept = sampling.support_filter(emb, "genre", 30)
@@ -172,7 +197,7 @@ def model_compare(spark, sf):
     model plus the feature importances of the best model (by balanced
     accuracy, first on ties), largest first."""
     train, test, names = _supervised(spark, sf)
-    comp, models, _ = classify.compare_models(train, test, "genre", names, fit_partitions=fit_partitions(train.count()))
+    comp, models, _ = classify.compare_models(train, test, "genre", names)
     best = classify.best_model_name(comp)
     scores = comp.select(F.lit("score").alias("kind"), "model",
                          F.explode(F.array(

@@ -53,7 +53,7 @@ def test_supervised(spark, prep):
     from cadenza.operators.classify import Preset
     from cadenza.plans.experiments import supervised_experiment
     presets = (Preset("RandomForest", "forest", n_trees=10, max_depth=8),
-               Preset("GradientBoosting", "ovr_gbt", n_trees=2, max_depth=3, step=0.1))
+               Preset("GradientBoosting", "boost", n_trees=2, max_depth=3, step=0.1))
     res = supervised_experiment(spark, prep, presets=presets, min_support=200)
     comp = {r["model"]: r for r in res["comparison"].collect()}
     assert set(comp) == {"RandomForest", "GradientBoosting"}
@@ -102,8 +102,3 @@ def test_sweep_squared_silhouette_option(spark):
     rows = {r["k"]: r for r in res.collect()}
     assert rows[2]["silhouette"] is None and rows[2]["silhouette_squared"] > 0.5
     assert clusters.best_k(res) == 2
-
-
-def test_fit_partitions_grow_with_the_rows():
-    from cadenza.plans.ml_queries import fit_partitions
-    assert [fit_partitions(n) for n in (0, 200_000, 200_001, 10**8)] == [2, 2, 3, 1000]
