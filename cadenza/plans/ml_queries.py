@@ -4,10 +4,11 @@ starts and tree sampling, so these have no SQL oracle (row checks only)."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from cadenza.functions.vocab import SEED
-from cadenza.operators import classify, clusters, metrics, sampling, trees
+from cadenza.operators import classify, clusters, kmeans, metrics, sampling, trees
 from cadenza.plans.registry import r6, register, t
 from cadenza.session import materialize
 
@@ -52,28 +53,66 @@ def kmeans_compare(spark, sf):
 # ---- properties that hold whatever the random start --------------------------
 
 @register("kmeans_checks", """
-SELECT CAST(5 AS INTEGER) AS k, count(*) AS n, CAST(5 AS BIGINT) AS n_clusters, count(*) AS n_nearest,
-       true AS inertia_is_sum, true AS below_one_cluster FROM embeddings
+SELECT CAST(k AS INTEGER) AS k, count(*) AS n, CAST(10 AS BIGINT) AS n_starts, k AS n_clusters, count(*) AS n_nearest,
+       true AS inertia_is_sum, true AS below_one_cluster, true AS least_of_starts
+FROM embeddings, range(2, 16) AS r(k) GROUP BY k
 """)
 def kmeans_checks(spark, sf):
-    """One fit checked row by row: sizes sum to n, every row sits with its nearest
-    centre, the reported inertia is the sum of squared distances and lies below
-    that of a single cluster."""
-    from pyspark.ml.functions import vector_to_array
+    """The whole sweep, k = 2..15 with ten starts each, checked row by row: sizes
+    sum to n, every row sits with its nearest centre, the reported inertia is the
+    sum of squared distances, is the least of its starts, and lies below that of
+    a single cluster."""
     data = clusters.to_vector(_emb(spark, sf), "embedding")
-    model, cost = clusters.fit_kmeans(data, 5, n_init=3, seed=SEED)
+    fits = kmeans.fit_pairs(data, "features", list(K_RANGE), N_INIT, SEED)
+    best = kmeans.best_fits(fits)
     whole = (_emb(spark, sf).select(F.posexplode("embedding")).groupBy("pos").agg(
         (F.var_pop(F.col("col").cast("double")) * F.count("col")).alias("s")).agg(F.sum("s")).first()[0])
-    centres = [[float(x) for x in c] for c in model.clusterCenters()]
-    pred = model.transform(data).select("cluster", vector_to_array("features").alias("v"))
-    far = F.array(*[F.aggregate(F.zip_with("v", F.array(*map(F.lit, c)), lambda a, b: (a - b) * (a - b)),
-                                F.lit(0.0), lambda a, x: a + x) for c in centres])
-    rows = pred.withColumn("d", far).withColumn("own", F.element_at("d", F.col("cluster") + 1))
-    got = rows.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("cluster").alias("n_clusters"),
-                   F.count_if(F.col("own") <= F.array_min("d") + 1e-9).alias("n_nearest"), F.sum("own").alias("s"))
-    return got.select(F.lit(5).alias("k"), "n", "n_clusters", "n_nearest",
-                      (F.abs(F.col("s") - F.lit(cost)) < 1e-6 * F.lit(cost)).alias("inertia_is_sum"),
-                      F.lit(cost < whole).alias("below_one_cluster"))
+    centres = spark.createDataFrame([(k, c, [float(x) for x in v]) for k, m in best.items() for c, v in enumerate(m.centres)],
+                                    "k int, c int, centre array<double>")
+    own = kmeans.assign(data, {f"k{k}": m.centres for k, m in best.items()}, "features")
+    # distances to all centres of all k, counted anew by SQL functions
+    pairs = own.select("vec_id", "embedding", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"k{k}").alias("own")) for k in best])).alias("p")).select(
+        "vec_id", "embedding", "p.*").join(F.broadcast(centres), "k")
+    dist = F.aggregate(F.zip_with("embedding", "centre", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
+    rows = pairs.withColumn("d", dist).groupBy("k", "vec_id", "own").agg(
+        F.min("d").alias("least"), F.max(F.when(F.col("c") == F.col("own"), F.col("d"))).alias("d"))
+    got = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("own").alias("n_clusters"),
+                                F.count_if(F.col("d") <= F.col("least") + 1e-9).alias("n_nearest"), F.sum("d").alias("s"))
+    costs = spark.createDataFrame([(k, m.cost, len(fits[k]), m.cost <= min(x.cost for x in fits[k])) for k, m in best.items()],
+                                  "k int, cost double, n_starts long, least_of_starts boolean")
+    return got.join(F.broadcast(costs), "k").select(
+        "k", "n", "n_starts", "n_clusters", "n_nearest", (F.abs(F.col("s") - F.col("cost")) < 1e-6 * F.col("cost")).alias("inertia_is_sum"),
+        (F.col("cost") < F.lit(whole)).alias("below_one_cluster"), "least_of_starts")
+
+
+@register("lloyd_step", """
+WITH RECURSIVE x AS MATERIALIZED (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS j FROM embeddings),
+first AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS c FROM embeddings),
+b AS (SELECT k, c, j, v FROM x JOIN first USING (vec_id), (VALUES (3), (7), (16)) AS ks(k) WHERE c < k),
+d AS MATERIALIZED (SELECT k, vec_id, c, sum((x.v - b.v) * (x.v - b.v)) AS d FROM x JOIN b USING (j) GROUP BY ALL),
+a AS MATERIALIZED (SELECT k, vec_id, min(struct_pack(d := d, c := c)) AS s FROM d GROUP BY ALL),
+m AS MATERIALIZED (SELECT k, s.c AS c, j, avg(v) AS v FROM a JOIN x USING (vec_id) GROUP BY ALL),
+d2 AS (SELECT k, vec_id, c, sum((x.v - m.v) * (x.v - m.v)) AS d FROM x JOIN m USING (j) GROUP BY ALL),
+cost AS (SELECT k, sum(d) AS cost FROM (SELECT k, vec_id, min(d) AS d FROM d2 GROUP BY ALL) GROUP BY k),
+n AS (SELECT k, s.c AS c, count(*) AS n FROM a GROUP BY ALL)
+SELECT CAST(k AS INTEGER) AS k, CAST(c AS INTEGER) AS cluster, n, round(sum(v), 6) AS centre_sum, round(sum(v * v), 6) AS centre_square,
+       round(any_value(cost), 4) AS cost_after
+FROM m JOIN n USING (k, c) JOIN cost USING (k) GROUP BY k, c, n
+""")
+def lloyd_step(spark, sf):
+    """One Lloyd step of three sets of centres (the first 3, 7 and 16 vectors) in
+    the same scan, and their costs after it."""
+    data = clusters.to_vector(_emb(spark, sf), "embedding")
+    blocks = materialize(kmeans.row_blocks(data, "features", SEED))
+    first = np.array([r["embedding"] for r in _emb(spark, sf).orderBy("vec_id").limit(16).collect()], dtype=np.float64)
+    sets = [first[:k] for k in (3, 7, 16)]
+    n, total, _ = kmeans.centre_sums(blocks, sets, first.shape[1])
+    moved, costs, _ = kmeans.lloyd(blocks, sets, first.shape[1], 1, 0.0)
+    rows = [(len(c), i, int(n[p][i]), float(c[i].sum()), float((c[i] ** 2).sum()), float(costs[p]))
+            for p, c in enumerate(moved) for i in range(len(c)) if n[p][i]]
+    out = spark.createDataFrame(rows, "k int, cluster int, n long, centre_sum double, centre_square double, cost_after double")
+    return out.select("k", "cluster", "n", r6("centre_sum").alias("centre_sum"), r6("centre_square").alias("centre_square"),
+                      F.round("cost_after", 4).alias("cost_after"))
 
 
 @register("pca_variance", """

@@ -25,8 +25,9 @@ def test_contract():
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 60
-    # model fits are the only queries without an oracle
-    assert set(q) - set(o) == {"kmeans_sweep", "kmeans_compare", "model_compare", "pca"}
+    # model fits are the only queries without an oracle, besides text operators
+    text, _ = entry._text_queries()
+    assert set(q) - set(o) - set(text) == {"kmeans_sweep", "kmeans_compare", "model_compare", "pca"}
 
 
 def test_entry(spark):
