@@ -21,12 +21,11 @@ columns are ignored, and only the text enters a score.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import (adam, arrow_map, byte_hashes, held_out, joined, release, released, row_chunks, sigmoid, tables,
+from cadenza.llm.common import (adam, arrow_map, byte_hashes, held_out, joined, released, row_chunks, sigmoid, tables,
                                 temperature, text_batches, texts_of, training_rows)
 
 BUCKETS, DIMS, NONZERO, WINDOW = 1 << 14, 64, 4, 2
@@ -74,7 +73,7 @@ def context_sums(docs: DataFrame) -> DataFrame:
         total, count = np.zeros(BUCKETS * DIMS), np.zeros(BUCKETS, dtype=np.int64)
         for batch in batches:
             texts = texts_of(batch, "text")
-            for part in row_chunks([len(x) for x in texts], 2 * _CHUNK):
+            for part in row_chunks([len(x) for x in texts], _CHUNK):
                 bucket, doc = words_of(texts[part])
                 count += np.bincount(bucket, minlength=BUCKETS)
                 for off in range(1, WINDOW + 1):
@@ -114,7 +113,7 @@ def pooled(texts: list[bytes], vectors: np.ndarray) -> np.ndarray:
     """One row per text: mean and deviation of its word vectors, and summaries."""
     width = vectors.shape[1]
     out = np.zeros((len(texts), 2 * width + 5), dtype=np.float32)
-    for part in row_chunks([len(x) for x in texts], _CHUNK // 4):
+    for part in row_chunks([len(x) for x in texts], _CHUNK // 16):
         bucket, doc = words_of(texts[part])
         if not len(bucket):
             continue
@@ -201,11 +200,11 @@ def score(docs: DataFrame, vectors: np.ndarray, model: dict, folds: int = FOLDS,
 
 
 def keep_good(docs: DataFrame, vectors: np.ndarray, model: dict) -> DataFrame:
-    """The documents that the network does not reject, with all their columns."""
-    @F.pandas_udf("double")
-    def chance(texts: pd.Series) -> pd.Series:
-        out = pd.Series(probability(model, pooled([t.encode() for t in texts], vectors)))
-        release()
-        return out
+    """The documents that the network does not reject, with all their columns;
+    every row is judged by its own text, so repeated and null ids need no care."""
     text_batches(docs.sparkSession)
-    return docs.filter(chance(F.coalesce("text", F.lit(""))) >= 0.5)
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(probability(model, pooled(texts_of(batch, "text"), vectors)) >= 0.5))
+    return docs.mapInArrow(released(run), docs.schema)
