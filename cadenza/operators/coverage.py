@@ -18,11 +18,32 @@ from cadenza.functions.exprs import first_token
 from cadenza.functions.vocab import GENRE_KEYWORDS, NOISE_TAGS, RELEVANT_RATE_TO_PROCEED
 
 
+def any_of(words: Iterable[str]) -> str:
+    """A pattern that finds any of ``words``, common beginnings once (a trie), so
+    that a place of the text is tried against its first letter's branch only.
+    Words that contain another one add nothing and are left out."""
+    own = set(words)
+    own = {w for w in own if not any(v != w and v in w for v in own)}
+
+    def branch(rest: set[str]) -> str:
+        if "" in rest:
+            return ""
+        heads: dict[str, set[str]] = {}
+        for w in rest:
+            heads.setdefault(w[0], set()).add(w[1:])
+        parts = [re.escape(h) + branch(heads[h]) for h in sorted(heads)]
+        return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
+    if not own:
+        return ""
+    heads = "".join(re.escape(h) for h in sorted({w[0] for w in own if w}))
+    return (f"(?=[{heads}])" if heads and "" not in own else "") + branch(own)
+
+
 def is_relevant(tag: Column, keywords: Iterable[str] = GENRE_KEYWORDS,
                 noise: Iterable[str] = NOISE_TAGS) -> Column:
     """Lowered tag not in the noise set and containing any keyword."""
     low = F.lower(tag)
-    either = "|".join(re.escape(k) for k in keywords)
+    either = any_of(keywords)
     return ~low.isin(list(noise)) & (low.rlike(either) if either else F.lit(False))
 
 
@@ -36,8 +57,10 @@ def split_tags(df: DataFrame, tags: str = "tags", name_field: str | None = None,
     """Add ``genre_tags`` / ``noise_tags`` arrays (order kept).  For small
     samples and display; the aggregates below do not need the arrays."""
     kw, ns = list(keywords), list(noise)
-    return (df.withColumn("genre_tags", F.filter(tags, lambda t: is_relevant(_name(t, name_field), kw, ns)))
-              .withColumn("noise_tags", F.filter(tags, lambda t: ~is_relevant(_name(t, name_field), kw, ns))))
+    # relevance is decided once per tag; both arrays only read the mark
+    marked = df.withColumn("__marked", F.transform(tags, lambda t: F.struct(t.alias("t"), is_relevant(_name(t, name_field), kw, ns).alias("ok"))))
+    return (marked.withColumn("genre_tags", F.transform(F.filter("__marked", lambda m: m["ok"]), lambda m: m["t"]))
+            .withColumn("noise_tags", F.transform(F.filter("__marked", lambda m: ~m["ok"]), lambda m: m["t"])).drop("__marked"))
 
 
 def item_tag_counts(df: DataFrame, keys: Sequence[str], tags: str = "tags",

@@ -7,7 +7,8 @@ Files with different headers (15-column artist files, 16-column labelled
 files with ``genre`` after ``album_name``, any other order or width) are
 grouped by their header line; every group is scanned with its own explicit
 schema and the groups are united by column name.  No row is told from a header
-by its content, so every row of every file is kept.
+by its content, so every row of every file is kept.  Files with line breaks inside
+quotes are cut into records first (``csv_records``), still split by split.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadenza.functions.vocab import LABEL_FILE
+from cadenza.sources import csv_records
 
 # FIXED VALUES: columns of the track files, in file order
 TRACK_COLUMNS = [
@@ -37,6 +39,11 @@ TRACK_SCHEMA = T.StructType([T.StructField(n, _TYPES[t]) for n, t in TRACK_COLUM
 LABEL_SCHEMA = T.StructType([T.StructField("artist_name", T.StringType()),
                              T.StructField("genre", T.StringType())])
 
+
+def _ddl(names: Sequence[str]) -> str:
+    return ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+
+
 def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """First line of every file: file_path, file_name, header.
 
@@ -65,25 +72,42 @@ def read_tracks(spark: SparkSession, paths: str | Sequence[str],
     files anyway) and one scan is planned per distinct header.
     """
     excl = set(exclude_files)
-    by_header: dict[str, list[str]] = {}
-    for r in file_headers(spark, paths).collect():
-        if r["file_name"] not in excl:
-            by_header.setdefault(r["header"].lstrip("\ufeff"), []).append(unquote(r["file_path"]))
+    torn = {r["file_path"] for r in csv_records.broken_files(spark, paths).collect()}    # files, a subset of those listed
+    found = [r for r in file_headers(spark, paths).collect() if r["file_name"] not in excl]
+    by_header: dict[tuple[str, bool], list[str]] = {}
+    whole = None
+    if any(r["file_path"] in torn for r in found):
+        whole = csv_records.records(spark, [unquote(r["file_path"]) for r in found if r["file_path"] in torn])
+        heads = whole.filter("blk = 0 and pos = 0").select("file_path", "record").collect()
+        heads = {r["file_path"]: r["record"] for r in heads}
+        found = [{**r.asDict(), "header": heads.get(r["file_path"], r["header"])} for r in found]
+    for r in found:
+        by_header.setdefault((r["header"].lstrip("\ufeff"), r["file_path"] in torn), []).append(r["file_path"])
     wanted = [(n, typ) for n, typ in columns if n not in set(drop_columns)]
     out = None
-    for header, files in sorted(by_header.items()):
+    for (header, tears), files in sorted(by_header.items()):
         names: list[str] = []
         for i, n in enumerate(next(csv.reader([header]))):
             names.append(n if n and n not in names else f"__c{i}")
         raw = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        rows = (spark.read.schema(raw).option("header", True).option("escape", '"').option("mode", "PERMISSIVE")
-                .csv(sorted(files)))
-        cols = [(F.lit(None).cast(typ) if n not in names else F.col(f"`{n}`") if typ == "string"
-                 else F.col(f"`{n}`").try_cast(typ)).alias(n) for n, typ in wanted]
-        part = rows.select(*cols, F.col("_metadata.file_name").alias("file_name"),
-                           F.struct(F.col("_metadata.file_path").alias("file_path"),
-                                    F.col("_metadata.file_block_start").alias("__blk"),
-                                    F.monotonically_increasing_id().alias("__mid")).alias("row_ord"))
+        if tears:
+            # quoted fields with line breaks: whole records, parsed one by one
+            rows = whole.filter(F.col("file_path").isin(files) & ~((F.col("blk") == 0) & (F.col("pos") == 0))).filter("record != ''").select(
+                F.from_csv("record", _ddl(names),
+                           {"escape": '"', "mode": "PERMISSIVE", "maxCharsPerColumn": "-1"}).alias("r"),
+                "file_name", F.struct("file_path", F.col("blk").alias("__blk"), F.col("pos").alias("__mid")).alias("row_ord"))
+            cols = [(F.lit(None).cast(typ) if n not in names else F.col(f"r.`{n}`") if typ == "string"
+                     else F.col(f"r.`{n}`").try_cast(typ)).alias(n) for n, typ in wanted]
+            part = rows.select(*cols, "file_name", "row_ord")
+        else:
+            rows = (spark.read.schema(raw).option("header", True).option("escape", '"').option("mode", "PERMISSIVE")
+                    .csv(sorted(unquote(f) for f in files)))
+            cols = [(F.lit(None).cast(typ) if n not in names else F.col(f"`{n}`") if typ == "string"
+                     else F.col(f"`{n}`").try_cast(typ)).alias(n) for n, typ in wanted]
+            part = rows.select(*cols, F.col("_metadata.file_name").alias("file_name"),
+                               F.struct(F.col("_metadata.file_path").alias("file_path"),
+                                        F.col("_metadata.file_block_start").alias("__blk"),
+                                        F.monotonically_increasing_id().alias("__mid")).alias("row_ord"))
         out = part if out is None else out.unionByName(part)
     if out is None:
         fields = ", ".join([f"{n} {typ}" for n, typ in wanted]
