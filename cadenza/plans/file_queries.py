@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cadenza.plans.registry import register, t
 from cadenza.session import ensure_checkpoint_dir
-from cadenza.sources import tracks
+from cadenza.sources import commits, tracks
 
 LINE_COLUMNS = [("l_orderkey", "bigint"), ("l_linenumber", "int"), ("l_partkey", "bigint"), ("l_quantity", "double"),
                 ("l_extendedprice", "double"), ("l_returnflag", "string"), ("l_linestatus", "string")]
@@ -96,3 +96,36 @@ def sink_modes(spark, sf):
     counts = [spark.read.parquet(more).groupBy("genre").agg(F.count(F.lit(1)).alias("n_appended")),
               spark.read.parquet(over).groupBy("genre").agg(F.count(F.lit(1)).alias("n_overwritten"))]
     return back.select("genre").distinct().join(counts[0], "genre").join(counts[1], "genre").withColumn("n_columns", F.lit(n))
+
+
+@register("csv_breaks", """
+SELECT doc_id, lang, length(text) AS n_chars, md5(text) AS digest FROM documents
+""")
+def csv_breaks(spark, sf):
+    """Whole texts with their line breaks written as quoted CSV fields and read
+    back split by split."""
+    path = _folder(spark, "csv-breaks")
+    (t(spark, sf, "documents").select("lang", "text", "doc_id").write.options(
+        header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path))
+    got = tracks.read_tracks(spark, path, columns=[("doc_id", "bigint"), ("lang", "string"), ("text", "string")], drop_columns=())
+    return got.select("doc_id", "lang", F.length("text").cast("long").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
+@register("sink_commits", """
+WITH x AS (SELECT 'appended' AS state, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus <> 'P'
+UNION ALL SELECT 'replaced', o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'P')
+SELECT state, o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM x GROUP BY ALL
+""")
+def sink_commits(spark, sf):
+    """Committed writes: two appends, one of them repeated with its id, a write
+    that stopped before its commit, and an overwrite of another table."""
+    orders = t(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    one, two = _folder(spark, "commit-append"), _folder(spark, "commit-replace")
+    for write_id, status in (("f", "F"), ("o", "O"), ("f", "F")):
+        commits.write(orders.filter(F.col("o_orderstatus") == status), one, write_id)
+    orders.write.parquet(f"{one}/data/stopped-before-its-commit")
+    commits.write(orders, two, "all", partition_by=["o_orderstatus"])
+    commits.write(orders.filter("o_orderstatus = 'P'"), two, "p", mode="overwrite")
+    both = commits.read(spark, one).withColumn("state", F.lit("appended")).unionByName(
+        commits.read(spark, two).withColumn("state", F.lit("replaced")))
+    return both.groupBy("state", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
