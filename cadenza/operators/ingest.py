@@ -7,6 +7,7 @@ label order); nothing relies on row order or monotonically increasing ids.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,6 +17,18 @@ from cadenza.functions.exprs import norm_key
 from cadenza.functions.vocab import LOOKUP_BATCH, SEARCH_CAP
 
 
+#: Items on more than one of so many rows are heavy.
+HEAVY = 1000
+
+
+def fresh(columns: Sequence[str], name: str) -> str:
+    """``name``, with underscores appended until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def _cols(cs):
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
@@ -75,36 +88,43 @@ def cap_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str],
     return out.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= cap)
 
 
-def rank_in_group(df: DataFrame, group: Sequence[str], order: Sequence[str],
-                  rank_col: str = "rank", partitions: int | None = None) -> DataFrame:
-    """1-based ``row_number`` within each group by ``order``, for groups of
-    any size: a group is never sorted in one task.
+def running_sum(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str | Column,
+                out: str, partitions: int | None = None) -> DataFrame:
+    """Inclusive running sum of ``value`` within each group by ``order``, for
+    groups of any size: a group is never sorted in one task.
 
     Rows are range-partitioned on (group, order), so a huge group spreads
-    over many partitions in order.  Rows per (partition, group) are counted
+    over many partitions in order.  Sums per (partition, group) are taken
     (a small table), prefix sums over partitions give each chunk's offset,
-    and every chunk is ranked locally.  ``order`` must make rows unique
-    within a group for the ranks to be deterministic.
+    and every chunk is summed locally.  ``order`` must make rows unique
+    within a group for the sums to be deterministic.  A null group is a group.
     """
     from cadenza.session import materialize
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pid, part, off, run = (fresh(df.columns, x) for x in ("__pid", "__p", "__off", "__run"))
+    keys = [fresh(df.columns, f"__g{i}") for i in range(len(group))]
+    v = F.col(value) if isinstance(value, str) else value
     # The range boundaries come from a sample, so the ranged rows are written
-    # once, with their chunk, and counts and ranks read the same rows.
-    ranged = materialize(df.repartitionByRange(n, *group, *order)
-                         .withColumn("__pid", F.spark_partition_id()))
-    chunks = ranged.groupBy("__pid", *group).agg(F.count(F.lit(1)).alias("__cnt"))
-    before = Window.partitionBy(*group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = chunks.select(F.col("__pid").alias("__p"), *[F.col(g).alias(f"__g_{g}") for g in group],
-                            F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__off"))
-    local = Window.partitionBy("__pid", *group).orderBy(*order)
-    ranked = ranged.withColumn("__r", F.row_number().over(local))
-    same = F.col("__pid") == F.col("__p")
-    for g in group:                                  # a null group is a group
-        same = same & F.col(g).eqNullSafe(F.col(f"__g_{g}"))
-    return (ranked.join(offsets, same, "inner")
-            .withColumn(rank_col, F.col("__off") + F.col("__r"))
-            .drop("__pid", "__p", "__r", "__off", *[f"__g_{g}" for g in group]))
+    # once, with their chunk, and sums and chunks read the same rows.
+    ranged = materialize(df.repartitionByRange(n, *group, *order).withColumn(pid, F.spark_partition_id()))
+    chunks = ranged.groupBy(pid, *group).agg(F.sum(v).alias(off))
+    before = Window.partitionBy(*group).orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = chunks.select(F.col(pid).alias(part), *[F.col(g).alias(k) for g, k in zip(group, keys)],
+                            F.coalesce(F.sum(off).over(before), F.lit(0)).alias(off))
+    local = Window.partitionBy(pid, *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    same = F.col(pid) == F.col(part)
+    for g, k in zip(group, keys):
+        same = same & F.col(g).eqNullSafe(F.col(k))
+    return (ranged.withColumn(run, F.sum(v).over(local)).join(offsets, same, "inner")
+            .withColumn(out, F.col(off) + F.col(run)).drop(pid, part, run, off, *keys))
+
+
+def rank_in_group(df: DataFrame, group: Sequence[str], order: Sequence[str],
+                  rank_col: str = "rank", partitions: int | None = None) -> DataFrame:
+    """1-based ``row_number`` within each group by ``order``, for groups of any
+    size (``running_sum`` of ones)."""
+    return running_sum(df, group, order, F.lit(1), rank_col, partitions)
 
 
 def soft_cap(df: DataFrame, group: Sequence[str], unit: str, unit_order: Sequence[str],
@@ -112,15 +132,20 @@ def soft_cap(df: DataFrame, group: Sequence[str], unit: str, unit_order: Sequenc
     """Keep whole units (albums) in order while fewer than ``cap`` rows were
     taken before the unit: the last unit may overshoot the cap.
 
-    Rows are counted per (group, unit) first; the running sum runs over that
-    small table, and the kept units are semi-joined back.
+    Rows are counted per (group, unit) first; the running sum over that table
+    splits a group of many units over tasks (``running_sum``), and the kept
+    units are semi-joined back.  Null groups and units are groups and units.
     """
+    n = fresh(df.columns, "__nu")
+    upto = fresh(df.columns, "__upto")
+    order = [*unit_order, *([] if unit in unit_order else [unit])]
     per_unit = df.groupBy(*group, unit, *[c for c in unit_order if c != unit]) \
-                 .agg(F.count(F.lit(1)).alias("__nu"))
-    w = Window.partitionBy(*group).orderBy(*unit_order).rowsBetween(Window.unboundedPreceding, -1)
-    kept = (per_unit.withColumn("__before", F.coalesce(F.sum("__nu").over(w), F.lit(0)))
-            .filter(F.col("__before") < cap).select(*group, unit))
-    return df.join(kept, on=[*group, unit], how="left_semi")
+                 .agg(F.count(F.lit(1)).alias(n))
+    names = {c: fresh(df.columns, f"__k{i}") for i, c in enumerate([*group, unit])}
+    kept = (running_sum(per_unit, group, order, n, upto).filter(F.col(upto) - F.col(n) < cap)
+            .select(*[F.col(c).alias(k) for c, k in names.items()]))
+    same = [F.col(c).eqNullSafe(F.col(k)) for c, k in names.items()]
+    return df.join(kept, functools.reduce(lambda x, y: x & y, same), "left_semi")
 
 
 def batch_numbers(df: DataFrame, group: Sequence[str], rank_col: str = "rank",
@@ -149,14 +174,24 @@ def first_hit(df: DataFrame, query_col: str, pos_col: str, value: str | Column,
 def first_label_wins(df: DataFrame, item: str, label: str) -> DataFrame:
     """Labels are processed in sorted order; an item already seen under an
     earlier label is not taken by a later one.  Duplicates of the item inside
-    its first label all survive.
+    its first label all survive.  A null item is an item like any other; rows
+    without a label are not taken.
 
-    The per-item minimum is a partial aggregation; the join back is an
-    equi-join (AQE splits a hot item's partition if one item is skewed).
+    The per-item minimum is a partial aggregation, and so is the count by which
+    heavy items are found: those on more than 1 / ``HEAVY`` of the rows, fewer
+    than ``HEAVY`` of them, meet their rows by a broadcast; the others' rows are
+    shuffled by the item.
     """
-    first = df.groupBy(item).agg(F.min(label).alias("__first"))
-    return df.join(first, on=item, how="inner").filter(F.col(label) == F.col("__first")) \
-             .drop("__first")
+    first, key, n = (fresh(df.columns, x) for x in ("__first", "__item", "__n"))
+    per_item = df.groupBy(F.col(item).alias(key)).agg(F.min(label).alias(first), F.count(F.lit(1)).alias(n))
+    rows = df.count()
+    heavy = per_item.filter(F.col(n) * HEAVY > F.lit(rows)).drop(n)
+    light = per_item.filter(F.col(n) * HEAVY <= F.lit(rows)).drop(n)
+    won = F.col(item).eqNullSafe(F.col(key)) & (F.col(label) == F.col(first))
+    # one column per heavy item decides where a row goes
+    hot = df.join(F.broadcast(heavy), won, "inner")
+    cold = df.join(F.broadcast(heavy.select(key)), F.col(item).eqNullSafe(F.col(key)), "left_anti").join(light, won, "inner")
+    return hot.unionByName(cold).drop(key, first)
 
 
 def label_stats(candidates: DataFrame, kept: DataFrame, label: str, playlist: str,

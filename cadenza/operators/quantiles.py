@@ -4,8 +4,10 @@ The first scan takes, per group and feature, a quantile sketch: two values that
 bracket every wanted quantile.  The second counts, for every bracket, the rows
 below it, keeps each distinct value inside it with its count, and the nearest
 value on either side.  Both scans are partial aggregations, so a hot group is
-combined where its rows are; no group's values meet in one task, and nothing is
-collected.  There is no other path for small or large inputs.
+combined where its rows are, and no values are collected.  The ranks of the
+values inside a bracket are running counts: over the bracket where the sketch
+proves that it holds at most ``WINDOW_ROWS`` rows, else over range-split chunks
+of it, so that no task sorts more than its share.
 """
 
 from __future__ import annotations
@@ -15,8 +17,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadenza.operators.ingest import running_sum
+
 #: Bracket rows (groups x features x quantiles) that may be broadcast.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
+#: Rows of a bracket whose running counts may be taken by one task.
+WINDOW_ROWS = 1_000_000
 
 
 def _num(c: str):
@@ -52,14 +58,19 @@ def quantiles(df: DataFrame, features: Sequence[str], probs: Sequence[float],
     values = df.select(key.alias("vg"), F.explode(F.array(*[
         F.struct(F.lit(i).alias("vf"), _num(c).alias("x")) for i, c in enumerate(features)])).alias("v")).select(
         "vg", "v.*").filter("x is not null")
-    dim = F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+    n_brackets, largest, size = table.agg(F.count(F.lit(1)), F.max("n"), F.sum(F.octet_length(F.col("g").cast("string")))).first()
+    small = n_brackets <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
+    dim = F.broadcast(table) if small else table
     side = F.when(F.col("x") < F.col("lo"), -1).when(F.col("x") > F.col("hi"), 1).otherwise(0)
     seen = (values.join(dim, F.col("vg").eqNullSafe(F.col("g")) & (F.col("vf") == F.col("f")))
             .groupBy("g", "f", "j", "n", side.alias("side"), F.when(side == 0, F.col("x")).alias("inside"))
             .agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("low"), F.max("x").alias("high")))
     # in value order: all rows below count once, at the largest of them
-    by = Window.partitionBy("g", "f", "j").orderBy("side", "inside")
-    ranked = seen.withColumn("upto", F.sum("c").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    if (largest or 0) * 8 / accuracy <= WINDOW_ROWS:
+        by = Window.partitionBy("g", "f", "j").orderBy("side", "inside")
+        ranked = seen.withColumn("upto", F.sum("c").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    else:
+        ranked = running_sum(seen, ["g", "f", "j"], ["side", "inside"], "c", "upto")
     prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("j") + 1)
     pos = (F.col("n") - 1) * prob
     k0 = F.floor(pos)

@@ -21,24 +21,27 @@ from pyspark.sql import functions as F
 
 from cadenza.functions.exprs import hash_bucket, hash_key
 from cadenza.functions.vocab import MIN_CLASS_SUPPORT, SEED, TEST_FRACTION
+from cadenza.operators.ingest import fresh
 
 _BUCKET_DIGITS = 4          # 16**4 = 65,536 hash buckets per class
 #: Rows of a class table that may be broadcast to the fact rows.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
 
 
 def join_classes(facts: DataFrame, classes: DataFrame, cls: str, how: str) -> DataFrame:
     """Join a per-class table to the facts, null-safe on ``cls``.
 
-    The class table is written once and counted; up to ``BROADCAST_ROWS`` rows
-    it is broadcast, so the facts are not shuffled and a hot class stays where
-    its rows are.  A larger one is joined by a shuffle, whose hot partitions
+    The class table is written once and measured; up to ``BROADCAST_ROWS`` rows
+    and ``BROADCAST_BYTES`` of class names it is broadcast, so the facts are not
+    shuffled and a hot class stays where its rows are.  A larger one is joined by a shuffle, whose hot partitions
     AQE splits.  Both give the same rows.
     """
     from cadenza.session import materialize
-    table = materialize(classes.withColumnRenamed(cls, "__cls"))
-    side = F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
-    return facts.join(side, facts[cls].eqNullSafe(side["__cls"]), how).drop("__cls")
+    own = fresh([*facts.columns, *classes.columns], "__cls")
+    table = materialize(classes.withColumnRenamed(cls, own))
+    rows, size = table.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.col(own).cast("string")))).first()
+    side = F.broadcast(table) if rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES else table
+    return facts.join(side, facts[cls].eqNullSafe(side[own]), how).drop(own)
 
 
 def class_counts(df: DataFrame, cls: str) -> DataFrame:
@@ -92,39 +95,42 @@ def take_quota(df: DataFrame, cls: str, quotas, order_key: str,
     boolean flag instead of filtering.  See the module doc for the skew plan.
     """
     from cadenza.session import materialize
-    rows = df.withColumn("__b", hash_bucket(order_key, _BUCKET_DIGITS))
+    # names of our own that no column of the caller has
+    b_, nb, cum, q_, eb, need, take, qc = (fresh(df.columns, x) for x in (
+        "__b", "__nb", "__cum", "__quota", "__eb", "__need", "__take", "__qc"))
+    rows = df.withColumn(b_, hash_bucket(order_key, _BUCKET_DIGITS))
     # the aggregated counts (at most classes x 65,536 rows) feed the class
     # sizes, the quotas and the boundaries: checkpoint them once so the input
     # is counted in one pass and the rest reads the small table
-    per_bucket = materialize(rows.groupBy(cls, "__b").agg(F.count(F.lit(1)).alias("__nb")))
+    per_bucket = materialize(rows.groupBy(cls, b_).agg(F.count(F.lit(1)).alias(nb)))
     if callable(quotas):
-        quotas = quotas(per_bucket.groupBy(cls).agg(F.sum("__nb").alias("nc")))
-    w = Window.partitionBy(cls).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
-    q = quotas.select(F.col(cls).alias("__qc"), "quota")
-    cum = per_bucket.withColumn("__cum", F.sum("__nb").over(w))
-    cum = cum.join(q, cum[cls].eqNullSafe(q["__qc"]), "inner").drop("__qc")   # null is a class too
+        quotas = quotas(per_bucket.groupBy(cls).agg(F.sum(nb).alias("nc")))
+    w = Window.partitionBy(cls).orderBy(b_).rowsBetween(Window.unboundedPreceding, 0)
+    q = quotas.select(F.col(cls).alias(qc), F.col("quota").alias(q_))
+    sums = per_bucket.withColumn(cum, F.sum(nb).over(w))
+    sums = sums.join(q, sums[cls].eqNullSafe(q[qc]), "inner").drop(qc)   # null is a class too
     # per class: its quota and the boundary bucket (first bucket whose running
     # count reaches the quota) with the rows still needed from it
-    reach = F.col("__cum") >= F.col("quota")
-    per_class = cum.groupBy(cls).agg(
-        F.first("quota").alias("quota"),
-        F.min(F.when(reach, F.col("__b"))).alias("eb"),
-        F.min_by(F.when(reach, F.col("quota") - F.col("__cum") + F.col("__nb")),
-                 F.when(reach, F.col("__b"))).alias("need"))
+    reach = F.col(cum) >= F.col(q_)
+    per_class = sums.groupBy(cls).agg(
+        F.first(q_).alias(q_),
+        F.min(F.when(reach, F.col(b_))).alias(eb),
+        F.min_by(F.when(reach, F.col(q_) - F.col(cum) + F.col(nb)),
+                 F.when(reach, F.col(b_))).alias(need))
     # one row per class: rows off the edge are decided without any row shuffle
     marked = join_classes(rows, per_class, cls, "left")
-    no_quota = F.col("quota").isNull() | (F.col("quota") <= 0)
-    at_edge = ~no_quota & F.col("eb").isNotNull() & (F.col("__b") == F.col("eb"))
+    no_quota = F.col(q_).isNull() | (F.col(q_) <= 0)
+    at_edge = ~no_quota & F.col(eb).isNotNull() & (F.col(b_) == F.col(eb))
     # classes never reaching the quota have no edge: every row is taken
-    before = ~no_quota & (F.col("eb").isNull() | (F.col("__b") < F.col("eb")))
-    settled = marked.filter(~at_edge).withColumn("__take", before)
-    rank_w = Window.partitionBy(cls, "__b").orderBy(order_key)
+    before = ~no_quota & (F.col(eb).isNull() | (F.col(b_) < F.col(eb)))
+    settled = marked.filter(~at_edge).withColumn(take, before)
+    rank_w = Window.partitionBy(cls, b_).orderBy(order_key)
     edge_rows = marked.filter(at_edge).withColumn(
-        "__take", F.row_number().over(rank_w) <= F.col("need"))
-    out = settled.unionByName(edge_rows).drop("__b", "quota", "eb", "need")
+        take, F.row_number().over(rank_w) <= F.col(need))
+    out = settled.unionByName(edge_rows).drop(b_, q_, eb, need)
     if flag_col:
-        return out.withColumnRenamed("__take", flag_col)
-    return out.filter("__take").drop("__take")
+        return out.withColumnRenamed(take, flag_col)
+    return out.filter(take).drop(take)
 
 
 def _median_cap() -> "F.Column":
@@ -146,8 +152,8 @@ def balance_classes(df: DataFrame, cls: str, key: str, seed: int = SEED,
         limit = _median_cap() if cap is None else F.lit(int(cap))
         return counts.select(cls, F.least(F.col("nc"), limit).alias("quota"))
 
-    h = hash_key(seed, key)
-    return take_quota(base.withColumn("__h", h), cls, quotas, "__h").drop("__h")
+    h = fresh(df.columns, "__h")
+    return take_quota(base.withColumn(h, hash_key(seed, key)), cls, quotas, h).drop(h)
 
 
 def quotas_from_counts(counts: DataFrame, cls: str, test_fraction: float = TEST_FRACTION) -> DataFrame:
@@ -183,12 +189,11 @@ def stratified_split(df: DataFrame, cls: str, key: str, test_fraction: float = T
     """Label every row 'test' or 'train': ``ceil(test_fraction * n)`` test rows
     in all; each class keeps its largest-remainder share of the training rows
     and gives the rest to test, chosen in hash order (``quotas_from_counts``)."""
-    h = hash_key(seed, key)
-    flagged = take_quota(df.withColumn("__h", h), cls,
+    h, test = fresh(df.columns, "__h"), fresh(df.columns, "__t")
+    flagged = take_quota(df.withColumn(h, hash_key(seed, key)), cls,
                          lambda counts: quotas_from_counts(counts, cls, test_fraction),
-                         "__h", flag_col="__t")
-    return flagged.withColumn(out_col, F.when(F.col("__t"), "test").otherwise("train")) \
-        .drop("__t", "__h")
+                         h, flag_col=test)
+    return flagged.withColumn(out_col, F.when(F.col(test), "test").otherwise("train")).drop(test, h)
 
 
 def spread_sample(df: DataFrame, cls: str, group: str, key: str, target: int = 100,

@@ -124,3 +124,59 @@ def test_broken_feature_bodies_are_not_collected(spark):
     pages = spark.createDataFrame([("a", 0, 200, '{"energy": 0.5}'), ("b", 0, 200, "<html>"), ("c", 0, 200, None), ("d", 0, 200, '{"energy"')],
                                   "request_key string, page_no long, status int, body string")
     assert [r["request_key"] for r in payloads.audio_features(pages).collect()] == ["a"]
+
+
+# ---- null keys, clashing names, groups split over chunks ----------------------
+
+def test_soft_cap_keeps_null_groups_and_units(spark):
+    from cadenza.operators import ingest
+    rows = [(None, "a", i) for i in range(3)] + [(None, None, i) for i in range(3)] + [("g", u, i) for u in "abcde" for i in range(4)]
+    df = spark.createDataFrame(rows, "grp string, unit string, i int")
+    got = [(r["grp"], r["unit"]) for r in ingest.soft_cap(df, ["grp"], "unit", ["unit"], 4).collect()]
+    # null sorts first: 3 rows of the null unit, then unit a is taken as well
+    assert got.count((None, None)) == 3 and got.count((None, "a")) == 3
+    assert got.count(("g", "a")) == 4 and got.count(("g", "b")) == 0
+
+
+def test_soft_cap_of_a_group_with_many_units(spark):
+    from cadenza.operators import ingest
+    df = spark.range(20_000).selectExpr("id % 2 as g", "id div 4 as unit", "id as __nu", "id as __upto")
+    got = ingest.soft_cap(df, ["g"], "unit", ["unit"], 1001).groupBy("g").count().collect()
+    assert {r["g"]: r["count"] for r in got} == {0: 1002, 1: 1002}
+
+
+def test_first_label_wins_with_null_and_hot_items(spark):
+    from cadenza.operators import ingest
+    rows = [(None, "b", 1), (None, "a", 2), (None, "a", 3), (1, "c", 4), (1, None, 5)] + [(7, "z" if i % 2 else "y", i) for i in range(3000)]
+    rows += [(100 + i, "x", i) for i in range(500)]
+    df = spark.createDataFrame(rows, "item int, label string, __first int")
+    got = ingest.first_label_wins(df, "item", "label")
+    assert got.columns == df.columns
+    by = {}
+    for r in got.collect():
+        by.setdefault(r["item"], []).append(r["label"])
+    assert by[None] == ["a", "a"] and by[1] == ["c"] and by[7] == ["y"] * 1500 and len(by) == 503
+
+
+@pytest.mark.parametrize("name", ["quota", "eb", "need", "__b", "__h", "__t", "__take", "__cls"])
+def test_callers_may_use_any_column_name(spark, name):
+    from cadenza.operators import sampling
+    df = spark.range(200).selectExpr("id as k", "cast(id % 3 as string) as cls", f"id as `{name}`")
+    for out in (sampling.balance_classes(df, "cls", "k", cap=20), sampling.stratified_split(df, "cls", "k")):
+        assert name in out.columns
+        assert all(r[name] == r["k"] for r in out.collect())
+
+
+def test_quantiles_over_split_brackets(spark, monkeypatch):
+    import numpy as np
+    from cadenza.operators import quantiles
+    rng = np.random.default_rng(1)
+    rows = [(["a", "b", None][i % 3], float(v), float(i % 4)) for i, v in enumerate(np.round(rng.normal(0, 3, 3000), 2))]
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    args = (df, ["x", "y"], [0.25, 0.5, 0.99], "g", 50)
+    want = sorted(map(str, quantiles.quantiles(*args).collect()))
+    monkeypatch.setattr(quantiles, "WINDOW_ROWS", 0)
+    assert sorted(map(str, quantiles.quantiles(*args).collect())) == want
+    x = np.array([r[1] for r in rows if r[0] == "a"])
+    got = {(r["feature"], r["prob"]): r["value"] for r in quantiles.quantiles(*args).filter("g = 'a'").collect()}
+    assert abs(got["x", 0.25] - np.quantile(x, 0.25)) < 1e-12
