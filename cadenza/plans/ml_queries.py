@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from cadenza.functions.vocab import SEED
-from cadenza.operators import classify, clusters, kmeans, metrics, sampling, trees
+from cadenza.operators import classify, clusters, kmeans, metrics, moments, sampling, trees
 from cadenza.plans.registry import r6, register, t
 from cadenza.session import materialize
 
@@ -131,6 +131,29 @@ def pca_variance(spark, sf):
                         F.lit(all(a >= b - 1e-12 for a, b in zip(ratios, ratios[1:]))).alias("falling"))
 
 
+@register("pca_directions", """
+WITH x AS (SELECT unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS d FROM embeddings),
+s AS (SELECT d, var_samp(v) AS v FROM x GROUP BY d)
+SELECT round(sum(v), 4) AS total_variance, CAST(64 AS BIGINT) AS n_directions, round(sum(v), 4) AS projected_variance,
+       true AS orthogonal, true AS falling, true AS uncorrelated FROM s
+""")
+def pca_directions(spark, sf):
+    """Principal directions by block power iteration, all of them: the projections'
+    variances sum to the total, fall, and equal the reported ones."""
+    emb = _emb(spark, sf)
+    d = moments.width_of(emb, "embedding")
+    top, values, mu = moments.principal_components(emb, "embedding", d, rounds=2)
+    proj = moments.project(emb, "embedding", top, mu, "p")
+    c = moments.correlations(proj, "p")
+    total = emb.select(F.posexplode("embedding")).groupBy("pos").agg(F.var_samp(F.col("col").cast("double")).alias("v")).agg(F.sum("v")).first()[0]
+    own = proj.select(F.posexplode("p").alias("i", "x")).groupBy("i").agg(F.var_samp("x").alias("v")).orderBy("i").collect()
+    own = np.array([r["v"] for r in own])
+    return spark.createDataFrame(
+        [(round(total, 4), len(values), round(float(own.sum()), 4), bool(np.abs(top.T @ top - np.eye(d)).max() < 1e-9),
+          bool((np.diff(values) <= 1e-12).all() and np.allclose(own, values, rtol=1e-6)), bool(np.abs(c - np.eye(d)).max() < 1e-5))],
+        "total_variance double, n_directions long, projected_variance double, orthogonal boolean, falling boolean, uncorrelated boolean")
+
+
 @register("label_codes", """
 SELECT o_orderpriority, CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS DOUBLE) AS label_idx,
        o_orderpriority AS decoded, count(*) AS n FROM orders GROUP BY o_orderpriority

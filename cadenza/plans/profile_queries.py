@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from cadenza.operators import profile
+from cadenza.operators import moments, profile
 from cadenza.plans.registry import r6, register, t
 
 FEATS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -81,3 +82,16 @@ SELECT count(DISTINCT source) AS n_groups, count(*) AS n_rows FROM documents
 """)
 def dataset_totals(spark, sf):
     return profile.totals(t(spark, sf, "documents"), "source")
+
+
+@register("corr_vectors", """
+WITH x AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings)
+SELECT CAST(a.i AS INTEGER) AS feature_a, CAST(b.i AS INTEGER) AS feature_b, round(corr(a.v, b.v), 6) AS corr
+FROM x a JOIN x b ON a.vec_id = b.vec_id AND a.i < b.i GROUP BY ALL
+""")
+def corr_vectors(spark, sf):
+    """Correlations of all pairs of embedding components from shared scans."""
+    c = moments.correlations(t(spark, sf, "embeddings"), "embedding")
+    i, j = np.triu_indices(len(c), 1)
+    return spark.createDataFrame(list(zip(i.tolist(), j.tolist(), [round(float(x), 6) for x in c[i, j]])),
+                                 "feature_a int, feature_b int, corr double")
