@@ -3,17 +3,21 @@
 A document's signature holds ``FUNCTIONS`` MinHash values of its shingle set.
 The forest keeps ``ORDERS`` sorted orders of the signatures; order ``t`` sorts
 by the functions from ``2 t`` on, so no two orders lead with the same ones.
-Documents that share a prefix of two values in some order form a region.  Depth
-adapts to the region: a small region offers all its pairs; a crowded one goes on
-by the next values of its order, then by a salt, and links every document of it
-to its smallest one, which joins most copies at little cost.  What crowded
-regions do not offer that way is found exactly: their documents are joined on
-the rare ends of their full sets (see ``_exact_pairs``).
+Rows of an order that share its first ``PREFIX`` values form a region.  Every
+order is range-partitioned and sorted, and a class is paired with the ``NEAR``
+rows before and after it in its region: those with the longest common prefixes.
+The depth adapts by itself: a region of up to ``NEAR + 1`` rows offers all its
+pairs, and in a crowded one the neighbours are those that agree in ever more
+values.  Rows at the borders of the ranges meet in a second step.
+
+What crowded regions do not offer that way is found exactly: classes of regions
+whose members are still in different components are joined on the rare ends of
+their full sets (see ``_exact_pairs``).
 
 Documents with equal shingle sets are one class before the forest, so a group
 of copies of any size is a single entry.  Candidates whose signatures agree in
-too few places are dropped by a bound no link of the threshold falls under in
-practice (see ``least_equal``); all others are confirmed on the full sets, in
+too few places are dropped by a bound that a link at the threshold falls under with a
+chance of 1e-9 (see ``least_equal``); all others are confirmed on the full sets, in
 two rounds: first the best partners of each document, then every candidate
 whose ends are not yet connected.  Components come from large-star / small-star
 rounds in Spark.
@@ -31,17 +35,19 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import WHITE, anti, arrow_map, byte_hashes, joined, mix64, possibly, released, saved, semi, tables
+from cadenza.llm.common import WHITE, anti, arrow_map, byte_hashes, joined, mix64, released, saved, semi, tables
+from cadenza.llm.vectors import full_batches
 
-FUNCTIONS, ORDERS, DEPTH = 64, 32, 8
-#: Regions up to this size offer all pairs; larger ones go deeper.
-REGION = 6
+FUNCTIONS, ORDERS, PREFIX, DEPTH = 64, 32, 3, 8
+#: Neighbours to either side in a sorted order; regions of up to one more row
+#: offer all their pairs.
+NEAR = 12
 #: Buckets of shingle counts by which the exact join orders shingles (rarest
-#: first), and the members of a shingle that meet in one task.
-COUNTS, BLOCK = 1 << 20, 256
+#: first), and the holders of a shingle that lie in one block.
+COUNTS, BLOCK = 1 << 20, 1024
 
 _RNG = np.random.default_rng(7919)
 _A = _RNG.integers(1, 2**63, FUNCTIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -111,97 +117,89 @@ def classes_of(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: st
 
 def least_equal(percent: int) -> int:
     """Signature places that must agree.  For a pair at the threshold the number
-    is binomial; the bound lies five standard deviations under its mean."""
+    is binomial; the bound lies six standard deviations under its mean."""
     p = percent / 100
-    return int(FUNCTIONS * p - 5 * (FUNCTIONS * p * (1 - p)) ** 0.5)
+    return int(FUNCTIONS * p - 6 * (FUNCTIONS * p * (1 - p)) ** 0.5)
 
 
 def _paths(reps: DataFrame) -> DataFrame:
-    """One row per class and order: the prefix of two values as region key."""
+    """One row per class and order: the region (first values of the order) and
+    the values that follow, as bytes that sort like numbers."""
+    t = np.arange(ORDERS)
+    after = (2 * t[:, None] + PREFIX + np.arange(DEPTH)) % FUNCTIONS
+
     def rows(batch):
         sig = np.frombuffer(b"".join(batch.column("signature").to_pylist()), dtype=np.uint32).reshape(-1, FUNCTIONS)
         ids = batch.column("id").to_numpy(zero_copy_only=False)
-        t = np.arange(ORDERS)
-        key = mix64((sig[:, 2 * t].astype(np.uint64) << np.uint64(32) | sig[:, 2 * t + 1]) + _A[t] * np.uint64(3))
+        key = _A[t] * np.uint64(3)
+        for i in range(PREFIX):
+            key = mix64(key + sig[:, (2 * t + i) % FUNCTIONS])
+        path = np.ascontiguousarray(sig[:, after].astype(">u4")).reshape(-1, DEPTH)
+        flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * DEPTH), len(path), [None, pa.py_buffer(path.tobytes())])
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(ids, ORDERS)), pa.array(np.tile(t.astype(np.int8), len(ids))),
-             pa.array(key.view(np.int64).ravel())], names=["id", "tree", "region"])
+            [pa.array(np.repeat(ids, ORDERS)), pa.array(key.view(np.int64).ravel()), flat.cast(pa.binary())], names=["id", "region", "path"])
 
     def run(batches):
         for batch in batches:
             for i in range(0, batch.num_rows, 4096):
                 yield rows(batch.slice(i, 4096))
-    return reps.select("id", "signature").mapInArrow(released(run), "id long, tree byte, region long")
+    return reps.select("id", "signature").mapInArrow(released(run), "id long, region long, path binary")
+
 
+def _neighbours(paths: DataFrame, near: int) -> DataFrame:
+    """Pairs (a, b) of rows at most ``near`` apart in the sorted order of a range
+    and in the same region; and, with a null pair, the first and last rows of
+    every range (region, path, id)."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("region", pa.int64()), ("path", pa.binary()), ("id", pa.int64())])
+
+    def table(a, b, border=None):
+        n = len(a) if border is None else border.num_rows
+        cols = ([pa.array(a), pa.array(b), *[pa.nulls(n, f.type) for f in list(schema)[2:]]] if border is None else
+                [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), *[border.column(c) for c in ("region", "path", "id")]])
+        return pa.RecordBatch.from_arrays(cols, schema=schema)
 
-def _deeper(crowded: DataFrame, depth: int) -> DataFrame:
-    """Rows of regions that are too large, at a prefix longer by one value; past
-    the last one, split by a salt."""
     def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            sig = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).reshape(-1, FUNCTIONS)
-            tree = batch.column("tree").to_numpy(zero_copy_only=False).astype(np.int64)
-            old = batch.column("region").to_numpy(zero_copy_only=False).view(np.uint64)
-            at = (2 * tree + depth) % FUNCTIONS
-            value = sig[np.arange(len(tree)), at].astype(np.uint64)
-            new = mix64(old + (value + np.uint64(1)) * _A[depth]).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("tree"), pa.array(new), batch.column("signature")],
-                names=["id", "tree", "region", "signature"])
-    return crowded.select("id", "tree", "region", "signature").mapInArrow(
-        released(run), "id long, tree byte, region long, signature binary")
-
-
-def _pairs_within(small: DataFrame) -> DataFrame:
-    """All pairs of regions of at most REGION members."""
-    ids = F.sort_array(F.collect_set("id"))
-    pairs = F.expr("flatten(transform(ids, (x, i) -> transform(slice(ids, i + 2, size(ids)), y -> struct(x as a, y as b))))")
-    return (small.groupBy("region").agg(ids.alias("ids")).filter(F.size("ids") > 1)
-            .select(F.explode(pairs).alias("p")).select("p.a", "p.b"))
-
-
-def candidates(reps: DataFrame, depth: int = DEPTH) -> tuple[DataFrame, DataFrame | None]:
-    """Distinct candidate pairs (a < b) of classes that the forest offers, and
-    the ids of the classes in crowded regions, whose pairs may be incomplete.
-
-    ``reps``: id, signature.  A region over REGION members is opened: its
-    members are linked to its smallest one, and regrouped by the next value of
-    the order; after ``depth`` values the members are regrouped by a hash of
-    the id instead, smaller and smaller, so no group larger than REGION is ever
-    gathered.
+        first, last, region, ids, tail = 0, [], np.zeros(0, np.int64), np.zeros(0, np.int64), None
+        for batch in full_batches(batches, 1 << 15):
+            if first < near:
+                head = batch.slice(0, near - first)
+                first += head.num_rows
+                yield table(None, None, head)
+            own_r, own_i = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("region", "id"))
+            r, i = np.concatenate((region, own_r)), np.concatenate((ids, own_i))
+            for k in range(1, near + 1):
+                # pairs whose later row is new
+                lo = max(len(region) - k, 0)
+                x = lo + np.flatnonzero(r[lo:len(r) - k] == r[lo + k:]) if len(r) > k else np.zeros(0, np.int64)
+                if len(x):
+                    yield table(np.minimum(i[x], i[x + k]), np.maximum(i[x], i[x + k]))
+            region, ids = r[-near:], i[-near:]
+            tail = pa.Table.from_batches(([tail] if tail is not None else []) + [batch.slice(max(0, batch.num_rows - near))])
+            tail = tail.slice(max(0, tail.num_rows - near)).combine_chunks().to_batches()[0]
+        if tail is not None:
+            yield table(None, None, tail)
+    order = ["region", "path", "id"]
+    return (paths.repartitionByRange(*order).sortWithinPartitions(*order).select(*order)
+            .mapInArrow(released(run), "a long, b long, region long, path binary, id long"))
+
+
+def candidates(reps: DataFrame, near: int = NEAR) -> tuple[DataFrame, DataFrame]:
+    """Distinct candidate pairs (a < b) of classes that the forest offers, and the
+    rows (region, id) of crowded regions, whose pairs may be incomplete.
+
+    ``reps``: id, signature.
     """
     paths = saved(_paths(reps), "forest-paths")
-    level = 2
-    sizes = saved(paths.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("hub"))
-                  .filter("n > 1"), "forest-sizes")
-    found = [_pairs_within(paths.join(sizes.filter(F.col("n") <= REGION).select("region"), "region", "left_semi"))]
-    big = sizes.filter(F.col("n") > REGION)
-    rows = paths.join(big, "region").join(reps.select("id", "signature"), "id")
-    crowded = None
-    while not big.isEmpty():
-        rows = saved(rows, "forest-level")
-        if crowded is None:
-            crowded = rows.select("id").distinct()
-        found.append(rows.filter("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")))
-        if level < depth:
-            rows = _deeper(rows, level)
-        else:
-            parts = F.greatest(F.lit(2), F.ceil(F.col("n") / F.lit(REGION // 2)))
-            rows = rows.select("id", "tree", F.xxhash64("region", F.pmod(F.xxhash64("id", F.lit(level), "tree"), parts))
-                               .alias("region"), "signature")
-        rows = saved(rows, "forest-deeper")
-        sizes = saved(rows.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("hub"))
-                      .filter("n > 1"), "forest-sizes")
-        found.append(_pairs_within(rows.join(sizes.filter(F.col("n") <= REGION).select("region"), "region", "left_semi")))
-        big = sizes.filter(F.col("n") > REGION)
-        rows = rows.join(big, "region")
-        level += 1
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out.distinct(), crowded
+    found = saved(_neighbours(paths, near), "forest-neighbours")
+    # rows beside a border of ranges: neighbours across it are neighbours among them
+    by = Window.partitionBy("region").orderBy("path", "id")
+    border = found.filter("a is null").select("region", "path", "id").distinct()
+    after = border.select("id", F.array(*[F.lead("id", k).over(by) for k in range(1, near + 1)]).alias("after"))
+    across = after.select("id", F.explode("after").alias("other")).filter("other is not null").select(
+        F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
+    pairs = found.filter("a is not null").select("a", "b").unionByName(across).filter("a < b").distinct()
+    crowded = paths.groupBy("region").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > near + 1).select("region")
+    return pairs, paths.join(crowded, "region", "left_semi").select("region", "id")
 
 
 def _shingle_counts(sets: DataFrame) -> np.ndarray:
@@ -229,50 +227,71 @@ def _exact_pairs(sets: DataFrame, percent: int) -> DataFrame:
     ``sets``: id, items, label.  With all sets in one order of shingles, rare
     ones first, two sets that pass share a shingle among the first
     ``n - ceil(n * percent / 100) + 1`` of each, and at the first one they share
-    both have enough left.  Shingles that one label alone holds are dropped; a
-    shingle of many sets is split into blocks, each pair of which is a group of
-    its own.
+    both have enough left.  Shingles that one label alone holds are dropped.  The
+    holders of a shingle lie in blocks; a shingle of many holders meets by a
+    table of block pairs, so that no holder is copied for itself.  Pairs whose
+    signatures agree in too few places (``least_equal``, on the low byte of each
+    value, which can only agree more often) are not put out.
     """
     counts = _shingle_counts(sets)
+    least = least_equal(percent)
 
     def run(batches):
         for batch in batches:
-            cols = [[], [], [], [], []]
-            for i, x, label in zip(batch.column("id").to_pylist(), batch.column("items"),
-                                   batch.column("label").to_pylist(), strict=True):
-                x = np.frombuffer(x.as_buffer(), np.uint64)
+            cols = [[], [], [], [], [], []]
+            items = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("items")]
+            low = (signatures(items) & np.uint32(255)).astype(np.uint8)
+            for i, x, label, sig in zip(batch.column("id").to_pylist(), items, batch.column("label").to_pylist(), low, strict=True):
                 often = counts[x % np.uint64(COUNTS)]
                 first = np.lexsort((x, often))[: len(x) + (-len(x) * percent) // 100 + 1]
                 pos = np.flatnonzero(often[first] > 1)  # others are in no second set
                 for c, v in zip(cols, (x[first[pos]].view(np.int64), pos, np.full(len(pos), i), np.full(len(pos), len(x)),
-                                       np.full(len(pos), label)), strict=True):
+                                       np.full(len(pos), label)), strict=False):
                     c.append(v)
+                cols[5] += [sig.tobytes()] * len(pos)
             if cols[0]:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c).astype(t)) for c, t in zip(cols, ("i8", "i4", "i8", "i4", "i8"), strict=True)],
-                    names=["shingle", "pos", "id", "size", "label"])
+                    [*[pa.array(np.concatenate(c).astype(t)) for c, t in zip(cols, ("i8", "i4", "i8", "i4", "i8"))], pa.array(cols[5], pa.binary())],
+                    names=["shingle", "pos", "id", "size", "label", "low"])
     rows = saved(sets.select("id", "items", "label").mapInArrow(
-        released(run), "shingle long, pos int, id long, size int, label long"), "exact-prefixes")
+        released(run), "shingle long, pos int, id long, size int, label long, low binary"), "exact-prefixes")
     shared = saved(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
-                   .filter("low != high").select("shingle", "n"), "exact-shingles")
-    # a shingle of many sets meets its count under several salts
-    salt = F.pmod(F.xxhash64("id"), F.lit(64)).cast("int")
-    hot = shared.filter(F.col("n") > BLOCK).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(63))))
-    rare = shared.filter(F.col("n") <= BLOCK)
-    met = (possibly(rows, rare, "shingle").filter("__maybe").drop("__maybe").join(rare, "shingle")
-           .unionByName(possibly(rows, hot, "shingle").filter("__maybe").drop("__maybe").withColumn("salt", salt)
-                        .join(hot, ["shingle", "salt"]).drop("salt")))
-    rows = (met.withColumn("parts", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int"))
-            .withColumn("part", F.pmod(F.xxhash64("id", "shingle"), F.col("parts")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-            .select("shingle", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"),
-                    "part", "pos", "id", "size", "label"))
-    rows = saved(rows, "exact-blocks")
-    a, b = rows.alias("a"), rows.alias("b")
-    together = (F.expr("a.shingle = b.shingle and a.p = b.p and a.q = b.q")
-                & F.expr("a.label != b.label and a.id < b.id and (a.p = a.q or a.part != b.part)")
-                & F.expr(f"least(a.size - a.pos, b.size - b.pos) * {100 + percent}L >= {percent}L * (a.size + b.size)"))
-    return a.join(b, together).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+                   .filter("low != high").select("shingle", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("parts")), "exact-shingles")
+    # of a hot shingle's holders about BLOCK meet in a group
+    blocks = saved(rows.join(shared, "shingle").withColumn("part", F.pmod(F.xxhash64("id", "shingle"), F.col("parts")).cast("int"))
+                   .groupBy("shingle", "parts", "part").agg(F.collect_list(F.struct("pos", "id", "size", "label", "low")).alias("m")), "exact-blocks")
+    two = shared.filter("parts > 1").select("shingle", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("p"), "parts").select(
+        "shingle", "p", F.explode(F.sequence(F.col("p"), F.col("parts") - 1)).alias("q"))
+    met = blocks.filter("parts = 1").select("m", F.lit(None).cast(blocks.schema["m"].dataType).alias("o")).unionByName(
+        two.join(blocks.select("shingle", F.col("part").alias("p"), "m"), ["shingle", "p"])
+        .join(blocks.select("shingle", F.col("part").alias("q"), F.col("m").alias("o")), ["shingle", "q"])
+        .select("m", F.when(F.col("p") != F.col("q"), F.col("o")).alias("o")))
+
+    def holders(column, i):
+        m = column[i].values
+        pos, ids, size, label = (m.field(j).to_numpy(zero_copy_only=False).astype(np.int64) for j in range(4))
+        return pos, ids, size, label, np.frombuffer(b"".join(m.field(4).to_pylist()), np.uint8).reshape(-1, FUNCTIONS)
+
+    def meet(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                pos, ids, size, label, low = holders(batch.column("m"), i)
+                same = not batch.column("o")[i].is_valid
+                opos, oids, osize, olabel, olow = (pos, ids, size, label, low) if same else holders(batch.column("o"), i)
+                for a in range(0, len(ids), 64):
+                    part = slice(a, a + 64)
+                    left = np.minimum((size - pos)[part, None], (osize - opos)[None])
+                    ok = (label[part, None] != olabel[None]) & (left * (100 + percent) >= percent * (size[part, None] + osize[None]))
+                    if same:
+                        ok &= ids[part, None] < oids[None]
+                    x, y = np.nonzero(ok)
+                    for c in range(0, len(x), 1 << 16):
+                        u, v = x[c:c + (1 << 16)] + a, y[c:c + (1 << 16)]
+                        alike = (low[u] == olow[v]).sum(1) >= least
+                        u, v = ids[u[alike]], oids[v[alike]]
+                        if len(u):
+                            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["a", "b"])
+    return met.mapInArrow(released(meet), "a long, b long").distinct()
 
 
 def estimated(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
@@ -354,8 +373,8 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 75, id_col: str =
     offered, crowded = candidates(reps)
     found = saved(estimated(offered, reps, least_equal(percent)), "near-candidates")
 
-    ends = found.select(F.explode(F.array("a", "b")).alias("id"))
-    ends = (ends if crowded is None else ends.unionByName(crowded)).distinct()
+    crowded = saved(crowded, "near-crowded")
+    ends = found.select(F.explode(F.array("a", "b")).alias("id")).unionByName(crowded.select("id")).distinct()
 
     def sets(batch, texts):
         return {"id": batch.column("id"), "items": [s.tobytes() for s in shingle_sets(texts, words)]}
@@ -379,11 +398,14 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 75, id_col: str =
     if not more.isEmpty():
         links = links.unionByName(more)
         comp = saved(components(links), "near-components")
-    if crowded is not None:
-        own = (semi(full, crowded, "id").join(comp.select(F.col("node").alias("id"), "component"), "id", "left")
-               .select("id", "items", F.coalesce("component", "id").alias("label")))
-        pairs = saved(_exact_pairs(saved(own, "exact-sets"), percent), "exact-pairs")
-        more = saved(confirmed(estimated(pairs, reps, least_equal(percent)), full, percent), "near-exact")
+    # regions all of whose members are connected have nothing left to offer
+    labels = comp.select(F.col("node").alias("id"), F.col("component").alias("label"))
+    own = crowded.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    apart = own.groupBy("region").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
+    still = saved(own.join(apart.select("region"), "region", "left_semi").select("id", "label").distinct(), "exact-open")
+    if not still.isEmpty():
+        pairs = saved(_exact_pairs(saved(full.join(still, "id"), "exact-sets"), percent), "exact-pairs")
+        more = saved(confirmed(pairs, full, percent), "near-exact")
         if not more.isEmpty():
             comp = saved(components(links.unionByName(more)), "near-components")
     return members.join(comp.select(F.col("node").alias("class_id"), "component"), "class_id", "left").select(
