@@ -146,6 +146,19 @@ def document_album_details(docs: DataFrame) -> DataFrame:
                          F.lit(0).cast("long").alias("page_no"), F.lit(200).alias("status"), body.alias("body"))
 
 
+def document_album_searches(docs: DataFrame, page_size: int = 3) -> DataFrame:
+    """Album searches, one per language: its albums in the order of the sources,
+    over pages of ``page_size``; the search for ``xx`` has no hit."""
+    albums = docs.select("source", "lang").distinct()
+    rank = F.dense_rank().over(Window.partitionBy("lang").orderBy("source")) - 1
+    hits = _pages(albums.withColumn("__rank", rank), "lang", "__rank",
+                  F.struct(F.concat_ws("/", "source", "lang").alias("id"), F.col("lang").alias("name")), page_size)
+    pages = hits.select("request_key", "page_no", F.to_json(F.struct(F.struct("items").alias("albums"))).alias("body"))
+    none = docs.select(F.lit("xx").alias("request_key"), F.lit(0).cast("long").alias("page_no"),
+                       F.lit('{"albums": {"items": []}}').alias("body")).distinct()
+    return pages.unionByName(none).withColumn("status", F.lit(200))
+
+
 # ---- label-driven collection pages from nation / region / customer ----------
 
 def _track_number():

@@ -346,3 +346,20 @@ def artist_collect(spark, sf):
     credited + first per name + cap 100 within the first 300 results, lookups,
     features."""
     return _artist_run(spark, sf)["tracks"]
+
+
+@register("album_lookup", """
+SELECT 'resolved' AS kind, lang AS name, min(source) || '/' || lang AS album_id FROM documents GROUP BY lang
+UNION ALL SELECT DISTINCT 'empty', lang, source || '/' || lang FROM documents WHERE lang = 'de'
+""")
+def album_lookup(spark, sf):
+    """Album names resolved to the first hit of their search over all its pages,
+    and the albums whose track pages list nothing (here those of one language)."""
+    from cadenza.plans import fixtures
+    from cadenza.sources import payloads
+    docs = t(spark, sf, "documents").select("doc_id", "source", "lang", "text")
+    ids = payloads.album_ids(fixtures.document_album_searches(docs)).select(
+        F.lit("resolved").alias("kind"), F.col("request_key").alias("name"), "album_id")
+    _, tpages = fixtures.document_album_pages(docs.filter("lang <> 'de'"))
+    empty = payloads.albums_without_tracks(fixtures.document_album_details(docs), tpages)
+    return ids.unionByName(empty.select(F.lit("empty").alias("kind"), F.col("album_name").alias("name"), "album_id"))
