@@ -4,11 +4,12 @@ A document's signature holds ``FUNCTIONS`` MinHash values of its shingle set.
 The forest keeps ``ORDERS`` sorted orders of the signatures; order ``t`` sorts
 by the functions from ``2 t`` on, so no two orders lead with the same ones.
 Rows of an order that share its first ``PREFIX`` values form a region.  Every
-order is range-partitioned and sorted, and a class is paired with the ``NEAR``
-rows before and after it in its region: those with the longest common prefixes.
-The depth adapts by itself: a region of up to ``NEAR + 1`` rows offers all its
-pairs, and in a crowded one the neighbours are those that agree in ever more
-values.  Rows at the borders of the ranges meet in a second step.
+order is range-partitioned and sorted, and a class is paired with neighbours
+before and after it in its region: those with the longest common prefixes.  The
+depth adapts to the region: one of up to ``NEAR + 1`` rows offers all its pairs,
+a crowded one those of ``CLOSE`` neighbours to either side, which agree in the
+more values the more crowded it is.  Rows at the borders of the ranges meet in a
+second step.
 
 What crowded regions do not offer that way is found exactly: classes of regions
 whose members are still in different components are joined on the rare ends of
@@ -42,9 +43,9 @@ from cadenza.llm.common import WHITE, anti, arrow_map, byte_hashes, joined, mix6
 from cadenza.llm.vectors import full_batches
 
 FUNCTIONS, ORDERS, PREFIX, DEPTH = 64, 32, 3, 8
-#: Neighbours to either side in a sorted order; regions of up to one more row
-#: offer all their pairs.
-NEAR = 12
+#: Regions of up to NEAR + 1 rows offer all their pairs, larger ones those of
+#: CLOSE neighbours to either side.
+NEAR, CLOSE = 12, 2
 #: Buckets of shingle counts by which the exact join orders shingles (rarest
 #: first), and the holders of a shingle that lie in one block.
 COUNTS, BLOCK = 1 << 20, 1024
@@ -146,10 +147,10 @@ def _paths(reps: DataFrame) -> DataFrame:
     return reps.select("id", "signature").mapInArrow(released(run), "id long, region long, path binary")
 
 
-def _neighbours(paths: DataFrame, near: int) -> DataFrame:
-    """Pairs (a, b) of rows at most ``near`` apart in the sorted order of a range
-    and in the same region; and, with a null pair, the first and last rows of
-    every range (region, path, id)."""
+def _neighbours(paths: DataFrame, near: int, close: int) -> DataFrame:
+    """Pairs (a, b) of rows in the sorted order of a range: all of a region of at
+    most ``near + 1`` rows, those at most ``close`` apart in a larger one; and, with
+    a null pair, the first and last ``near`` rows of every range (region, path, id)."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("region", pa.int64()), ("path", pa.binary()), ("id", pa.int64())])
 
     def table(a, b, border=None):
@@ -158,8 +159,24 @@ def _neighbours(paths: DataFrame, near: int) -> DataFrame:
                 [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), *[border.column(c) for c in ("region", "path", "id")]])
         return pa.RecordBatch.from_arrays(cols, schema=schema)
 
+    def pairs(r, i, told, last):
+        """Pairs of complete regions; ``told`` rows at the front are the end of a
+        crowded region, their own pairs are out already."""
+        heads = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
+        run = np.cumsum(np.concatenate(([False], r[1:] != r[:-1])))
+        crowded = np.diff(np.append(heads, len(r))) > near + 1
+        if told:
+            crowded[0] = True
+        for k in range(1, near + 1):
+            x = np.flatnonzero(r[:-k] == r[k:]) if len(r) > k else np.zeros(0, np.int64)
+            if k > close:
+                x = x[~crowded[run[x]]]
+            x = x[(x + k >= told) & (x < last)]
+            if len(x):
+                yield table(np.minimum(i[x], i[x + k]), np.maximum(i[x], i[x + k]))
+
     def run(batches):
-        first, last, region, ids, tail = 0, [], np.zeros(0, np.int64), np.zeros(0, np.int64), None
+        first, region, ids, told, tail = 0, np.zeros(0, np.int64), np.zeros(0, np.int64), 0, None
         for batch in full_batches(batches, 1 << 15):
             if first < near:
                 head = batch.slice(0, near - first)
@@ -167,30 +184,30 @@ def _neighbours(paths: DataFrame, near: int) -> DataFrame:
                 yield table(None, None, head)
             own_r, own_i = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("region", "id"))
             r, i = np.concatenate((region, own_r)), np.concatenate((ids, own_i))
-            for k in range(1, near + 1):
-                # pairs whose later row is new
-                lo = max(len(region) - k, 0)
-                x = lo + np.flatnonzero(r[lo:len(r) - k] == r[lo + k:]) if len(r) > k else np.zeros(0, np.int64)
-                if len(x):
-                    yield table(np.minimum(i[x], i[x + k]), np.maximum(i[x], i[x + k]))
-            region, ids = r[-near:], i[-near:]
+            # the last region may go on: a small one waits, a crowded one leaves its end
+            at = int(np.searchsorted(r, r[-1])) if len(r) else 0
+            small = len(r) - at <= near + 1 and not (told and at == 0)
+            yield from pairs(r, i, told, at if small else len(r))
+            keep = at if small else max(at, len(r) - close)
+            region, ids, told = r[keep:], i[keep:], 0 if small else len(r) - keep
             tail = pa.Table.from_batches(([tail] if tail is not None else []) + [batch.slice(max(0, batch.num_rows - near))])
             tail = tail.slice(max(0, tail.num_rows - near)).combine_chunks().to_batches()[0]
         if tail is not None:
+            yield from pairs(region, ids, told, len(region))
             yield table(None, None, tail)
     order = ["region", "path", "id"]
     return (paths.repartitionByRange(*order).sortWithinPartitions(*order).select(*order)
             .mapInArrow(released(run), "a long, b long, region long, path binary, id long"))
 
 
-def candidates(reps: DataFrame, near: int = NEAR) -> tuple[DataFrame, DataFrame]:
+def candidates(reps: DataFrame, near: int = NEAR, close: int = CLOSE) -> tuple[DataFrame, DataFrame]:
     """Distinct candidate pairs (a < b) of classes that the forest offers, and the
     rows (region, id) of crowded regions, whose pairs may be incomplete.
 
     ``reps``: id, signature.
     """
     paths = saved(_paths(reps), "forest-paths")
-    found = saved(_neighbours(paths, near), "forest-neighbours")
+    found = saved(_neighbours(paths, near, close), "forest-neighbours")
     # rows beside a border of ranges: neighbours across it are neighbours among them
     by = Window.partitionBy("region").orderBy("path", "id")
     border = found.filter("a is null").select("region", "path", "id").distinct()

@@ -135,3 +135,31 @@ def test_signature_estimates_similarity():
     b = np.concatenate([a[:1500], rng.integers(0, 2**63, 500, dtype=np.uint64)])
     sig = near_dedup.signatures([np.unique(a), np.unique(b)])
     assert abs((sig[0] == sig[1]).mean() - 0.6) < 0.2
+
+
+def test_neighbours_of_sorted_orders(spark, monkeypatch):
+    """All pairs of small regions, close ones of crowded regions, whatever the
+    ranges and batches."""
+    rng = np.random.default_rng(2)
+    rows = [(int(r), bytes([int(x)]), n) for n, (r, x) in enumerate(zip(rng.choice(40, 700, p=np.r_[0.3, np.full(39, 0.7 / 39)]), rng.integers(0, 9, 700)))]
+    paths = spark.createDataFrame(rows, "region long, path binary, id long")
+    near, close = 16, 2
+    groups = collections.defaultdict(list)
+    for r, x, n in sorted(rows):
+        groups[r].append(n)
+    need = {tuple(sorted((g[i], g[j]))) for g in groups.values() for i in range(len(g)) for j in range(i + 1, len(g))
+            if len(g) <= near + 1 or j - i <= close}
+    for parts, size in ((1, 1 << 15), (1, 7), (5, 30)):
+        batches = near_dedup.full_batches
+        monkeypatch.setattr(near_dedup, "full_batches", lambda b, n, size=size, batches=batches: batches(b, size))
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        got = near_dedup._neighbours(paths, near, close).collect()
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        monkeypatch.setattr(near_dedup, "full_batches", batches)
+        pairs = [(r["a"], r["b"]) for r in got if r["a"] is not None]
+        assert len(pairs) == len(set(pairs)) and set(pairs) <= need
+        if parts == 1:
+            assert set(pairs) == need
+        else:
+            border = {r["id"] for r in got if r["a"] is None}
+            assert all(a in border and b in border for a, b in need - set(pairs))
