@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cadenza.session import ensure_checkpoint_dir, read_table
 
-__all__ = ["MIX1", "MIX2", "WHITE", "adam", "anti", "arrow_map", "byte_hashes", "held_out", "joined", "mix64",
+__all__ = ["MIX1", "MIX2", "WHITE", "adam", "anti", "arrow_map", "byte_hashes", "held_out", "joined", "lowest", "mix64",
            "possibly", "read_table", "release", "released", "row_chunks", "saved", "semi", "sigmoid", "tables", "temperature", "text_batches", "texts_of",
            "training_rows", "work_path"]
 
@@ -134,17 +134,19 @@ class byte_hashes:
         """``values``: one number a position instead of those of the byte table."""
         n = len(data) + 1
         cls = type(self)
+        # tables for usual sizes stay; those of a very long text go with it
+        keeper = cls if n <= 1 << 22 else self
         if len(cls._powers) < n:
             size = max(n, 1 << 20)
             for name, base in (("_powers", _BASE), ("_inverse", _BASE_INV)):
                 steps = np.full(size, base, dtype=np.uint64)
                 steps[0] = 1
-                setattr(cls, name, np.multiply.accumulate(steps))
+                setattr(keeper, name, np.multiply.accumulate(steps, out=steps))
         self.prefix = np.zeros(n, dtype=np.uint64)
-        np.cumsum((cls._table[data] if values is None else values) * cls._powers[: n - 1], out=self.prefix[1:])
+        np.cumsum((cls._table[data] if values is None else values) * self._powers[: n - 1], out=self.prefix[1:])
 
     def spans(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        raw = (self.prefix[ends] - self.prefix[starts]) * type(self)._inverse[starts]
+        raw = (self.prefix[ends] - self.prefix[starts]) * self._inverse[starts]
         return mix64(raw + (ends - starts).astype(np.uint64))
 
 
@@ -213,21 +215,41 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, fo
                   most: int) -> tuple[DataFrame, dict[int, float]]:
     """A bounded sample of labelled documents for fitting: doc_id, text, label.
 
-    Up to ``most`` ids of each class in the order of a hash, none of them held
-    out; an id with several labels takes the largest; null ids and labels are
-    no training rows.  Also the weight of each class (all rows / sampled rows).
-    Only the ids, at most ``2 * most`` of them, are broadcast to the documents.
+    Rows of each class in the order of a hash, ``most`` of each at most, none of
+    them held out; an id with several labels takes the largest; rows repeated
+    with their text count once; null ids and labels are no training rows.  Also
+    the weight of each class (all labelled ids / sampled ids).  A hash threshold that about twice
+    the wanted rows pass comes first, so that no task sends more than its share
+    to the driver; only the ids, at most ``2 * most``, are broadcast.
     """
     spark = docs.sparkSession
     own = saved(labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
                 .filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out("doc_id", folds, fold))
                 .groupBy("doc_id").agg(F.max("label").alias("label")), "labels")
     sizes = {r["label"]: r["n"] for r in own.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    picked = [own.filter(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for c in (0, 1)]
-    ids = [(r["doc_id"], r["label"]) for p in picked for r in p.collect()]
+    picked = [lowest(own.filter(F.col("label") == c), F.xxhash64("doc_id"), sizes.get(c, 0), most, ["doc_id"]) for c in (0, 1)]
+    ids = [(r["doc_id"], r["label"]) for p in picked for r in p.select("doc_id", "label").collect()]
     chosen = F.broadcast(spark.createDataFrame(ids, "doc_id long, label int"))
+    rows = docs.withColumn("doc_id", F.col("doc_id").cast("long")).join(chosen, "doc_id")
     weights = {c: n / min(n, most) for c, n in sizes.items()}
-    return docs.withColumn("doc_id", F.col("doc_id").cast("long")).join(chosen, "doc_id"), weights
+    # an id may stand on any number of rows: repeated ones count once, others are bounded as well
+    rows = rows.select("doc_id", "text", "label").dropDuplicates(["doc_id", "text"]).withColumn("h", F.xxhash64("doc_id", "text"))
+    places = saved(rows.select("doc_id", "label", "h"), "training-places")
+    told = {r["label"]: r["n"] for r in places.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    kept = [lowest(places.filter(F.col("label") == c), F.col("h"), told.get(c, 0), most, ["doc_id"]).select("doc_id", "h") for c in (0, 1)]
+    return rows.join(F.broadcast(kept[0].unionByName(kept[1])), ["doc_id", "h"]).select("doc_id", "text", "label"), weights
+
+
+def lowest(rows: DataFrame, key: Column, n: int, most: int, ties: list[str]) -> DataFrame:
+    """The ``most`` of ``n`` rows with the smallest uniform 64-bit ``key``.  A
+    threshold that twice as many rows pass on average comes before the sort; should
+    too few pass, all rows are sorted."""
+    if n > 4 * most:
+        border = -(1 << 63) + int((1 << 64) * (2 * most / n))
+        near = rows.filter(key <= F.lit(border))
+        if near.limit(most).count() == most:
+            rows = near
+    return rows.orderBy(key, *ties).limit(most)
 
 
 def adam(gradient: Callable, params: list[np.ndarray], steps: int, rate: float) -> list[np.ndarray]:

@@ -30,6 +30,8 @@ from cadenza.llm.common import anti, arrow_map, byte_hashes, mix64, saved, table
 
 Q, RATE, BLOCK = 12, 0.05, 4 << 20
 _FILTER = 1 << 22
+#: Pairs of equal q-grams laid out at a time, and the least text positions of a slice.
+_HELD, _SLICE = 1 << 21, 1 << 12
 
 _FOLD = np.arange(0x3000, dtype=np.uint32)
 for _c in range(0x3000):
@@ -90,19 +92,45 @@ class index:
         found[found == len(self.keys)] = 0
         same = self.keys[found] == h[at]
         at, found = at[same], found[same]
-        n = self.count[found]
-        if n.sum() < self.least.min():
+        total = int(self.count[found].sum())
+        if total < self.least.min():
             return []
-        entry = np.repeat(self.first[found], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        item, pos = self.item[entry], self.pos[entry]
-        width = self.budget[item] + 1
-        band = (np.repeat(at, n) - pos) // width
-        # each diagonal lies in two bands; an item's q-gram counts once in a band
-        rows = np.unique(np.concatenate([np.stack([item, band, pos]), np.stack([item, band - 1, pos])], axis=1), axis=1)
-        new = np.concatenate(([True], (rows[:2, 1:] != rows[:2, :-1]).any(axis=0)))
-        heads = np.flatnonzero(new)
-        reach = np.diff(np.append(heads, rows.shape[1])) >= self.least[rows[0, heads]]
-        return [(int(i), int(b) * int(self.budget[i] + 1)) for i, b in rows[:2, heads[reach]].T]
+        # a band's q-grams stand in a stretch of an item's length: slices of the
+        # text that overlap by it count one range of diagonals each
+        wide, long = int(self.budget.max()) + 1, max(len(p) for p in self.points)
+        first, beyond = -long - 2 * wide, len(points) + 1
+        step = beyond - first if total <= _HELD else max(_SLICE, long + 2 * wide)
+        out = []
+        for s in range(first, beyond, step):
+            a, b = np.searchsorted(at, [s, s + step + long + 2 * wide])
+            out += self._bands(at[a:b], found[a:b], s, s + step, long)
+        return sorted(out)
+
+    def _bands(self, at: np.ndarray, found: np.ndarray, low: int, high: int, long: int) -> list[tuple[int, int]]:
+        """Bands that reach the bound, their lowest diagonal in ``low:high``."""
+        base = min(low, 0)
+        span = max(high, 0) - base + 2
+        n = self.count[found]
+        keys = np.zeros(0, dtype=np.int64)
+        cuts = np.searchsorted(np.cumsum(n), np.arange(_HELD, int(n.sum()) + _HELD, _HELD), side="right")
+        for a, b in zip([0, *cuts], [*cuts, len(n)]):
+            if a >= b:
+                continue
+            part, m = found[a:b], n[a:b]
+            entry = np.repeat(self.first[part], m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+            item, pos = self.item[entry], self.pos[entry]
+            width = self.budget[item] + 1
+            band = (np.repeat(at[a:b], m) - pos) // width
+            new = [keys]
+            # each diagonal lies in two bands; an item's q-gram counts once in a band
+            for own in (band, band - 1):
+                inside = (own * width >= low) & (own * width < high)
+                new.append((item[inside] * span + own[inside] - base) * long + pos[inside])
+            keys = np.unique(np.concatenate(new))
+        groups, shared = np.unique(keys // long, return_counts=True)
+        item = groups // span
+        reach = shared >= self.least[item]
+        return [(int(i), int(g % span + base) * int(self.budget[i] + 1)) for i, g in zip(item[reach], groups[reach])]
 
     def aligned(self, points: np.ndarray, i: int, low: int) -> tuple[int, int, int]:
         """Fewest edits of item ``i`` against any stretch of the text whose path
@@ -134,10 +162,17 @@ def hits_in(text: str, items: index) -> list[tuple[int, int, int, int, int]]:
     of those of an item that overlap."""
     points, place = folded(text)
     found: dict[int, list[tuple[int, int, int]]] = {}
+    exact: dict[int, tuple[int, int]] = {}      # the last occurrence of an item without edits
     for i, low in items.bands(points):
+        k, (a, b) = int(items.budget[i]), exact.get(i, (-1, -1))
+        if a < low - k and low + 3 * k + 2 <= b:
+            continue    # all that this band can hold starts inside that occurrence
         edits, start, end = items.aligned(points, i, low)
         if edits <= items.budget[i] and end > start:
-            found.setdefault(i, []).append((edits, start, min(end, len(points))))
+            end = min(end, len(points))
+            found.setdefault(i, []).append((edits, start, end))
+            if edits == 0 and start >= b:
+                exact[i] = (start, end)
     out = []
     for i, spans in sorted(found.items()):
         taken: list[tuple[int, int]] = []

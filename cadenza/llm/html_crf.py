@@ -25,19 +25,22 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import adam, arrow_map, tables
+from cadenza.llm.common import adam, arrow_map, lowest, tables
 
 #: Pages whose words fill the training layouts, and training pages made.
 SAMPLE, PAGES = 200, 400
 #: A private-use character that tells main blocks apart in training pages.
 MARK = "\ue000"
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?][^>]*+>""", re.S)
+#: What begins a tag, comment or declaration; and the attributes up to its end.
+_OPEN = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)|<!--|<[!?]")
+_ATTRS = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+""")
 _ATTR = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder munderover mstyle mspace mpadded mphantom merror menclose mfenced mmultiscripts mtable mtr mtd semantics annotation annotation-xml".split())
 _EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -74,6 +77,35 @@ FEATURES = {name: i for i, name in enumerate(
        "ends", "copyright", "caps", "in:article+aside", "no:article", "heading-first"])}
 
 
+class tags:
+    """The tags of a page from left to right: start, end, whether it closes, name
+    ('' for comments and declarations) and attributes.
+
+    A tag with an open quote ends at its first ``>``, one without any ``>`` is no
+    tag, and an open comment runs to the page's end.  No place is searched for
+    anew from every tag: where a ``>`` or an end mark is missing is found once.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+
+    def after(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        page = self.page
+        while m := _OPEN.search(page, at):
+            if m.group() == "<!--":
+                end = page.find("-->", m.end())
+                return m.start(), end + 3 if end >= 0 else len(page), False, "", ""
+            if m.end() > self.last:
+                return None
+            if not m[2]:
+                return m.start(), page.find(">", m.end()) + 1, False, "", ""
+            end = _ATTRS.match(page, m.end()).end()
+            if page[end:end + 1] != ">":
+                end = page.find(">", m.end())       # a quote that is never closed
+            return m.start(), end + 1, bool(m[1]), m[2].lower(), page[m.end():end]
+        return None
+
+
 class block:
     __slots__ = ("hints", "linked", "near", "path", "tag", "text")
 
@@ -93,23 +125,22 @@ def _attr_hints(attrs: str) -> set[str]:
 def _head_end(page: str, at: int) -> int:
     """Where a head that is open at ``at`` ends: after its end tag, or before the
     body, text or the first tag that no head holds."""
-    m = _TAG.search(page, at)
-    while m:
-        tag = (m[2] or "").lower()
-        if page[at: m.start()].strip():
+    marks = tags(page)
+    while m := marks.after(at):
+        start, stop, closes, tag, attrs = m
+        if page[at:start].strip():
             return at
-        if tag == "head" and m[1]:
-            return m.end()
+        if tag == "head" and closes:
+            return stop
         if tag and tag not in _HEAD:
-            return m.start()
-        at = m.end()
-        if tag in _IN_HEAD and not m[1] and not m[3].endswith("/"):
+            return start
+        at = stop
+        if tag in _IN_HEAD and not closes and not attrs.endswith("/"):
             end = _END[tag].search(page, at)
             if end:
                 at = end.end()
             elif tag in _RAW:
                 return len(page)
-        m = _TAG.search(page, at)
     return at
 
 
@@ -117,9 +148,24 @@ def blocks_of(page: str) -> list[block]:
     """The leaf blocks of a page in order."""
     out: list[block] = []
     stack: list[tuple[str, set[str]]] = []
+    # how often each tag and hint is open, kept up to date as the stack changes
+    open_tags: Counter = Counter()
+    open_hints: Counter = Counter()
     parts: list[str] = []
     linked = in_link = at = 0
     ends: dict[str, tuple[int, int]] = {}  # place of the next end tag of skipped elements
+    marks = tags(page)
+
+    def push(tag, hints):
+        stack.append((tag, hints))
+        open_tags[tag] += 1
+        open_hints.update(hints)
+
+    def pop():
+        tag, hints = stack.pop()
+        open_tags[tag] -= 1
+        open_hints.subtract(hints)
+        return tag
 
     def upcoming(name):
         if name not in ends or 0 <= ends[name][0] < at:
@@ -131,8 +177,8 @@ def blocks_of(page: str) -> list[block]:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            path = {t for t, _ in stack}
-            hints = set().union(*[h for _, h in stack]) if stack else set()
+            path = {t for t in _SECTIONS if open_tags[t] > 0}
+            hints = {h for h in _HINTS if open_hints[h] > 0}
             out.append(block(stack[-1][0] if stack else "body", path, hints, stack[-1][1] if stack else set(), text, linked))
         parts.clear()
         linked = 0
@@ -144,15 +190,14 @@ def blocks_of(page: str) -> list[block]:
             if in_link:
                 linked += b - a
 
-    m = _TAG.search(page)
-    while m:
-        take(at, m.start())
-        at = m.end()
-        tag = (m[2] or "").lower()
+    while m := marks.after(at):
+        start, stop, closes, tag, attrs = m
+        take(at, start)
+        at = stop
         if not tag:
             pass
         elif tag in _SKIPPED:
-            if not m[1] and not m[3].endswith("/"):
+            if not closes and not attrs.endswith("/"):
                 close()
                 end, body = upcoming(tag), upcoming("<body") if tag == "head" else (-1, -1)
                 if end[0] >= 0 and not 0 <= body[0] < end[0]:
@@ -162,28 +207,27 @@ def blocks_of(page: str) -> list[block]:
                 elif tag in _RAW:
                     at = len(page)
                 else:
-                    stack.append((tag, _attr_hints(m[3])))
+                    push(tag, _attr_hints(attrs))
         elif tag in _INLINE:
             if tag == "a":
-                in_link = 0 if m[1] else 1
+                in_link = 0 if closes else 1
             elif tag in ("br", "img", "wbr"):
                 parts.append(" " if tag == "br" else "")
-        elif m[1]:
+        elif closes:
             close()
             in_link = 0
-            if any(t == tag for t, _ in stack):
-                while stack.pop()[0] != tag:
+            if open_tags[tag] > 0:
+                while pop() != tag:
                     pass
         else:
             close()
-            if tag in _CLOSES_P and any(t == "p" for t, _ in stack):
-                while stack.pop()[0] != "p":
+            if tag in _CLOSES_P and open_tags["p"] > 0:
+                while pop() != "p":
                     pass
             while stack and stack[-1][0] in _SELF.get(tag, ()):
-                stack.pop()
-            if tag not in _EMPTY and not m[3].endswith("/"):
-                stack.append((tag, _attr_hints(m[3])))
-        m = _TAG.search(page, at)
+                pop()
+            if tag not in _EMPTY and not attrs.endswith("/"):
+                push(tag, _attr_hints(attrs))
     take(at, len(page))
     close()
     return out
@@ -350,8 +394,8 @@ def labelled_pages(words: list[str], pages: int = PAGES) -> list[tuple[list[list
 
 def sample_words(pages: DataFrame, most: int = SAMPLE, html_col: str = "html") -> list[str]:
     """Words of the texts of a bounded sample of pages."""
-    rows = pages.select(F.col(f"`{html_col}`").alias("html")).filter("html is not null").orderBy(
-        F.xxhash64("html"), "html").limit(most).collect()
+    rows = lowest(pages.select(F.col(f"`{html_col}`").alias("html")).filter("html is not null"), F.xxhash64("html"),
+                  pages.count(), most, ["html"]).collect()
     return sorted({w for r in rows for b in blocks_of(r["html"]) for w in b.text.split() if len(w) < 20})
 
 

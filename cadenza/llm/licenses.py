@@ -23,11 +23,13 @@ further columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import adam, arrow_map, byte_hashes, joined, mix64, tables
+from cadenza.llm.common import adam, arrow_map, byte_hashes, joined, lowest, mix64, tables
 
 BUCKETS, SAMPLE, CHANCE, AGREE = 1 << 16, 400, 0.7, 0.6
 #: Words of the windows over long paragraphs.  They start a quarter apart, so a
@@ -224,11 +226,12 @@ def _long(model: dict, line: bytes) -> list[tuple[int, int, str, float, float]]:
                 agree, both = max((len(own & t) / min(len(own), len(t)), len(own & t)) for t in model["templates"][best])
                 if agree >= AGREE:
                     passed.append((both, float(p[best]), int(a), k, FAMILIES[best], agree))
-    out, families = [], set()
+    out, taken = [], []      # places of the windows taken, in order and apart
     for _, p, a, k, family, agree in sorted(passed, key=lambda x: (-x[0], -x[1], x[2])):
         start, end = int(edges[2 * a]), int(edges[2 * (a + k) - 1])
-        if family not in families and not any(start < y and x < end for x, y, *_ in out):
-            families.add(family)
+        at = bisect_left(taken, (start, end))
+        if not (at and taken[at - 1][1] > start) and not (at < len(taken) and taken[at][0] < end):
+            insort(taken, (start, end))
             out.append((start, end, family, p, agree))
     return sorted(out)
 
@@ -276,7 +279,7 @@ def found_in(model: dict, texts: list[bytes]) -> list[tuple[int, int, int, str,
 
 def sample_lines(docs: DataFrame, most: int = SAMPLE, text_col: str = "text") -> list[str]:
     """Lines of a bounded sample of documents."""
-    rows = docs.select(F.col(f"`{text_col}`").alias("text")).filter("text is not null").orderBy(F.xxhash64("text"), "text").limit(most)
+    rows = lowest(docs.select(F.col(f"`{text_col}`").alias("text")).filter("text is not null"), F.xxhash64("text"), docs.count(), most, ["text"])
     return sorted({x for r in rows.collect() for x in r["text"].splitlines() if x.strip()})
 
 

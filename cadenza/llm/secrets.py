@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -121,10 +122,12 @@ def spans_in(texts: list[bytes], measure: novelty) -> list[list[tuple[int, int,
             at, words = d, [m.span() for m in SENSITIVE.finditer(t)]
             word_starts, word_ends = [x for x, _ in words], [y for _, y in words]
             breaks = [-1, *(m.start() for m in re.finditer(rb"\n", t))]
+            base = sorted(x[:2] for x in out[d])
+            base_starts, reach = [x for x, _ in base], list(accumulate((y for _, y in base), max))
         # the last word that ends before the candidate, if it is on its line
         told = bisect_right(word_ends, a) - 1
-        if told >= 0 and word_starts[told] > breaks[bisect_right(breaks, a) - 1] and not any(
-                x <= a and b <= y for x, y, kind, _ in out[d] if kind != "novel"):
+        before = bisect_right(base_starts, a)     # a base span among these that reaches b contains the candidate
+        if told >= 0 and word_starts[told] > breaks[bisect_right(breaks, a) - 1] and not (before and reach[before - 1] >= b):
             share = measure.share(t, a, b)
             if share >= NOVEL:
                 out[d].append((a, b, "novel", float(share)))

@@ -88,3 +88,15 @@ def test_temperature_calibrates():
     z = rng.normal(0, 2, 4000)
     y = (rng.random(4000) < common.sigmoid(z)).astype(float)
     assert 2.3 < common.temperature(3 * z, y, np.ones(4000)) < 3.9
+
+
+def test_training_rows_are_bounded_whatever_repeats(spark):
+    from cadenza.llm.common import training_rows
+    docs = spark.range(3000).selectExpr("id % 40 as doc_id", "concat('text ', id) as text").unionByName(
+        spark.range(500).selectExpr("3L as doc_id", "'same' as text"))
+    labels = spark.range(40).selectExpr("id as doc_id", "cast(id % 2 as int) as quality")
+    rows, weights = training_rows(docs, labels, "quality", 3, 1, 10)
+    got = rows.collect()
+    assert 0 < len(got) <= 20 and len({(r["doc_id"], r["text"]) for r in got}) == len(got)
+    assert sorted(map(str, training_rows(docs.repartition(9), labels, "quality", 3, 1, 10)[0].collect())) == sorted(map(str, got))
+    assert set(weights) == {0, 1}

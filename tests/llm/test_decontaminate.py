@@ -85,3 +85,33 @@ def test_blocks_nulls_and_empty_tables(spark):
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 3, 4, 5, 6, 7, 8, 9]
     assert D.contaminated(empty(spark), bench).count() == 0
     assert D.contaminated(docs, bench.limit(0)).count() == 0
+
+
+def test_runs_of_one_character_stay_small():
+    import time
+    import tracemalloc
+    items = D.index([(1, "-" * 300), (2, "the quick brown fox jumps over the lazy dog again and again")], 12, 0.05)
+    t = time.time()
+    tracemalloc.start()
+    text = "-" * 20_000 + " the quick brown fox jumps over the lazy dog again and again " + "-" * 20_000
+    got = D.hits_in(text, items)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert time.time() - t < 60 and most < 400 << 20
+    runs = [(a, b, e) for i, a, b, e, _ in got if i == 0]
+    assert sum(e == 0 for *_, e in runs) >= 2 * (20_000 // 300) - 2
+    assert [items.ids[i] for i, *_ in got if i == 1] == [2]
+
+
+def test_slices_find_the_same_bands(monkeypatch):
+    import random
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcde ") for _ in range(6)) for _ in range(40)]
+    items = [(n, " ".join(rng.choices(words, k=rng.randint(8, 60)))) for n in range(30)]
+    text = " ".join(" ".join(rng.choices(words, k=30)) + " " + t[: rng.randint(20, 400)] for _, t in items for _ in range(3))
+    points = D.folded(text)[0]
+    found = D.index(items, 12, 0.05)
+    want = found.bands(points)
+    monkeypatch.setattr(D, "_HELD", 50)
+    monkeypatch.setattr(D, "_SLICE", 1)
+    assert found.bands(points) == want and len(want) > 50

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from helpers import awkward, empty
 
@@ -200,3 +201,34 @@ def test_pages_awkward_and_empty(spark, crf):
     got = [(r["page_id"], r["text"], r["n_chars"]) for r in html_crf.extract(pages.withColumn("text", pages["html"]), crf).collect()]
     assert sorted(got, key=str) == sorted([(1, "", 0), (1, "", 0), (None, "Words of the thion text.", 24), (2, "", 0)], key=str)
     assert html_crf.extract(pages.limit(0), html_crf.fit(pages.limit(0))).count() == 0
+
+
+def test_many_findings_take_linear_time():
+    import time
+    t = time.time()
+    text = " ".join(f'token = "{i:032x}Zk9{i:020d}"' for i in range(30_000)).encode()
+    found = secrets.spans_in([text], secrets.novelty())[0]
+    assert time.time() - t < 60 and sum(x[2] == "assign" for x in found) == 30_000
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "x", "<a " * 300_000, "<p>a</p>" * 100_000, '<p title="' * 50_000, "<x" + "y" * 100 + ">" + "<b>z</b>" * 50_000])
+def test_degenerate_pages_take_linear_time(page):
+    import time
+    t = time.time()
+    html_crf.features(html_crf.blocks_of(page))
+    assert time.time() - t < 20
+
+
+def test_an_open_quote_ends_with_its_tag():
+    assert [b.text for b in html_crf.blocks_of('<div>one</div><p title="x>two</p><p>three</p>')] == ["one", "two", "three"]
+    assert [b.text for b in html_crf.blocks_of("a <b c='>'>d</b> e <f")] == ["a d e <f"]
+
+
+def test_every_statement_of_a_long_line_is_reported(licence_model):
+    rng = np.random.default_rng(3)
+    filler = lambda n: " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 7)) for _ in range(n))
+    mit = next(t for t in licenses.TEMPLATES["MIT"] if 6 <= len(t.split()) <= 40)
+    line = " ".join(f"{filler(80)} {mit}" for _ in range(40)) + " " + filler(80)
+    got = [f for f in licenses.found_in(licence_model, [line.encode()]) if f[3] == "MIT"]
+    assert len(got) == 40
+    assert all(b[1] >= a[2] for a, b in zip(got, got[1:]))
