@@ -121,7 +121,7 @@ def test_rewrite_of_a_table_and_of_a_folder_with_shards(spark, tmp_path):
         F.col("old_shard").alias("old")).agg(F.sum("size").alias("b")).collect()}
     more = max(sizes[1], sizes[0] + sizes[1] // 2)  # rows go from shard 1 to shard 0; 2 and 3 stay
     placed = reshard.reshard(docs, F.pmod("doc_id", F.lit(4)), 4, 4,
-                             capacities=[more, sizes[0] + sizes[1] - more, sizes[2], sizes[3]]).localCheckpoint()
+                             capacities=[more, sizes[0] + sizes[1] - more, sizes[2], sizes[3]]).checkpoint()
     path = str(tmp_path / "new")
     touched = reshard.rewrite(docs, placed, path)
     assert touched == [0, 1]
