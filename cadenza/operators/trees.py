@@ -7,9 +7,9 @@ class in boosting, all trees of a forest) grow together, level by level: a task
 adds up its blocks, Spark adds the tasks' histograms per (tree, node, feature)
 and picks the best feature, and only the winning splits reach the driver.
 
-Growth has two phases.  A node with more than ``task_rows`` rows is split by such
-a level job.  The rows of a smaller node fit one task: they meet there once and
-the task finishes the subtree, to any depth.  Both phases use the same histogram
+Growth has two phases, in boosting as in forests.  A node with more than
+``task_rows`` rows is split by such a level job.  The rows of a smaller node fit
+one task: they meet there once and the task finishes the subtree, to any depth.  Both phases use the same histogram
 and split functions.  Gradients and weights are whole numbers (fixed point), so
 sums do not depend on the order of rows, and partitions, blocks and phases give
 the same trees.
@@ -39,11 +39,13 @@ from cadenza.session import materialize
 # task functions travel by value: executors need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BINS, TASK_ROWS, BLOCK_ROWS = 64, 50_000, 8192
+BINS, TASK_ROWS, BLOCK_ROWS = 64, 100_000, 8192
 #: Numbers in the histograms that a level job or a task holds at once.
 HELD = 1 << 22
 #: Boosting rounds after which scores are written back to the blocks.
-FOLD = 25
+FOLD = 10
+#: Features whose histograms travel in one row.
+TOGETHER = 64
 #: Bytes of subtrees that one scoring pass ships to the tasks.
 PASS_BYTES = 64 << 20
 
@@ -101,6 +103,16 @@ class Tree:
         self.add(right_sums, int(kids[1]), self.depth[node] + 1)
         return self.left[node], self.left[node] + 1
 
+    def graft(self, node: int, sub: Tree) -> None:
+        """The tree ``sub``, grown elsewhere from this leaf, in the leaf's place."""
+        at = len(self.feature) - 1           # where node 1 of ``sub`` comes to stand, less one
+        self.feature[node], self.bin[node], self.gain[node] = sub.feature[0], sub.bin[0], sub.gain[0]
+        self.left[node] = sub.left[0] + at if sub.left[0] >= 0 else -1
+        for own, new in ((self.feature, sub.feature), (self.bin, sub.bin), (self.sums, sub.sums), (self.gain, sub.gain),
+                         (self.path, sub.path), (self.depth, sub.depth)):
+            own += new[1:]
+        self.left += [x + at if x >= 0 else -1 for x in sub.left[1:]]
+
     def place(self, binned: np.ndarray, node: np.ndarray | None = None) -> np.ndarray:
         """The node where every row ends."""
         feature, at, left = (np.asarray(x, np.int64) for x in (self.feature, self.bin, self.left))
@@ -127,6 +139,15 @@ def histogram(binned: np.ndarray, local: np.ndarray, features: np.ndarray, stats
     """Sums by (node, tried feature, bin, number): ``stats`` has a column a
     number, or one column that counts for the number ``cls``."""
     m, f = features.shape
+    if cls is None and (features == features[:1]).all():
+        # the same features at every node: one after the other, with arrays of one number a row
+        base, columns = local * bins, [np.ascontiguousarray(stats[:, s], np.float64) for s in range(wide)]
+        out = np.empty((m, f, bins, wide), np.int64)
+        for k, own in enumerate(np.ascontiguousarray(binned[:, features[0]].T) if m else ()):
+            cell = base + own
+            for s, column in enumerate(columns):
+                out[:, k, :, s] = np.rint(np.bincount(cell, weights=column, minlength=m * bins)).reshape(m, bins)
+        return out
     b = np.take_along_axis(binned, features[local], axis=1)
     cell = (local[:, None] * f + np.arange(f)) * bins + b
     if cls is not None:
@@ -181,7 +202,6 @@ def finish(tree: Tree, node: np.ndarray, binned: np.ndarray, stats: np.ndarray,
     d = binned.shape[1]
     wide = stats.shape[1] if cls is None else len(tree.sums[start[0]])
     level = list(start)
-    binned = binned.astype(np.int64)
     while level:
         rows = np.bincount(node[node >= 0], minlength=len(tree.feature))
         level = [i for i in level if open_node(tree.sums[i], tree.depth[i], rules, rows[i])]
@@ -275,6 +295,7 @@ class Block:
     w: np.ndarray
     h: np.ndarray
     scores: np.ndarray | None = None
+    shares: np.ndarray | None = None     # class shares after the latest round, for all classes at once
 
 
 def _blocks(batch, d: int, classes: int = 0):
@@ -317,7 +338,6 @@ def level(blocks: DataFrame, trees: list[Tree], fronts: list[list[int]], stats,
             total: dict[int, np.ndarray] = {}
             for batch in batches:
                 for b in _blocks(batch, d, classes):
-                    x = b.x.astype(np.int64)
                     for t, nodes in by_tree.items():
                         at = trees[t].place(b.x)
                         local = np.full(len(trees[t].feature), -1)
@@ -327,34 +347,41 @@ def level(blocks: DataFrame, trees: list[Tree], fronts: list[list[int]], stats,
                         if not len(mine):
                             continue
                         f = chosen[t]
-                        h = histogram(x[mine], local[at[mine]], f, s[mine], None if c is None else c[mine], bins, wide)
-                        ones = histogram(x[mine], local[at[mine]], f, np.ones((len(mine), 1)), None, bins, 1)
-                        h = np.concatenate([h, ones], axis=3)
+                        x, ones = b.x[mine], np.ones((len(mine), 1))
+                        if c is None:
+                            h = histogram(x, local[at[mine]], f, np.hstack([s[mine], ones]), None, bins, wide + 1)
+                        else:
+                            h = np.concatenate([histogram(x, local[at[mine]], f, s[mine], c[mine], bins, wide),
+                                                histogram(x, local[at[mine]], f, ones, None, bins, 1)], axis=3)
                         total[t] = h if t not in total else total[t] + h
             for t, h in total.items():
                 nodes = by_tree[t]
                 for j in range(len(nodes)):
-                    f = h.shape[1]
+                    at = range(0, h.shape[1], TOGETHER)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([t] * f, pa.int32()), pa.array([nodes[j]] * f, pa.int32()), pa.array(chosen[t][j], pa.int32()),
-                         pa.array([h[j, k].tobytes() for k in range(f)], pa.binary())], names=["tree", "node", "feature", "sums"])
+                        [pa.array([t] * len(at), pa.int32()), pa.array([nodes[j]] * len(at), pa.int32()), pa.array(at, pa.int32()),
+                         pa.array([h[j, k:k + TOGETHER].tobytes() for k in at], pa.binary())], names=["tree", "node", "place", "sums"])
 
         def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-            # all tasks' histograms of one feature at one node
-            h = sum(np.frombuffer(x, np.int64) for x in pdf["sums"]).reshape(1, 1, bins, wide + 1)
-            gain, _, at, left = best_splits(h[..., :wide], rules, unit)
-            rows = h[0, 0, :, wide]
-            return pd.DataFrame({"tree": pdf["tree"].iloc[:1], "node": pdf["node"].iloc[:1], "feature": pdf["feature"].iloc[:1],
-                                 "gain": gain, "bin": at.astype(np.int32), "left_rows": int(rows[:at[0] + 1].sum()), "all_rows": int(rows.sum()),
-                                 "left_sums": [left[0].tolist()]})
-        out = "tree int, node int, feature int, gain double, bin int, left_rows long, all_rows long, left_sums array<long>"
-        best = (blocks.mapInArrow(add_up, "tree int, node int, feature int, sums binary")
-                .groupBy("tree", "node", "feature").applyInPandas(choose, out)
-                .groupBy("tree", "node").agg(F.max_by(F.struct("feature", "gain", "bin", "left_rows", "all_rows", "left_sums"),
+            # all tasks' histograms of some features at one node
+            t, i, first = (int(pdf[c].iloc[0]) for c in ("tree", "node", "place"))
+            h = sum(np.frombuffer(x, np.int64) for x in pdf["sums"]).reshape(1, -1, bins, wide + 1)
+            gain, which, at, left = best_splits(h[..., :wide], rules, unit)
+            rows = h[0, which[0], :, wide]
+            return pd.DataFrame({"tree": [t], "node": [i], "feature": [int(chosen[t][by_tree[t].index(i), first + which[0]])],
+                                 "gain": gain, "bin": at.astype(np.int32), "left_rows": [int(rows[:at[0] + 1].sum())], "all_rows": [int(rows.sum())],
+                                 "left_sums": [left[0].tolist()], "all_sums": [h[0, 0, :, :wide].sum(0).tolist()]})
+        out = ("tree int, node int, feature int, gain double, bin int, left_rows long, all_rows long, left_sums array<long>, "
+               "all_sums array<long>")
+        best = (blocks.mapInArrow(add_up, "tree int, node int, place int, sums binary")
+                .groupBy("tree", "node", "place").applyInPandas(choose, out)
+                .groupBy("tree", "node").agg(F.max_by(F.struct("feature", "gain", "bin", "left_rows", "all_rows", "left_sums", "all_sums"),
                                                       F.struct("gain", -F.col("feature"))).alias("s")))
         missed = []
         for r in best.select("tree", "node", "s.*").collect():     # one row per node of the group
             t, i = r["tree"], r["node"]
+            if trees[t].sums[i] is None:         # a root whose sums are not known yet
+                trees[t].sums[i] = np.array(r["all_sums"], np.int64)
             if not math.isfinite(r["gain"]):
                 missed.append((t, i))
                 continue
@@ -388,7 +415,8 @@ class BoostModel:
         return boost_scores(np.tile(self.start, (len(binned), 1)), binned, self.trees)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        edges, width, slim = self.edges, len(self.edges), self
+        edges, width = self.edges, len(self.edges)
+        slim = BoostModel(edges, self.start, _slim(self.trees), self.features, [])
 
         @F.pandas_udf("double")
         def best(x: pd.Series) -> pd.Series:
@@ -407,14 +435,22 @@ def boost_scores(scores: np.ndarray, binned: np.ndarray, rounds) -> np.ndarray:
     return scores
 
 
+def _slim(rounds) -> list:
+    """Rounds with what placing rows needs, and no more, to be sent to tasks."""
+    return [[(Tree(*[np.array(x, np.int64) for x in (t.feature, t.bin, t.left)]), leaf) for t, leaf in r] for r in rounds]
+
+
 def softmax(scores: np.ndarray) -> np.ndarray:
     e = np.exp(scores - scores.max(1, keepdims=True))
     return e / e.sum(1, keepdims=True)
 
 
-def boost_stats(b: Block, scores: np.ndarray, k: int, unit: float, double_hessian: bool) -> np.ndarray:
-    """Gradient, hessian and weight of class ``k``, as whole numbers."""
-    p = softmax(scores)[:, k]
+def boost_stats(b: Block, recent, k: int, unit: float, double_hessian: bool) -> np.ndarray:
+    """Gradient, hessian and weight of class ``k`` after the rounds ``recent``, as
+    whole numbers."""
+    if b.shares is None:
+        b.shares = softmax(boost_scores(b.scores, b.x, recent))
+    p = b.shares[:, k]
     w = b.w / unit
     h = p * (1 - p) * (2.0 if double_hessian else 1.0)
     return np.stack([np.rint((p - (b.y == k)) * w * unit), np.rint(np.maximum(h, 1e-16) * w * unit), b.w], axis=1)
@@ -455,14 +491,14 @@ def fit_boosting(df: DataFrame, features: str, label: str, weight: str | None, c
     done: list = []
     folded = 0
     for _ in range(rounds):
-        recent = done[folded:]
+        recent = _slim(done[folded:])
         if small:
             grown = _boost_in_tasks(blocks, recent, classes, d, rules, unit, bins, double_hessian)
         else:
-            grown = _boost_by_levels(blocks, recent, classes, d, rules, unit, bins, double_hessian, task_rows)
+            grown = _boost_in_both_phases(blocks, recent, classes, d, rules, unit, bins, double_hessian, task_rows, n_rows)
         done.append([(t, _leaf_values(t, factor, rules.l2, unit)) for t in grown])
         if len(done) - folded == FOLD and len(done) < rounds:
-            blocks, folded = materialize(_fold(blocks, done[folded:], classes, d)), len(done)
+            blocks, folded = materialize(_fold(blocks, _slim(done[folded:]), classes, d)), len(done)
     return BoostModel(edges, start, done, features, _boost_importances([t for r in done for t, _ in r], d, average_gain))
 
 
@@ -500,7 +536,7 @@ def _boost_in_tasks(blocks, recent, classes, d, rules, unit, bins, double_hessia
     def run(batches):
         for batch in batches:
             for cls, b in zip(batch.column("cls").to_pylist(), _blocks(batch, d, classes)):
-                s = boost_stats(b, boost_scores(b.scores, b.x, recent), cls, unit, double_hessian)
+                s = boost_stats(b, recent, cls, unit, double_hessian)
                 tree = Tree()
                 tree.add(np.rint(s.sum(0)).astype(np.int64), cls + 1, 0)
                 finish(tree, np.zeros(len(b.x), np.int64), b.x, s, None, rules, unit, bins, [0])
@@ -510,17 +546,56 @@ def _boost_in_tasks(blocks, recent, classes, d, rules, unit, bins, double_hessia
     return [Tree(**pickle.loads(r["tree"])) for r in sorted(got, key=lambda r: r["cls"])]
 
 
-def _boost_by_levels(blocks, recent, classes, d, rules, unit, bins, double_hessian, task_rows) -> list[Tree]:
+def _boost_in_both_phases(blocks, recent, classes, d, rules, unit, bins, double_hessian, task_rows, n_rows) -> list[Tree]:
+    """One round: level jobs split the nodes of more than ``task_rows`` rows; then
+    the rows of all smaller open nodes meet in tasks, one node each."""
+    import pickle
+
     def stats(b: Block, t: int):
-        s = boost_stats(b, boost_scores(b.scores, b.x, recent), t, unit, double_hessian)
-        return s, None, np.ones(len(b.x), bool)
+        return boost_stats(b, recent, t, unit, double_hessian), None, np.ones(len(b.x), bool)
     trees = [Tree() for _ in range(classes)]
-    for t, s in enumerate(_root_sums(blocks, stats, classes, d, 3, classes)):
-        trees[t].add(s, t + 1, 0)
-    fronts = [[0]] * classes
+    for t, tree in enumerate(trees):
+        tree.add(None, t + 1, 0)         # the first level job tells the sums
+    small: list[list[int]] = [[] for _ in trees]
+    fronts = [[(0, n_rows)] for _ in trees]
     while any(fronts):
-        kids = level(blocks, trees, fronts, stats, rules, unit, bins, d, 3, classes)
-        fronts = [[i for i, n in own if open_node(trees[t].sums[i], trees[t].depth[i], rules, n)] for t, own in enumerate(kids)]
+        open_ = [[(i, n) for i, n in own if open_node(trees[t].sums[i], trees[t].depth[i], rules, n)] for t, own in enumerate(fronts)]
+        for t, own in enumerate(open_):
+            small[t] += [i for i, n in own if n <= task_rows]
+        large = [[i for i, n in own if n > task_rows] for own in open_]
+        fronts = level(blocks, trees, large, stats, rules, unit, bins, d, 3, classes) if any(large) else []
+    if trees[0].sums[0] is None:         # nothing to split
+        for t, s in enumerate(_root_sums(blocks, stats, classes, d, 3, classes)):
+            trees[t].sums[0] = s
+    if not any(small):
+        return trees
+
+    def deal(batches):
+        for batch in batches:
+            for b in _blocks(batch, d, classes):
+                for t in range(classes):
+                    if not small[t]:
+                        continue
+                    at, s = trees[t].place(b.x), stats(b, t)[0]
+                    for i in small[t]:
+                        mine = np.flatnonzero(at == i)
+                        if len(mine):
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array([t], pa.int32()), pa.array([i], pa.int32()), pa.array([b.x[mine].tobytes()], pa.binary()),
+                                 pa.array([s[mine].astype(np.float64).tobytes()], pa.binary())], names=["tree", "node", "x", "s"])
+
+    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
+        t, i = int(pdf["tree"].iloc[0]), int(pdf["node"].iloc[0])
+        x = np.frombuffer(b"".join(pdf["x"]), np.uint8).reshape(-1, d)
+        s = np.frombuffer(b"".join(pdf["s"])).reshape(-1, 3)
+        tree = Tree()
+        tree.add(trees[t].sums[i], trees[t].path[i], trees[t].depth[i])
+        finish(tree, np.zeros(len(x), np.int64), x, s, None, rules, unit, bins, [0])
+        return pd.DataFrame({"tree": [t], "node": [i], "data": [pickle.dumps(tree.__dict__)]})
+    got = (blocks.mapInArrow(deal, "tree int, node int, x binary, s binary")
+           .groupBy("tree", "node").applyInPandas(grow, "tree int, node int, data binary"))
+    for r in sorted(got.collect(), key=lambda r: (r["tree"], r["node"])):     # a subtree a node
+        trees[r["tree"]].graft(r["node"], Tree(**pickle.loads(r["data"])))
     return trees
 
 

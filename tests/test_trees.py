@@ -99,6 +99,29 @@ def test_level_jobs_and_tasks_grow_the_same_trees(spark, kind):
     assert models[0].featureImportances == models[1].featureImportances
 
 
+@pytest.mark.parametrize("kind", ["newton", "mse"])
+def test_small_nodes_of_a_large_table_are_finished_in_tasks(spark, kind, monkeypatch):
+    """Boosting deals the rows of nodes that fit a task: fewer level jobs than levels,
+    no job for the roots' sums, the class shares once per block, the same trees."""
+    df, x, _, _ = table(spark, n=500, d=4, levels=40)
+    rules, jobs = Rules(kind, 5, l2=1.0), []
+    whole = trees.level
+    monkeypatch.setattr(trees, "level", lambda *a: jobs.append(a[2]) or whole(*a))
+    monkeypatch.setattr(trees, "_root_sums", lambda *a: pytest.fail("a job for sums that the level job knows"))
+    both = trees.fit_boosting(df.repartition(3), "features", "y", "w", 3, rules, 2, 0.3, prior=True, task_rows=300)
+    assert 2 <= len(jobs) < 2 * 5
+    one = trees.fit_boosting(df.repartition(1), "features", "y", "w", 3, rules, 2, 0.3, prior=True, task_rows=10_000)
+    binned = trees.cut(x, one.edges)
+    assert (both.scores_of(binned) == one.scores_of(binned)).all()
+    assert np.allclose(both.featureImportances, one.featureImportances, rtol=1e-12)
+    for (a, _), (b, _) in zip(both.trees[1], one.trees[1]):
+        assert shape(a, one.edges) == shape(b, one.edges)
+    b, recent = trees.Block(binned.astype(np.uint8), np.zeros(500, np.int64), np.ones(500, np.int64), None, np.zeros((500, 3))), one.trees
+    trees.boost_stats(b, recent, 0, 1024.0, False)
+    monkeypatch.setattr(trees, "boost_scores", lambda *a: pytest.fail("scores worked out again for another class"))
+    trees.boost_stats(b, recent, 1, 1024.0, False)
+
+
 def test_scores_are_folded_into_the_blocks(spark, monkeypatch):
     df, x, _, _ = table(spark)
     args = ("features", "y", "w", 3, Rules("newton", 3, l2=1.0), 5, 0.3, False)
