@@ -76,12 +76,15 @@ def context_sums(docs: DataFrame) -> DataFrame:
             for part in row_chunks([len(x) for x in texts], _CHUNK):
                 bucket, doc = words_of(texts[part])
                 count += np.bincount(bucket, minlength=BUCKETS)
+                pairs = []
                 for off in range(1, WINDOW + 1):
                     near = np.flatnonzero(doc[off:] == doc[:-off])
                     left, right = bucket[near], bucket[near + off]
-                    for a, b in ((left, right), (right, left)):
-                        for k in range(NONZERO):
-                            total += signs[k] * np.bincount(a * DIMS + places[b, k], minlength=len(total))
+                    pairs += [left * BUCKETS + right, right * BUCKETS + left]
+                # a pair of neighbours counts as often as it stands here, all in one sum
+                pair, n = np.unique(np.concatenate(pairs), return_counts=True)
+                cells = (pair // BUCKETS)[:, None] * DIMS + places[pair % BUCKETS]
+                total += np.bincount(cells.ravel(), weights=(n[:, None] * signs).ravel(), minlength=len(total))
         seen = np.flatnonzero(count)
         sums = total.reshape(BUCKETS, DIMS)[seen].astype(np.int64)
         yield pa.RecordBatch.from_arrays(
@@ -93,7 +96,8 @@ def context_sums(docs: DataFrame) -> DataFrame:
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
-    """BUCKETS x 2 DIMS: centred unit context vectors beside the index vectors."""
+    """BUCKETS x 2 DIMS: centred unit context vectors beside the index vectors; the
+    numbers of a dimension lie together, as ``pooled`` reads them."""
     context, count = np.zeros((BUCKETS, DIMS)), np.zeros(BUCKETS)
     got = context_sums(docs).toArrow()
     at = got.column("bucket").to_numpy()
@@ -106,27 +110,31 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     places, signs = index_vectors()
     own = np.zeros((BUCKETS, DIMS))
     np.put_along_axis(own, places, np.tile(signs, (BUCKETS, 1)) / np.sqrt(NONZERO), axis=1)
-    return np.hstack([mean, own]).astype(np.float32)
+    return np.asfortranarray(np.hstack([mean, own]).astype(np.float32))
 
 
 def pooled(texts: list[bytes], vectors: np.ndarray) -> np.ndarray:
-    """One row per text: mean and deviation of its word vectors, and summaries."""
+    """One row per text: mean and deviation of its word vectors, and summaries.
+
+    Words run along the rows of the working arrays, so that the sums of a text add
+    up numbers that lie together."""
     width = vectors.shape[1]
+    across = np.ascontiguousarray(vectors.T)
     out = np.zeros((len(texts), 2 * width + 5), dtype=np.float32)
-    for part in row_chunks([len(x) for x in texts], _CHUNK // 16):
+    for part in row_chunks([len(x) for x in texts], _CHUNK // 32):
         bucket, doc = words_of(texts[part])
         if not len(bucket):
             continue
         present, at, n = np.unique(doc, return_index=True, return_counts=True)
-        rows = vectors[bucket]
-        mean = np.add.reduceat(rows, at, axis=0) / n[:, None]
-        square = np.add.reduceat(rows * rows, at, axis=0) / n[:, None]
+        rows = np.take(across, bucket, axis=1)
+        half = width // 2
+        like = np.zeros(len(bucket), dtype=np.float32)
+        like[1:] = (rows[half:, 1:] * rows[half:, :-1]).sum(0) * (doc[1:] == doc[:-1])
+        mean = np.add.reduceat(rows, at, axis=1).T / n[:, None]
+        square = np.add.reduceat(np.multiply(rows, rows, out=rows), at, axis=1).T / n[:, None]
         own = out[part.start + present]
         own[:, :width] = mean
         own[:, width:2 * width] = np.sqrt(np.maximum(square - mean * mean, 0))
-        half = width // 2
-        like = np.zeros(len(bucket), dtype=np.float32)
-        like[1:] = (rows[1:, half:] * rows[:-1, half:]).sum(1) * (doc[1:] == doc[:-1])
         own[:, -5] = np.linalg.norm(mean[:, :half], axis=1)
         own[:, -4] = np.linalg.norm(mean[:, half:], axis=1)
         own[:, -3] = np.add.reduceat(like, at) / n

@@ -100,3 +100,30 @@ def test_training_rows_are_bounded_whatever_repeats(spark):
     assert 0 < len(got) <= 20 and len({(r["doc_id"], r["text"]) for r in got}) == len(got)
     assert sorted(map(str, training_rows(docs.repartition(9), labels, "quality", 3, 1, 10)[0].collect())) == sorted(map(str, got))
     assert set(weights) == {0, 1}
+
+
+def test_word_vectors_lie_as_pooling_reads_them(spark):
+    """Vectors come with the numbers of a dimension together, and neither pooling
+    nor the context sums differ from word-by-word versions."""
+    from cadenza.llm import quality
+    texts = ["a quick brown fox, a quick brown dog 12", "", "one", "to be or not to be or not to be"] * 3
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    vectors = quality.word_vectors(docs)
+    assert vectors.flags.f_contiguous and not vectors.flags.c_contiguous
+    got = quality.pooled([t.encode() for t in texts], vectors)
+    places, signs = quality.index_vectors()
+    sums = {}
+    for i, t in enumerate(texts):
+        bucket, _ = quality.words_of([t.encode()])
+        rows = vectors[bucket].astype(float)
+        mean = rows.mean(0) if len(rows) else np.zeros(vectors.shape[1])
+        assert np.allclose(got[i, :vectors.shape[1]], mean, atol=1e-6)
+        like = (rows[1:, quality.DIMS:] * rows[:-1, quality.DIMS:]).sum() / max(len(rows), 1)
+        assert abs(got[i, -3] - like) < 1e-6
+        for a in range(len(bucket)):
+            own = sums.setdefault(int(bucket[a]), np.zeros(quality.DIMS))
+            for b in range(max(0, a - quality.WINDOW), min(len(bucket), a + quality.WINDOW + 1)):
+                if b != a:
+                    own[places[bucket[b]]] += signs
+    for r in quality.context_sums(docs).collect():
+        assert [r[f"c{i}"] for i in range(quality.DIMS)] == sums[r["bucket"]].astype(int).tolist()
