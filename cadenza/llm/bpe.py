@@ -34,6 +34,9 @@ from cadenza.llm.common import mix64, release, released, tables, text_batches
 PATTERN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Text bytes of a block: the working set of one task.
 BLOCK = 8 << 20
+#: Compression level of the packets between the steps: higher ones save little
+#: room on sorted words and cost more than the look-up.
+PACK = 4
 
 
 def byte_pieces() -> dict[str, int]:
@@ -115,7 +118,11 @@ def _decoded(flat: pa.Array, ends: np.ndarray, table: pa.Array) -> pa.Array:
     at = np.nan_to_num(flat.to_numpy(zero_copy_only=False).astype(np.float64), nan=-1).astype(np.int64)
     at = np.where((at < 0) | (at >= len(table) - 1), len(table) - 1, at)
     lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), table.take(pa.array(at)))
-    return pa.array([b.decode("utf-8", "replace") for b in pc.binary_join(lists, b"").to_pylist()], pa.string())
+    whole = pc.binary_join(lists, b"")
+    try:
+        return whole.cast(pa.string())
+    except pa.ArrowInvalid:          # some id list is cut within a character
+        return pa.array([b.decode("utf-8", "replace") for b in whole.to_pylist()], pa.string())
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -139,15 +146,16 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def name(batches):
         import zstandard
 
-        pack = zstandard.ZstdCompressor(level=9)
-        seen: dict[int, pa.Array] = {}
+        pack = zstandard.ZstdCompressor(level=PACK)
+        seen: dict[int, list[pa.Array]] = {}
         for batch in batches:
             block = batch.column("block").to_numpy(zero_copy_only=False)
-            for b in np.unique(block):
-                some, _ = _flat(batch.filter(pa.array(block == b)).column("words"))
-                seen[int(b)] = pa.concat_arrays([seen[int(b)], some.unique()]).unique() if int(b) in seen else some.unique()
-        for b, distinct in seen.items():
-            distinct = distinct.drop_null()
+            own = np.unique(block)
+            for b in own:
+                some, _ = _flat((batch if len(own) == 1 else batch.filter(pa.array(block == b))).column("words"))
+                seen.setdefault(int(b), []).append(some.unique())
+        for b in list(seen):
+            distinct = pa.concat_arrays(seen.pop(b)).unique().drop_null()
             order, share = packets(distinct, shares)
             cut = np.searchsorted(share, np.arange(shares + 1))
             for s in np.flatnonzero(np.diff(cut)):
@@ -163,7 +171,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         import zstandard
         from tokenizers import Tokenizer
 
-        pack, unpack = zstandard.ZstdCompressor(level=9), zstandard.ZstdDecompressor()
+        pack, unpack = zstandard.ZstdCompressor(level=PACK), zstandard.ZstdDecompressor()
         tokenizer, known = Tokenizer.from_str(model), {t: np.array([i], "<u4").tobytes() for t, i in special.items()}
         for batch in batches:
             blobs = []
@@ -189,7 +197,11 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         import zstandard
 
         unpack, table = zstandard.ZstdDecompressor(), pa.array([*pieces, b""], pa.binary())
-        distinct = pc.unique(pc.list_flatten(left.column("words")))
+        # every word is hashed once: its number among the block's words
+        code = pc.list_flatten(left.column("words")).combine_chunks().dictionary_encode()
+        if isinstance(code, pa.ChunkedArray):
+            code = code.combine_chunks()
+        distinct, code = code.dictionary, code.indices.to_numpy(zero_copy_only=False)
         order, share = packets(distinct, shares)
         n_of = np.bincount(share, minlength=shares)
         sizes, ids = [np.zeros(0, "<u4")], [np.zeros(0, "<u4")]
@@ -200,10 +212,11 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         sizes, ids = np.concatenate(sizes).astype(np.int64), np.concatenate(ids).astype(np.int32)
         n, first = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
         n[order], first[order] = sizes, np.cumsum(sizes) - sizes
-        out = []
+        out, start = [], 0
         for batch in left.to_batches():  # some documents at a time
-            flat, ends = _flat(batch.column("words"))
-            word = pc.index_in(flat, value_set=distinct).to_numpy()
+            _, ends = _flat(batch.column("words"))
+            word = code[start: start + (ends[-1] if len(ends) else 0)]
+            start += len(word)
             total = np.append(0, np.cumsum(n[word]))
             all_ids = ids[np.repeat(first[word] - total[:-1], n[word]) + np.arange(total[-1])]
             at, all_ids = total[np.append(0, ends)], pa.array(all_ids)

@@ -68,3 +68,22 @@ def test_random_texts(spark, texts):
     got = {r["doc_id"]: r["ids"] for r in bpe.encode(docs, PATH).collect()}
     t = Tokenizer.from_file(PATH)
     assert got == {i: t.encode(x, add_special_tokens=False).ids for i, x in enumerate(texts)}
+
+
+def test_valid_texts_are_not_decoded_one_by_one(monkeypatch):
+    """Whole texts stay in Arrow; only id lists that cut a character go the long way."""
+    import numpy as np
+    import pyarrow as pa
+    table = pa.array([b"ab", "é".encode(), "é".encode()[:1], b""], pa.binary())
+
+    def got(ids):
+        flat, ends = bpe._flat(pa.array(ids, pa.list_(pa.int32())))
+        return bpe._decoded(flat, np.asarray(ends), table).to_pylist()
+    assert got([[0, 1], [2], None, [0, 9]]) == ["abé", "�", "", "ab"]
+
+    class Whole:
+        def __init__(self, whole):
+            self.cast = whole.cast
+    join = bpe.pc.binary_join
+    monkeypatch.setattr(bpe.pc, "binary_join", lambda *a: Whole(join(*a)))      # no to_pylist
+    assert got([[0, 1], [], [1, 1]]) == ["abé", "", "éé"]
