@@ -87,10 +87,9 @@ def artist_collection(roster: DataFrame, done: DataFrame, search_pages: DataFram
     capped = ingest.cap_per_group(first, ["slug"], ["ordinal"], cap=cap)
     batches = ingest.batches(capped, ["slug"], "id", "rank")
 
-    idmap = payloads.id_map(lookup_pages).select(F.col("ext_id").alias("id"),
-                                                 F.col("id").alias("feature_id"))
-    feats = payloads.audio_features(feature_pages).withColumnRenamed("request_key", "feature_id")
-    rows = capped.join(idmap, "id").join(feats, "feature_id")
+    idmap = payloads.id_map(lookup_pages, capped.select(F.col("id").alias("ext_id"))).select(
+        F.col("ext_id").alias("id"), F.col("id").alias("feature_id"))
+    rows = payloads.features_of(capped.join(idmap, "id"), feature_pages, "feature_id", "id")
     tracks = rows.select(F.col("name").alias("track_name"), F.col("id").alias("track_id"),
                          F.col("request_key").alias("artist_name"), "album_name",
                          *[F.col(n).cast(t) for n, t in TRACK_COLUMNS[4:]], "slug")

@@ -134,23 +134,40 @@ def playlist_tracks(landed: DataFrame) -> DataFrame:
         F.coalesce(tr["album"]["name"], F.lit("")).alias("album_name"))
 
 
-def id_map(landed: DataFrame) -> DataFrame:
+def id_map(landed: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """Id-lookup pages -> (ext_id, id): external id = last '/' segment of
-    href; rows lacking id or href skipped; the last duplicate wins."""
+    href; rows lacking id or href skipped; the last duplicate wins.  With
+    ``wanted`` (ext_id) only those ids are looked for: the others are neither
+    sorted nor compared."""
     it = _items(landed, ID_LOOKUP, "content")
     ok = it.filter(F.col("it.id").isNotNull() & (F.col("it.id") != "")
                    & F.col("it.href").isNotNull() & (F.col("it.href") != ""))
     keyed = ok.select(last_segment(F.col("it.href")).alias("ext_id"), F.col("it.id").alias("id"),
                       F.struct("request_key", "page_no", "pos").alias("__ord"))
+    if wanted is not None:
+        keyed = keyed.join(wanted.select("ext_id"), "ext_id", "left_semi")
     return keyed.groupBy("ext_id").agg(F.max_by("id", "__ord").alias("id"))
 
 
 def audio_features(landed: DataFrame) -> DataFrame:
     """Feature payloads -> the 11 feature columns (missing keys -> null);
     non-200 responses and bodies that are no JSON object give no row."""
-    parsed = _ok(landed).filter(F.get_json_object("body", "$").startswith("{")).select(
-        "request_key", F.from_json("body", FEATURES).alias("f"))
-    return parsed.select("request_key", *[F.col(f"f.{c}").alias(c) for c in AUDIO_FEATURES])
+    return _features(_ok(landed), F.get_json_object("body", "$"), ["request_key"])
+
+
+def features_of(rows: DataFrame, landed: DataFrame, key: str, own: str) -> DataFrame:
+    """``rows`` joined to the features landed under ``key``.  Pages travel as they
+    landed and only those that belong to a row are parsed.  ``own`` is a column of
+    ``rows`` without nulls, besides ``key``: a test that names both sides stays
+    behind the join."""
+    pages = _ok(landed).select(F.col("request_key").alias(key), F.col("body").alias("__body"))
+    joined = rows.join(pages, key).withColumnRenamed("__body", "body")
+    return _features(joined, F.when(F.col(own).isNotNull(), F.get_json_object("body", "$")), rows.columns)
+
+
+def _features(pages: DataFrame, json: Column, keep: list[str]) -> DataFrame:
+    parsed = pages.filter(json.startswith("{")).select(*keep, F.from_json("body", FEATURES).alias("__f"))
+    return parsed.select(*keep, *[F.col(f"__f.{c}").alias(c) for c in AUDIO_FEATURES])
 
 
 def album_detail(landed: DataFrame) -> DataFrame:
