@@ -210,3 +210,26 @@ def test_silhouette_squared_is_a_separate_metric(spark):
     eu = metrics.silhouette(df, "k", "c", "v").first()["silhouette"]
     assert 0 < eu < 1 and 0 < sq <= 1
     assert eu == pytest.approx(brute_silhouette(x, np.array([r[1] for r in rows])), abs=1e-9)
+
+
+def test_a_pair_of_silhouette_blocks_holds_no_copies_of_its_distances():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from cadenza.operators import metrics
+    n, d, held = 1500, 4, 1 << 20
+    rng = np.random.default_rng(3)
+    x, own = rng.normal(size=(2 * n, d)), rng.integers(0, 3, 2 * n)
+    table = pa.table({"key": np.arange(2 * n), "__blk": np.repeat([0, 1], n), "__c0": own.astype(np.int32),
+                      "v": pa.ListArray.from_arrays(pa.array(np.arange(2 * n + 1, dtype=np.int32) * d), pa.array(x.ravel()))})
+    fn = metrics._pair_kernel("key", ["__c0"], [3], "v", held)
+    tracemalloc.start()
+    out = fn((pa.scalar(0), pa.scalar(1)), table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.5 * 8 * held                # the distances themselves, and little else
+    far = np.sqrt(((x[:n, None] - x[None, n:]) ** 2).sum(2))
+    want = np.concatenate([far @ np.eye(3)[own[n:]], far.T @ np.eye(3)[own[:n]]])
+    assert np.allclose(np.stack(out.column("__s").to_numpy()), want)

@@ -132,3 +132,21 @@ def test_label_lookup_last_row_wins_and_append_sink(spark, tmp_path):
     assert tracks.write_tracks(one, out, fmt="csv", mode="append")
     back = tracks.read_tracks(spark, out, exclude_files=())
     assert back.count() == 2 and back.first()["artist_name"] == "A"
+
+
+def test_only_wanted_lookups_and_features_of_rows_are_parsed(spark):
+    look = landed(spark, [("b", 0, 200, {"content": [{"id": f"r{i}", "href": f"t/s{i}"} for i in range(6)]}),
+                          ("b", 1, 200, {"content": [{"id": "late", "href": "t/s2"}]})])
+    wanted = spark.createDataFrame([("s2",), ("s2",), ("s9",), (None,)], "ext_id string")
+    assert [tuple(r) for r in payloads.id_map(look, wanted).collect()] == [("s2", "late")]
+    rows = spark.createDataFrame([("a", "f1"), ("b", "f1"), ("c", "f2"), ("d", "f3"), ("e", None)], "id string, feature_id string")
+    feats = landed(spark, [("f1", 0, 200, {"energy": 0.5}), ("f1", 1, 200, {"energy": 0.7}), ("f2", 0, 404, {"energy": 1.0}),
+                           ("f3", 0, 200, "[1]"), ("f9", 0, 200, {"energy": 2.0})])
+    got = payloads.features_of(rows, feats, "feature_id", "id")
+    plain = rows.join(payloads.audio_features(feats).withColumnRenamed("request_key", "feature_id"), "feature_id")
+    pick = lambda df: sorted((r["id"], r["energy"]) for r in df.collect())
+    assert pick(got) == pick(plain) == [("a", 0.5), ("a", 0.7), ("b", 0.5), ("b", 0.7)]
+    # parsed behind the join, not in a filter of all landed pages
+    plan = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert any("get_json_object" in x for x in plan if "Join Inner" in x)
+    assert not any("get_json_object" in x for x in plan if "Filter" in x)
