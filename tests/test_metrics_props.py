@@ -233,3 +233,28 @@ def test_a_pair_of_silhouette_blocks_holds_no_copies_of_its_distances():
     far = np.sqrt(((x[:n, None] - x[None, n:]) ** 2).sum(2))
     want = np.concatenate([far @ np.eye(3)[own[n:]], far.T @ np.eye(3)[own[:n]]])
     assert np.allclose(np.stack(out.column("__s").to_numpy()), want)
+
+
+def test_sums_of_a_key_are_added_up_as_arrays():
+    import pyarrow as pa
+    table = pa.table({"key": pa.array(["b", None, "a", "b", None, "b"]),
+                      "__s": pa.array([[float(i), 10.0 * i] for i in range(6)], pa.list_(pa.float64()))})
+    got = metrics._add_up("key")(table).to_pydict()
+    assert dict(zip(got["key"], got["__s"])) == {"b": [8.0, 80.0], None: [5.0, 50.0], "a": [2.0, 20.0]}
+
+
+def test_silhouette_shuffles_arrays_not_single_sums(spark):
+    """With several blocks a row's sums travel as one array a block pair."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(120, 3))
+    df = spark.createDataFrame([(f"r{i}", i % 4, [float(v) for v in r]) for i, r in enumerate(x)], "id string, c int, v array<double>")
+    rows = metrics.silhouette_per_row(df, "id", "c", "v", block_rows=25)
+    plan = rows._jdf.queryExecution().analyzed().toString()
+    assert plan.lower().count("flatmapgroupsinarrow") >= 2
+    own = np.arange(120) % 4
+    far = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    for r in rows.collect():
+        i = int(r["id"][1:])
+        means = [far[i, own == c].sum() / ((own == c).sum() - (c == own[i])) for c in range(4)]
+        b = min(m for c, m in enumerate(means) if c != own[i])
+        assert abs(r["silhouette"] - (b - means[own[i]]) / max(b, means[own[i]])) < 1e-9
