@@ -55,13 +55,14 @@ def decode_labels(df: DataFrame, indexer, col: str = "prediction", out: str = "p
 
 def fit_model(train: DataFrame, preset: Preset, features: str = "features",
               label: str = "label_idx", weight: str | None = "weight", seed: int = SEED,
-              task_rows: int = trees.TASK_ROWS):
+              task_rows: int | None = None):
     """Fit one preset; the model's ``transform`` adds ``prediction`` (a label code)."""
     classes = int(train.agg(F.max(label)).first()[0]) + 1
     if preset.kind == "forest":
         width = len(train.select(trees.feature_array(train, features)).first()[0])
         rules = trees.Rules("gini", preset.max_depth, tries=max(1, math.isqrt(width)), seed=seed)
-        return trees.fit_forest(train, features, label, weight, classes, preset.n_trees, rules, task_rows=task_rows)
+        return trees.fit_forest(train, features, label, weight, classes, preset.n_trees, rules,
+                                task_rows=trees.TASK_ROWS if task_rows is None else task_rows)
     newton = preset.kind == "boost_newton"
     rules = (trees.Rules("newton", preset.max_depth, l2=1.0, least_hessian=1.0) if newton
              else trees.Rules("mse", preset.max_depth))

@@ -46,6 +46,10 @@ HELD = 1 << 22
 FOLD = 10
 #: Features whose histograms travel in one row.
 TOGETHER = 64
+#: Bytes of binned rows of one node that a task of boosting holds.
+TASK_BYTES = 64 << 20
+#: Rows that a tree places, or sums by bin, at a time (what they read stays in the cache).
+PLACED = 1 << 15
 #: Bytes of subtrees that one scoring pass ships to the tasks.
 PASS_BYTES = 64 << 20
 
@@ -97,11 +101,22 @@ class Tree:
         return len(self.feature) - 1
 
     def split(self, node: int, feature: int, at: int, gain: float, left_sums, right_sums) -> tuple[int, int]:
-        self.feature[node], self.bin[node], self.gain[node] = feature, at, gain
-        kids = _mix(np.array([self.path[node]], np.uint64) * np.uint64(2) + np.array([1, 2], np.uint64))
-        self.left[node] = self.add(left_sums, int(kids[0]), self.depth[node] + 1)
-        self.add(right_sums, int(kids[1]), self.depth[node] + 1)
-        return self.left[node], self.left[node] + 1
+        sums = np.stack([left_sums, right_sums])[None]
+        (left,) = self.split_all(np.array([node]), np.array([feature]), np.array([at]), np.array([gain]), sums)
+        return int(left), int(left) + 1
+
+    def split_all(self, nodes: np.ndarray, feature: np.ndarray, at: np.ndarray, gain: np.ndarray, sums: np.ndarray) -> np.ndarray:
+        """Split many nodes; ``sums``: of the left and right child of each.  Returns the left children."""
+        m = len(nodes)
+        left = len(self.feature) + 2 * np.arange(m)
+        path = _mix(np.array([self.path[i] for i in nodes], np.uint64)[:, None] * np.uint64(2) + np.array([1, 2], np.uint64))
+        depth = np.repeat([self.depth[i] + 1 for i in nodes], 2)
+        for i, f, b, g, k in zip(nodes.tolist(), feature.tolist(), at.tolist(), gain.tolist(), left.tolist()):
+            self.feature[i], self.bin[i], self.gain[i], self.left[i] = f, b, g, k
+        for own, new in ((self.feature, [-1] * 2 * m), (self.bin, [0] * 2 * m), (self.left, [-1] * 2 * m), (self.gain, [0.0] * 2 * m),
+                         (self.sums, list(sums.reshape(2 * m, -1))), (self.path, path.ravel().tolist()), (self.depth, depth.tolist())):
+            own += new
+        return left
 
     def graft(self, node: int, sub: Tree) -> None:
         """The tree ``sub``, grown elsewhere from this leaf, in the leaf's place."""
@@ -113,16 +128,29 @@ class Tree:
             own += new[1:]
         self.left += [x + at if x >= 0 else -1 for x in sub.left[1:]]
 
-    def place(self, binned: np.ndarray, node: np.ndarray | None = None) -> np.ndarray:
+    def place(self, binned: np.ndarray) -> np.ndarray:
         """The node where every row ends."""
-        feature, at, left = (np.asarray(x, np.int64) for x in (self.feature, self.bin, self.left))
-        node = np.zeros(len(binned), np.int64) if node is None else node.copy()
-        rows = np.flatnonzero(feature[node] >= 0)
-        while len(rows):
-            here = node[rows]
-            node[rows] = left[here] + (binned[rows, feature[here]] > at[here])
-            rows = rows[feature[node[rows]] >= 0]
-        return node
+        feature, at, left = (np.asarray(x) for x in (self.feature, self.bin, self.left))
+        out = np.zeros(len(binned), np.int64)
+        if feature[0] < 0:
+            return out
+        # a leaf leads to itself, so that all rows take a step while most still have one to go
+        inner = feature >= 0
+        f0, at0, left0 = np.where(inner, feature, 0).astype(np.int64), np.where(inner, at, 255), np.where(inner, left, np.arange(len(left)))
+        for a in range(0, len(binned), PLACED):
+            x = binned[a:a + PLACED]
+            flat, base, node = x.ravel(), np.arange(len(x)) * x.shape[1], np.zeros(len(x), np.int64)
+            going = len(x)
+            while 2 * going > len(x):
+                node = left0[node] + (flat[base + f0[node]] > at0[node])
+                going = np.count_nonzero(inner[node])
+            rows = np.flatnonzero(inner[node]) if going else ()
+            while len(rows):
+                here = node[rows]
+                node[rows] = here = left[here] + (x[rows, feature[here]] > at[here])
+                rows = rows[inner[here]]
+            out[a:a + len(x)] = node
+        return out
 
 
 def drawn(paths: np.ndarray, n_features: int, rules: Rules) -> np.ndarray:
@@ -165,7 +193,7 @@ def worth(sums: np.ndarray, rules: Rules, unit: float) -> np.ndarray:
     if rules.criterion == "gini":
         top, low = (x * x).sum(-1), x.sum(-1)
     else:
-        low = x[..., 1] + rules.l2 if rules.criterion == "newton" else x[..., 2]
+        low = x[..., 1] + rules.l2 if rules.criterion == "newton" else x[..., -1]
         top = x[..., 0] ** 2
     return np.divide(top, low, out=np.zeros_like(top), where=low > 0)
 
@@ -179,7 +207,7 @@ def best_splits(hist: np.ndarray, rules: Rules, unit: float) -> tuple[np.ndarray
     right = total - left
     # sums in which a side must not be empty: class weights, hessians or weights
     def weight(x):
-        return x.sum(-1) if rules.criterion == "gini" else x[..., 1 if rules.criterion == "newton" else 2]
+        return x.sum(-1) if rules.criterion == "gini" else x[..., 1 if rules.criterion == "newton" else -1]
     least = max(rules.least_hessian * unit, 1)
     ok = (weight(left) >= least) & (weight(right) >= least)
     gain = worth(left, rules, unit) + worth(right, rules, unit) - worth(total, rules, unit)
@@ -195,35 +223,165 @@ def open_node(sums: np.ndarray, depth: int, rules: Rules, rows: int) -> bool:
     return rules.criterion != "gini" or int((np.asarray(sums) > 0).sum()) > 1
 
 
+def open_nodes(sums: np.ndarray, depth: np.ndarray, rules: Rules, rows: np.ndarray) -> np.ndarray:
+    """``open_node`` for many nodes."""
+    ok = rows >= 2
+    if rules.max_depth is not None:
+        ok &= depth < rules.max_depth
+    return ok & ((sums > 0).sum(1) > 1) if rules.criterion == "gini" else ok
+
+
+def best_among_rows(b: np.ndarray, local: np.ndarray, w: np.ndarray, cls: np.ndarray, nodes: int, rules: Rules, unit: float, bins: int,
+                    wide: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``best_splits`` by Gini (gain, place among the tried features, bin) for nodes
+    with few rows: borders lie after a row, not after each bin.  ``b`` holds the
+    rows' bins in the tried features; rows lie by node."""
+    n, f = b.shape
+    start = np.searchsorted(local, np.arange(nodes))
+    shift = np.uint64(max(1, int(n).bit_length()))
+    cell = (local[None, :] * bins + b.T).astype(np.uint64)
+    key = np.sort((cell << shift) | np.arange(n, dtype=np.uint64), axis=1)
+    cell, row = (key >> shift).astype(np.int64), (key & ((np.uint64(1) << shift) - np.uint64(1))).astype(np.int64)
+    left = np.zeros((f, n, wide))
+    left[np.arange(f)[:, None], np.arange(n), cls[row]] = w[row]
+    # whole numbers below 2**53: differences of running sums are exact
+    np.cumsum(left, axis=1, out=left)
+    ends = np.append(start[1:], n) - 1
+    total = left[0, ends]
+    total[1:] -= left[0, ends[:-1]]
+    left -= (np.cumsum(total, axis=0) - total)[local]
+    whole = total[local]
+    right = whole - left
+    least = max(rules.least_hessian * unit, 1)
+    ok = (left.sum(-1) >= least) & (right.sum(-1) >= least)
+    ok[:, :-1] &= cell[:, 1:] != cell[:, :-1]
+    gain = worth(left, rules, unit) + worth(right, rules, unit) - worth(whole, rules, unit)
+    gain = np.where(ok, np.round(gain, 12), -np.inf)
+    most = np.maximum.reduceat(gain, start, axis=1)
+    which = most.argmax(0)
+    most = most[which, np.arange(nodes)]
+    hits = np.flatnonzero(gain[which[local], np.arange(n)] == most[local])
+    first = hits[np.searchsorted(hits, start)]
+    return most, which, cell[which, first] % bins
+
+
+def _best_drawn(tree: Tree, level: np.ndarray, n: np.ndarray, binned: np.ndarray, rows: np.ndarray, local: np.ndarray, stats: np.ndarray,
+                cls: np.ndarray | None, rules: Rules, unit: float, bins: int, wide: int):
+    """Gain, feature and bin of the best split of every node of a level, among
+    the features drawn for it; rows lie by node."""
+    d = binned.shape[1]
+    gain, feature, at = np.full(len(level), -np.inf), np.zeros(len(level), np.int64), np.zeros(len(level), np.int64)
+    start = np.concatenate(([0], np.cumsum(n)))
+    features = drawn([tree.path[i] for i in level], d, rules)
+    f = features.shape[1]
+    few = (n <= bins) & (rules.criterion == "gini")
+    room = max(1, HELD // (8 * f * wide))            # rows, or bins, for which sums are held at once
+    for own, size in ((np.flatnonzero(few), n), (np.flatnonzero(~few), np.full(len(n), bins))):
+        part = np.cumsum(size[own]) // room
+        for a, b in zip(*(np.searchsorted(part, np.unique(part), side=x) for x in ("left", "right"))):
+            these = own[a:b]
+            loc = np.repeat(np.arange(len(these)), n[these])
+            r = rows[(start[these] - np.cumsum(n[these]) + n[these])[loc] + np.arange(len(loc))]
+            if size is n:
+                tried = binned[r[:, None], features[these][loc]]
+                got = best_among_rows(tried, loc, stats[r, 0], cls[r], len(these), rules, unit, bins, wide)
+            else:
+                got = best_splits(histogram(binned[r], loc, features[these], stats[r], None if cls is None else cls[r], bins, wide), rules, unit)[:3]
+            gain[these], feature[these], at[these] = got[0], features[these, got[1]], got[2]
+    return gain, feature, at
+
+
+def _sums_by_bin(binned: np.ndarray, rows: np.ndarray, local: np.ndarray, columns: Sequence[np.ndarray], nodes: int, bins: int) -> np.ndarray:
+    """Sums by (node, feature, bin, column) over all features."""
+    d = binned.shape[1]
+    out = np.zeros((d, len(columns), nodes * bins))
+    for a in range(0, len(rows), PLACED):
+        own = rows[a:a + PLACED]
+        x, base, numbers = np.ascontiguousarray(binned[own].T), local[a:a + PLACED] * bins, [c[own] for c in columns]
+        for k in range(d):
+            cell = base + x[k]
+            for s, column in enumerate(numbers):
+                out[k, s] += np.bincount(cell, weights=column, minlength=nodes * bins)
+    return out.reshape(d, len(columns), nodes, bins).transpose(2, 0, 3, 1)
+
+
 def finish(tree: Tree, node: np.ndarray, binned: np.ndarray, stats: np.ndarray, cls: np.ndarray | None, rules: Rules,
            unit: float, bins: int, start: Sequence[int]) -> None:
     """Phase two: grow ``tree`` from its nodes ``start`` in this task; ``node`` is
-    the node of every row."""
-    d = binned.shape[1]
+    the node of every row.
+
+    Where all features are tried, only the child with fewer rows is summed up by
+    bin; its sibling has the rest of the parent's sums."""
+    d, level = binned.shape[1], np.array(start)
     wide = stats.shape[1] if cls is None else len(tree.sums[start[0]])
-    level = list(start)
-    while level:
-        rows = np.bincount(node[node >= 0], minlength=len(tree.feature))
-        level = [i for i in level if open_node(tree.sums[i], tree.depth[i], rules, rows[i])]
-        after, again, most = [], level, rules.tries
-        for tries in ((most, None) if most is not None and most < d else (None,)):
-            level, again = again, []
-            own = Rules(rules.criterion, rules.max_depth, rules.l2, rules.least_hessian, tries, rules.seed)
-            step = max(1, HELD // ((tries or d) * bins * wide))
-            for a in range(0, len(level), step):
-                part = np.array(level[a:a + step])
-                local = np.full(len(tree.feature), -1)
-                local[part] = np.arange(len(part))
-                mine = np.flatnonzero(local[node] >= 0)
-                features = drawn([tree.path[i] for i in part], d, own)
-                hist = histogram(binned[mine], local[node[mine]], features, stats[mine], None if cls is None else cls[mine], bins, wide)
-                gain, which, at, left = best_splits(hist, rules, unit)
-                for j in np.flatnonzero(np.isfinite(gain)):
-                    i = int(part[j])
-                    after += tree.split(i, int(features[j, which[j]]), int(at[j]), float(gain[j]), left[j], np.asarray(tree.sums[i]) - left[j])
-                again += [int(part[j]) for j in np.flatnonzero(~np.isfinite(gain))]
-        node = tree.place(binned, node)
-        level = after
+    every = cls is None and (rules.tries is None or rules.tries >= d)
+    columns = [np.ascontiguousarray(stats[:, s], np.float64) for s in range(stats.shape[1])]
+    # what gains need: gradients and hessians, or gradients and weights
+    needed = columns[:2] if rules.criterion == "newton" else [columns[0], columns[-1]]
+    most = max(1, HELD // (d * bins * len(needed)))          # nodes whose sums by bin are held at once
+    local = np.full(len(tree.feature), -1)
+    local[level] = np.arange(len(level))
+    rows = np.flatnonzero(local[node] >= 0)
+    local = local[node[rows]]
+    sums = np.array([tree.sums[i] for i in level], np.int64).reshape(len(level), wide)
+    above = None                     # sums by bin of the nodes whose children are this level, two by two
+    while len(level):
+        n = np.bincount(local, minlength=len(level))
+        go = open_nodes(sums, np.array([tree.depth[i] for i in level]), rules, n)
+        if not go.any():
+            return
+        held = None
+        if every and above is not None and len(level) <= most:
+            side = 2 * np.arange(len(above)) + (n[1::2] < n[::2])
+            place = np.full(len(level), -1)
+            place[side] = np.arange(len(side))
+            mine = np.flatnonzero(place[local] >= 0)
+            held = np.empty((len(level), *above.shape[1:]))
+            held[side] = _sums_by_bin(binned, rows[mine], place[local[mine]], needed, len(side), bins)
+            held[side ^ 1] = above - held[side]
+            held = held[go]
+        level, mine = level[go], go[local]
+        rows, local = rows[mine], (np.cumsum(go) - 1)[local[mine]]
+        n = n[go]
+        if every:
+            if held is None and len(level) <= most:
+                held = _sums_by_bin(binned, rows, local, needed, len(level), bins)
+            if held is not None:
+                gain, feature, at, _ = best_splits(held, rules, unit)
+            else:
+                got = []
+                for a in range(0, len(level), most):
+                    mine = np.flatnonzero((local >= a) & (local < a + most))
+                    own = _sums_by_bin(binned, rows[mine], local[mine] - a, needed, min(most, len(level) - a), bins)
+                    got.append(best_splits(own, rules, unit)[:3])
+                gain, feature, at = (np.concatenate(x) for x in zip(*got))
+        else:
+            order = np.argsort(local, kind="stable")
+            rows, local = rows[order], local[order]
+            gain, feature, at = _best_drawn(tree, level, n, binned, rows, local, stats, cls, rules, unit, bins, wide)
+            again = np.flatnonzero(~np.isfinite(gain))
+            if len(again) and rules.tries is not None and rules.tries < d:
+                own = Rules(rules.criterion, rules.max_depth, rules.l2, rules.least_hessian, None, rules.seed)
+                place = np.full(len(level), -1)
+                place[again] = np.arange(len(again))
+                mine = np.flatnonzero(place[local] >= 0)
+                gain[again], feature[again], at[again] = _best_drawn(
+                    tree, level[again], n[again], binned, rows[mine], place[local[mine]], stats, cls, own, unit, bins, wide)
+        split = np.isfinite(gain)
+        if not split.any():
+            return
+        above = None if held is None else held[split]
+        mine = np.flatnonzero(split[local])
+        rows, local = rows[mine], local[mine]
+        local = 2 * (np.cumsum(split) - 1)[local] + (binned[rows, feature[local]] > at[local])
+        kids = 2 * int(split.sum())
+        if cls is None:
+            sums = np.stack([np.bincount(local, weights=c[rows], minlength=kids) for c in columns], axis=1)
+        else:
+            sums = np.bincount(local * wide + cls[rows], weights=columns[0][rows], minlength=kids * wide).reshape(kids, wide)
+        sums = np.rint(sums).astype(np.int64)
+        left = tree.split_all(level[split], feature[split], at[split], gain[split], sums.reshape(kids // 2, 2, wide))
+        level = (left[:, None] + np.array([0, 1])).ravel()
 
 
 # ---------------------------------------------------------------- blocks
@@ -450,10 +608,13 @@ def boost_stats(b: Block, recent, k: int, unit: float, double_hessian: bool) ->
     whole numbers."""
     if b.shares is None:
         b.shares = softmax(boost_scores(b.scores, b.x, recent))
-    p = b.shares[:, k]
-    w = b.w / unit
+    return class_stats(b.shares[:, k], b.y == k, b.w, unit, double_hessian)
+
+
+def class_stats(p: np.ndarray, hit: np.ndarray, weight: np.ndarray, unit: float, double_hessian: bool) -> np.ndarray:
+    w = weight / unit
     h = p * (1 - p) * (2.0 if double_hessian else 1.0)
-    return np.stack([np.rint((p - (b.y == k)) * w * unit), np.rint(np.maximum(h, 1e-16) * w * unit), b.w], axis=1)
+    return np.stack([np.rint((p - hit) * w * unit), np.rint(np.maximum(h, 1e-16) * w * unit), weight], axis=1)
 
 
 def _leaf_values(tree: Tree, factor: float, l2: float, unit: float) -> np.ndarray:
@@ -463,16 +624,18 @@ def _leaf_values(tree: Tree, factor: float, l2: float, unit: float) -> np.ndarra
 
 
 def fit_boosting(df: DataFrame, features: str, label: str, weight: str | None, classes: int, rules: Rules, rounds: int,
-                 rate: float, prior: bool, double_hessian: bool = False, bins: int = BINS, task_rows: int = TASK_ROWS,
+                 rate: float, prior: bool, double_hessian: bool = False, bins: int = BINS, task_rows: int | None = None,
                  average_gain: bool = False) -> BoostModel:
     """Softmax boosting: every round fits one tree per class to the gradients of
-    the log loss, all classes from the same scores.
+    the log loss, all classes from the same scores.  A node of at most
+    ``task_rows`` rows (None: as many as ``TASK_BYTES`` hold) fits a task.
 
     ``prior`` starts from the log class shares and scales leaves by (K - 1) / K;
     otherwise all scores start at zero.
     """
     edges = bin_edges(df, features, bins)
     d = len(edges)
+    task_rows = max(1, TASK_BYTES // max(d, 1)) if task_rows is None else task_rows
     w = F.lit(1.0) if weight is None else F.col(weight)
     told = df.groupBy(F.col(label).cast("int").alias("y")).agg(F.count(F.lit(1)).alias("n"), F.sum(w).alias("w"), F.max(w).alias("m")).collect()
     n_rows, largest = sum(r["n"] for r in told), max(r["m"] for r in told)
@@ -484,16 +647,18 @@ def fit_boosting(df: DataFrame, features: str, label: str, weight: str | None, c
             share[r["y"]] = r["w"] / sum(x["w"] for x in told)
         start = np.log(share)
     factor = rate * ((classes - 1) / classes if prior else 1.0)
-    blocks = materialize(_with_scores(row_blocks(df, features, label, weight, edges, unit), start, d))
+    blocks = materialize(_with_scores(row_blocks(df, features, label, weight, edges, unit), start, d)
+                         .withColumn("block", F.monotonically_increasing_id()))
     small = n_rows <= task_rows
     if small:
-        blocks = materialize(_one_group_per_class(blocks, classes))
+        seats = _seats(df.sparkSession, classes)
+        copies = _copies(blocks, seats)
     done: list = []
     folded = 0
     for _ in range(rounds):
         recent = _slim(done[folded:])
         if small:
-            grown = _boost_in_tasks(blocks, recent, classes, d, rules, unit, bins, double_hessian)
+            grown = _boost_in_tasks(blocks, copies, seats, recent, classes, d, rules, unit, bins, double_hessian)
         else:
             grown = _boost_in_both_phases(blocks, recent, classes, d, rules, unit, bins, double_hessian, task_rows, n_rows)
         done.append([(t, _leaf_values(t, factor, rules.l2, unit)) for t in grown])
@@ -509,16 +674,25 @@ def _with_scores(blocks: DataFrame, start: np.ndarray, d: int) -> DataFrame:
     return blocks.mapInArrow(run, "n int, x binary, y binary, w binary, h binary, scores binary")
 
 
-def _one_group_per_class(blocks: DataFrame, classes: int) -> DataFrame:
-    """All rows once per class, one block each, for tasks that finish whole trees."""
-    cols = ["x", "y", "w", "h", "scores"]
+def _seats(spark, classes: int) -> list[int]:
+    """A number per class by whose hash its rows get a partition of their own."""
+    place = F.pmod(F.hash("seat"), F.lit(classes)).alias("place")
+    got = spark.range(64 * classes).select(F.col("id").cast("int").alias("seat")).groupBy(place).agg(F.min("seat").alias("seat")).collect()
+    own = {r["place"]: r["seat"] for r in got}
+    return [own.get(k, 64 * classes + k) for k in range(classes)]
 
-    def merge(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        # the same order of blocks in every group; sums do not depend on it
-        return pd.DataFrame({"cls": [key[0]], "n": [int(pdf["n"].sum())], **{c: [b"".join(pdf[c])] for c in cols}})
-    copies = blocks.withColumn("cls", F.explode(F.sequence(F.lit(0), F.lit(classes - 1))))
-    return (copies.groupBy("cls").applyInPandas(merge, "cls int, n int, x binary, y binary, w binary, h binary, scores binary")
-            .repartitionByRange(classes, "cls"))
+
+def _copies(blocks: DataFrame, seats: list[int]) -> DataFrame:
+    """What does not change of all rows, once per class, in a partition per class."""
+    conf, name = blocks.sparkSession.conf, "spark.sql.adaptive.enabled"
+    before = conf.get(name)
+    # an adaptive plan forgets how its rows are dealt, and every round would deal them anew
+    conf.set(name, "false")
+    try:
+        return materialize(blocks.select(F.explode(F.array(*[F.lit(x) for x in seats])).alias("seat"), "block", "x", "y", "w")
+                           .repartition(len(seats), "seat"))
+    finally:
+        conf.set(name, before)
 
 
 def _fold(blocks: DataFrame, rounds, classes: int, d: int) -> DataFrame:
@@ -530,19 +704,34 @@ def _fold(blocks: DataFrame, rounds, classes: int, d: int) -> DataFrame:
     return blocks.mapInArrow(run, blocks.schema)
 
 
-def _boost_in_tasks(blocks, recent, classes, d, rules, unit, bins, double_hessian) -> list[Tree]:
+def _boost_in_tasks(blocks, copies, seats, recent, classes, d, rules, unit, bins, double_hessian) -> list[Tree]:
+    """One round, a class a task: blocks send the rows' shares of a class to the
+    partition where the class has its copy of the rows."""
     import pickle
 
-    def run(batches):
+    def share(batches):
         for batch in batches:
-            for cls, b in zip(batch.column("cls").to_pylist(), _blocks(batch, d, classes)):
-                s = boost_stats(b, recent, cls, unit, double_hessian)
-                tree = Tree()
-                tree.add(np.rint(s.sum(0)).astype(np.int64), cls + 1, 0)
-                finish(tree, np.zeros(len(b.x), np.int64), b.x, s, None, rules, unit, bins, [0])
-                yield pa.RecordBatch.from_arrays([pa.array([cls], pa.int32()), pa.array([pickle.dumps(tree.__dict__)], pa.binary())],
-                                                 names=["cls", "tree"])
-    got = blocks.mapInArrow(run, "cls int, tree binary").collect()       # one small tree per class
+            for at, b in zip(batch.column("block"), _blocks(batch, d, classes)):
+                p = softmax(boost_scores(b.scores, b.x, recent))
+                yield pa.RecordBatch.from_arrays([pa.array(seats, pa.int32()), pa.array([at.as_py()] * classes, pa.int64()),
+                                                  pa.array([np.ascontiguousarray(p[:, k]).tobytes() for k in range(classes)], pa.binary())],
+                                                 names=["seat", "block", "p"])
+
+    def grow(seat, shares: pa.Table, rows: pa.Table) -> pa.Table:
+        cls = seats.index(seat[0].as_py())
+        of = dict(zip(shares.column("block").to_pylist(), shares.column("p")))
+
+        def whole(column, kind):
+            return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in column])
+        x = whole(rows.column("x"), np.uint8).reshape(-1, d)
+        p = whole([of[at] for at in rows.column("block").to_pylist()], np.float64)
+        s = class_stats(p, whole(rows.column("y"), "<i4") == cls, whole(rows.column("w"), "<i8"), unit, double_hessian)
+        tree = Tree()
+        tree.add(np.rint(s.sum(0)).astype(np.int64), cls + 1, 0)
+        finish(tree, np.zeros(len(x), np.int64), x, s, None, rules, unit, bins, [0])
+        return pa.table({"cls": pa.array([cls], pa.int32()), "tree": pa.array([pickle.dumps(tree.__dict__)], pa.binary())})
+    shares = blocks.mapInArrow(share, "seat int, block long, p binary")
+    got = shares.groupBy("seat").cogroup(copies.groupBy("seat")).applyInArrow(grow, "cls int, tree binary").collect()   # one small tree per class
     return [Tree(**pickle.loads(r["tree"])) for r in sorted(got, key=lambda r: r["cls"])]
 
 

@@ -205,3 +205,60 @@ def test_missing_values_go_right_and_null_rows_do_not_crash(spark):
     df = spark.createDataFrame(rows, "id long, features array<double>, y int")
     model = trees.fit_boosting(df, "features", "y", None, 2, Rules("mse", 2), 2, 0.1, prior=True)
     assert model.transform(df).filter("prediction is null").count() == 0
+
+
+def test_a_sibling_gets_the_rest_of_its_parents_sums(monkeypatch):
+    """Boosting sums up the child with fewer rows only, with the numbers that gains need."""
+    rng = np.random.default_rng(4)
+    n, looked, whole = 3000, [], trees._sums_by_bin
+    x = rng.integers(0, 64, (n, 5)).astype(np.uint8)
+    s = np.rint(np.stack([rng.normal(size=n) + (x[:, 0] > 20), rng.random(n), rng.random(n)], axis=1) * 1e6)
+
+    def grown(held):
+        monkeypatch.setattr(trees, "HELD", held)
+        tree = trees.Tree()
+        tree.add(s.sum(0).astype(np.int64), 1, 0)
+        trees.finish(tree, np.zeros(n, np.int64), x, s, None, Rules("newton", 5, l2=1.0), 1024.0, 64, [0])
+        return tree
+    small = grown(1)                 # one node at a time, nothing kept of the level above
+    monkeypatch.setattr(trees, "_sums_by_bin", lambda b, rows, *a: looked.append((len(rows), len(a[1]))) or whole(b, rows, *a))
+    tree = grown(1 << 22)
+    assert tree.__dict__.keys() == small.__dict__.keys() and tree.feature == small.feature and tree.bin == small.bin and tree.gain == small.gain
+    assert (np.array(tree.sums) == np.array(small.sums)).all()
+    assert max(tree.depth) == 5 and sum(k for k, _ in looked) <= n + 4 * n / 2 and {k for _, k in looked} == {2}
+
+
+@pytest.mark.parametrize("classes, weights", [(2, [1]), (5, [1, 2, 5]), (11, [3])])
+def test_few_rows_are_split_as_by_their_bins(classes, weights):
+    rng = np.random.default_rng(classes)
+    nodes, f = 200, 4
+    n = rng.integers(1, 12, nodes)
+    local = np.repeat(np.arange(nodes), n)
+    b = rng.integers(0, rng.choice([2, 8, 64], nodes)[local][:, None], (len(local), f)).astype(np.uint8)
+    cls, w = rng.integers(0, classes, len(local)), rng.choice(weights, len(local)).astype(float)
+    rules = Rules("gini", None)
+    hist = trees.histogram(b, local, np.tile(np.arange(f), (nodes, 1)), w[:, None], cls, 64, classes)
+    want = trees.best_splits(hist, rules, 1.0)
+    got = trees.best_among_rows(b, local, w, cls, nodes, rules, 1.0, 64, classes)
+    real = np.isfinite(want[0])
+    assert (want[0] == got[0]).all() and (want[1][real] == got[1][real]).all() and (want[2][real] == got[2][real]).all()
+    assert real.any() and not real.all()
+
+
+def test_a_class_keeps_its_rows_over_the_rounds(spark, monkeypatch):
+    """Only shares are dealt in a round: the rows of a class lie in a partition of their own."""
+    df, x, y, _ = table(spark, n=400)
+    kept, rounds, whole = [], [], trees._copies
+    monkeypatch.setattr(trees, "_copies", lambda *a: kept.append((a[1], whole(*a))) or kept[-1][1])
+    monkeypatch.setattr(trees, "level", lambda *a: pytest.fail("a job for a level of a table that fits a task"))
+    trees.fit_boosting(df.repartition(3), "features", "y", "w", 3, Rules("newton", 3, l2=1.0), 2, 0.3, prior=False)
+    (seats, rows), = kept
+    parts = [{r["seat"] for r in p} for p in rows.rdd.glom().collect()]
+    assert sorted(parts, key=min) == [{s} for s in sorted(seats)]
+    plan = rows.groupBy("seat").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    monkeypatch.setattr(trees, "TASK_BYTES", 100 * 3)          # 100 rows of three features: level jobs again
+    monkeypatch.setattr(trees, "level", lambda *a: rounds.append(1) or (_ for _ in ()).throw(RuntimeError("level job")))
+    with pytest.raises(RuntimeError, match="level job"):
+        trees.fit_boosting(df, "features", "y", "w", 3, Rules("newton", 3, l2=1.0), 1, 0.3, prior=False)
+    assert rounds
