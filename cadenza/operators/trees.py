@@ -862,13 +862,13 @@ class ForestModel:
             yield group
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """A pass per group of subtrees adds to every row's votes; every eighth
-        pass is written, so that a large forest's plan stays small."""
+        """A pass per group of subtrees adds to every row's votes.  The votes are
+        written before the next pass, so that a task holds one group at a time."""
         import pickle
         edges, classes, tops = self.edges, self.classes, self.tops
         out = df.withColumn("__votes", F.array(*[F.lit(0.0)] * classes))
         for n, group in enumerate(self.passes()):
-            out = materialize(out) if n and n % 8 == 0 else out
+            out = materialize(out) if n else out
             first, last = group[0], group[-1]
             key = F.struct("tree", "node")
             rows = self.subtrees.filter(key.between(F.struct(F.lit(first[0]).alias("tree"), F.lit(first[1]).alias("node")),
@@ -876,8 +876,7 @@ class ForestModel:
             parts = {}
             for r in rows:
                 t = pickle.loads(r["data"])
-                share = np.asarray(t["sums"], np.float64)
-                parts.setdefault(r["tree"], {})[r["node"]] = (Tree(t["feature"], t["bin"], t["left"]), share / share.sum(1, keepdims=True))
+                parts.setdefault(r["tree"], {})[r["node"]] = (Tree(t["feature"], t["bin"], t["left"]), t["mixed"])
 
             out = out.withColumn("__votes", _voting(parts, tops, edges)(feature_array(df, self.features), F.col("__votes")))
         best = F.array_position("__votes", F.array_max("__votes")) - 1
@@ -894,14 +893,30 @@ def _voting(parts: dict, tops: list, edges):
         total = np.stack(sofar.to_numpy()).astype(np.float64)
         for t, own in parts.items():
             at = tops[t].place(binned)
-            for node, (sub, share) in own.items():
+            for node, (sub, mixed) in own.items():
                 here = np.flatnonzero(at == node)
                 if len(here):
-                    total[here] += share[sub.place(binned[here])]
+                    code = -1 - sub.left[sub.place(binned[here])].astype(np.int64)
+                    pure = code < total.shape[1]
+                    total[here[pure], code[pure]] += 1.0
+                    share = mixed[code[~pure] - total.shape[1]].astype(np.float64)
+                    total[here[~pure]] += share / share.sum(1, keepdims=True)
         return pd.Series(list(total))
     return add
 
 
+def _packed(tree: Tree, classes: int, unit: float, d: int) -> dict:
+    """What scoring needs of a grown subtree.  ``left`` of a leaf is -1 less its
+    class or, if it has several, less their number and its place in ``mixed`` (the
+    classes' weights)."""
+    feature, left = np.array(tree.feature, np.int16 if d < 1 << 15 else np.int32), np.array(tree.left, np.int32)
+    leaves = np.flatnonzero(feature < 0)
+    weight = (np.array([tree.sums[i] for i in leaves]).reshape(len(leaves), classes) / unit).astype(np.float32)
+    several = (weight > 0).sum(1) != 1
+    left[leaves] = -1 - np.where(several, classes + np.cumsum(several) - 1, weight.argmax(1))
+    return {"feature": feature, "bin": np.array(tree.bin, np.uint8), "left": left, "mixed": weight[several]}
+
+
 def fit_forest(df: DataFrame, features: str, label: str, weight: str | None, classes: int, n_trees: int, rules: Rules,
                bins: int = BINS, task_rows: int = TASK_ROWS) -> ForestModel:
     """Random forest on bootstrap counts, to any depth: level jobs until a node's
@@ -957,8 +972,7 @@ def fit_forest(df: DataFrame, features: str, label: str, weight: str | None, cla
         if len(x):
             finish(tree, np.zeros(len(x), np.int64), x, w[:, None], y, rules, unit, bins, [0])
         gain, _ = _gains(tree.feature, tree.gain, d)
-        data = {"feature": np.array(tree.feature, np.int32), "bin": np.array(tree.bin, np.int16), "left": np.array(tree.left, np.int32),
-                "sums": (np.array(tree.sums) / unit).astype(np.float32)}
+        data = _packed(tree, classes, unit, d)
         return pd.DataFrame({"tree": [t], "node": [i], "data": [pickle.dumps(data)], "gains": [gain.tolist()], "depth": [max(tree.depth)]})
     subtrees = materialize(blocks.mapInArrow(deal, "tree int, node int, n int, x binary, y binary, w binary")
                            .groupBy("tree", "node").applyInPandas(grow, "tree int, node int, data binary, gains array<double>, depth int"))

@@ -262,3 +262,28 @@ def test_a_class_keeps_its_rows_over_the_rounds(spark, monkeypatch):
     with pytest.raises(RuntimeError, match="level job"):
         trees.fit_boosting(df, "features", "y", "w", 3, Rules("newton", 3, l2=1.0), 1, 0.3, prior=False)
     assert rounds
+
+
+def test_a_task_holds_one_pass_of_small_subtrees(spark, monkeypatch):
+    """Leaves of one class take no list of weights, and a scoring plan has one pass at most."""
+    df, x, y, w = table(spark, n=400, d=4, levels=50, classes=7)
+    m = trees.fit_forest(df, "features", "y", "w", 7, 6, Rules("gini", None, tries=2, seed=1))
+    import pickle
+    packed = [pickle.loads(r["data"]) for r in m.subtrees.collect()]
+    nodes = sum(len(p["feature"]) for p in packed)
+    assert nodes > 500 and sum(v.nbytes for p in packed for v in p.values()) <= 8 * nodes
+    whole = [r["prediction"] for r in m.transform(df).orderBy("id").collect()]
+    assert np.mean(np.array(whole) == y) > 0.9
+    monkeypatch.setattr(trees, "PASS_BYTES", 1)                 # a subtree a pass
+    got = m.transform(df)
+    assert got._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert [r["prediction"] for r in got.orderBy("id").collect()] == whole
+
+
+def test_leaves_of_several_classes_keep_their_shares(spark):
+    rows = [(i, [float(i % 2)], int(i % 5 == 0) + i % 2) for i in range(100)]
+    df = spark.createDataFrame(rows, "id long, features array<double>, y int")
+    m = trees.fit_forest(df, "features", "y", None, 3, 3, Rules("gini", None))
+    import pickle
+    assert all(len(pickle.loads(r["data"])["mixed"]) == 2 for r in m.subtrees.collect())
+    assert {(r["id"] % 2, r["prediction"]) for r in m.transform(df).collect()} == {(0, 0.0), (1, 1.0)}
