@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
-from cadenza.session import materialize
+from cadenza.session import materialize, seats
 
 # task functions travel by value: executors need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -651,14 +651,14 @@ def fit_boosting(df: DataFrame, features: str, label: str, weight: str | None, c
                          .withColumn("block", F.monotonically_increasing_id()))
     small = n_rows <= task_rows
     if small:
-        seats = _seats(df.sparkSession, classes)
-        copies = _copies(blocks, seats)
+        places = seats(df.sparkSession, classes)
+        copies = _copies(blocks, places)
     done: list = []
     folded = 0
     for _ in range(rounds):
         recent = _slim(done[folded:])
         if small:
-            grown = _boost_in_tasks(blocks, copies, seats, recent, classes, d, rules, unit, bins, double_hessian)
+            grown = _boost_in_tasks(blocks, copies, places, recent, classes, d, rules, unit, bins, double_hessian)
         else:
             grown = _boost_in_both_phases(blocks, recent, classes, d, rules, unit, bins, double_hessian, task_rows, n_rows)
         done.append([(t, _leaf_values(t, factor, rules.l2, unit)) for t in grown])
@@ -674,23 +674,15 @@ def _with_scores(blocks: DataFrame, start: np.ndarray, d: int) -> DataFrame:
     return blocks.mapInArrow(run, "n int, x binary, y binary, w binary, h binary, scores binary")
 
 
-def _seats(spark, classes: int) -> list[int]:
-    """A number per class by whose hash its rows get a partition of their own."""
-    place = F.pmod(F.hash("seat"), F.lit(classes)).alias("place")
-    got = spark.range(64 * classes).select(F.col("id").cast("int").alias("seat")).groupBy(place).agg(F.min("seat").alias("seat")).collect()
-    own = {r["place"]: r["seat"] for r in got}
-    return [own.get(k, 64 * classes + k) for k in range(classes)]
-
-
-def _copies(blocks: DataFrame, seats: list[int]) -> DataFrame:
+def _copies(blocks: DataFrame, places: list[int]) -> DataFrame:
     """What does not change of all rows, once per class, in a partition per class."""
     conf, name = blocks.sparkSession.conf, "spark.sql.adaptive.enabled"
     before = conf.get(name)
     # an adaptive plan forgets how its rows are dealt, and every round would deal them anew
     conf.set(name, "false")
     try:
-        return materialize(blocks.select(F.explode(F.array(*[F.lit(x) for x in seats])).alias("seat"), "block", "x", "y", "w")
-                           .repartition(len(seats), "seat"))
+        return materialize(blocks.select(F.explode(F.array(*[F.lit(x) for x in places])).alias("seat"), "block", "x", "y", "w")
+                           .repartition(len(places), "seat"))
     finally:
         conf.set(name, before)
 
@@ -704,7 +696,7 @@ def _fold(blocks: DataFrame, rounds, classes: int, d: int) -> DataFrame:
     return blocks.mapInArrow(run, blocks.schema)
 
 
-def _boost_in_tasks(blocks, copies, seats, recent, classes, d, rules, unit, bins, double_hessian) -> list[Tree]:
+def _boost_in_tasks(blocks, copies, places, recent, classes, d, rules, unit, bins, double_hessian) -> list[Tree]:
     """One round, a class a task: blocks send the rows' shares of a class to the
     partition where the class has its copy of the rows."""
     import pickle
@@ -713,12 +705,12 @@ def _boost_in_tasks(blocks, copies, seats, recent, classes, d, rules, unit, bins
         for batch in batches:
             for at, b in zip(batch.column("block"), _blocks(batch, d, classes)):
                 p = softmax(boost_scores(b.scores, b.x, recent))
-                yield pa.RecordBatch.from_arrays([pa.array(seats, pa.int32()), pa.array([at.as_py()] * classes, pa.int64()),
+                yield pa.RecordBatch.from_arrays([pa.array(places, pa.int32()), pa.array([at.as_py()] * classes, pa.int64()),
                                                   pa.array([np.ascontiguousarray(p[:, k]).tobytes() for k in range(classes)], pa.binary())],
                                                  names=["seat", "block", "p"])
 
     def grow(seat, shares: pa.Table, rows: pa.Table) -> pa.Table:
-        cls = seats.index(seat[0].as_py())
+        cls = places.index(seat[0].as_py())
         of = dict(zip(shares.column("block").to_pylist(), shares.column("p")))
 
         def whole(column, kind):

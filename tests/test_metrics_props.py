@@ -258,3 +258,57 @@ def test_silhouette_shuffles_arrays_not_single_sums(spark):
         means = [far[i, own == c].sum() / ((own == c).sum() - (c == own[i])) for c in range(4)]
         b = min(m for c, m in enumerate(means) if c != own[i])
         assert abs(r["silhouette"] - (b - means[own[i]]) / max(b, means[own[i]])) < 1e-9
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_a_slice_is_summed_up_only_for_labels_that_it_has(same):
+    """Two labellings, one with rows without a label; slices of four rows."""
+    import pyarrow as pa
+    rng = np.random.default_rng(6)
+    n, d = 30, 3
+    x, sizes = rng.normal(size=(n, d)), [4, 3]
+    own = np.stack([rng.integers(0, 4, n), rng.integers(-1, 3, n)], axis=1)
+    blk = np.zeros(n, int) if same else np.repeat([0, 1], [11, 19])
+    table = pa.table({"key": [f"r{i}" for i in range(n)], "__blk": blk, "__c0": own[:, 0].astype(np.int32), "__c1": own[:, 1].astype(np.int32),
+                      "v": pa.array(x.astype(np.float32).tolist(), pa.list_(pa.float32()))})
+    out = metrics._pair_kernel("key", ["__c0", "__c1"], sizes, "v", 16)((pa.scalar(0), pa.scalar(int(not same)), pa.scalar(5)), table)
+    x = x.astype(np.float32).astype(float)
+    far = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)) * (True if same else blk[:, None] != blk[None])
+    marks = np.concatenate([own[:, j, None] == np.arange(s) for j, s in enumerate(sizes)], axis=1)
+    assert out.column("key").to_pylist() == table.column("key").to_pylist()
+    assert np.allclose(np.stack(out.column("__s").to_numpy()), far @ marks, atol=1e-6)
+    assert (np.stack(out.column("__own").to_numpy()) == own).all()
+
+
+@pytest.mark.parametrize("block_rows", [7, 1000])
+def test_silhouettes_of_odd_rows(spark, block_rows):
+    """Rows without key or label, a label of one row, one of all rows, rows that
+    come twice; a key's sums turn into its scores where they are added up."""
+    rng = np.random.default_rng(8)
+    rows = [(None if i == 3 else i, None if i == 5 else "abc"[i % 3] if i else "one", "all", [float(v) for v in rng.normal(size=2)]) for i in range(25)]
+    rows += rows[10:12]
+    df = spark.createDataFrame(rows, "id long, p string, q string, v array<double>")
+    got = metrics._silhouettes(df, "id", ["p", "q"], "v", block_rows, None)
+    plan = got._jdf.queryExecution().analyzed().toString().lower()
+    assert "generate" not in plan and plan.count("flatmapgroupsinarrow") == 2          # no row per cluster, none joined to its label
+    x, p = np.array([r[3] for r in rows]), [r[1] for r in rows]
+    far, want = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)), {}
+    for i, r in enumerate(rows):
+        if r[0] is None:
+            continue
+        want[r[0], 1, "all"] = 0.0
+        if p[i] is not None:
+            sums = {c: far[i, [q == c for q in p]].sum() / (p.count(c) - (c == p[i])) if c != p[i] or p.count(c) > 1 else None for c in set(p) - {None}}
+            a, b = sums.pop(p[i]), min(v for v in sums.values())
+            want[r[0], 0, p[i]] = 0.0 if a is None else (b - a) / max(a, b)
+    have = {(r["id"], r["__j"], r["__own"]): r["silhouette"] for r in got.collect()}
+    assert have.keys() == want.keys() and got.count() == len(want)
+    assert all(have[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+
+
+def test_every_pair_of_blocks_has_a_partition(spark):
+    from cadenza.session import seats
+    for n in (1, 3, 28):
+        own = seats(spark, n)
+        df = spark.createDataFrame([(s,) for s in own], "seat int").repartition(n, "seat")
+        assert sorted(len(p) for p in df.rdd.glom().collect()) == [1] * n
