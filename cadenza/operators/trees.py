@@ -9,8 +9,9 @@ and picks the best feature, and only the winning splits reach the driver.
 
 Growth has two phases, in boosting as in forests.  A node with more than
 ``task_rows`` rows is split by such a level job.  The rows of a smaller node fit
-one task: they meet there once and the task finishes the subtree, to any depth.  Both phases use the same histogram
-and split functions.  Gradients and weights are whole numbers (fixed point), so
+one task: they meet there once and the task finishes the subtree, to any depth.  A boosted table
+that fits is copied once per class, and rounds send only class shares to the copies.  Both phases use the same split
+rules.  Gradients and weights are whole numbers (fixed point), so
 sums do not depend on the order of rows, and partitions, blocks and phases give
 the same trees.
 
